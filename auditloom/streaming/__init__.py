@@ -1,0 +1 @@
+"""No stream operators: every source and analysis in the survey is batch (§2.14)."""
