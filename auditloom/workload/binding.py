@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from auditloom import fixed
 from auditloom.functions.keys import extract_state
 from auditloom.functions.names import classify_entity, clean_owner_name
+from auditloom.session import durable
 
 NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
          "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -123,6 +124,12 @@ class Tables:
         return out.withColumn("fiscal_year", F.concat(F.lit("FY"), F.col("year").cast("string")))
 
 
+    @cached_property
+    def gold_facts(self) -> DataFrame:
+        """``facts`` written once, for queries that read it more than once."""
+        return durable(self.facts)
+
+
 # (column, value, text before the name, text after it); the first match decides.
 PARTY_FORMS = (
     ("p_brand", "Brand#1", "COUNTY OF ", ""),
