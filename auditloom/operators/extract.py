@@ -131,8 +131,8 @@ def _all_blocks(text: Column) -> Column:
     groups = [F.regexp_extract_all(text, F.lit(fixed.VALUE_BLOCK_ANY), F.lit(i)) for i in range(1, 5)]
     zipped = F.arrays_zip(*[g.alias(n) for g, n in zip(groups, ("land", "improvement", "total", "tax"))])
     return F.transform(zipped, lambda b: F.struct(
-        int_text(b["0"]).alias("land"), int_text(b["1"]).alias("improvement"),
-        int_text(b["2"]).alias("total"), decimal_text(b["3"]).alias("tax")))
+        int_text(b["land"]).alias("land"), int_text(b["improvement"]).alias("improvement"),
+        int_text(b["total"]).alias("total"), decimal_text(b["tax"]).alias("tax")))
 
 
 def property_records_strict(records: DataFrame, keep: Sequence[str],
@@ -233,8 +233,8 @@ def name_counts(docs: DataFrame, text: str, keep: Sequence[str], section: str |
     names = F.regexp_extract_all(F.col("_body"), F.lit(pattern), F.lit(1))
     counts = F.regexp_extract_all(F.col("_body"), F.lit(pattern), F.lit(2))
     pairs = docs.select(*keep, F.posexplode(F.arrays_zip(names.alias("n"), counts.alias("c"))).alias("pos", "pair"))
-    rows = pairs.select(*keep, "pos", strip(F.col("pair")["0"]).alias("name"),
-                        amount_or_null(F.col("pair")["1"], fixed.NULL_AMOUNT_MARKS_V1).alias("count"))
+    rows = pairs.select(*keep, "pos", strip(F.col("pair.n")).alias("name"),
+                        amount_or_null(F.col("pair.c"), fixed.NULL_AMOUNT_MARKS_V1).alias("count"))
     good = (F.length("name") >= min_letters) & (F.col("count") != 0)
     return rows.filter(good).groupBy(*keep, "name").agg(F.max_by("count", "pos").alias("count"))
 
@@ -371,7 +371,8 @@ def row_categories(rows: DataFrame, table: Sequence[str], row_idx: str, text: st
     names = [*patterns, "other"]
     out = labelled.groupBy(*table).agg(
         *[total_of(n) for n in names],
-        F.max_by(F.when(is_total, money), F.when(is_total, F.col(row_idx))).cast("double").alias("_stated"),
+        F.max(F.when(is_total, F.struct(F.col(row_idx).alias("i"), money.alias("m"))))["m"]
+        .cast("double").alias("_stated"),
         F.coalesce(F.sum(F.when(~is_total, money)), F.lit(0).cast("decimal(18,2)")).cast("double").alias("_summed"))
     stated = F.nullif(F.col("_stated"), F.lit(0.0))
     return out.withColumn("total", F.coalesce(stated, F.col("_summed"))).drop("_stated", "_summed")

@@ -78,12 +78,13 @@ def quantile_breaks(df: DataFrame, value: str, classes: int, partitions: int | N
               .withColumn("upto", F.col("before") + F.sum("n").over(inside))
               .withColumn("since", F.col("upto") - F.col("n")))
     total = sizes.agg(F.sum("size")).scalar()
-    step = total.cast("double") / F.lit(float(classes))
+    step = F.col("total").cast("double") / F.lit(float(classes))
     wanted = [F.struct(F.lit(0).cast("bigint").alias("idx"), F.lit(0).cast("bigint").alias("at"))]
     wanted += [F.struct(F.lit(i).cast("bigint").alias("idx"), F.floor(step * F.lit(float(i))).cast("bigint").alias("at"))
                for i in range(1, classes)]
-    wanted += [F.struct(F.lit(classes).cast("bigint").alias("idx"), (total - 1).cast("bigint").alias("at"))]
+    wanted += [F.struct(F.lit(classes).cast("bigint").alias("idx"), (F.col("total") - 1).cast("bigint").alias("at"))]
     hits = F.filter(F.array(*wanted), lambda w: (w["at"] >= F.col("since")) & (w["at"] < F.col("upto")))
+    placed = placed.withColumn("total", total)
     return placed.select(F.explode(hits).alias("w"), "v").select(F.col("w.idx").alias("idx"), F.col("v").alias("edge"))
 
 
@@ -98,11 +99,11 @@ def assign_classes(df: DataFrame, value: str, edges: DataFrame, name: str = "cla
     The edges (one per class) come in as one array through a scalar subquery.
     """
     packed = edges.agg(F.array_sort(F.collect_list(F.struct("idx", "edge"))).alias("e"))
-    upper = F.slice(packed.select(F.col("e.edge").alias("edges")).scalar(), 2, 1 << 20)
-    v = F.col(value).cast("double")
+    with_edges = df.withColumn("_upper", packed.select(F.slice(F.col("e.edge"), 2, 1 << 20).alias("edges")).scalar())
+    upper, v = F.col("_upper"), F.col(value).cast("double")
     first = F.size(F.filter(upper, lambda edge: edge < v))
     place = F.least(first, F.size(upper) - 1).cast("bigint")
-    return df.withColumn(name, F.when(v.isNotNull() & ~F.isnan(v), place))
+    return with_edges.withColumn(name, F.when(v.isNotNull() & ~F.isnan(v), place)).drop("_upper")
 
 
 def feature_json(df: DataFrame, geometry: str) -> DataFrame:
