@@ -60,19 +60,19 @@ def _owner_lines(lines: Column) -> Column:
 
 
 def _first_description(text: Column) -> Column:
-    return F.coalesce(*[strip(match(text, p)) for p in fixed.DESCRIPTION_PATTERNS])
+    """First pattern that matches; later patterns run only if the earlier ones fail."""
+    return strip(F.coalesce(*[F.get(F.regexp_extract_all(text, F.lit(p), F.lit(1)), F.lit(0))
+                              for p in fixed.DESCRIPTION_PATTERNS]))
 
 
 def _common_fields(parcel_pattern: str) -> list[Column]:
+    """Fields of a record; the owner lines come out as one array."""
     text, lines = F.col("text"), F.col("lines")
-    owner = _owner_lines(lines)
     p = fixed.RECORD_PATTERNS
     zero = F.lit(0).cast("decimal(18,2)")
     return [
         F.regexp_replace(match(F.get(lines, F.lit(0)), parcel_pattern), r"\s+", "").alias("parcel_code"),
-        F.get(owner, F.lit(0)).alias("owner_name"),
-        F.get(owner, F.lit(1)).alias("owner_address"),
-        F.get(owner, F.lit(2)).alias("owner_city_state_zip"),
+        _owner_lines(lines).alias("_owner"),
         _first_description(text).alias("description"),
         match(text, p["acreage"]).try_cast("double").alias("acreage"),
         match(text, p["property_class"]).try_cast("int").alias("property_class"),
@@ -86,22 +86,30 @@ def _common_fields(parcel_pattern: str) -> list[Column]:
 
 
 def _amounts(text: Column, pattern: str, names: Sequence[str]) -> Column:
-    """Struct of the captured amounts of the first match: longs, the last one (tax) decimal."""
-    parts = []
-    for i, name in enumerate(names, 1):
-        found = match(text, pattern, i)
-        parts.append((decimal_text(found) if name == "tax" else int_text(found)).alias(name))
-    return F.struct(*parts)
+    """Struct of the amounts of the first match: longs, the last one (tax) decimal.
+
+    The block is searched once and then cut at white space; no amount holds any.
+    """
+    def read(parts: Column) -> Column:
+        values = []
+        for i, name in enumerate(names):
+            found = F.get(parts, F.lit(i))
+            values.append((decimal_text(found) if name == "tax" else int_text(found)).alias(name))
+        return F.struct(*values)
+
+    return let(F.split(F.regexp_extract(text, pattern, 0), r"\s+"), read)
 
 
 def _with_values(records: DataFrame, land: Column, improvement: Column, total: Column, tax: Column) -> DataFrame:
     zero = F.lit(0).cast("bigint")
+    owner = [F.get("_owner", F.lit(i)).alias(name)
+             for i, name in enumerate(("owner_name", "owner_address", "owner_city_state_zip"))]
     values = records.select(
-        "*", F.coalesce(land, zero).alias("land_value"), F.coalesce(improvement, zero).alias("improvement_value"),
+        "*", *owner, F.coalesce(land, zero).alias("land_value"), F.coalesce(improvement, zero).alias("improvement_value"),
         F.coalesce(total, zero).alias("total_value"),
         F.coalesce(tax, F.lit(0).cast("decimal(18,2)")).alias("tax_amount"))
     meaningful = F.col("parcel_code").isNotNull() & ((F.col("total_value") > 0) | (F.col("land_value") > 0))
-    return values.filter(meaningful)
+    return values.filter(meaningful).drop("_owner")
 
 
 def property_records(records: DataFrame, keep: Sequence[str], caps: Mapping = fixed.VALUE_CAPS) -> DataFrame:
@@ -180,25 +188,25 @@ def line_measures(lines: DataFrame, kind: str, keep: Sequence[str], line: str =
     return rows
 
 
-def _last_numbers(found: Column, names: Sequence[str]) -> list[Column]:
-    """The trailing numbers of a matched piece of text, by name."""
+def _last_numbers(found: Column, count: int) -> Column:
+    """The trailing ``count`` numbers of a matched piece of text."""
     numbers = F.regexp_extract_all(found, F.lit(r"([\d,]*\d[\d,]*(?:\.\d*)?)"), F.lit(1))
-    n = len(names)
-    return [amount_or_null(F.get(numbers, F.size(numbers) - F.lit(n - i)), fixed.NULL_AMOUNT_MARKS).alias(name)
-            for i, name in enumerate(names)]
+    return F.transform(F.slice(numbers, -count, count), lambda x: amount_or_null(x, fixed.NULL_AMOUNT_MARKS))
 
 
 def section_measures(docs: DataFrame, text: str, keep: Sequence[str], section: str = "expenditures",
                      categories: Mapping[str, str] = fixed.SECTION_CATEGORIES,
                      names: Sequence[str] = fixed.SECTION_MEASURES) -> DataFrame:
     """One row per category found in the named section of a document."""
-    body = docs.select(*keep, match(text, fixed.SECTIONS[section], 0).alias("_section")).filter(
-        F.col("_section").isNotNull())
+    body = docs.select(*keep, F.regexp_extract(text, fixed.SECTIONS[section], 0).alias("_section"))
     hits = F.array(*[F.struct(F.lit(key).alias("category"),
-                              match("_section", "(?i)" + pattern, 0).alias("found"))
+                              F.regexp_extract("_section", "(?i)" + pattern, 0).alias("found"))
                      for key, pattern in categories.items()])
-    rows = body.select(*keep, F.explode(F.filter(hits, lambda h: h["found"].isNotNull())).alias("h"))
-    return rows.select(*keep, F.col("h.category").alias("category"), *_last_numbers(F.col("h.found"), names))
+    # No section leaves an empty text, in which no category is found.
+    rows = body.select(*keep, F.explode(F.filter(hits, lambda h: h["found"] != "")).alias("h"))
+    numbered = rows.select(*keep, F.col("h.category").alias("category"),
+                           _last_numbers(F.col("h.found"), len(names)).alias("_n"))
+    return numbered.select(*keep, "category", *[F.get("_n", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
 def _per_label(docs: DataFrame, keep: Sequence[str], values: Mapping[str, Column]) -> DataFrame:

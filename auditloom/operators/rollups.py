@@ -240,7 +240,7 @@ def peer_stats(df: DataFrame, measure: str, keys: Sequence[str] = (), digits: in
 
 def conditional_totals(df: DataFrame, types: Sequence[str], entity: str = "entity_type",
                        value: str = "total_value", scope: Sequence[str] = (),
-                       weight: str | None = None) -> DataFrame:
+                       weight: str | None = None, extra: Sequence[Column] = ()) -> DataFrame:
     """Value and percent per listed type, in one pass and one row per scope."""
     def total(t: str) -> Column:
         return value_sum(F.when(F.col(entity) == t, F.col(value)), weight)
@@ -248,7 +248,7 @@ def conditional_totals(df: DataFrame, types: Sequence[str], entity: str = "entit
     slug = {t: t.lower().replace(" ", "_").replace("-", "_") for t in types}
     out = df.groupBy(*scope).agg(row_count(weight).alias("total_records"),
                                  value_sum(value, weight).alias("total_value"),
-                                 *[total(t).alias(f"{slug[t]}_value") for t in types])
+                                 *[total(t).alias(f"{slug[t]}_value") for t in types], *extra)
     return out.select("*", *[percent(f"{s}_value", "total_value", 1).alias(f"{s}_pct") for s in slug.values()])
 
 

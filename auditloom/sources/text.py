@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from auditloom import fixed
+from auditloom.functions.names import has_any
 from auditloom.functions.numbers import col, strip
 
 
@@ -21,7 +22,7 @@ def junk_line(line: Column | str, rules: Mapping[str, Sequence[str]] = fixed.JUN
     """True for blank lines, page headers and total lines."""
     text = col(line)
     tests = [text == ""]
-    tests += [F.upper(text).contains(w) for w in rules["has"]]
+    tests.append(has_any(F.upper(text), rules["has"]))
     tests += [text.startswith(w) for w in rules["starts"]]
     tests += [text.rlike(p) for p in rules["regex"]]
     return reduce(Column.__or__, tests)

@@ -4,9 +4,9 @@
 common table expressions for the equivalent SQL of a query.
 
 * ``records``: one row per order as a property record;
-* ``lots``: line items folded to (part, year, line number) before the part
-  dimension is joined, so name rules run once per part and a part that holds
-  most lines collapses in the map-side combine;
+* ``lots``: line items folded to the part before the part dimension is joined,
+  so name rules run once per part and a part that holds most lines collapses in
+  the map-side combine;
 * ``facts``: one row per region and year, as a division's yearly figures.
 """
 
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from auditloom import fixed
 from auditloom.functions.keys import extract_state
 from auditloom.functions.names import classify_entity, clean_owner_name
+from auditloom.functions.numbers import money_sum
 from auditloom.session import durable
 
 NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -29,9 +30,10 @@ def _cents(c: str) -> Column:
     return F.rint(F.col(c) * 100).cast("bigint")
 
 
-def _from_hundredths_of_cents(total: Column) -> Column:
-    """Exact sum of cents x percent to money, half up (the sums are not negative)."""
-    return (((total + 50) - F.pmod(total + 50, F.lit(100))).cast("decimal(20,0)") / 10000).cast("decimal(18,2)")
+def _to_money(total: Column) -> Column:
+    """Sum of cents x percent to money, half up to the cent (the sums are not negative)."""
+    shifted = total + 50
+    return (shifted - F.pmod(shifted, F.lit(100))) / F.lit(10000.0)
 
 
 class Tables:
@@ -53,9 +55,9 @@ class Tables:
         sums = self.lineitem.groupBy("l_orderkey").agg(
             F.sum(cents * (100 - off)).alias("land"), F.sum(cents * off).alias("improvement"),
             F.sum(cents * tax).alias("tax"), F.sum("l_quantity").alias("acreage"))
-        return sums.select("l_orderkey", _from_hundredths_of_cents(F.col("land")).alias("land_value"),
-                           _from_hundredths_of_cents(F.col("improvement")).alias("improvement_value"),
-                           _from_hundredths_of_cents(F.col("tax")).alias("tax_amount"), "acreage")
+        return sums.select("l_orderkey", _to_money(F.col("land")).alias("land_value"),
+                           _to_money(F.col("improvement")).alias("improvement_value"),
+                           _to_money(F.col("tax")).alias("tax_amount"), "acreage")
 
     @cached_property
     def records(self) -> DataFrame:
@@ -69,7 +71,7 @@ class Tables:
             F.col("r_name").alias("district"), F.col("n_name").alias("nation"),
             F.col("c_mktsegment").alias("zone"), F.col("o_orderstatus").alias("status"),
             F.concat("n_name", F.lit(" BOX "), cls).alias("address"),
-            F.col("o_totalprice").cast("decimal(18,2)").alias("total_value"))
+            F.col("o_totalprice").alias("total_value"))
 
     @cached_property
     def valued_records(self) -> DataFrame:
@@ -96,31 +98,35 @@ class Tables:
         return named.select("*", classify_entity("owner", "yearly").alias("entity_type"),
                             extract_state("city_state_zip").alias("state"))
 
-    @cached_property
-    def lots(self) -> DataFrame:
-        """(part, year, class) with ``n`` records and their summed value, joined to the owner."""
-        folded = self.lineitem.groupBy(
-            "l_partkey", F.year("l_shipdate").cast("bigint").alias("year"),
-            F.col("l_linenumber").alias("property_class")).agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("total_value"))
+    def lots(self, *by: str) -> DataFrame:
+        """Line items folded to part and ``by`` (year, property_class), joined to the owner.
+
+        ``n`` counts the records of a row and ``total_value`` is their sum, so a
+        part that holds most lines is small before it meets the join.
+        """
+        columns = {"year": F.year("l_shipdate").cast("bigint"), "property_class": F.col("l_linenumber")}
+        folded = self.lineitem.groupBy("l_partkey", *[columns[c].alias(c) for c in by]).agg(
+            F.count(F.lit(1)).alias("n"), money_sum("l_extendedprice").alias("total_value"))
         return folded.join(self.parties, F.col("l_partkey") == F.col("p_partkey"))
 
     @cached_property
     def facts(self) -> DataFrame:
         """Per region and year; ``fiscal_year`` as FYnnnn."""
-        def when(test: Column, value: str | None = None) -> Column:
-            return F.sum(F.when(test, F.col(value)) if value else F.when(test, 1).otherwise(0))
+        def rows(test: Column) -> Column:
+            return F.sum(F.when(test, 1).otherwise(0))
+
+        def money(value: str, test: Column | None = None) -> Column:
+            return money_sum(F.col(value) if test is None else F.when(test, F.col(value))).cast("double")
 
         status, cls = F.col("status"), F.col("property_class")
         out = self.valued_records.groupBy("district", "year").agg(
-            F.count(F.lit(1)).alias("adm"), when(cls <= 2).alias("teachers"),
-            when((cls == 5) & (status == "F")).alias("admins"), when(cls >= 4).alias("support"),
-            F.sum("total_value").cast("double").alias("total"),
-            *[when(status == s, "total_value").cast("double").alias(name)
-              for s, name in (("O", "local_amount"), ("P", "state_amount"), ("F", "federal_amount"))],
-            F.sum("land_value").cast("double").alias("instruction"),
-            F.sum("tax_amount").cast("double").alias("administration"),
-            F.sum("improvement_value").cast("double").alias("technology"))
+            F.count(F.lit(1)).alias("adm"), rows(cls <= 2).alias("teachers"),
+            rows((cls == 5) & (status == "F")).alias("admins"), rows(cls >= 4).alias("support"),
+            money("total_value").alias("total"), money("total_value", status == "O").alias("local_amount"),
+            money("total_value", status == "P").alias("state_amount"),
+            money("total_value", status == "F").alias("federal_amount"),
+            money("land_value").alias("instruction"), money("tax_amount").alias("administration"),
+            money("improvement_value").alias("technology"))
         return out.withColumn("fiscal_year", F.concat(F.lit("FY"), F.col("year").cast("string")))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from auditloom.functions.numbers import percent
+from auditloom.functions.numbers import money_sum, percent
 from auditloom.operators import quality as Q, rollups as R
 from auditloom.operators.quality import Check
 from auditloom.workload.binding import FACTS, LOTS, REC, VREC, Tables, pct, rat, rnd
@@ -140,7 +140,7 @@ def repeat_holdings(t: Tables) -> DataFrame:
 
 @query("Q11", f"WITH {LOTS} SELECT zone, count(*) AS count FROM lots WHERE zone <> '' GROUP BY zone")
 def zone_frequency(t: Tables) -> DataFrame:
-    return Q.zone_frequency(t.lots, weight="n")
+    return Q.zone_frequency(t.lots(), weight="n")
 
 
 @query("Q12", f"""
@@ -202,7 +202,7 @@ def cross_source_discrepancy(t: Tables) -> DataFrame:
 
     def totals(rows: DataFrame) -> DataFrame:
         return rows.groupBy(F.col("o_custkey").alias("k")).agg(
-            F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("v"))
+            money_sum("o_totalprice").alias("v"))
 
     return discrepancy(totals(t.orders), totals(t.orders.filter("o_orderkey % 20 <> 0")), ["k"], "v")
 

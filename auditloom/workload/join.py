@@ -71,7 +71,7 @@ SELECT district, rk - 1 AS i, owner, v AS total_value, n AS properties FROM q WH
 def json_array_unnest(t: Tables) -> DataFrame:
     """A JSON array of thirty owners per district, of which 25 are read back."""
     owners = t.records.groupBy("district", "owner").agg(
-        F.round(F.sum("total_value"), 0).cast("bigint").alias("total_value"), F.count(F.lit(1)).alias("properties"))
+        F.round(money_sum("total_value"), 0).cast("bigint").alias("total_value"), F.count(F.lit(1)).alias("properties"))
     top = top_k_per_group(owners, ["district"], [F.col("total_value").desc(), F.col("owner")], 30)
     entry = F.struct("rank", "owner", "total_value", "properties")
     packed = top.groupBy("district").agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("top_owners"))
@@ -140,5 +140,5 @@ a AS (SELECT address, count(DISTINCT k) AS name_count, count(*) AS property_coun
 SELECT * FROM a""")
 def llc_networks(t: Tables) -> DataFrame:
     """All addresses shared by two or more companies."""
-    networks, _ = G.shared_addresses(t.lots, "address", "owner", "p_partkey", min_names=2, weight="n")
+    networks, _ = G.shared_addresses(t.lots(), "address", "owner", "p_partkey", min_names=2, weight="n")
     return networks

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from auditloom.functions.numbers import growth_pct, ratio
+from auditloom.functions.numbers import growth_pct, money_sum, ratio
 from auditloom.operators import rank as W, rollups as R
 from auditloom.workload.binding import FACTS, LOTS, REC, Tables, growth, rat
 from auditloom.workload.registry import query
@@ -52,7 +52,7 @@ WITH {LOTS}, top AS (SELECT owner, count(*) AS properties, CAST(sum(total_value)
 SELECT owner, properties, total_value, {rat('total_value', 'properties', 0)} AS avg_value FROM top
 WHERE properties >= 250""")
 def topk_then_threshold(t: Tables) -> DataFrame:
-    owners = R.owner_rollup(t.lots, weight="n")
+    owners = R.owner_rollup(t.lots(), weight="n")
     top = W.limit_then_threshold(owners, [F.col("properties").desc(), F.col("owner")], 50,
                                  F.col("properties") >= 250)
     return top.withColumn("avg_value", ratio("total_value", "properties", digits=0))
@@ -104,7 +104,7 @@ g AS (SELECT nation, {growth('CAST(a AS DOUBLE)', 'CAST(b AS DOUBLE)', 1)} AS gr
 SELECT min(nation) AS nation, growth_pct FROM g WHERE growth_pct = (SELECT max(growth_pct) FROM g) GROUP BY growth_pct""")
 def fastest_growing(t: Tables) -> DataFrame:
     def total(year: int):
-        return F.sum(F.when(F.col("year") == year, F.col("total_value"))).cast("double")
+        return money_sum(F.when(F.col("year") == year, F.col("total_value"))).cast("double")
 
     ends = t.records.filter(F.col("year").isin(1995, 2000)).groupBy("nation").agg(total(1995).alias("a"), total(2000).alias("b"))
     return W.arg_max(ends.select("nation", growth_pct("a", "b", 1).alias("growth_pct")), "nation", "growth_pct")
@@ -133,8 +133,8 @@ SELECT py AS from_year, year AS to_year, v - pv AS value_change, {growth('pv', '
   n - pn AS records_change, u - pu AS llcs_change FROM l WHERE py IS NOT NULL""")
 def yoy_change(t: Tables) -> DataFrame:
     # Distinct names fold to (year, owner) first, so the count of names sums flags.
-    cells = t.lots.groupBy("year", "entity_type", "owner").agg(
-        F.sum("n").alias("n"), F.sum(F.col("total_value").cast("decimal(36,2)")).alias("v"))
+    cells = t.lots("year").groupBy("year", "entity_type", "owner").agg(
+        F.sum("n").alias("n"), money_sum("total_value", wide=True).alias("v"))
     yearly = cells.groupBy("year").agg(
         F.sum("v").cast("double").alias("value"), F.sum("n").alias("records"),
         F.sum(F.when(F.col("entity_type") == "LLC", 1).otherwise(0)).alias("llcs"))

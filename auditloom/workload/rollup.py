@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from auditloom import fixed
+from auditloom.functions.numbers import money_sum
 from auditloom.operators import rollups as R
 from auditloom.workload.binding import FACTS, LOTS, REC, VREC, Tables, pct, rat
 from auditloom.workload.registry import query
@@ -20,7 +21,7 @@ SELECT entity_type, n AS count, {pct('n', 'sum(n) OVER ()', 1)} AS pct_records,
   {pct('v', 'sum(v) OVER ()', 1)} AS pct_value
 FROM g""")
 def entity_breakdown(t: Tables) -> DataFrame:
-    return R.entity_breakdown(t.lots, weight="n")
+    return R.entity_breakdown(t.lots(), weight="n")
 
 
 @query("A1", f"""
@@ -94,7 +95,7 @@ SELECT owner, CAST(sum(total_value) AS DOUBLE) AS total_value, count(*) AS prope
   string_agg(DISTINCT district, '|' ORDER BY district) AS districts
 FROM lots WHERE owner <> '' GROUP BY owner""")
 def owner_rollup(t: Tables) -> DataFrame:
-    out = R.owner_rollup(t.lots, entity="entity_type", district="district", weight="n")
+    out = R.owner_rollup(t.lots(), entity="entity_type", district="district", weight="n")
     return out.withColumn("districts", F.array_join("districts", "|"))
 
 
@@ -106,7 +107,7 @@ q AS (SELECT *, row_number() OVER (PARTITION BY property_class ORDER BY n DESC,
 SELECT CAST(property_class AS BIGINT) AS property_class, entity_type, n AS count, rk AS rank,
   {pct('n', 'total', 1)} AS pct FROM q WHERE rk <= 5""")
 def class_type_mix_top5(t: Tables) -> DataFrame:
-    out = R.group_top_mix(t.lots, "property_class", "entity_type", 5, weight="n")
+    out = R.group_top_mix(t.lots("property_class"), "property_class", "entity_type", 5, weight="n")
     return out.select(F.col("property_class").cast("bigint").alias("property_class"), "entity_type", "count",
                       "rank", "pct")
 
@@ -129,7 +130,7 @@ WITH {LOTS}
 SELECT state, count(*) AS count, {pct('count(*)', '(SELECT count(*) FROM lots)', 2)} AS pct
 FROM lots WHERE state IS NOT NULL GROUP BY state""")
 def state_distribution(t: Tables) -> DataFrame:
-    return R.state_distribution(t.lots, weight="n")
+    return R.state_distribution(t.lots(), weight="n")
 
 
 @query("A13", f"""
@@ -139,7 +140,7 @@ SELECT owner, arg_max(state, p_partkey) AS state, count(*) AS properties,
 FROM lots WHERE state IS NOT NULL AND state <> 'VA' GROUP BY owner
 ORDER BY total_value DESC, owner LIMIT 30""")
 def out_of_state_owners(t: Tables) -> DataFrame:
-    return R.out_of_state_owners(t.lots, "owner", "state", "p_partkey", weight="n")
+    return R.out_of_state_owners(t.lots(), "owner", "state", "p_partkey", weight="n")
 
 
 _LAST_NAME = """CASE WHEN owner = '' OR regexp_matches(upper(owner),
@@ -156,7 +157,7 @@ SELECT last_name, count(*) AS properties, CAST(sum(total_value) AS DOUBLE) AS to
   {rat('sum(total_value)', 'count(*)', 0)} AS avg_value
 FROM n WHERE length(last_name) > 1 GROUP BY last_name ORDER BY properties DESC, last_name LIMIT 30""")
 def surname_frequency(t: Tables) -> DataFrame:
-    return R.surname_frequency(t.lots, weight="n")
+    return R.surname_frequency(t.lots(), weight="n")
 
 
 @query("A15", f"""
@@ -169,7 +170,7 @@ k AS (SELECT owner, string_agg('C' || CAST(property_class AS VARCHAR), ',' ORDER
   FROM c WHERE rk <= 3 GROUP BY owner)
 SELECT o.*, classes FROM o LEFT JOIN k USING (owner)""")
 def type_deep_dive(t: Tables) -> DataFrame:
-    return R.type_deep_dive(t.lots, "LLC", weight="n")
+    return R.type_deep_dive(t.lots("property_class"), "LLC", weight="n")
 
 
 @query("A19 A20", f"""
@@ -182,9 +183,14 @@ SELECT year, count(*) AS total_records, CAST(sum(total_value) AS DOUBLE) AS tota
   count(DISTINCT owner) FILTER (WHERE entity_type = 'LLC') AS unique_llcs
 FROM lots GROUP BY year""")
 def conditional_totals(t: Tables) -> DataFrame:
-    out = R.conditional_totals(t.lots, ["LLC", "Trust"], scope=["year"], weight="n")
-    names = t.lots.filter("entity_type = 'LLC'").groupBy("year").agg(F.count_distinct("owner").alias("unique_llcs"))
-    return out.join(names, "year", "left").fillna(0, subset=["unique_llcs"])
+    # One fold to (year, owner) serves the totals and the count of distinct names.
+    lots = t.lots("year")
+    owners = lots.groupBy("year", "entity_type", "owner").agg(
+        F.sum("n").alias("n"), money_sum("total_value", wide=True).alias("total_value"))
+    llc = F.when(F.col("entity_type") == "LLC", 1).otherwise(0)
+    out = R.conditional_totals(owners.withColumn("llc", llc), ["LLC", "Trust"], scope=["year"], weight="n",
+                               extra=[F.sum("llc").alias("unique_llcs")])
+    return out
 
 
 @query("A22", f"""
@@ -199,7 +205,7 @@ SELECT district, year, n AS total_records, CAST(v AS DOUBLE) AS total_value, ln
   inn AS individual_count, {pct('inn', 'n', 1)} AS individual_pct_records, {pct('iv', 'v', 1)} AS individual_pct_value
 FROM g""")
 def district_profile(t: Tables) -> DataFrame:
-    out = R.district_profile(t.lots, scope=["year"], weight="n")
+    out = R.district_profile(t.lots("year"), scope=["year"], weight="n")
     return out.select("district", "year", "total_records", "total_value", "llc_count", "llc_value",
                       "llc_pct_records", "llc_pct_value", "individual_count", "individual_pct_records",
                       "individual_pct_value")

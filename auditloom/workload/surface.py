@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from auditloom.functions.numbers import money_sum
 from auditloom.functions.predicates import latest_partition, structured_filters, target_filter, within_caps
 from auditloom.operators.joins import semi_join
 from auditloom.operators.rank import page
@@ -58,7 +59,7 @@ SELECT year, zone, CAST(sum(total_value) AS DOUBLE) / 1e6 AS total_m FROM rec
 WHERE zone NOT IN ('BUILDING') GROUP BY year, zone""")
 def preset_not_in(t: Tables) -> DataFrame:
     rows = t.records.filter(~F.col("zone").isin("BUILDING"))
-    out = rows.groupBy("year", "zone").agg((F.sum("total_value").cast("double") / 1e6).alias("total_m"))
+    out = rows.groupBy("year", "zone").agg((money_sum("total_value").cast("double") / 1e6).alias("total_m"))
     return out.orderBy("year", F.col("total_m").desc_nulls_last())
 
 

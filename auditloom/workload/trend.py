@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from auditloom.functions.numbers import money_sum
 from auditloom.operators import joins as J, rollups as R, trends as T
 from auditloom.workload.binding import FACTS, LOTS, VREC, Tables, growth, pct, rat, rnd
 from auditloom.workload.registry import query
@@ -160,7 +161,7 @@ e AS (SELECT arg_min(v, year) AS a, arg_max(v, year) AS b FROM y)
 SELECT 'all' AS scope, a AS first_value, b AS last_value, {growth('a', 'b', 2)} AS growth_pct FROM e""")
 def growth_of_totals(t: Tables) -> DataFrame:
     years = t.orders.groupBy(F.year("o_orderdate").cast("bigint").alias("year")).agg(
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("v"))
+        money_sum("o_totalprice").cast("double").alias("v"))
     return T.growth_positions(years.withColumn("scope", F.lit("all")), ["scope"], "year", "v")
 
 
@@ -185,7 +186,7 @@ m AS (SELECT t.entity_type, y.year, coalesce(pr, 0) AS pct_records, coalesce(pv,
 
 
 def _matrix(t: Tables) -> DataFrame:
-    return T.share_matrix(R.entity_breakdown(t.lots, scope=["year"], weight="n"), YEARS, _MATRIX_TYPES)
+    return T.share_matrix(R.entity_breakdown(t.lots("year"), scope=["year"], weight="n"), YEARS, _MATRIX_TYPES)
 
 
 @query("T13 J10", f"WITH {LOTS}, {_BREAKDOWN} SELECT entity_type, year, pct_records, pct_value, v AS total_value FROM m")
