@@ -89,37 +89,28 @@ def positive(c: Column | str) -> Column:
 
 
 def _parse(text: Column) -> Column:
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    """The text as a double if all of it is a number, else null."""
+    return F.regexp_extract(text, _NUMBER, 0).try_cast("double")
 
 
 def clean_amount(c: Column | str) -> Column:
     """Currency text to double; brackets mean negative; blank or junk is 0.0."""
-    def read(raw: Column) -> Column:
-        bare = F.regexp_replace(raw, r"[$,\s()%]", "")
-        value = F.coalesce(let(bare, _parse), F.lit(0.0))
-        return F.when(raw.contains("(") & raw.contains(")"), -value).otherwise(value)
-
-    # A null amount has no brackets, so it must reach the 0.0 as well.
-    return let(F.coalesce(strip(col(c).cast("string")), F.lit("")), read)
+    raw = col(c).cast("string")
+    sign = F.when(raw.contains("(") & raw.contains(")"), F.lit(-1.0)).otherwise(F.lit(1.0))
+    return F.coalesce(_parse(F.regexp_replace(raw, r"[$,\s()%]", "")) * sign, F.lit(0.0))
 
 
 def amount_or_null(c: Column | str, missing: tuple[str, ...], strip_chars: str = "$,%") -> Column:
     """Currency text to double; a missing mark or junk is null; ``(x)`` is ``-x``."""
-    def signed(bare: Column) -> Column:
-        bracketed = bare.startswith("(") & bare.endswith(")")
-        minus = F.concat(F.lit("-"), F.substr(bare, F.lit(2), F.length(bare) - 2))
-        return F.when(bracketed, minus).otherwise(bare)
-
-    def read(raw: Column) -> Column:
-        number = let(let(F.translate(raw, strip_chars, ""), signed), _parse)
-        return F.when(~raw.isin(list(missing)), number)
-
-    return let(strip(col(c).cast("string")), read)
+    raw = strip(col(c).cast("string"))
+    signed = F.regexp_replace(F.translate(raw, strip_chars, ""), r"^\((.*)\)$", "-$1")
+    return F.when(~raw.isin(list(missing)), _parse(signed))
 
 
 def coded_number(c: Column | str, codes: tuple[str, ...]) -> Column:
     """Survey number; a missing-data code is null."""
-    return let(col(c), lambda raw: F.when(~raw.isin(list(codes)), _parse(raw)))
+    raw = col(c)
+    return F.when(~raw.isin(list(codes)), _parse(raw))
 
 
 def int_text(c: Column | str) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from auditloom import fixed
 from auditloom.functions.keys import match
 from auditloom.functions.names import canonical_district
-from auditloom.functions.numbers import amount_or_null, clean_amount, col, decimal_text, int_text, let, strip
+from auditloom.functions.numbers import amount_or_null, clean_amount, col, decimal_text, int_text, let, money_sum, strip
 from auditloom.operators.rank import running_id, top_k_per_group
 
 # --- records assembled from lines ----------------------------------------------------
@@ -191,7 +191,7 @@ def line_measures(lines: DataFrame, kind: str, keep: Sequence[str], line: str =
 def _last_numbers(found: Column, count: int) -> Column:
     """The trailing ``count`` numbers of a matched piece of text."""
     numbers = F.regexp_extract_all(found, F.lit(r"([\d,]*\d[\d,]*(?:\.\d*)?)"), F.lit(1))
-    return F.transform(F.slice(numbers, -count, count), lambda x: amount_or_null(x, fixed.NULL_AMOUNT_MARKS))
+    return F.transform(F.slice(numbers, -count, count), lambda x: F.translate(x, ",", "").try_cast("double"))
 
 
 def section_measures(docs: DataFrame, text: str, keep: Sequence[str], section: str = "expenditures",
@@ -286,17 +286,39 @@ def field_of_header(header: Column | str, rules: Sequence[tuple]) -> Column:
     return let(F.lower(col(header)), first_rule)
 
 
-def header_rows(cells: DataFrame, sheet: Sequence[str], header_tests: Sequence) -> DataFrame:
-    """First row of each sheet whose joined cell texts pass the tests.
+def pack_rows(cells: DataFrame, sheet: Sequence[str]) -> DataFrame:
+    """One row per sheet row with its cells in column order; a row is as long as the sheet is wide."""
+    return cells.groupBy(*sheet, "row_idx").agg(
+        F.array_sort(F.collect_list(F.struct("col_idx", "value"))).alias("cells"))
 
-    A row is as long as the sheet is wide, so joining its cells is bounded.
-    """
-    filled = cells.filter(F.col("value").isNotNull())
-    rows = filled.groupBy(*sheet, "row_idx").agg(
-        F.array_sort(F.collect_list(F.struct("col_idx", F.lower("value").alias("v")))).alias("_c"))
-    text = F.array_join(F.col("_c.v"), " ")
-    hit = reduce(Column.__or__, [_has_groups(text, groups) for groups in header_tests])
-    return rows.filter(hit).groupBy(*sheet).agg(F.min("row_idx").alias("header_row"))
+
+def header_rows(rows: DataFrame, sheet: Sequence[str], header_tests: Sequence) -> DataFrame:
+    """First row of each sheet whose joined cell texts pass the tests, with its cells."""
+    filled = F.transform(F.filter("cells", lambda c: c["value"].isNotNull()), lambda c: F.lower(c["value"]))
+
+    def passes(text: Column) -> Column:
+        return reduce(Column.__or__, [_has_groups(text, groups) for groups in header_tests])
+
+    hits = rows.filter(let(F.array_join(filled, " "), passes))
+    first = hits.groupBy(*sheet).agg(F.min(F.struct("row_idx", "cells")).alias("h"))
+    return first.select(*sheet, F.col("h.row_idx").alias("header_row"), F.col("h.cells").alias("header"))
+
+
+def sheet_layout(head: DataFrame, sheet: Sequence[str], rules: Sequence[tuple],
+                 key_words: Sequence[str]) -> DataFrame:
+    """Per sheet the column of the key and of each field; the last column of a field wins."""
+    named = head.withColumn("_h", F.transform("header", lambda c: F.struct(
+        c["col_idx"].alias("col"), field_of_header(c["value"], rules).alias("field"),
+        reduce(Column.__or__, [F.lower(c["value"]).contains(w) for w in key_words]).alias("is_key"))))
+    keys = F.filter("_h", lambda c: c["is_key"])
+    key_col = F.coalesce(F.array_min(F.transform(keys, lambda c: c["col"])),
+                         F.array_min(F.transform("_h", lambda c: c["col"])))
+
+    def place(name: str) -> Column:
+        return F.array_max(F.transform(F.filter("_h", lambda c: c["field"] == name), lambda c: c["col"]))
+
+    return named.select(*sheet, "header_row", key_col.alias("key_col"),
+                        *[place(name).alias(f"col_{name}") for name, _ in rules])
 
 
 def promote_header(cells: DataFrame, sheet: Sequence[str], kind: str,
@@ -305,32 +327,33 @@ def promote_header(cells: DataFrame, sheet: Sequence[str], kind: str,
                    fields: Mapping = fixed.GRID_FIELDS) -> DataFrame:
     """Header promotion: cells below the header row become named fields, one row per sheet row.
 
-    The key column is the first one whose header holds a key word. With
-    ``targets`` only rows with a target code remain, or, in a sheet without
-    any, rows that name a target.
+    The key column is the first one whose header holds a key word, else the
+    first column. With ``targets`` only rows with a target code remain, or, in a
+    sheet without any, rows that name a target. Cells are shuffled once, into
+    rows; the layout is one row per sheet.
     """
     rules = fields[kind]
-    head = header_rows(cells, sheet, headers[kind])
-    columns = (cells.join(head, list(sheet)).filter(F.col("row_idx") == F.col("header_row"))
-               .select(*sheet, "header_row", "col_idx", F.lower(F.col("value")).alias("header")))
-    is_key = reduce(Column.__or__, [F.col("header").contains(w) for w in key_words])
-    key_col = columns.filter(is_key).groupBy(*sheet).agg(F.min("col_idx").alias("key_col"))
-    layout = columns.withColumn("field", field_of_header("header", rules)).join(key_col, list(sheet))
-    # The layout has one row per sheet column, so it is the small side of this join.
-    body = cells.join(layout, [*sheet, "col_idx"]).filter(F.col("row_idx") > F.col("header_row"))
     names = [name for name, _ in rules]
-    wide = body.groupBy(*sheet, "row_idx").agg(
-        F.max(F.when(F.col("col_idx") == F.col("key_col"), strip("value"))).alias("key"),
-        *[F.max_by(F.when(F.col("field") == n, clean_amount("value")),
-                   F.when(F.col("field") == n, F.col("col_idx"))).alias(n) for n in names])
-    any_field = F.coalesce(*[F.col(n) for n in names]).isNotNull()
-    rows = wide.filter(any_field & F.col("key").isNotNull())
+    rows = pack_rows(cells, sheet)
+    # A sheet without any known header has no row to give.
+    any_field = F.coalesce(*[F.col(f"col_{n}") for n in names]).isNotNull()
+    layout = sheet_layout(header_rows(rows, sheet, headers[kind]), sheet, rules, key_words).filter(any_field)
+    body = rows.join(layout, list(sheet)).filter(F.col("row_idx") > F.col("header_row")).withColumn(
+        "_values", F.map_from_entries("cells"))
+    picked = F.array(*[F.element_at("_values", F.col(f"col_{n}")) for n in names])
+    numbers = body.withColumn("_n", F.transform(picked, clean_amount))
+    wide = numbers.select(*sheet, "row_idx", strip(F.element_at("_values", F.col("key_col"))).alias("key"),
+                          *[F.when(F.col(f"col_{n}").isNotNull(), F.get("_n", F.lit(i))).alias(n)
+                            for i, n in enumerate(names)])
+    found = wide.filter(F.col("key").isNotNull())
     if targets is None:
-        return rows
+        return found
     by_code = F.col("key").isin(list(targets))
     by_name = reduce(Column.__or__, [F.lower("key").contains(n.lower()) for n in targets.values()])
-    coded = rows.groupBy(*sheet).agg(F.max(by_code).alias("_coded"))
-    return rows.join(coded, list(sheet)).filter(by_code | (~F.col("_coded") & by_name)).drop("_coded")
+    candidates = found.filter(by_code | by_name)
+    coded = candidates.filter(by_code).select(*sheet).distinct().withColumn("_coded", F.lit(True))
+    return (candidates.join(coded, list(sheet), "left")
+            .filter(by_code | F.col("_coded").isNull()).drop("_coded"))
 
 
 def score_tables(rows: DataFrame, table: Sequence[str], row_idx: str, text: str,
@@ -351,15 +374,20 @@ def score_tables(rows: DataFrame, table: Sequence[str], row_idx: str, text: str,
     return scored.filter(F.col("keyword_matches") >= at_least).select(*table, "keyword_matches")
 
 
-def row_categories(rows: DataFrame, table: Sequence[str], row_idx: str, text: str, amounts: str,
+def row_categories(rows: DataFrame, table: Sequence[str], row_idx: str, text: str, amounts: str | Sequence[str],
                    patterns: Mapping[str, str] = fixed.ROW_CATEGORIES,
                    other_over: float = fixed.ROW_OTHER_OVER) -> DataFrame:
     """Per table: sums per category, by the largest positive amount of each row.
 
     The first matching pattern decides; a row that only says "total" sets the
     total (the last one wins); other rows above the bound count as other. With
-    no total row the total is the sum.
+    no total row the total is the sum. ``amounts`` is an array column or a list of
+    columns.
     """
+    if isinstance(amounts, str):
+        largest = F.array_max(F.filter(amounts, lambda a: a > 0))
+    else:
+        largest = F.greatest(*[F.when(F.col(a) > 0, F.col(a)) for a in amounts])
     lowered = F.lower(text)
     (first, pattern), *rest = patterns.items()
     chain = F.when(lowered.rlike(pattern), F.lit(first))
@@ -367,13 +395,13 @@ def row_categories(rows: DataFrame, table: Sequence[str], row_idx: str, text: st
         chain = chain.when(lowered.rlike(pattern), F.lit(name))
     label = (chain.when(lowered.contains("total"), F.lit("total"))
              .when(F.col("_amount") > other_over, F.lit("other")))
-    labelled = (rows.withColumn("_amount", F.array_max(F.filter(amounts, lambda a: a > 0)))
+    labelled = (rows.withColumn("_amount", largest)
                 .filter(F.col("_amount").isNotNull()).withColumn("_label", label))
-    money = F.col("_amount").cast("decimal(18,2)")
+    money = F.col("_amount")
 
     def total_of(name: str) -> Column:
-        part = F.sum(F.when(F.col("_label") == name, money))
-        return F.coalesce(part, F.lit(0).cast("decimal(18,2)")).cast("double").alias(name)
+        part = money_sum(F.when(F.col("_label") == name, money)).cast("double")
+        return F.coalesce(part, F.lit(0.0)).alias(name)
 
     is_total = F.col("_label") == "total"
     names = [*patterns, "other"]
@@ -381,7 +409,7 @@ def row_categories(rows: DataFrame, table: Sequence[str], row_idx: str, text: st
         *[total_of(n) for n in names],
         F.max(F.when(is_total, F.struct(F.col(row_idx).alias("i"), money.alias("m"))))["m"]
         .cast("double").alias("_stated"),
-        F.coalesce(F.sum(F.when(~is_total, money)), F.lit(0).cast("decimal(18,2)")).cast("double").alias("_summed"))
+        F.coalesce(money_sum(F.when(~is_total, money)).cast("double"), F.lit(0.0)).alias("_summed"))
     stated = F.nullif(F.col("_stated"), F.lit(0.0))
     return out.withColumn("total", F.coalesce(stated, F.col("_summed"))).drop("_stated", "_summed")
 

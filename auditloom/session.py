@@ -57,3 +57,18 @@ def durable(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SPREAD_BYTES = 16 << 20
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a small scan over the cores before work that costs CPU per row.
+
+    A file is read by as many tasks as it has row groups. Below 16 MB per core
+    there may be fewer than cores, and moving that little data is cheap; above
+    it the scan already has enough tasks and nothing is shuffled.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if size < cores * _SPREAD_BYTES else df

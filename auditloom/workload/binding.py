@@ -20,7 +20,7 @@ from auditloom import fixed
 from auditloom.functions.keys import extract_state
 from auditloom.functions.names import classify_entity, clean_owner_name
 from auditloom.functions.numbers import money_sum
-from auditloom.session import durable
+from auditloom.session import durable, spread
 
 NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
          "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -59,13 +59,21 @@ class Tables:
                            _to_money(F.col("improvement")).alias("improvement_value"),
                            _to_money(F.col("tax")).alias("tax_amount"), "acreage")
 
+    @cached_property
+    def wide_orders(self) -> DataFrame:
+        """``orders`` for text work: over all cores even if the file is one small row group."""
+        return spread(self.orders, "o_orderkey")
+
     @cached_property
     def records(self) -> DataFrame:
+        return self._records(self.orders)
+
+    def _records(self, orders: DataFrame) -> DataFrame:
         places = (self.nation.join(self.region, F.col("n_regionkey") == F.col("r_regionkey"))
                   .select("n_nationkey", "n_name", "r_name"))
         owners = self.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         cls = F.substring("o_orderpriority", 1, 1)
-        return self.orders.join(owners, F.col("o_custkey") == F.col("c_custkey")).select(
+        return orders.join(owners, F.col("o_custkey") == F.col("c_custkey")).select(
             F.year("o_orderdate").cast("bigint").alias("year"), F.col("o_orderkey").alias("parcel"),
             F.col("c_name").alias("owner"), cls.cast("int").alias("property_class"),
             F.col("r_name").alias("district"), F.col("n_name").alias("nation"),
@@ -76,7 +84,14 @@ class Tables:
     @cached_property
     def valued_records(self) -> DataFrame:
         """``records`` with land, improvement, tax and acreage (null without line items)."""
-        return self.records.join(self.order_values, F.col("parcel") == F.col("l_orderkey"), "left").drop("l_orderkey")
+        return self._valued(self.records)
+
+    @cached_property
+    def wide_records(self) -> DataFrame:
+        return self._valued(self._records(self.wide_orders))
+
+    def _valued(self, records: DataFrame) -> DataFrame:
+        return records.join(self.order_values, F.col("parcel") == F.col("l_orderkey"), "left").drop("l_orderkey")
 
     @cached_property
     def parties(self) -> DataFrame:

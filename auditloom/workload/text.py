@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from auditloom.operators import extract as X
+from auditloom.session import spread
 from auditloom.sources.text import junk_line, split_lines
 from auditloom.workload.binding import VREC, Tables
 from auditloom.workload.registry import query
@@ -70,7 +71,7 @@ def _tax_book(t: Tables, strict: bool) -> DataFrame:
         value,
         F.concat(F.lit("FH "), _money(F.col("parcel") % 5000, 2), F.lit(" SH "), _money(F.col("parcel") % 3000, 2)),
         F.when(F.col("parcel") % 4 == 0, F.concat(_money(F.col("parcel")), F.lit(" DEFERRED"))).otherwise(F.lit("")))
-    rows = t.valued_records.select("year", "parcel", F.posexplode(lines).alias("pos", "line"))
+    rows = t.wide_records.select("year", "parcel", F.posexplode(lines).alias("pos", "line"))
     return rows.filter(~junk_line("line"))
 
 
@@ -134,7 +135,7 @@ def line_measures(t: Tables) -> DataFrame:
                                        F.lit("157.5 10 164.5"), (c % 9).cast("string")))
             .when(k == 1, F.concat(F.lit("  Parks/Recreation (all) $"), v, F.lit(" $0 "), _money(c)))
             .otherwise(F.concat(F.lit("Public Safety $"), v, F.lit(" $1,000 $2 $3,456 7.25% of all"))))
-    docs = t.orders.select("o_orderkey", F.concat(F.lit("Header line\n"), text, F.lit("\nno numbers here")).alias("text"))
+    docs = t.wide_orders.select("o_orderkey", F.concat(F.lit("Header line\n"), text, F.lit("\nno numbers here")).alias("text"))
     lines = split_lines(docs, "text", ["o_orderkey"])
 
     def rows(kind: str, first: str, last: str) -> DataFrame:
@@ -160,7 +161,7 @@ def section_extract(t: Tables) -> DataFrame:
         F.lit("Public Safety 9 9 9 9\nTotal expenditures all funds\nAdministration "), v, F.lit(" "), c, F.lit(" 3 "), v,
         F.lit("\n"), safety, F.lit("Total Expenditures $"), v, F.lit(" $"), v, F.lit(" $"), v, F.lit(" $"), c,
         F.lit("\nCounty of Frederick\nLandfill 1 2 3 4"))
-    return X.section_measures(t.orders.select("o_orderkey", text.alias("text")), "text", ["o_orderkey"])
+    return X.section_measures(t.wide_orders.select("o_orderkey", text.alias("text")), "text", ["o_orderkey"])
 
 
 @query("X5", """
@@ -170,7 +171,7 @@ UNION ALL SELECT o_orderkey, 'debt_service', c FROM o WHERE c <> 0""")
 def max_match_per_label(t: Tables) -> DataFrame:
     v, c = _money(F.floor("o_totalprice")), _money(F.col("o_custkey"))
     text = F.concat(F.lit("General Fund Total was "), v, F.lit("\ngeneral fund now "), c, F.lit("\nDebt Service due "), c)
-    return X.max_per_label(t.orders.select("o_orderkey", text.alias("text")), "text", ["o_orderkey"])
+    return X.max_per_label(t.wide_orders.select("o_orderkey", text.alias("text")), "text", ["o_orderkey"])
 
 
 @query("X5", """
@@ -180,7 +181,7 @@ UNION ALL SELECT o_orderkey, 'public_works', c FROM o""")
 def first_match_per_label(t: Tables) -> DataFrame:
     v, c = _money(F.floor("o_totalprice")), _money(F.col("o_custkey"))
     text = F.concat(F.lit("Public Safety budget "), v, F.lit("\nPublic Works: "), c, F.lit("\nPublic Safety again 5"))
-    return X.first_per_label(t.orders.select("o_orderkey", text.alias("text")), "text", ["o_orderkey"])
+    return X.first_per_label(t.wide_orders.select("o_orderkey", text.alias("text")), "text", ["o_orderkey"])
 
 
 @query("X5", """
@@ -192,7 +193,7 @@ def name_count_pairs(t: Tables) -> DataFrame:
     c = F.col("o_custkey")
     text = F.concat(F.lit("Intro 5\n\nPosition Summary\nSheriff "), c.cast("string"), F.lit(" FTE\nParks & Rec 12.5 positions\nAB 3\n"
                     "Empty Office 0\nSheriff "), (c + 2).cast("string"), F.lit("\n\nOutside 77"))
-    out = X.name_counts(t.orders.select("o_orderkey", text.alias("text")), "text", ["o_orderkey"])
+    out = X.name_counts(t.wide_orders.select("o_orderkey", text.alias("text")), "text", ["o_orderkey"])
     # The heading word stands before the first name of the section.
     return out.withColumn("name", F.regexp_replace("name", r"^Position Summary\s+", "")).groupBy(
         "o_orderkey", "name").agg(F.max("count").alias("count"))
@@ -215,7 +216,7 @@ SELECT page_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS
   TRY_CAST(regexp_extract(html, '<!-- ad (\d+) -->', 1) AS DOUBLE) AS ad
 FROM pages""")
 def html_fields(t: Tables) -> DataFrame:
-    out = X.html_fields(t.pages, "html", ["page_id"], _PAGE_FIELDS)
+    out = X.html_fields(spread(t.pages, "page_id"), "html", ["page_id"], _PAGE_FIELDS)
     return out.select("page_id", "title", "lang", "track", "nav.first", "nav.ad")
 
 
@@ -261,7 +262,7 @@ k AS (SELECT doc_id, {' + '.join(f"CAST(contains(s, '{k}') AS BIGINT)" for k in
 SELECT * FROM k WHERE keyword_matches >= 2""")
 def table_scoring(t: Tables) -> DataFrame:
     """Each document as a table: line 0 is its header, the next lines its rows."""
-    rows = split_lines(t.documents.select("doc_id", "text"), "text", ["doc_id"])
+    rows = split_lines(spread(t.documents.select("doc_id", "text"), "doc_id"), "text", ["doc_id"])
     return X.score_tables(rows, ["doc_id"], "pos", "line", _KEYWORDS)
 
 
@@ -288,8 +289,9 @@ def row_categorisation(t: Tables) -> DataFrame:
             .when(F.col("l_returnflag") == "A", "nothing").otherwise(F.col("p_name")))
     rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         "l_orderkey", "l_linenumber", text.alias("text"),
-        F.array("l_extendedprice", "l_quantity", -F.col("l_tax")).alias("amounts"))
-    return X.row_categories(rows, ["l_orderkey"], "l_linenumber", "text", "amounts", _ROW_PATTERNS, 5000)
+        "l_extendedprice", "l_quantity", (-F.col("l_tax")).alias("minus"))
+    amounts = ["l_extendedprice", "l_quantity", "minus"]
+    return X.row_categories(rows, ["l_orderkey"], "l_linenumber", "text", amounts, _ROW_PATTERNS, 5000)
 
 
 @query("X10", """
