@@ -154,56 +154,68 @@ def group_top_mix(df: DataFrame, group: str, member: str, k: int, value: str = "
             .drop("_value"))
 
 
+def _top(df: DataFrame, scope: Sequence[str], order: Sequence[Column], k: int | None) -> DataFrame:
+    """First ``k`` rows overall or per scope; all rows if ``k`` is None."""
+    if k is None:
+        return df
+    if not scope:
+        return df.orderBy(*order).limit(k)
+    return top_k_per_group(df, scope, order, k, "_rank").drop("_rank")
+
+
 def state_distribution(df: DataFrame, state: str = "state", weight: str | None = None, k: int | None = None,
-                       digits: int = 2) -> DataFrame:
+                       digits: int = 2, scope: Sequence[str] = ()) -> DataFrame:
     """Rows per state and percent of all rows, those without a state included."""
     # At most 26 x 26 states and the null group, so the total is a window over them.
-    counts = df.groupBy(state).agg(row_count(weight).alias("count"))
-    shares = counts.withColumn("pct", percent("count", F.sum("count").over(Window.partitionBy()), digits))
-    out = shares.filter(F.col(state).isNotNull())
-    return out.orderBy(F.col("count").desc(), F.col(state)).limit(k) if k else out
+    counts = df.groupBy(*scope, state).agg(row_count(weight).alias("count"))
+    total = F.sum("count").over(Window.partitionBy(*scope))
+    shares = counts.withColumn("pct", percent("count", total, digits)).filter(F.col(state).isNotNull())
+    return _top(shares, scope, [F.col("count").desc(), F.col(state)], k)
 
 
 def out_of_state_owners(df: DataFrame, owner: str, state: str, seq: str, value: str = "total_value",
-                        home: str = fixed.HOME_STATE, k: int = 30, weight: str | None = None) -> DataFrame:
+                        home: str = fixed.HOME_STATE, k: int | None = 30, weight: str | None = None,
+                        scope: Sequence[str] = ()) -> DataFrame:
     """Owners elsewhere by value; the state of the last record (by ``seq``) is shown."""
-    out = (df.filter(F.col(state).isNotNull() & (F.col(state) != home)).groupBy(owner)
+    out = (df.filter(F.col(state).isNotNull() & (F.col(state) != home)).groupBy(*scope, owner)
            .agg(F.max_by(state, seq).alias("state"), row_count(weight).alias("properties"),
                 value_sum(value, weight).alias("total_value")))
-    return out.orderBy(F.col("total_value").desc(), F.col(owner)).limit(k)
+    return _top(out, scope, [F.col("total_value").desc(), F.col(owner)], k)
 
 
 def surname_frequency(df: DataFrame, owner: str = "owner", entity: str = "entity_type",
                       value: str = "total_value", k: int | None = 30, weight: str | None = None,
-                      entity_words: Sequence[str] = fixed.LAST_NAME_ENTITY_WORDS) -> DataFrame:
+                      entity_words: Sequence[str] = fixed.LAST_NAME_ENTITY_WORDS,
+                      scope: Sequence[str] = ()) -> DataFrame:
     """Last names of individuals (2+ letters): rows, value, mean value."""
     named = (df.filter(F.col(entity) == fixed.ENTITY_DEFAULT)
              .withColumn("last_name", extract_last_name(owner, entity_words))
              .filter(F.length("last_name") > 1))
-    out = (named.groupBy("last_name").agg(row_count(weight).alias("properties"),
-                                          value_sum(value, weight).alias("total_value"))
+    out = (named.groupBy(*scope, "last_name").agg(row_count(weight).alias("properties"),
+                                                  value_sum(value, weight).alias("total_value"))
            .withColumn("avg_value", ratio("total_value", "properties", digits=0, default=0.0)))
-    return out.orderBy(F.col("properties").desc(), F.col("last_name")).limit(k) if k else out
+    return _top(out, scope, [F.col("properties").desc(), F.col("last_name")], k)
 
 
 def type_deep_dive(df: DataFrame, wanted: str, owner: str = "owner", entity: str = "entity_type",
                    class_column: str = "property_class", district: str = "district",
-                   value: str = "total_value", top_classes: int = 3, weight: str | None = None) -> DataFrame:
-    """Per owner of one type: count, value, top classes (``C4, C1``) and districts."""
-    rows = df.filter(F.col(entity) == wanted)
+                   value: str = "total_value", top_classes: int = 3, weight: str | None = None,
+                   scope: Sequence[str] = ()) -> DataFrame:
+    """Per owner of one type: count, value, top classes (``C4,C1``) and districts."""
+    rows, keys = df.filter(F.col(entity) == wanted), [*scope, owner]
     # One shuffle on (owner, class, district); both levels above it reuse small rows.
-    cells = rows.groupBy(owner, class_column, district).agg(
+    cells = rows.groupBy(*keys, class_column, district).agg(
         row_count(weight).alias("_n"), money_sum(value, bool(weight)).alias("_v"))
-    owners = cells.groupBy(owner).agg(
+    owners = cells.groupBy(*keys).agg(
         F.sum("_n").cast("bigint").alias("properties"), F.sum("_v").cast("double").alias("total_value"),
         F.array_join(F.array_sort(F.collect_set(district)), "|").alias("districts"))
     by_class = (cells.filter(F.col(class_column).isNotNull() & (F.col(class_column) != 0))
-                .groupBy(owner, class_column).agg(F.sum("_n").alias("_c")))
-    ranked = top_k_per_group(by_class, [owner], [F.col("_c").desc(), F.col(class_column)], top_classes)
-    classes = ranked.groupBy(owner).agg(F.array_join(F.transform(
+                .groupBy(*keys, class_column).agg(F.sum("_n").alias("_c")))
+    ranked = top_k_per_group(by_class, keys, [F.col("_c").desc(), F.col(class_column)], top_classes)
+    classes = ranked.groupBy(*keys).agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("rank", class_column))),
         lambda s: F.concat(F.lit("C"), s.getField(class_column).cast("string"))), ",").alias("classes"))
-    return owners.join(classes, owner, "left")
+    return owners.join(classes, keys, "left")
 
 
 def weighted_labels(members: DataFrame, labels: DataFrame, key: str, label: str, weight: str,
