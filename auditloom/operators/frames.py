@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from auditloom.functions.numbers import col
+from auditloom.functions.numbers import round_to
 from auditloom.session import durable
 
 
@@ -117,7 +117,7 @@ def feature_json(df: DataFrame, geometry: str) -> DataFrame:
 
 def comparison_bars(df: DataFrame, label: str, value: str) -> DataFrame:
     """Bars with the mean of the positive values as a reference line."""
-    mean = df.agg(F.avg(F.when(F.col(value) > 0, F.col(value).cast("double")))).scalar()
+    mean = df.agg(round_to(F.avg(F.when(F.col(value) > 0, F.col(value).cast("double"))), 2)).scalar()
     return df.select(F.col(label).alias("label"), F.col(value).cast("double").alias("value"), mean.alias("average"))
 
 

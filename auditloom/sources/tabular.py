@@ -32,9 +32,9 @@ def read_coded_tsv(spark: SparkSession, path: str, fields: Mapping[str, str] = f
     header = reader.csv(path).columns
     schema = T.StructType([T.StructField(h, T.StringType()) for h in header]
                           + [T.StructField(_BAD_ROW, T.StringType())])
-    # Missing codes are applied below, so an empty cell stays an empty string.
+    # Short rows are told by the malformed-row column, which needs all columns to be parsed.
     raw = (reader.schema(schema).option("columnNameOfCorruptRecord", _BAD_ROW)
-           .option("mode", "PERMISSIVE").csv(path))
+           .option("mode", "PERMISSIVE").option("columnPruning", False).csv(path))
     cells = F.when(F.col(_BAD_ROW).isNull(), F.lit(len(header))).otherwise(
         F.size(F.split(F.col(_BAD_ROW), sep)))
     rows = raw.filter(cells >= min_cells)
