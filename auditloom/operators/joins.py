@@ -115,9 +115,17 @@ def year_scaffold(members: DataFrame, year: str, years: Sequence) -> DataFrame:
 
 def densify(df: DataFrame, member: Sequence[str], year: str, years: Sequence, measures: Sequence[str],
             fill: float | None = None) -> DataFrame:
-    """(member x year) rows with null or ``fill`` in the gaps; one row per member-year in ``df``."""
-    scaffold = year_scaffold(df.select(*member).distinct(), year, years)
-    out = scaffold.join(df.select(*member, year, *measures), [*member, year], "left")
+    """(member x year) rows with null or ``fill`` in the gaps.
+
+    ``df`` has one row per member and year, so a member folds to a map from year
+    to measures no longer than its years; the fixed list is then looked up in it.
+    """
+    by_year = F.map_from_entries(F.collect_list(F.struct(F.col(year), F.struct(*measures))))
+    packed = df.groupBy(*member).agg(by_year.alias("_by_year"))
+    kind = df.schema[year].dataType
+    rows = year_scaffold(packed, year, years).withColumn(year, F.col(year).cast(kind))
+    found = F.element_at("_by_year", F.col(year))
+    out = rows.select(*member, year, *[found.getField(m).alias(m) for m in measures])
     return out if fill is None else out.fillna(fill, subset=list(measures))
 
 

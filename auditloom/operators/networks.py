@@ -41,12 +41,12 @@ def top_networks(df: DataFrame, address: str, owner: str, seq: str, k: int = 50,
     """Top ``k`` networks by value, each with its top names by value."""
     networks, names = shared_addresses(df, address, owner, seq, **options)
     best = networks.orderBy(F.col("total_value").desc(), F.col("address")).limit(k)
-    # ``best`` has at most k rows, so it may be broadcast.
-    members = names.join(F.broadcast(best.select("address")), "address", "left_semi")
+    # ``best`` has at most k rows, so it may be broadcast; it hands its totals to the names.
+    members = names.join(F.broadcast(best), "address")
     top = top_k_per_group(members, ["address"], [F.col("value").desc(), F.col("name_key")], names_per_network)
     fields = [F.substring("full_name", 1, 50).alias("name"), "properties", "value"]
     if "districts" in names.columns:
         fields.append("districts")
-    listed = top.groupBy("address").agg(
+    listed = top.groupBy(*best.columns).agg(
         F.array_sort(F.collect_list(F.struct("rank", *fields))).alias("names"))
-    return best.join(listed, "address").orderBy(F.col("total_value").desc(), F.col("address"))
+    return listed.orderBy(F.col("total_value").desc(), F.col("address"))

@@ -192,11 +192,11 @@ def top_holders_with_samples(df: DataFrame, owner: str, parcel: str, entity: str
     owners = rows.groupBy(owner).agg(money_sum(value).cast("double").alias("total_value"),
                                      F.count(F.lit(1)).alias("property_count"))
     best = top_k(owners, [F.col("total_value").desc(), F.col(owner)], k)
-    # At most k owners, so the key list may be broadcast; only their rows are sampled.
+    # At most k owners, so they may be broadcast; only their rows are sampled.
     theirs = rows.select(owner, parcel, F.col(value).cast("double").alias("value"), district).join(
-        F.broadcast(best.select(owner)), owner, "left_semi")
-    some = samples_per_group(theirs, [owner], parcel, [parcel, "value", district], sample, "top_properties")
-    return best.join(some, owner)
+        F.broadcast(best), owner)
+    return samples_per_group(theirs, [owner], parcel, [parcel, "value", district], sample, "top_properties",
+                             carry=["total_value", "property_count"])
 
 
 def largest_landowners(df: DataFrame, owner: str, value: str = "total_value", acreage: str = "acreage",

@@ -155,8 +155,8 @@ def mixed_year_compare(df: DataFrame, entity: Sequence[str], year: str, base_yea
 
 def arg_max(df: DataFrame, label: str, value: str) -> DataFrame:
     """The label with the greatest value; the smallest label on a tie."""
-    best = df.agg(F.max(value)).scalar()
-    return df.filter(F.col(value) == best).agg(F.min(label).alias(label), F.max(value).alias(value))
+    best = df.filter(F.col(value).isNotNull()).agg(F.min(F.struct((-F.col(value)).alias("v"), F.col(label).alias("l"))).alias("b"))
+    return best.filter(F.col("b").isNotNull()).select(F.col("b.l").alias(label), (-F.col("b.v")).alias(value))
 
 
 def running_id(df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[str], starts: Column,

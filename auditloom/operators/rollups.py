@@ -265,12 +265,15 @@ def conditional_totals(df: DataFrame, types: Sequence[str], entity: str = "entit
 
 
 def samples_per_group(df: DataFrame, keys: Sequence[str], seq: str, item: Sequence[str], k: int,
-                      name: str = "samples") -> DataFrame:
-    """First ``k`` items per group as an array; rows beyond ``k`` never reach it."""
-    first = top_k_per_group(df.select(*keys, seq, *[c for c in item if c not in (*keys, seq)]),
-                            keys, [F.col(seq)], k, "_rank")
+                      name: str = "samples", carry: Sequence[str] = ()) -> DataFrame:
+    """First ``k`` items per group as an array; rows beyond ``k`` never reach it.
+
+    ``carry`` names columns that are constant in a group and stay in the result.
+    """
+    columns = dict.fromkeys([*keys, *carry, seq, *item])
+    first = top_k_per_group(df.select(*columns), keys, [F.col(seq)], k, "_rank")
     entry = F.struct("_rank", *item)
-    return first.groupBy(*keys).agg(F.transform(
+    return first.groupBy(*keys, *carry).agg(F.transform(
         F.array_sort(F.collect_list(entry)),
         lambda s: F.struct(*[s.getField(c).alias(c) for c in item])).alias(name))
 

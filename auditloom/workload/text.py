@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from auditloom.operators import extract as X
-from auditloom.session import spread
+from auditloom.session import durable, spread
 from auditloom.sources.text import junk_line, split_lines
 from auditloom.workload.binding import VREC, Tables
 from auditloom.workload.registry import query
@@ -72,7 +72,8 @@ def _tax_book(t: Tables, strict: bool) -> DataFrame:
         F.concat(F.lit("FH "), _money(F.col("parcel") % 5000, 2), F.lit(" SH "), _money(F.col("parcel") % 3000, 2)),
         F.when(F.col("parcel") % 4 == 0, F.concat(_money(F.col("parcel")), F.lit(" DEFERRED"))).otherwise(F.lit("")))
     rows = t.wide_records.select("year", "parcel", F.posexplode(lines).alias("pos", "line"))
-    return rows.filter(~junk_line("line"))
+    # Written once, as the text files of the books would be.
+    return durable(rows.filter(~junk_line("line")))
 
 
 def _assembled(t: Tables, strict: bool) -> DataFrame:
@@ -237,7 +238,8 @@ def _sheets(t: Tables) -> DataFrame:
     title = cells(customers, F.lit(0), [F.lit("Report of the year"), F.lit(None).cast("string")])
     header = cells(customers, F.lit(1), [F.lit("Remarks"), F.lit("School Division"), F.lit("ADM Total"),
                                          F.lit("Elementary Membership")])
-    return title.unionAll(header).unionAll(data)
+    # Written once, as the decoded cells of the sheets would be.
+    return durable(title.unionAll(header).unionAll(data))
 
 
 @query("S9 X7 P7", """

@@ -103,7 +103,7 @@ LEFT JOIN f ON f.district = d.district AND f.year = y.year""")
 def trend_dense(t: Tables) -> DataFrame:
     rows = _gapped(t).select("district", "year", "adm", "total")
     out = T.dense_trend(rows, ["district"], "year", YEARS, ["adm", "total"])
-    return out.withColumn("year", F.col("year").cast("bigint"))
+    return out
 
 
 @query("T7b", f"""
