@@ -17,8 +17,8 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> None:
+    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
 
 
 def file_sizes(spark: SparkSession, path: str) -> DataFrame:

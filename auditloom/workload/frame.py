@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
+from auditloom.functions.predicates import latest_partition
 from auditloom.operators import frames as V
+from auditloom.session import ensure_checkpoint_dir
 from auditloom.sources.records import flatten
-from auditloom.sources.sinks import verify
+from auditloom.sources.sinks import verify, write_csv, write_parquet
+from auditloom.sources.tabular import read_coded_tsv
 from auditloom.workload.binding import FACTS, Tables
 from auditloom.workload.registry import query
 
@@ -115,6 +120,38 @@ def flatten_nested(t: Tables) -> DataFrame:
     return flatten(nested)
 
 
+def _scratch(t: Tables) -> str:
+    """A fresh path in the shared folder of the session."""
+    return f"{ensure_checkpoint_dir(t.spark)}/tables-{uuid.uuid4().hex}"
+
+
+@query("S10 P6", """
+WITH o AS (SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS BIGINT) AS year FROM orders)
+SELECT * FROM o WHERE year = (SELECT max(year) FROM o)""")
+def partitioned_sink_latest(t: Tables) -> DataFrame:
+    """Orders written by year and read back: only the latest partition is scanned for rows."""
+    path = _scratch(t)
+    write_parquet(t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year")), path, ["year"])
+    out = latest_partition(t.spark.read.parquet(path))
+    return out.withColumn("year", F.col("year").cast("bigint"))
+
+
+@query("S6 S11", """
+SELECT CAST(o_orderkey AS VARCHAR) AS "LEAID", CAST(CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE o_custkey END AS DOUBLE) AS enrollment,
+  CAST(CASE o_orderstatus WHEN 'F' THEN NULL ELSE o_orderkey END AS DOUBLE) AS total_revenue, NULL::DOUBLE AS capital_outlay
+FROM orders""")
+def coded_tsv_scan(t: Tables) -> DataFrame:
+    """Orders written as tab-separated survey files with missing codes and read back by header name."""
+    path = _scratch(t)
+    filler = [F.lit("0").alias(f"X{i}") for i in range(8)]
+    rows = t.orders.select(
+        F.col("o_orderkey").alias("LEAID"), *filler,
+        F.when(F.col("o_custkey") % 5 == 0, "M").otherwise(F.col("o_custkey").cast("string")).alias("V33"),
+        F.when(F.col("o_orderstatus") == "F", "-2").otherwise(F.col("o_orderkey").cast("string")).alias("TOTALREV"))
+    write_csv(rows, path, sep="\t")
+    return read_coded_tsv(t.spark, path).select("LEAID", "enrollment", "total_revenue", "capital_outlay")
+
+
 @query("S12")
 def checksum_audit(t: Tables) -> DataFrame:
     """The data files against a manifest that lacks one, invents one and alters one."""
