@@ -71,9 +71,10 @@ class Tables:
     def _records(self, orders: DataFrame) -> DataFrame:
         places = (self.nation.join(self.region, F.col("n_regionkey") == F.col("r_regionkey"))
                   .select("n_nationkey", "n_name", "r_name"))
-        owners = self.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         cls = F.substring("o_orderpriority", 1, 1)
-        return orders.join(owners, F.col("o_custkey") == F.col("c_custkey")).select(
+        # The fact stays the streamed side: customers first, then the small place table.
+        owned = orders.join(self.customer, F.col("o_custkey") == F.col("c_custkey"))
+        return owned.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
             F.year("o_orderdate").cast("bigint").alias("year"), F.col("o_orderkey").alias("parcel"),
             F.col("c_name").alias("owner"), cls.cast("int").alias("property_class"),
             F.col("r_name").alias("district"), F.col("n_name").alias("nation"),
