@@ -9,6 +9,7 @@ from auditloom.functions.predicates import latest_partition, structured_filters,
 from auditloom.operators.joins import semi_join
 from auditloom.operators.rank import page
 from auditloom.operators.trends import distinct_years, union_sources
+from auditloom.plans.vocabulary import register_functions
 from auditloom.workload.binding import FACTS, REC, VREC, Tables
 from auditloom.workload.registry import query
 
@@ -181,3 +182,63 @@ WITH {VREC} SELECT parcel FROM vrec WHERE total_value < 300000 AND tax_amount <
 def sanity_bounds(t: Tables) -> DataFrame:
     caps = {"total": 300_000, "tax": 10_000}
     return t.valued_records.filter(within_caps("total_value", "tax_amount", caps)).select("parcel")
+
+
+@query("C1 N12", """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(date_part('year', o_orderdate) AS BIGINT) AS y,
+  strftime(date_trunc('month', o_orderdate), '%d.%m.%Y') AS month, substr(o_orderpriority, 3) AS part,
+  length(o_orderpriority) AS n, lower(o_orderpriority) AS low, replace(o_orderpriority, ' ', '_') AS swapped,
+  concat(o_orderstatus, '-', ltrim('  x ')) AS joined, rtrim(' y  ') AS rt, floor(o_totalprice) AS fl, ceil(o_totalprice) AS ce,
+  abs(-o_totalprice) AS ab, sqrt(o_totalprice) AS sq, CAST(round(log10(o_totalprice), 6) AS DOUBLE) AS lg,
+  coalesce(nullif(o_orderstatus, 'F'), 'none') AS st, CASE WHEN o_totalprice BETWEEN 1000 AND 2000 THEN 1 ELSE 0 END AS low_price
+FROM orders WHERE o_orderpriority LIKE '%URGENT' AND o_custkey = ANY (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""")
+def vocabulary_scalars(t: Tables) -> DataFrame:
+    """Scalar vocabulary; strftime is a registered SQL function, = ANY is IN."""
+    register_functions(t.spark)
+    t.orders.createOrReplaceTempView("vocabulary_orders")
+    t.customer.createOrReplaceTempView("vocabulary_customer")
+    return t.spark.sql("""
+        SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(date_part('year', o_orderdate) AS BIGINT) AS y,
+          strftime(date_trunc('month', o_orderdate), '%d.%m.%Y') AS month, substr(o_orderpriority, 3) AS part,
+          CAST(length(o_orderpriority) AS BIGINT) AS n, lower(o_orderpriority) AS low,
+          replace(o_orderpriority, ' ', '_') AS swapped, concat(o_orderstatus, '-', ltrim('  x ')) AS joined,
+          rtrim(' y  ') AS rt, CAST(floor(o_totalprice) AS DOUBLE) AS fl, CAST(ceil(o_totalprice) AS DOUBLE) AS ce,
+          abs(-o_totalprice) AS ab, sqrt(o_totalprice) AS sq, round(log10(o_totalprice), 6) AS lg,
+          coalesce(nullif(o_orderstatus, 'F'), 'none') AS st,
+          CASE WHEN o_totalprice BETWEEN 1000 AND 2000 THEN 1 ELSE 0 END AS low_price
+        FROM vocabulary_orders
+        WHERE o_orderpriority LIKE '%URGENT'
+          AND o_custkey IN (SELECT c_custkey FROM vocabulary_customer WHERE c_acctbal > 0)""")
+
+
+@query("C1 U4", f"""
+WITH {FACTS}
+SELECT district, year, row_number() OVER w AS rn, rank() OVER w AS rk, dense_rank() OVER w AS dr, ntile(3) OVER w AS nt,
+  lag(adm) OVER w AS before, lead(adm, 2, 0) OVER w AS after, first_value(adm) OVER w AS fst,
+  last_value(adm) OVER (PARTITION BY district ORDER BY year ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lst,
+  CAST(sum(adm) OVER (PARTITION BY district ORDER BY year RANGE BETWEEN 1 PRECEDING AND CURRENT ROW) AS BIGINT) AS two_years
+FROM facts WINDOW w AS (PARTITION BY district ORDER BY year)""")
+def vocabulary_windows(t: Tables) -> DataFrame:
+    """Window vocabulary over the yearly figures (few rows per district)."""
+    t.gold_facts.createOrReplaceTempView("vocabulary_facts")
+    return t.spark.sql("""
+        SELECT district, year, CAST(row_number() OVER w AS BIGINT) AS rn, CAST(rank() OVER w AS BIGINT) AS rk,
+          CAST(dense_rank() OVER w AS BIGINT) AS dr, CAST(ntile(3) OVER w AS BIGINT) AS nt,
+          lag(adm) OVER w AS before, lead(adm, 2, 0L) OVER w AS after, first_value(adm) OVER w AS fst,
+          last_value(adm) OVER (PARTITION BY district ORDER BY year ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lst,
+          sum(adm) OVER (PARTITION BY district ORDER BY year RANGE BETWEEN 1 PRECEDING AND CURRENT ROW) AS two_years
+        FROM vocabulary_facts WINDOW w AS (PARTITION BY district ORDER BY year)""")
+
+
+@query("C1", f"""
+WITH {FACTS}
+SELECT district, string_agg(fiscal_year, ',' ORDER BY year) AS years, count(DISTINCT teachers > 100) AS kinds, min(adm) AS lo,
+  max(adm) AS hi, len(array_agg(adm)) AS items
+FROM facts GROUP BY district HAVING count(*) > 1""")
+def vocabulary_aggregates(t: Tables) -> DataFrame:
+    t.gold_facts.createOrReplaceTempView("vocabulary_facts")
+    return t.spark.sql("""
+        SELECT district, listagg(fiscal_year, ',') WITHIN GROUP (ORDER BY fiscal_year) AS years,
+          count(DISTINCT teachers > 100) AS kinds, min(adm) AS lo, max(adm) AS hi,
+          CAST(size(array_agg(adm)) AS BIGINT) AS items
+        FROM vocabulary_facts GROUP BY district HAVING count(*) > 1""")
