@@ -203,46 +203,43 @@ SECTIONS = {
     "personnel": r"(?is)PERSONNEL NEEDS.*?(?=The reasons for the change|County of Frederick|\z)",
     "staffing": r"(?is)(?:Position|Staffing|FTE|Personnel)\s+Summary.*?(?=\n\n|\z)",
 }
-_FOUR = r"\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)"
-_SIX = r"\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)"
-_SIX_FT = r"\s+([\d.]+)\s+(\d+)\s+([\d.]+)\s+(\d+)\s+([\d.]+)\s+(\d+)"
 SECTION_CATEGORIES = {
-    "general_govt_admin": "Administration" + _FOUR,
-    "judicial_admin": r"Judicial\s+Administration" + _FOUR,
-    "public_safety": r"Public\s+Safety" + _FOUR,
-    "public_works": r"Public\s+Works" + _FOUR,
-    "health_welfare": "Health/Welfare" + _FOUR,
-    "community_college": r"Community\s+College" + _FOUR,
-    "parks_recreation": r"Parks,?\s*Recreation.*?Cultural" + _FOUR,
-    "community_dev": r"Community\s+Development" + _FOUR,
-    "miscellaneous": "Miscellaneous" + _FOUR,
-    "regional_jail": r"Regional\s+Jail" + _FOUR,
-    "landfill": "Landfill" + _FOUR,
-    "school_funds": r"School\s+Funds" + _FOUR,
+    "general_govt_admin": r"Administration\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)",
+    "judicial_admin": r"Judicial\s+Administration\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)",
+    "public_safety": r"Public\s+Safety\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)",
+    "public_works": r"Public\s+Works\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)",
+    "health_welfare": r"Health/Welfare\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)",
+    "community_college": r"Community\s+College\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)",
+    "parks_recreation": r"Parks,?\s*Recreation.*?Cultural\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)",
+    "community_dev": r"Community\s+Development\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)",
+    "miscellaneous": r"Miscellaneous\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)",
+    "regional_jail": r"Regional\s+Jail\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)",
+    "landfill": r"Landfill\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)",
+    "school_funds": r"School\s+Funds\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)\s+([\d,]+)",
     "total": r"Total\s+Expenditures\s+\$([\d,]+)\s+\$([\d,]+)\s+\$([\d,]+)\s+\$([\d,]+)",
 }
 SECTION_MEASURES = ("prior_budgeted", "prior_actual", "current_budgeted", "adopted")
 STAFF_CATEGORIES = {
-    "board_of_supervisors": "Board of Supervisors" + _SIX,
-    "county_administrator": "County Administrator" + _SIX,
-    "county_attorney": "County Attorney" + _SIX,
-    "human_resources": "Human Resources" + _SIX,
-    "commissioner_revenue": "COR/Reassessment" + _SIX,
-    "treasurer": "Treasurer" + _SIX,
-    "finance": "Finance" + _SIX,
-    "it_mis": "IT/MIS" + _SIX,
-    "sheriff": "Sheriff" + _SIX_FT,
-    "fire_rescue": "Fire and Rescue" + _SIX_FT,
-    "public_safety_comm": "Public Safety Communications" + _SIX,
-    "social_services": "Social Services" + _SIX,
-    "parks_recreation": "Parks and Recreation" + _SIX,
-    "planning_dev": "Planning and Development" + _SIX,
+    "board_of_supervisors": r"Board of Supervisors\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)",
+    "county_administrator": r"County Administrator\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)",
+    "county_attorney": r"County Attorney\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)",
+    "human_resources": r"Human Resources\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)",
+    "commissioner_revenue": r"COR/Reassessment\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)",
+    "treasurer": r"Treasurer\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)",
+    "finance": r"Finance\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)",
+    "it_mis": r"IT/MIS\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)",
+    "sheriff": r"Sheriff\s+([\d.]+)\s+(\d+)\s+([\d.]+)\s+(\d+)\s+([\d.]+)\s+(\d+)",
+    "fire_rescue": r"Fire and Rescue\s+([\d.]+)\s+(\d+)\s+([\d.]+)\s+(\d+)\s+([\d.]+)\s+(\d+)",
+    "public_safety_comm": r"Public Safety Communications\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)",
+    "social_services": r"Social Services\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)",
+    "parks_recreation": r"Parks and Recreation\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)",
+    "planning_dev": r"Planning and Development\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)",
 }
 STAFF_TOTALS = {
-    "general_fund_total": r"Total\s+Positions\s+General\s+Fund" + _SIX,
-    "regional_jail": r"Regional\s+Jail\s+Fund" + _SIX,
-    "school_funds": r"School\s+Funds" + _SIX_FT,
-    "all_funds_total": r"Total\s+Positions\s+All\s+Funds" + _SIX_FT,
+    "general_fund_total": r"Total\s+Positions\s+General\s+Fund\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)",
+    "regional_jail": r"Regional\s+Jail\s+Fund\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\d+)",
+    "school_funds": r"School\s+Funds\s+([\d.]+)\s+(\d+)\s+([\d.]+)\s+(\d+)\s+([\d.]+)\s+(\d+)",
+    "all_funds_total": r"Total\s+Positions\s+All\s+Funds\s+([\d.]+)\s+(\d+)\s+([\d.]+)\s+(\d+)\s+([\d.]+)\s+(\d+)",
 }
 STAFF_MEASURES = ("fy_minus_2_full_time", "fy_minus_2_part_time", "fy_minus_1_full_time", "fy_minus_1_part_time",
                   "current_full_time", "current_part_time")
@@ -285,42 +282,59 @@ ROW_CATEGORIES = {
 ROW_OTHER_OVER = 1000
 
 # --- district page: field -> (pattern, type) ------------------------------------------
-_ROW = r"</font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)"
-_ROW_BOLD = r"</b></font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)"
-_NEXT = r"</font></td>\s*<td[^>]*><font[^>]*>\$[0-9,]+</font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)"
-_NEXT_BOLD = r"</b></font></td>\s*<td[^>]*><font[^>]*>\$[0-9,]+</font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)"
 PAGE_FIELDS = {
     "enrollment": (r"Total Students:</th>\s*<td[^>]*>([0-9,]+)", "bigint"),
     "teachers_fte": (r"Classroom Teachers \(FTE\):</th>\s*<td[^>]*>([0-9,.]+)", "double"),
     "student_teacher_ratio": (r"Student/Teacher Ratio:</th>\s*<td[^>]*>([0-9.]+)", "double"),
     "total_staff_fte": (r"has a staff count of\s*<b[^>]*>\s*([0-9,.]+)", "double"),
     "staff_breakdown.instructional_aides": (r"(?i)Instructional Aides:</th>\s*<td>([0-9,.]+)", "double"),
-    "staff_breakdown.instructional_coordinators":
-        (r"(?i)Instruc\. Coordinators[^<]*</B?></th>\s*<td>([0-9,.]+)", "double"),
+    "staff_breakdown.instructional_coordinators": (
+        r"(?i)Instruc\. Coordinators[^<]*</B?></th>\s*<td>([0-9,.]+)",
+        "double"),
     "staff_breakdown.guidance_counselors": (r"(?i)Total Guidance Counselors:</th>\s*<td>([0-9,.]+)", "double"),
     "staff_breakdown.school_psychologists": (r"(?i)School Psychologists:</th>\s*<td>([0-9,.]+)", "double"),
     "staff_breakdown.librarians": (r"(?i)Librarians/Media Specialists:</th>\s*<td>([0-9,.]+)", "double"),
     "staff_breakdown.district_administrators": (r"(?i)District Administrators:</th>\s*<td>([0-9,.]+)", "double"),
-    "staff_breakdown.district_admin_support":
-        (r"(?i)District Administrative Support:</th>\s*<td>([0-9,.]+)", "double"),
+    "staff_breakdown.district_admin_support": (
+        r"(?i)District Administrative Support:</th>\s*<td>([0-9,.]+)",
+        "double"),
     "staff_breakdown.school_administrators": (r"(?i)School Administrators:</th>\s*<td>([0-9,.]+)", "double"),
-    "staff_breakdown.school_admin_support":
-        (r"(?i)School Administrative Support:</th>\s*<td>([0-9,.]+)", "double"),
-    "revenue.total_revenue": ("Total Revenue:" + _ROW_BOLD, "bigint"),
-    "revenue.federal_revenue": ("Federal:" + _ROW, "bigint"),
-    "revenue.local_revenue": ("Local:" + _ROW, "bigint"),
-    "revenue.state_revenue": ("State:" + _ROW, "bigint"),
-    "expenditures.total_expenditures": ("Total Expenditures:" + _ROW_BOLD, "bigint"),
-    "expenditures.total_current_expenditures": ("Total Current Expenditures:" + _ROW_BOLD, "bigint"),
-    "expenditures.instructional_expenditures": ("Instructional Expenditures:" + _ROW, "bigint"),
-    "expenditures.student_staff_support": ("Student and Staff Support:" + _ROW, "bigint"),
-    "expenditures.administration": ("Administration:" + _ROW, "bigint"),
-    "expenditures.operations_food_other": ("Operations, Food Service, other:" + _ROW, "bigint"),
-    "expenditures.capital_outlay": ("Total Capital Outlay:" + _ROW_BOLD, "bigint"),
-    "per_pupil.total_revenue_pp": ("Total Revenue:" + _NEXT_BOLD, "bigint"),
-    "per_pupil.total_expenditures_pp": ("Total Expenditures:" + _NEXT_BOLD, "bigint"),
-    "per_pupil.instructional_pp": ("Instructional Expenditures:" + _NEXT, "bigint"),
-    "per_pupil.administration_pp": ("Administration:" + _NEXT, "bigint"),
+    "staff_breakdown.school_admin_support": (r"(?i)School Administrative Support:</th>\s*<td>([0-9,.]+)", "double"),
+    "revenue.total_revenue": (r"Total Revenue:</b></font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)", "bigint"),
+    "revenue.federal_revenue": (r"Federal:</font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)", "bigint"),
+    "revenue.local_revenue": (r"Local:</font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)", "bigint"),
+    "revenue.state_revenue": (r"State:</font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)", "bigint"),
+    "expenditures.total_expenditures": (
+        r"Total Expenditures:</b></font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)",
+        "bigint"),
+    "expenditures.total_current_expenditures": (
+        r"Total Current Expenditures:</b></font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)",
+        "bigint"),
+    "expenditures.instructional_expenditures": (
+        r"Instructional Expenditures:</font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)",
+        "bigint"),
+    "expenditures.student_staff_support": (
+        r"Student and Staff Support:</font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)",
+        "bigint"),
+    "expenditures.administration": (r"Administration:</font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)", "bigint"),
+    "expenditures.operations_food_other": (
+        r"Operations, Food Service, other:</font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)",
+        "bigint"),
+    "expenditures.capital_outlay": (
+        r"Total Capital Outlay:</b></font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)",
+        "bigint"),
+    "per_pupil.total_revenue_pp": (
+        r"Total Revenue:</b></font></td>\s*<td[^>]*><font[^>]*>\$[0-9,]+</font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)",
+        "bigint"),
+    "per_pupil.total_expenditures_pp": (
+        r"Total Expenditures:</b></font></td>\s*<td[^>]*><font[^>]*>\$[0-9,]+</font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)",
+        "bigint"),
+    "per_pupil.instructional_pp": (
+        r"Instructional Expenditures:</font></td>\s*<td[^>]*><font[^>]*>\$[0-9,]+</font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)",
+        "bigint"),
+    "per_pupil.administration_pp": (
+        r"Administration:</font></td>\s*<td[^>]*><font[^>]*>\$[0-9,]+</font></td>\s*<td[^>]*><font[^>]*>\$([0-9,]+)",
+        "bigint"),
 }
 
 # --- sheet grids: header keywords and ordered header -> field rules ---------------------
