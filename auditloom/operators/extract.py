@@ -15,7 +15,7 @@ from auditloom import fixed
 from auditloom.functions.keys import match
 from auditloom.functions.names import canonical_district
 from auditloom.functions.numbers import amount_or_null, clean_amount, col, decimal_text, int_text, let, money_sum, strip
-from auditloom.operators.rank import running_id, top_k_per_group
+from auditloom.operators.rank import running_id
 
 # --- records assembled from lines ----------------------------------------------------
 

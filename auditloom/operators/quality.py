@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from auditloom import fixed
-from auditloom.functions.numbers import as_money, money_sum, ratio, round_to
+from auditloom.functions.numbers import money_sum, ratio, round_to
 from auditloom.operators.rank import top_k
 from auditloom.operators.rollups import row_count, samples_per_group
 

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from auditloom.functions.numbers import col, growth_pct, round_to
+from auditloom.functions.numbers import growth_pct, round_to
 from auditloom.session import durable
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low bits

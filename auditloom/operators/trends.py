@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from auditloom import fixed
-from auditloom.functions.numbers import as_money, cagr_pct, col, growth_pct, percent, ratio, round_to
+from auditloom.functions.numbers import as_money, cagr_pct, growth_pct, percent, ratio, round_to
 from auditloom.operators.joins import all_present, densify, first_per_key
 
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import datetime
 import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from auditloom import fixed
 from auditloom.operators import extract as X, frames as V, joins as J, networks as G, quality as Q, rank as W
 from auditloom.operators import rollups as R, trends as T
 from auditloom.plans import audit, ownership
