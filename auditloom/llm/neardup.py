@@ -156,28 +156,96 @@ def _prune_pairs(least: list[int]):
     return run
 
 
-def _prune_block(least: list[int]):
-    """Within one block pair of a bucket: candidate pairs of different components that survive."""
-    schema = pa.schema([("home", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
+class _Block:
+    """Rows of one block pair of a bucket, and their cross pairs that survive the signatures.
 
-    def run(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        sig, nodes = _matrix(group["sig"]), group["node"].to_pylist()
-        comp = np.unique(np.array(group["comp"].to_pylist(), dtype="S32"), return_inverse=True)[1]
+    A pair that agrees on several bands is taken in the first of their buckets only (16 of 32
+    bits are compared, so it is taken nowhere with a probability of some 1e-5 at most).
+    """
+
+    def __init__(self, group: pa.Table, least: list[int]):
+        self.sig, self.least = _matrix(group["sig"]), least
+        self.comp = np.unique(np.array([c.hex() for c in group["comp"].to_pylist()]), return_inverse=True)[1]
+        self.parent = list(range(len(group)))
         side = group["side"].to_numpy()
-        lo = group["lo"][0].as_py() == group["hi"][0].as_py()
-        rows = np.arange(len(nodes)) if lo else np.flatnonzero(side == 0)
-        others = rows if lo else np.flatnonzero(side == 1)
-        a, b = [], []
-        for k, i in enumerate(rows):
-            js = others[k + 1:] if lo else others
-            js = js[comp[js] != comp[i]]
+        self.one = group["lo"][0].as_py() == group["hi"][0].as_py()
+        self.rows = np.flatnonzero(side == 0)
+        self.others = self.rows if self.one else np.flatnonzero(side == 1)
+        self.band = group["band"][0].as_py()
+
+    def root(self, k: int) -> int:
+        while self.parent[k] != k:
+            self.parent[k] = k = self.parent[self.parent[k]]
+        return k
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.root(self.comp[a]), self.root(self.comp[b])
+        self.parent[a] = b
+        return a != b
+
+    def pairs(self) -> Iterator[tuple[int, np.ndarray]]:
+        cols = self.band * BAND_ROWS
+        for k, i in enumerate(self.rows):
+            js = self.others[k + 1:] if self.one else self.others
+            js = js[self.comp[js] != self.comp[i]]
+            if len(js):
+                js = js[_alive(np.broadcast_to(self.sig[i], (len(js), HASHES)), self.sig[js], self.least)]
+            if len(js) and cols:
+                js = js[~(self.sig[i, :cols] == self.sig[js, :cols]).reshape(len(js), -1, BAND_ROWS).all(axis=2).any(axis=1)]
             if len(js):
-                near = js[_alive(np.broadcast_to(sig[i], (len(js), HASHES)), sig[js], least)]
-                a += [nodes[i]] * len(near)
-                b += [nodes[j] for j in near]
-        home = group["bucket"][0].as_py()
-        return pa.table([pa.array([home] * len(a), pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=schema)
+                yield int(i), js
+
+
+_SUSPECT = ["bucket", "band", "lo", "hi", "side", "node", "comp"]
+
+
+def _suspects(least: list[int]):
+    """The rows of a block pair that have a pair to confirm there."""
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        found = np.zeros(len(group), bool)
+        for i, js in _Block(group, least).pairs():
+            found[i] = True
+            found[js] = True
+        return group.select(_SUSPECT).filter(pa.array(found))
+
+    return run
+
+
+def _confirm_block(width: int, percent: int, least: list[int]):
+    """Links among the suspects of a block pair, on full sets, as many as join components."""
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def run(group: pa.Table) -> pa.Table:
+        hasher, sets, nodes, keep, at = WordHasher(SPACES), [], group["node"].to_pylist(), {}, 0
+        for batch in group.combine_chunks().to_batches():
+            for part in slices(batch, "text"):
+                for s in shingle_sets(part["text"], width, hasher):
+                    if nodes[at] not in keep and _digest(s) == nodes[at]:
+                        keep[nodes[at]] = at
+                        sets.append(s)
+                    at += 1
+        rows = list(keep)
+        group = group.take(pa.array(list(keep.values()))).combine_chunks()
+        size = np.array([len(s) for s in sets])
+        universe, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        bounds = np.concatenate(([0], np.cumsum(size)))
+        mark = np.zeros(len(universe), np.int64)
+        block, a, b = _Block(group, least), [], []
+        for i, js in block.pairs():
+            mine = flat[bounds[i]: bounds[i + 1]]
+            mark[mine] = 1
+            for j in js.tolist():
+                if 100 * min(size[i], size[j]) < percent * max(size[i], size[j]):
+                    continue
+                if block.root(block.comp[i]) == block.root(block.comp[j]):
+                    continue
+                both = int(mark[flat[bounds[j]: bounds[j + 1]]].sum())
+                if 100 * both >= percent * (size[i] + size[j] - both) and block.join(i, j):
+                    a.append(rows[i])
+                    b.append(rows[j])
+            mark[mine] = 0
+        return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=schema)
 
     return run
 
@@ -209,6 +277,13 @@ def _confirm(width: int, percent: int):
     return run
 
 
+def _texts(rows: DataFrame, nodes: DataFrame, documents: DataFrame) -> DataFrame:
+    """``rows`` (by ``node``) with a text of each class. Equal doc_ids of different texts give rows
+    too many; who reads the texts knows a class by its set."""
+    rows = rows.join(nodes.select("node", F.col("doc_id").alias("rep")), "node")
+    return documents.select("doc_id", "text").join(rows, documents["doc_id"].eqNullSafe(rows["rep"])).drop("doc_id", "rep")
+
+
 def _links(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (``home``, ``a``, ``b``) whose full sets are similar enough.
 
@@ -223,9 +298,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, width: int,
         "a", "b", F.pmod(F.xxhash64("home", F.pmod(F.xxhash64("a"), F.col("blocks")), F.pmod(F.xxhash64("b"), F.col("blocks"))),
                          F.lit(groups)).alias("grp")))
     wanted = dealt.select("grp", F.col("a").alias("node")).union(dealt.select("grp", "b")).distinct()
-    reps = wanted.join(nodes.select("node", F.col("doc_id").alias("rep")), "node")
-    texts = (documents.select("doc_id", "text").join(reps, documents["doc_id"].eqNullSafe(reps["rep"]))
-             .select(F.col("grp").alias("to"), "text"))
+    texts = _texts(wanted.withColumnRenamed("grp", "to"), nodes, documents).select("to", "text")
     return dealt.groupBy("grp").cogroup(texts.groupBy("to")).applyInArrow(_confirm(width, percent), "a binary, b binary")
 
 
@@ -251,7 +324,7 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, mis
     filled = rows.where("n_shingles > 0")
     nodes = stored(filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("buckets").alias("buckets"),
                                               F.first("sig").alias("sig")), "neardup-nodes")
-    slots = nodes.select("node", F.explode("buckets").alias("bucket"))
+    slots = nodes.select("node", F.posexplode("buckets").alias("band", "bucket"))
     shared = slots.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("members")).where("members > 1")
     slots = durable(slots.join(shared, "bucket"))
     sig = nodes.select("node", "sig")
@@ -264,18 +337,20 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, mis
     links = durable(_links(pairs, nodes, documents, width, percent))
     roots = components(links)
 
-    placed = slots.join(roots, "node", "left").select("bucket", "node", "members", F.coalesce("root", "node").alias("comp"))
+    placed = slots.join(roots, "node", "left").select("bucket", "band", "node", "members", F.coalesce("root", "node").alias("comp"))
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("bucket")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     open_slots = (placed.join(mixed, "bucket").join(sig, "node")
                   .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
                   .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-                  .select("bucket", "node", "comp", "sig", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+                  .select("bucket", "band", "node", "comp", "sig", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
                           F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")))
-    rest = (open_slots.groupBy("bucket", "lo", "hi")
-            .applyInArrow(_prune_block(least), "home bigint, a binary, b binary")
-            .select("home", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    links = durable(links.unionByName(_links(rest, nodes, documents, width, percent)))
+    suspects = (open_slots.groupBy("bucket", "lo", "hi")
+                .applyInArrow(_suspects(least), "bucket bigint, band int, lo int, hi int, side int, node binary, comp binary"))
+    suspects = _texts(durable(suspects).join(sig, "node"), nodes, documents)
+    rest = (suspects.groupBy("bucket", "lo", "hi")
+            .applyInArrow(_confirm_block(width, percent, least), "a binary, b binary"))
+    links = durable(links.unionByName(rest))
     roots = components(links)
 
     named = nodes.select("node", "doc_id").join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
