@@ -2,26 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from auditloom.llm import bpe, decontam, langid, pii, toxicity
 from auditloom.llm.common import table
 from auditloom.llm.neardup import near_duplicates
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.expr(f"filter(base, s -> s.kind = '{kind}')")).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.spans_text("base"), 256).alias("base_sha256"), pii.spans_text("spans").alias("spans"))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
-QUERIES = {f.__name__: f for f in (op2_near_duplicates,)}
+def op4_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                       public_tokenizers.PATTERN, decode=True)
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(documents.where(~toxicity.held_out()).join(labels, "doc_id"))
+    return toxicity.predict(documents, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s["end"] - s["start"])
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    net = langid.fit(documents.where(~langid.held_out()))
+    return langid.predict(documents, net).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_personal_data, op2_near_duplicates, op4_byte_pairs, op6_toxicity, op7_decontamination, op10_language)}
 
 _WORD_SETS = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                                '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+                                                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 2 THEN [w[1]]
-                      ELSE list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) END AS s
+                      ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
   FROM words),
 """
 
@@ -30,13 +68,34 @@ SQL = {
 sized AS (SELECT doc_id, s, len(s) AS n FROM sets),
 items AS (SELECT doc_id, n, unnest(s) AS x FROM sized),
 common AS (
-  SELECT a.doc_id AS u, b.doc_id AS v, any_value(a.n) AS nu, any_value(b.n) AS nv, count(*) AS both
+  SELECT a.doc_id AS u, b.doc_id AS v, any_value(a.n) AS nu, any_value(b.n) AS nv, count(*) AS shared
   FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
   GROUP BY 1, 2),
-links AS (SELECT u, v FROM common WHERE 100 * both >= 80 * (nu + nv - both)),
+links AS (SELECT u, v FROM common WHERE 100 * shared >= 80 * (nu + nv - shared)),
 sides AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
 reach AS (SELECT doc_id AS u, doc_id AS r FROM sized UNION SELECT sides.v, reach.r FROM reach JOIN sides ON sides.u = reach.u),
 root AS (SELECT u, min(r) AS component_id FROM reach GROUP BY u)
 SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sized JOIN root ON u = doc_id
+""",
+    "op7_decontamination": r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+bw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+starts AS (SELECT item_id, w, least(10, len(w)) AS k, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM bw WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM starts),
+sizes AS (SELECT DISTINCT k FROM windows),
+places AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw JOIN sizes ON len(w) >= k),
+found AS (
+  SELECT doc_id, i, p.k, item_id FROM places p JOIN windows v ON v.k = p.k AND v.g = array_to_string(w[i:i + p.k - 1], ' ')),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(x, ',' ORDER BY x)) AS s
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(s, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """,
 }
