@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from auditloom.llm import bpe, decontam, langid, pii, toxicity
+from auditloom.llm import bpe, decontam, langid, pii, sharding, template, topk, toxicity
 from auditloom.llm.common import table
 from auditloom.llm.neardup import near_duplicates
 
@@ -28,6 +28,10 @@ def op4_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(table(spark, sf_dir, "embeddings"), k=10, every=100, scale=1024)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -43,6 +47,15 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"), count=24).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     net = langid.fit(documents.where(~langid.held_out()))
@@ -50,7 +63,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_personal_data, op2_near_duplicates, op4_byte_pairs, op6_toxicity, op7_decontamination, op10_language)}
+    op1_personal_data, op2_near_duplicates, op4_byte_pairs, op5_nearest, op6_toxicity, op7_decontamination,
+    op8_main_text, op9_shards, op10_language)}
 
 _WORD_SETS = r"""
 WITH RECURSIVE words AS (
@@ -97,5 +111,15 @@ items AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        coalesce(s, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op5_nearest": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """,
 }
