@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from auditloom.llm import bpe, decontam, langid, pii, sharding, template, topk, toxicity
+from auditloom.llm import bpe, decontam, langid, pii, sharding, template, topk, toxicity, warc
 from auditloom.llm.common import table
 from auditloom.llm.neardup import near_duplicates
 
@@ -20,6 +20,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+def op3_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.captures(table(spark, sf_dir, "pages"))
+
+
 def op4_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                        public_tokenizers.PATTERN, decode=True)
@@ -63,7 +67,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_personal_data, op2_near_duplicates, op4_byte_pairs, op5_nearest, op6_toxicity, op7_decontamination,
+    op1_personal_data, op2_near_duplicates, op3_captures, op4_byte_pairs, op5_nearest, op6_toxicity, op7_decontamination,
     op8_main_text, op9_shards, op10_language)}
 
 _WORD_SETS = r"""
@@ -121,5 +125,15 @@ scored AS (
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
+    "op3_captures": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS h, min(page_id) OVER (PARTITION BY payload) AS origin FROM p)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+         (CAST('0x' || substr(h, 1 + 10 * (i // 8), 10) AS BIGINT) >> CAST(35 - 5 * (i % 8) AS INTEGER)) & 31 AS INTEGER), 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = origin THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> origin THEN origin END AS refers_to
+FROM d
 """,
 }
