@@ -123,7 +123,7 @@ _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
 
 def _scan(phrases: Phrases, keep: list[str]):
-    """One pass: adds to ``spans`` and ``items`` what the phrases hit, and sets ``n_words``."""
+    """One pass: adds to ``_spans`` and ``_items`` what the phrases hit, and sets ``_n_words``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, shard, held, rows = WordHasher(SEPARATORS), Shard(phrases), [], 0
 
@@ -138,14 +138,14 @@ def _scan(phrases: Phrases, keep: list[str]):
                 items.setdefault(r, []).append(phrases.ids[k])
             done = 0
             for batch, counts in held:
-                old_spans, old_items = batch["spans"].to_pylist(), batch["items"].to_pylist()
+                old_spans, old_items = batch["_spans"].to_pylist(), batch["_items"].to_pylist()
                 for i in range(len(batch)):
                     if done + i in items:
                         old_spans[i] = _merged(old_spans[i] + spans[done + i])
                         old_items[i] = sorted({*old_items[i], *items[done + i]})
                 yield pa.RecordBatch.from_arrays(
                     [*(batch[c] for c in keep), pa.array(counts, pa.int64()), pa.array(old_spans, pa.list_(_SPAN)),
-                     pa.array(old_items, pa.list_(pa.string()))], names=[*keep, "n_words", "spans", "items"])
+                     pa.array(old_items, pa.list_(pa.string()))], names=[*keep, "_n_words", "_spans", "_items"])
                 done += len(batch)
             shard, held, rows = Shard(phrases), [], 0
 
@@ -154,7 +154,7 @@ def _scan(phrases: Phrases, keep: list[str]):
                 words, at = hasher(part["text"])
                 if len(words) and phrases.least:
                     shard.add(words, at, rows)
-                held.append((part.select([*keep, "spans", "items"]), np.diff(at)))
+                held.append((part.select([*keep, "_spans", "_items"]), np.diff(at)))
                 rows += len(part)
                 if shard.size >= SHARD_WORDS or rows >= SHARD_DOCUMENTS:
                     yield from flush()
@@ -178,6 +178,23 @@ def item_blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[str,
         yield block
 
 
+def _searched(documents: DataFrame, items: DataFrame, keep: list[str], window: int, block_words: int) -> DataFrame:
+    """Columns ``keep`` of ``documents`` with ``_n_words``, ``_spans`` and ``_items``."""
+    more = ", _n_words bigint, _spans array<struct<start:bigint,end:bigint>>, _items array<string>"
+    kinds = dict(documents.dtypes)
+    rows = documents.select(*{*keep, "text"}, F.expr("CAST(array() AS array<struct<start:bigint,end:bigint>>)").alias("_spans"),
+                            F.expr("CAST(array() AS array<string>)").alias("_items"))
+    blocks = item_blocks(items, block_words)
+    block = next(blocks, [])
+    while True:
+        following = next(blocks, None)
+        columns = list(dict.fromkeys([*keep, "text"])) if following else keep
+        rows = rows.mapInArrow(_scan(Phrases(block, window), columns), ", ".join(f"`{c}` {kinds[c]}" for c in columns) + more)
+        if not following:
+            return rows
+        block = following
+
+
 def find_leaks(documents: DataFrame, items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Occurrences of test items in documents.
 
@@ -191,19 +208,8 @@ def find_leaks(documents: DataFrame, items: DataFrame, window: int = WINDOW, blo
     query set: they go to the tasks in blocks of ``block_words``; each further block is
     one more pass in the same tasks, without a shuffle.
     """
-    kind = dict(documents.dtypes)["doc_id"]
-    more = "n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"
-    rows = documents.select("doc_id", "text", F.expr("CAST(array() AS array<struct<start:bigint,end:bigint>>)").alias("spans"),
-                            F.expr("CAST(array() AS array<string>)").alias("items"))
-    blocks = item_blocks(items, block_words)
-    block = next(blocks, [])
-    while True:
-        following = next(blocks, None)
-        keep = ["doc_id", "text"] if following else ["doc_id"]
-        rows = rows.mapInArrow(_scan(Phrases(block, window), keep), f"doc_id {kind}, {'text string, ' if following else ''}{more}")
-        if not following:
-            return rows
-        block = following
+    return _searched(documents, items, ["doc_id"], window, block_words).select(
+        "doc_id", F.col("_n_words").alias("n_words"), F.col("_spans").alias("spans"), F.col("_items").alias("items"))
 
 
 def _without(text: str, spans: list[dict]) -> str:
@@ -215,10 +221,15 @@ def _without(text: str, spans: list[dict]) -> str:
     return "\n".join([*out, text[at:]])
 
 
-def cut_spans(rows: DataFrame, column: str = "text") -> DataFrame:
-    """``column`` without the words of ``spans``; what stood around a span is joined by a line
-    feed. Rows without spans stay as they are."""
-    def run(texts: pd.Series, spans: pd.Series) -> pd.Series:
+def without_leaks(documents: DataFrame, items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``documents``, all columns kept, with the spans that ``find_leaks`` gives cut from ``text``; what
+    stood around a span is joined by a line feed. A document of which no word is left goes;
+    documents without a span stay as they are."""
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([t if t is None or not len(s) else _without(t, s) for t, s in zip(texts, spans)], dtype=object)
 
-    return rows.withColumn(column, F.pandas_udf(run, "string")(column, "spans"))
+    columns = documents.columns
+    found = _searched(documents, items, columns, window, block_words)
+    left = F.col("_n_words") > F.aggregate("_spans", F.lit(0).cast("bigint"), lambda total, s: total + s["end"] - s["start"])
+    return (found.where(left | (F.size("_spans") == 0))
+            .withColumn("text", F.pandas_udf(cut, "string")("text", "_spans")).select(*columns))

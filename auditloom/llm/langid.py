@@ -28,6 +28,8 @@ WINDOWS_PER_ROW = 4
 EPOCHS = 8
 BATCH = 64
 UNKNOWN = "und"
+#: Texts of lower score are taken for no language.
+LEAST_SCORE = 0.4
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -146,7 +148,7 @@ def fit(rows: DataFrame, per_language: int = ROWS_PER_LANGUAGE) -> ByteNet | Non
     return train(got["piece"].tolist(), got["lang"].tolist()) if len(got) else None
 
 
-def _apply(net: ByteNet | None):
+def _apply(net: ByteNet | None, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
@@ -162,20 +164,34 @@ def _apply(net: ByteNet | None):
                     for i, k in zip(np.flatnonzero(has), best):
                         names[i] = net.languages[k]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(names), pa.array(scores)], names=[*part.schema.names, "lang_pred", "score"])
+                    [*(part[c] for c in keep), pa.array(names), pa.array(scores)], names=[*keep, "_lang", "_score"])
 
     return run
 
 
+def _predicted(documents: DataFrame, net: ByteNet | None, keep: list[str]) -> DataFrame:
+    kinds = dict(documents.dtypes)
+    return documents.select(*{*keep, "text"}).mapInArrow(
+        _apply(net, keep), ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", _lang string, _score double")
+
+
 def predict(documents: DataFrame, net: ByteNet | None) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` of every whole text; other columns are ignored.
 
     A null text, or one without a letter, is ``und`` with score 0, as is every text if there
     was nothing to learn from. Repeated rows stay repeated and agree.
     """
-    return (documents.select("doc_id", "text")
-            .mapInArrow(_apply(net), f"doc_id {dict(documents.dtypes)['doc_id']}, text string, lang_pred string, score double")
-            .drop("text"))
+    return _predicted(documents, net, ["doc_id"]).select("doc_id", F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
+
+
+def with_language(documents: DataFrame, net: ByteNet | None, least: float = LEAST_SCORE) -> DataFrame:
+    """Rows of ``documents``, all columns kept, whose text has a known language: not ``und``, and a
+    score of ``least`` or more. Without a network (nothing to learn from) only texts without a
+    letter go."""
+    if net is None:
+        return documents.where(F.col("text").rlike(r"\p{L}"))
+    found = _predicted(documents, net, documents.columns)
+    return found.where((F.col("_lang") != UNKNOWN) & (F.col("_score") >= least)).select(*documents.columns)
 
 
 def held_out() -> Column:

@@ -53,8 +53,8 @@ def shingle_sets(texts: pa.Array, width: int, hasher: WordHasher) -> list[np.nda
             out.append(np.unique(rolled[lo: hi - width + 1]))
         else:
             h = np.zeros(int(hi > lo), np.uint64)
-            for k, w in enumerate(words[lo:hi]):
-                h = mix(h + w * np.uint64(2 * k + 1) + np.uint64(1))
+            for k in range(hi - lo):
+                h = mix(h + words[lo + k: lo + k + 1] * np.uint64(2 * k + 1) + np.uint64(1))
             out.append(h)
     return out
 
@@ -75,7 +75,7 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 def _describe(width: int):
     """Per row: size of the set, class, bucket keys, and 16 bits of each MinHash value."""
-    names = ["doc_id", "n_shingles", "node", "buckets", "sig"]
+    names = ["doc_id", "text_hash", "n_shingles", "node", "buckets", "sig"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, salt = WordHasher(SPACES), mix(np.arange(1, BANDS + 1, dtype=np.uint64))
@@ -97,7 +97,7 @@ def _describe(width: int):
                     keys.append(known[node][0])
                     sigs.append(known[node][1])
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
+                    [part["doc_id"], part["text_hash"], pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
                      pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], names=names)
 
     return run
@@ -308,8 +308,8 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, mis
     ``documents`` needs ``doc_id`` and ``text``; other columns are ignored. Two texts are linked
     if 100 * |A & B| >= ``percent`` * |A | B| for their sets of ``width``-word shingles (A-Z
     lower-cased, words split at ASCII white space). Returns one row for each input row:
-    ``doc_id``, ``n_shingles``, ``component_id`` (smallest doc_id of the group) and ``kept``
-    (doc_id is that smallest one).
+    ``doc_id``, ``n_shingles``, ``component_id`` (smallest doc_id of the group), ``kept`` (doc_id is
+    that smallest one), ``root`` (names the group; null for an empty set) and ``text_hash`` (xxhash64).
 
     Null and empty texts, or texts without words, have empty sets and are linked with nothing;
     fewer words than ``width`` are one shingle. Repeated rows stay repeated and agree. A null
@@ -319,8 +319,8 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, mis
     """
     least = least_matches(percent / 100, miss)
     documents = documents.select("doc_id", "text")
-    rows = stored(documents.mapInArrow(
-        _describe(width), f"doc_id {dict(documents.dtypes)['doc_id']}, n_shingles bigint, node binary, buckets array<bigint>, sig binary"), "neardup-rows")
+    rows = stored(documents.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        _describe(width), f"doc_id {dict(documents.dtypes)['doc_id']}, text_hash bigint, n_shingles bigint, node binary, buckets array<bigint>, sig binary"), "neardup-rows")
     filled = rows.where("n_shingles > 0")
     nodes = stored(filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("buckets").alias("buckets"),
                                               F.first("sig").alias("sig")), "neardup-nodes")
@@ -355,7 +355,24 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, mis
 
     named = nodes.select("node", "doc_id").join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     least_id = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = named.join(least_id, "root").select("node", "component_id")
+    found = named.join(least_id, "root").select("node", "root", "component_id")
     out = rows.join(found, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "root", "text_hash")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group of near-duplicates, all columns kept: that of the smallest doc_id (then
+    text hash). Of repeated rows one stays. Texts without words are no duplicates of each
+    other, but repeated rows of one doc_id are.
+    """
+    found = near_duplicates(documents, width, percent)
+    row = F.struct("doc_id", "text_hash")
+    groups = found.where("n_shingles > 0").groupBy("root").agg(F.min(row).alias("row"))
+    chosen = groups.select("row.*").unionByName(found.where("n_shingles = 0").select("doc_id", "text_hash")).distinct()
+    many = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("many"))
+    chosen = durable(chosen.alias("c").join(many.alias("m"), F.expr("c.doc_id <=> m.doc_id AND c.text_hash <=> m.text_hash"))
+                     .select(F.col("c.doc_id").alias("_doc_id"), F.col("c.text_hash").alias("_text_hash"), "many"))
+    same = F.expr("doc_id <=> _doc_id AND xxhash64(text) <=> _text_hash")
+    once = documents.join(chosen.where("many = 1"), same, "left_semi")
+    return once.unionByName(documents.join(chosen.where("many > 1"), same, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -17,7 +17,7 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), width=2)
+    return near_duplicates(table(spark, sf_dir, "documents"), width=2).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op3_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
