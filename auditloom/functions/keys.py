@@ -21,8 +21,11 @@ def parcel_key(c: Column | str) -> Column:
 
 
 def account_key(c: Column | str, zero_is_blank: bool = True) -> Column:
-    """Account number as integer text; null (and zero) is ''."""
-    number = col(c).try_cast("double").cast("bigint")
+    """Account number as integer text; null, text that is no number (and zero) is ''.
+
+    Numbers of up to 38 digits stay exact; a fraction is cut.
+    """
+    number = F.regexp_extract(col(c).cast("string"), r"^\s*([+-]?[0-9]+)(?:\.[0-9]*)?\s*$", 1).try_cast("decimal(38,0)")
     blank = number.isNull() | (number == 0) if zero_is_blank else number.isNull()
     return F.when(blank, F.lit("")).otherwise(number.cast("string"))
 
@@ -35,8 +38,11 @@ def extract_city(c: Column | str) -> Column:
     return strip(match(c, fixed.CITY_PATTERN))
 
 
-def address_key(c: Column | str, width: int = 40) -> Column:
-    return F.upper(strip(F.substring(F.coalesce(col(c), F.lit("")), 1, width)))
+def address_key(c: Column | str, width: int | None = 40) -> Column:
+    """Upper-case address. Addresses equal in the first ``width`` characters count as one; None
+    compares them whole."""
+    text = F.coalesce(col(c), F.lit(""))
+    return F.upper(strip(text if width is None else F.substring(text, 1, width)))
 
 
 def _fy(year: Column) -> Column:

@@ -32,10 +32,14 @@ def strip(c: Column | str) -> Column:
 
 
 def round_to(c: Column | str, digits: int = 0) -> Column:
-    """Round half away from zero on the scaled double; the same on every engine."""
+    """Round half away from zero on the scaled double; the same on every engine.
+
+    Values whose scaled form passes 2^53 have no digits left to round and stay.
+    """
     x = col(c).cast("double")
     scale = float(10**digits)
-    magnitude = F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    scaled = F.abs(x) * F.lit(scale)
+    magnitude = F.when(scaled < float(2**53), F.floor(scaled + F.lit(0.5)) / F.lit(scale)).otherwise(F.abs(x))
     return F.when(x < 0, -magnitude).otherwise(magnitude)
 
 
@@ -75,11 +79,12 @@ def money_sum(c: Column | str, wide: bool = False) -> Column:
     """Exact sum of amounts with two digits: whole cents add in any order, doubles do not.
 
     Rounding to cents and widening a long is far cheaper per row than casting a
-    double to a decimal. ``wide`` is for decimal sums that are summed again.
+    double to a decimal. ``wide`` is for decimal sums that are summed again. NaN and
+    amounts beyond 18 digits of cents count as missing.
     """
     if wide:
         return F.sum(as_money(c, wide=True))
-    cents = F.rint(col(c).cast("double") * F.lit(100.0)).cast("bigint").cast("decimal(18,0)")
+    cents = F.rint(col(c).cast("double") * F.lit(100.0)).try_cast("bigint").try_cast("decimal(18,0)")
     return (F.sum(cents) / F.lit(100)).cast("decimal(30,2)")
 
 

@@ -130,7 +130,9 @@ def property_records(records: DataFrame, keep: Sequence[str], caps: Mapping = fi
     def pick(name: str) -> Column:
         return F.when(four_ok, F.col(f"four.{name}")).when(three_ok, F.col(f"three.{name}"))
 
-    improvement = F.when(F.coalesce(four_ok, F.lit(False)), F.col("four.improvement"))
+    # A block whose total is zero still gives its improvement; the land-only form has none of its own.
+    capped = (F.col("four.total") < caps["total"]) & (F.col("four.tax") < caps["tax"])
+    improvement = F.when(F.coalesce(capped, F.lit(False)), F.col("four.improvement"))
     return _with_values(base, pick("land"), improvement, pick("total"), pick("tax")).drop("four", "three")
 
 

@@ -97,7 +97,7 @@ def assign_classes(df: DataFrame, value: str, edges: DataFrame, name: str = "cla
     The edges (one per class) come in as one array through a scalar subquery.
     """
     packed = edges.agg(F.array_sort(F.collect_list(F.struct("idx", "edge"))).alias("e"))
-    with_edges = df.withColumn("_upper", packed.select(F.slice(F.col("e.edge"), 2, 1 << 20).alias("edges")).scalar())
+    with_edges = df.withColumn("_upper", packed.select(F.slice(F.col("e.edge"), F.lit(2), F.greatest(F.size("e.edge") - 1, F.lit(0))).alias("edges")).scalar())
     upper, v = F.col("_upper"), F.col(value).cast("double")
     first = F.size(F.filter(upper, lambda edge: edge < v))
     place = F.least(first, F.size(upper) - 1).cast("bigint")

@@ -42,22 +42,28 @@ def semi_join(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(keys, list(on), "left_semi")
 
 
+def _keyed_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Left join in which blank keys, however many, stay out of the shuffle."""
+    blank = F.coalesce(F.col(left_key), F.lit("")) == ""
+    matched = left.filter(~blank).join(right, F.col(left_key) == F.col(right_key), "left")
+    return matched.unionByName(left.filter(blank), allowMissingColumns=True)
+
+
 def parcel_join(parcels: DataFrame, records: DataFrame, parcel_id: str, code: str, columns: Sequence[str],
                 year: str = "year") -> DataFrame:
-    """Parcels with the latest year's record of the same normalised id."""
+    """Parcels with the latest year's record of the same normalised id; blank ids match nothing."""
     latest = latest_partition(records, year)
-    right = latest.select(strip(F.col(code)).alias("parcel_key"), *columns)
-    return parcels.withColumn("parcel_key", parcel_key(parcel_id)).join(right, "parcel_key", "left")
+    right = latest.select(strip(F.col(code)).alias("_code"), *columns).filter("_code <> ''")
+    return _keyed_left_join(parcels.withColumn("parcel_key", parcel_key(parcel_id)), right, "parcel_key", "_code").drop("_code")
 
 
 def account_join(parcels: DataFrame, records: DataFrame, left_key: str, right_key: str,
-                 columns: Sequence[str], year: str | None = "year", match_blank: bool = False) -> DataFrame:
+                 columns: Sequence[str], year: str | None = "year") -> DataFrame:
     """Parcels with the latest year's record of the same account number.
 
-    Shared column names get ``_gis`` and ``_tax``. Blank keys match nothing by
-    default. With ``match_blank`` they match each other, so the result grows
-    with the product of the blank rows; :func:`account_match_report` tells the
-    size beforehand without forming the pairs.
+    Shared column names get ``_gis`` and ``_tax``. Blank keys match nothing;
+    :func:`account_match_report` counts what matching them would give, without
+    forming the pairs.
     """
     latest = latest_partition(records, year) if year else records
     shared = set(parcels.columns) & set(columns)
@@ -65,12 +71,7 @@ def account_join(parcels: DataFrame, records: DataFrame, left_key: str, right_ke
                           account_key(left_key).alias("macct_str"))
     right = latest.select(account_key(right_key, zero_is_blank=False).alias("acct_str"),
                           *[F.col(c).alias(f"{c}_tax" if c in shared else c) for c in columns])
-    on = F.col("macct_str") == F.col("acct_str")
-    if not match_blank:
-        # A blank key becomes null, which joins to nothing and costs no shuffle skew on the right.
-        right = right.filter(F.col("acct_str") != "")
-        on = F.nullif(F.col("macct_str"), F.lit("")) == F.col("acct_str")
-    return left.join(right, on, "left")
+    return _keyed_left_join(left, right.filter("acct_str <> ''"), "macct_str", "acct_str")
 
 
 def account_match_report(parcels: DataFrame, records: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -98,13 +99,15 @@ def match_rate(joined: DataFrame, column: str) -> DataFrame:
         "match_pct", percent("matched", "rows", 1))
 
 
-def unnest_json(df: DataFrame, column: str, element: str, keep: Sequence[str] = (), limit: int = 25) -> DataFrame:
-    """Elements 0..limit-1 of a JSON array column, one row each.
+def unnest_json(df: DataFrame, column: str, element: str, keep: Sequence[str] = (), limit: int | None = None) -> DataFrame:
+    """Elements of a JSON array column (0..limit-1 if there is a limit), one row each.
 
     ``element`` is the DDL type of one element; the position is ``i``.
     """
     items = F.from_json(F.col(column), f"array<{element}>")
-    return (df.select(*keep, F.posexplode(F.slice(items, 1, limit)).alias("i", "item"))
+    if limit is not None:
+        items = F.slice(items, 1, limit)
+    return (df.select(*keep, F.posexplode(items).alias("i", "item"))
             .filter(F.col("item").isNotNull()).select(*keep, "i", "item.*"))
 
 

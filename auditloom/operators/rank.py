@@ -20,6 +20,9 @@ from auditloom.session import durable
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low bits
 
 
+ROWS_PER_PARTITION = 1_000_000
+
+
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """First ``k`` rows; end ``order`` with a unique key so ties are settled."""
     return df.orderBy(*order).limit(k)
@@ -60,9 +63,10 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank",
 
     One range shuffle; the ranged rows are checkpointed, so that counting and
     numbering see the same partitions and the loss of an executor cannot change
-    them. The offset table has one row per partition. Runs one job when called.
+    them. The offset table has one row per partition. A partition has about
+    ``ROWS_PER_PARTITION`` rows; a first job counts them.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(1, -(-df.count() // ROWS_PER_PARTITION))
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_id", F.monotonically_increasing_id()))
     ranged = durable(ranged.withColumn("_part", F.shiftrightunsigned("_id", _ROW_BITS))

@@ -52,7 +52,7 @@ def group_rollup(df: DataFrame, keys: Mapping[str, Column | str] | Sequence[str]
 
 
 def with_share(rollup: DataFrame, measure: str, name: str, scope: Sequence[str] = (), digits: int = 2,
-               small: bool = True) -> DataFrame:
+               small: bool = False) -> DataFrame:
     """Percent of the scope's total, 0 if the total is 0.
 
     ``rollup`` must already be aggregated. ``small`` says that a scope holds few
@@ -76,9 +76,9 @@ def district_rollup(df: DataFrame, district: str = "district", tax: str = "tax_a
     """Per district: count, sums, acreage, shares of county value and tax, mean value."""
     by = {"district": F.coalesce(F.col(district), F.lit("Unknown"))}
     out = group_rollup(df, by, measures, acreage=acreage)
-    out = with_share(out, "total_value", "pct_of_county_value")
+    out = with_share(out, "total_value", "pct_of_county_value", small=True)
     if tax in measures:
-        out = with_share(out, tax, "pct_of_county_tax")
+        out = with_share(out, tax, "pct_of_county_tax", small=True)
     return out.withColumn("avg_property_value", ratio("total_value", "property_count", digits=0, default=0.0))
 
 
@@ -101,7 +101,7 @@ def class_rollup(df: DataFrame, class_column: str = "property_class", measures:
     out = group_rollup(df, {"property_class": cls}, measures, "count")
     fallback = F.concat(F.lit("Class "), F.col("property_class").cast("string"))
     out = out.withColumn("class_name", lookup("property_class", names, fallback))
-    return with_share(out, "total_value", "pct_of_total")
+    return with_share(out, "total_value", "pct_of_total", small=True)
 
 
 def zone_rollup(df: DataFrame, zone: str = "zone") -> DataFrame:
@@ -115,8 +115,8 @@ def entity_breakdown(df: DataFrame, entity: str = "entity_type", value: str = "t
     out = df.groupBy(*scope, entity).agg(
         row_count(weight).alias("count"),
         value_sum(value, weight).alias("total_value"))
-    out = with_share(out, "count", "pct_records", scope, digits)
-    return with_share(out, "total_value", "pct_value", scope, digits)
+    out = with_share(out, "count", "pct_records", scope, digits, small=True)
+    return with_share(out, "total_value", "pct_value", scope, digits, small=True)
 
 
 def owner_rollup(df: DataFrame, owner: str = "owner", value: str = "total_value", keys: Sequence[str] = (),
@@ -225,8 +225,8 @@ def weighted_labels(members: DataFrame, labels: DataFrame, key: str, label: str,
         label, F.coalesce(F.col(label).cast("string"), F.lit(default)))
     out = joined.groupBy(label).agg(F.count(F.lit(1)).alias("members"),
                                     F.sum(weight).cast("bigint").alias("weight"))
-    out = with_share(out, "members", "pct_members", digits=digits)
-    return with_share(out, "weight", "pct_weight", digits=digits)
+    out = with_share(out, "members", "pct_members", digits=digits, small=True)
+    return with_share(out, "weight", "pct_weight", digits=digits, small=True)
 
 
 def top_members_per_label(members: DataFrame, labels: DataFrame, key: str, label: str, weight: str,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Applied only when this module builds the session; a session handed in by a
@@ -14,6 +12,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -30,22 +29,16 @@ def build_session(app: str = "auditloom", master: str | None = None, **conf: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint folder of the session.
 
-    The folder named in ``spark.checkpoint.dir`` wins.  A private one is created
-    only in local mode, where driver and executors share the disk; on a cluster
-    a missing setting is an error, because a machine-local folder would not
-    survive the loss of an executor.
+    The folder named in ``spark.checkpoint.dir`` wins. Where it is unset, a folder in the
+    warehouse is used, which driver and executors share too.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        configured = tempfile.mkdtemp(prefix="auditloom-ckpt-")
-    sc.setCheckpointDir(configured)
-    return configured
+    sc.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
+    return sc.getCheckpointDir()
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -57,18 +50,3 @@ def durable(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-_SPREAD_BYTES = 16 << 20
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a small scan over the cores before work that costs CPU per row.
-
-    A file is read by as many tasks as it has row groups. Below 16 MB per core
-    there may be fewer than cores, and moving that little data is cheap; above
-    it the scan already has enough tasks and nothing is shuffled.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if size < cores * _SPREAD_BYTES else df

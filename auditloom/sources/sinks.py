@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Snappy Parquet; ``partition_by`` gives later reads partition pruning."""
+    """Snappy Parquet; ``partition_by`` gives later reads partition pruning.
+
+    Rows are rebalanced by the partition columns first, so a partition is a few files, and a
+    large one is split.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("compression", "snappy")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
@@ -38,16 +44,24 @@ def size_report(spark: SparkSession, source: str, target: str) -> DataFrame:
     return wide.withColumn("times_smaller", F.expr("try_divide(cast(source_bytes as double), target_bytes)"))
 
 
-def verify(spark: SparkSession, paths: str | list[str], manifest: DataFrame) -> DataFrame:
-    """Compare files with a manifest of ``file, size, sha256``.
+def contents(spark: SparkSession, root: str) -> DataFrame:
+    """``file`` (path below ``root``), ``size`` and ``content`` of all files under a folder. A file above
+    2 GB is refused by the reader; shard such files first."""
+    base = "/" + root.split("://", 1)[-1].strip("/") + "/"
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+            .select(F.substring_index(F.col("path"), base, -1).alias("file"),
+                    F.col("length").cast("bigint").alias("size"), "content"))
+
+
+def verify(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Compare ``files`` (``file, size, content``) with a manifest of ``file, size, sha256``.
 
-    Files are hashed in the tasks that read them; only names, sizes and digests
-    are joined. A file missing on either side is kept with a null match.
+    Contents are hashed in the tasks that read them; only names, sizes and digests
+    are joined. ``file`` is a path, so equal base names in two folders stay apart. A
+    file missing on either side is kept with a null match.
     """
-    found = spark.read.format("binaryFile").load(paths).select(
-        F.col("_metadata.file_name").alias("file"),
-        F.col("length").cast("bigint").alias("actual_size"),
-        F.sha2("content", 256).alias("actual_sha256"))
+    found = files.select("file", F.col("size").cast("bigint").alias("actual_size"),
+                         F.sha2(F.col("content").cast("binary"), 256).alias("actual_sha256"))
     wanted = manifest.select("file", F.col("size").cast("bigint").alias("expected_size"),
                              F.lower("sha256").alias("expected_sha256"))
     joined = found.join(wanted, "file", "full_outer")

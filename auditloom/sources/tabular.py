@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -17,32 +18,33 @@ CELL_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()),
 ])
 
-_BAD_ROW = "_malformed"
-
-
-def read_coded_tsv(spark: SparkSession, path: str, fields: Mapping[str, str] = fixed.SURVEY_FIELDS,
+def read_coded_tsv(spark: SparkSession, path: str | list[str], fields: Mapping[str, str] = fixed.SURVEY_FIELDS,
                    key: str = fixed.SURVEY_KEY, codes: tuple[str, ...] = fixed.SURVEY_MISSING,
                    min_cells: int = fixed.SURVEY_MIN_CELLS, sep: str = "\t") -> DataFrame:
-    """Columns looked up by header name, missing-data codes as null.
+    """Columns looked up by each file's own header, missing-data codes as null.
 
-    Header names absent from the file give null columns. Rows with fewer than
-    ``min_cells`` cells are dropped; longer rows that lack trailing cells stay.
+    Header names absent from a file give null columns; the key is the first column where its
+    name is absent. Rows with fewer than ``min_cells`` cells are dropped; longer rows that lack
+    trailing cells stay. A header is the first line of its file: one small row per file, joined
+    to the file's lines by path. Cells are not quoted.
     """
-    reader = spark.read.option("sep", sep).option("header", True)
-    header = reader.csv(path).columns
-    schema = T.StructType([T.StructField(h, T.StringType()) for h in header]
-                          + [T.StructField(_BAD_ROW, T.StringType())])
-    # Short rows are told by the malformed-row column, which needs all columns to be parsed.
-    raw = (reader.schema(schema).option("columnNameOfCorruptRecord", _BAD_ROW)
-           .option("mode", "PERMISSIVE").option("columnPruning", False).csv(path))
-    cells = F.when(F.col(_BAD_ROW).isNull(), F.lit(len(header))).otherwise(
-        F.size(F.split(F.col(_BAD_ROW), sep)))
-    rows = raw.filter(cells >= min_cells)
-    null = F.lit(None).cast("double")
-    values = [(coded_number(name, codes) if name in header else null).alias(alias)
-              for name, alias in fields.items()]
-    key_column = F.col(key if key in header else header[0]).alias(key)
-    return rows.select(key_column, F.col("_metadata.file_name").alias("source_file"), *values)
+    lines = (spark.read.text(path).filter(F.length("value") > 0)
+             .select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("source_file"),
+                     F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"),
+                     F.split("value", re.escape(sep)).alias("_cells")))
+    # Within a block of a file, ids rise with the lines.
+    first = lines.groupBy("_path").agg(F.min_by(F.struct(F.col("_id").alias("_head_id"), F.col("_cells").alias("_head")),
+                                                F.struct("_start", "_id")).alias("h"))
+    heads = first.select("_path", "h._head_id", *[F.array_position("h._head", name).alias(f"_at_{i}") for i, name in enumerate([key, *fields])])
+    rows = (lines.join(heads, "_path").filter((F.col("_id") != F.col("_head_id")) & (F.size("_cells") >= min_cells)))
+
+    def cell(i: int) -> Column:
+        at = F.col(f"_at_{i}").cast("int")
+        return F.when(at > 0, F.get("_cells", at - 1))
+
+    named = rows.select(F.when(F.col("_at_0") > 0, cell(0)).otherwise(F.get("_cells", F.lit(0))).alias(key), "source_file",
+                        *[F.nullif(cell(i + 1), F.lit("")).alias(f"_v{i}") for i in range(len(fields))])
+    return named.select(key, "source_file", *[coded_number(f"_v{i}", codes).alias(alias) for i, alias in enumerate(fields.values())])
 
 
 def file_bucket(name: Column | str = "_metadata.file_name",

@@ -20,7 +20,7 @@ from auditloom import fixed
 from auditloom.functions.keys import extract_state
 from auditloom.functions.names import classify_entity, clean_owner_name
 from auditloom.functions.numbers import money_sum
-from auditloom.session import durable, spread
+from auditloom.session import durable
 
 NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
          "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -61,8 +61,8 @@ class Tables:
 
     @cached_property
     def wide_orders(self) -> DataFrame:
-        """``orders`` for text work: over all cores even if the file is one small row group."""
-        return spread(self.orders, "o_orderkey")
+        """``orders`` for text work."""
+        return self.orders
 
     @cached_property
     def records(self) -> DataFrame:

@@ -26,9 +26,9 @@ def series_long(t: Tables) -> DataFrame:
                                         total.alias("total")))
 
 
-@query("V2", "SELECT o_totalprice AS x, CAST(o_custkey AS DOUBLE) AS y FROM orders WHERE o_orderstatus = 'F'")
+@query("V2", "SELECT o_totalprice AS x, CAST(o_custkey AS DOUBLE) AS y FROM orders")
 def scatter_frame(t: Tables) -> DataFrame:
-    return V.scatter_frame(t.orders.filter("o_orderstatus = 'F'").select("o_totalprice", "o_custkey"))
+    return V.scatter_frame(t.orders.select("o_totalprice", "o_custkey"))
 
 
 @query("V3", """
@@ -141,25 +141,27 @@ SELECT CAST(o_orderkey AS VARCHAR) AS "LEAID", CAST(CASE WHEN o_custkey % 5 = 0
   CAST(CASE o_orderstatus WHEN 'F' THEN NULL ELSE o_orderkey END AS DOUBLE) AS total_revenue, NULL::DOUBLE AS capital_outlay
 FROM orders""")
 def coded_tsv_scan(t: Tables) -> DataFrame:
-    """Orders written as tab-separated survey files with missing codes and read back by header name."""
-    path = _scratch(t)
+    """Orders written as tab-separated survey files of two header orders, with missing codes, read back by header name."""
     filler = [F.lit("0").alias(f"X{i}") for i in range(8)]
-    rows = t.orders.select(
-        F.col("o_orderkey").alias("LEAID"), *filler,
-        F.when(F.col("o_custkey") % 5 == 0, "M").otherwise(F.col("o_custkey").cast("string")).alias("V33"),
-        F.when(F.col("o_orderstatus") == "F", "-2").otherwise(F.col("o_orderkey").cast("string")).alias("TOTALREV"))
-    write_csv(rows, path, sep="\t")
-    return read_coded_tsv(t.spark, path).select("LEAID", "enrollment", "total_revenue", "capital_outlay")
-
-
-@query("S12")
+    pupils = F.when(F.col("o_custkey") % 5 == 0, "M").otherwise(F.col("o_custkey").cast("string")).alias("V33")
+    revenue = F.when(F.col("o_orderstatus") == "F", "-2").otherwise(F.col("o_orderkey").cast("string")).alias("TOTALREV")
+    base = _scratch(t)
+    even, odd = (t.orders.filter(F.col("o_orderkey") % 2 == k) for k in (0, 1))
+    write_csv(even.select(F.col("o_orderkey").alias("LEAID"), *filler, pupils, revenue), f"{base}/a", sep="\t")
+    write_csv(odd.select(revenue, *filler, F.col("o_orderkey").alias("LEAID"), pupils), f"{base}/b", sep="\t")
+    return read_coded_tsv(t.spark, [f"{base}/a", f"{base}/b"]).select("LEAID", "enrollment", "total_revenue", "capital_outlay")
+
+
+@query("S12", """
+WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS file, doc_id % 7 AS k FROM documents)
+SELECT file, CASE k WHEN 0 THEN 'unlisted' WHEN 1 THEN 'changed' WHEN 2 THEN 'changed' ELSE 'ok' END AS state FROM d
+UNION ALL SELECT 'ghost/' || file, 'missing' FROM d WHERE k = 3""")
 def checksum_audit(t: Tables) -> DataFrame:
-    """The data files against a manifest that lacks one, invents one and alters one."""
-    files = [f"{t.folder}/{n}.parquet" for n in ("region", "nation", "supplier", "customer", "part")]
-    seen = t.spark.read.format("binaryFile").load(files).select(
-        F.col("_metadata.file_name").alias("file"), F.col("length").alias("size"),
-        F.sha2("content", 256).alias("sha256"))
-    altered = seen.filter("file <> 'part.parquet'").withColumn(
-        "size", F.when(F.col("file") == "nation.parquet", F.col("size") + 1).otherwise(F.col("size")))
-    ghost = seen.filter("file = 'region.parquet'").withColumn("file", F.lit("ghost.parquet"))
-    return verify(t.spark, files, altered.unionByName(ghost)).select("file", "state")
+    """All document texts as files, against a manifest that lacks some, invents some, and has wrong sizes and digests."""
+    files = t.documents.select(F.col("doc_id").cast("string").alias("file"), F.octet_length("text").alias("size"),
+                               F.col("text").alias("content"), (F.col("doc_id") % 7).alias("k"))
+    listed = files.filter("k <> 0").select(
+        "file", "k", F.when(F.col("k") == 1, F.col("size") + 1).otherwise(F.col("size")).alias("size"),
+        F.when(F.col("k") == 2, F.sha2(F.lit("other"), 256)).otherwise(F.upper(F.sha2("content", 256))).alias("sha256"))
+    ghosts = listed.filter("k = 3").withColumn("file", F.concat(F.lit("ghost/"), "file"))
+    return verify(files, listed.unionByName(ghosts)).select("file", "state")

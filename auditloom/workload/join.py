@@ -67,9 +67,9 @@ def blank_key_report(t: Tables) -> DataFrame:
 @query("J8 N12", f"""
 WITH {REC}, o AS (SELECT district, owner, CAST(sum(total_value) AS BIGINT) AS v, count(*) AS n FROM rec GROUP BY ALL),
 q AS (SELECT *, row_number() OVER (PARTITION BY district ORDER BY v DESC, owner) AS rk FROM o)
-SELECT district, rk - 1 AS i, owner, v AS total_value, n AS properties FROM q WHERE rk <= 25""")
+SELECT district, rk - 1 AS i, owner, v AS total_value, n AS properties FROM q WHERE rk <= 30""")
 def json_array_unnest(t: Tables) -> DataFrame:
-    """A JSON array of thirty owners per district, of which 25 are read back."""
+    """A JSON array of thirty owners per district, read back whole."""
     owners = t.records.groupBy("district", "owner").agg(
         F.round(money_sum("total_value"), 0).cast("bigint").alias("total_value"), F.count(F.lit(1)).alias("properties"))
     top = top_k_per_group(owners, ["district"], [F.col("total_value").desc(), F.col("owner")], 30)

@@ -125,3 +125,9 @@ def test_target_filter_falls_back_to_names(spark):
     assert [r.k for r in target_filter(coded, "k", targets).collect()] == ["069"]
     named = spark.createDataFrame([("ALPHA COUNTY schools",), ("x",)], "k string")
     assert [r.k for r in target_filter(named, "k", targets).collect()] == ["ALPHA COUNTY schools"]
+
+
+def test_rounding_and_sums_of_odd_amounts(spark):
+    assert apply(spark, lambda c: U.round_to(c, 2), [2e17, -2e17, 1.005, None], "double") == [2e17, -2e17, 1.0, None]
+    rows = spark.createDataFrame([(1.25,), (float("nan"),), (1e30,), (2.5,)], "v double")
+    assert float(rows.agg(U.money_sum("v").alias("s")).first().s) == 3.75

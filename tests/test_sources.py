@@ -78,6 +78,14 @@ def test_coded_tsv(spark, tmp_path):
     assert out[0].source_file == "sdf.txt"
 
 
+def test_each_tsv_file_has_its_own_header(spark, tmp_path):
+    filler = [f"C{i}" for i in range(9)]
+    for name, header, row in (("a.txt", ["LEAID", "V33", "TOTALREV"], ["1", "10", "999"]), ("b.txt", ["TOTALREV", "LEAID", "V33"], ["999", "2", "10"])):
+        (tmp_path / name).write_text("\t".join(header + filler) + "\n" + "\t".join(row + ["0"] * 9) + "\n")
+    out = tabular.read_coded_tsv(spark, str(tmp_path / "*.txt")).orderBy("LEAID").collect()
+    assert [(r.LEAID, r.enrollment, r.total_revenue) for r in out] == [("1", 10.0, 999.0), ("2", 10.0, 999.0)]
+
+
 def test_file_family(spark, tmp_path):
     for name in ("Enrollment_vdoe.json", "staffing.json", "apa_x.json", "other.json"):
         (tmp_path / name).write_text('{"v": 1}\n')
@@ -100,14 +108,16 @@ def test_sinks_and_checksums(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "p")).count() == 100
     report = sinks.size_report(spark, str(tmp_path / "j"), str(tmp_path / "p")).first()
     assert report.source_bytes > 0 and report.target_bytes > 0 and report.times_smaller > 0
-    for name, body in (("a.bin", b"one"), ("b.bin", b"two"), ("c.bin", b"three")):
-        (tmp_path / name).write_bytes(body)
+    for name, body in (("a.bin", b"one"), ("b.bin", b"two"), ("c.bin", b"three"), ("x/a.bin", b"one"), ("y/a.bin", b"two")):
+        (tmp_path / "bin" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "bin" / name).write_bytes(body)
     manifest = spark.createDataFrame([
-        ("a.bin", 3, hashlib.sha256(b"one").hexdigest().upper()), ("b.bin", 3, "00"), ("gone.bin", 1, "00")],
+        ("a.bin", 3, hashlib.sha256(b"one").hexdigest().upper()), ("b.bin", 3, "00"), ("gone.bin", 1, "00"),
+        ("x/a.bin", 3, hashlib.sha256(b"one").hexdigest()), ("y/a.bin", 3, hashlib.sha256(b"two").hexdigest())],
         "file string, size long, sha256 string")
-    out = sinks.verify(spark, str(tmp_path / "*.bin"), manifest).collect()
+    out = sinks.verify(sinks.contents(spark, str(tmp_path / "bin")), manifest).collect()
     assert {r.file: r.state for r in out} == {
-        "a.bin": "ok", "b.bin": "changed", "c.bin": "unlisted", "gone.bin": "missing"}
+        "a.bin": "ok", "b.bin": "changed", "c.bin": "unlisted", "gone.bin": "missing", "x/a.bin": "ok", "y/a.bin": "ok"}
 
 
 BOOK = """COUNTY OF ALPHA 2024
