@@ -37,6 +37,8 @@ class FMIndex:
     """
 
     def __init__(self, text: np.ndarray, size: int, step: int = 16):
+        if not len(text) or text[-1]:
+            text = np.append(text, 0)
         n = len(text)
         self.text_length = n
         order = _suffix_order(text)

@@ -84,6 +84,10 @@ SPELLED = {
 AT_WORDS = ("at", "arroba", "arobase", "ät")
 DOT_WORDS = ("dot", "punkt", "punto", "point")
 
+#: Last labels of a host that is spelled in bare words.
+ENDINGS = """com org net edu gov info biz io ai co app dev eu uk ca au nz de ch fr es mx ar nl pt br pl se dk fi ie jp cn ru
+example test""".split()
+
 # A set of few ranges is searched fast; the tables then tell which of these characters count.
 _ODD = re.compile("[\\xad\\xb7\\u0370-\\U0010ffff]")
 _SPELLED = "|".join(sorted(SPELLED, key=len, reverse=True))
@@ -92,7 +96,7 @@ _DIGIT_RUN = re.compile(rf"(?<!\w)(?:(?:{_SPELLED})|[0-9]+)(?:[\x20.-]{{1,3}}(?:
 _SPELLED_WORD = re.compile(rf"(?<!\w)(?:{_SPELLED})(?!\w)", re.I)
 _BRACKETED = re.compile(rf"\s*[(\[{{<]\s*(?:(?P<at>{'|'.join(AT_WORDS)}|@)|(?P<dot>{'|'.join(DOT_WORDS)}|\.))\s*[)\]}}>]\s*", re.I)
 # Bare words count in the shape: name at host dot name.
-_WORDED = re.compile(rf"(?<![\w.%+-])[a-z0-9._%+-]+(?P<at>\s+(?:{'|'.join(AT_WORDS)})\s+)(?P<host>[a-z0-9-]+(?:\s+(?:{'|'.join(DOT_WORDS)})\s+[a-z0-9-]+)+)(?!\w)", re.I)
+_WORDED = re.compile(rf"(?<![\w.%+-])[a-z0-9._%+-]+(?P<at>\s+(?:{'|'.join(AT_WORDS)})\s+)(?P<host>(?:[a-z0-9-]+\s+(?:{'|'.join(DOT_WORDS)})\s+)+(?:{'|'.join(ENDINGS)}))(?!\w)", re.I)
 _DOT = re.compile(rf"\s+(?:{'|'.join(DOT_WORDS)})\s+", re.I)
 _BETWEEN = re.compile(rf"(?<!\w)(?:{_SPELLED}|[0-9]+)(?P<dot>\s+(?:{'|'.join(DOT_WORDS)})\s+)(?=(?:{_SPELLED}|[0-9]+)(?!\w))", re.I)
 _SPACED = re.compile(r"(?<=[A-Za-z0-9])\s+@\s+(?=[A-Za-z0-9-]+\.[A-Za-z])")

@@ -26,7 +26,7 @@ PAGES = 5
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
     |<(?P<raw>script|style|textarea|title|noscript|template|iframe|xmp)\b[^>]*>.*?(?:</(?P=raw)[^>]*>|\Z)
-    |<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:"[^"<>]*"|'[^'<>]*'|[^>])*+)>
+    |<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:"[^"<]*"|'[^'<]*'|[^>])*+)>
     |<[!?][^>]*>""", re.S | re.I | re.X)
 _ATTR = re.compile(r"""([a-z][a-z0-9-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _NAME = re.compile(r"[a-z]+")

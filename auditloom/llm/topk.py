@@ -90,7 +90,7 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024
     ``vectors`` needs ``vec_id`` and ``embedding``; other columns are ignored. Vectors that are
     null or empty, or hold null or non-finite components, and rows with a null id, take no part;
     vectors of different dimension are not compared. Rows with the query's id are its own; of
-    queries with one id the smallest vector asks. Scores beyond 64 bits are clipped.
+    queries with one id the smallest vector asks. Components and scores beyond 64 bits are clipped to them.
     """
     rows = (vectors.where("vec_id IS NOT NULL AND size(embedding) > 0")
             .where(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf"))))
