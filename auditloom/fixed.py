@@ -161,6 +161,44 @@ THRESHOLDS = {"admin_ratio_target": 5.0, "admin_ratio_warning": 10.0, "instructi
               "per_pupil_admin_warning": 1200}
 AUDIT_THRESHOLDS = {"admin_pct_of_total_staff": 10.0, "admin_per_1000_students": 3.5,
                     "admin_to_teacher_ratio": 0.05, "admin_growth_vs_enrollment": 2.0}
+# Texts of the flags; {v} is the value, {t} the threshold.
+BENCHMARK_MESSAGES = {
+    "admin_ratio_warning": "Administrative spending ratio ({v}%) exceeds {t}% threshold",
+    "admin_ratio_target": "Administrative spending ratio ({v}%) above {t}% target",
+    "instruction_ratio_warning": "Instruction spending ratio ({v}%) below {t}% minimum",
+    "instruction_ratio_target": "Instruction spending ratio ({v}%) below {t}% target",
+    "admin_to_student_warning": "Admin-to-student ratio (1:{v}) below 1:{t} threshold",
+    "admin_to_student_target": "Admin-to-student ratio (1:{v}) below 1:{t} target",
+    "per_pupil_admin_warning": "Per-pupil admin spending (${v}) exceeds ${t} threshold",
+}
+CONSOLIDATED_MESSAGES = {
+    "admin_ratio_warning": "Admin spending ({v}%) exceeds {t}% threshold",
+    "admin_ratio_target": "Admin spending ({v}%) above {t}% target",
+    "instruction_ratio_warning": "Instruction spending ({v}%) below {t}% minimum",
+    "per_pupil_admin_warning": "Per-pupil admin (${v}) exceeds ${t}",
+}
+HISTORY_MESSAGES = {
+    "admin_ratio_warning": "Admin spending ({v:.1f}%) exceeds {t}% threshold",
+    "admin_ratio_target": "Admin spending ({v:.1f}%) above {t}% target",
+    "instruction_ratio_warning": "Instruction ({v:.1f}%) below {t}% minimum",
+    "per_pupil_admin_warning": "Per-pupil admin (${v:.0f}) exceeds ${t}",
+}
+AUDIT_TITLES = {
+    "admin_pct_of_total_staff": "High Admin Ratio",
+    "admin_per_1000_students": "High Admin Per Student",
+    "admin_to_teacher_ratio": "High Admin-to-Teacher Ratio",
+    "admin_growth_vs_enrollment": "Admin Growing Faster Than Enrollment",
+    "school_pct_of_budget": "Declining School Share of County Budget",
+    "ok": "Admin Ratio Within Threshold",
+}
+AUDIT_MESSAGES = {
+    "admin_pct_of_total_staff": "Admin staff ({v}%) exceeds {t}% threshold",
+    "admin_per_1000_students": "Admin positions per 1000 students ({v}) exceeds {t} threshold",
+    "admin_to_teacher_ratio": "Admin-to-teacher ratio ({v:.4f}) exceeds {t} threshold",
+    "admin_growth_vs_enrollment": "Admin growth (%s%%) is %.1fx enrollment growth (%s%%)",
+    "school_pct_of_budget": "School share declined from %s%% (%s) to %s%% (%s)",
+    "ok": "Admin staff ratio (%s%%) is within acceptable range",
+}
 PER_UNIT_CATEGORIES = {"total": "total", "instruction": "instruction", "administration": "administration",
                        "pupil_transportation": "transportation", "operations_maintenance": "operations",
                        "facilities": "facilities", "debt_service": "debt_service", "technology": "technology"}

@@ -6,6 +6,7 @@ Rules are data. Each rule set becomes one projection (flags) or one aggregate
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -29,37 +30,42 @@ class Rule:
 
 
 _T = fixed.THRESHOLDS
+
+
+def _tiers(texts: Mapping[str, str], *steps: tuple[str, str]) -> tuple[tuple[float, str, str], ...]:
+    return tuple((_T[name], severity, texts[name]) for name, severity in steps)
+
+
+def _benchmarks(texts: Mapping[str, str]) -> tuple[Rule, ...]:
+    """Rules of consolidated and historical metrics: no medium tier for instruction, no staff ratio."""
+    return (
+        Rule("admin_ratio", "administration_pct", True,
+             _tiers(texts, ("admin_ratio_warning", "high"), ("admin_ratio_target", "medium"))),
+        Rule("instruction_ratio", "instruction_pct", False, _tiers(texts, ("instruction_ratio_warning", "high")), True),
+        Rule("per_pupil_admin", "per_pupil_admin", True, _tiers(texts, ("per_pupil_admin_warning", "medium"))))
+
+
+_FULL = _benchmarks(fixed.BENCHMARK_MESSAGES)
 BENCHMARK_RULES = (
-    Rule("admin_ratio", "administration_pct", True, (
-        (_T["admin_ratio_warning"], "high", "Administrative share {v}% exceeds the {t}% limit"),
-        (_T["admin_ratio_target"], "medium", "Administrative share {v}% is above the {t}% target"))),
-    Rule("instruction_ratio", "instruction_pct", False, (
-        (_T["instruction_ratio_warning"], "high", "Instruction share {v}% is below the {t}% minimum"),
-        (_T["instruction_ratio_target"], "medium", "Instruction share {v}% is below the {t}% target")), True),
-    Rule("admin_to_student", "admin_to_student", False, (
-        (_T["admin_to_student_warning"], "high", "One administrator per {v} students, under the limit of {t}"),
-        (_T["admin_to_student_target"], "medium", "One administrator per {v} students, under the target of {t}")),
-        True),
-    Rule("per_pupil_admin", "per_pupil_admin", True, (
-        (_T["per_pupil_admin_warning"], "medium", "Administration per pupil {v} exceeds {t}"),)),
-)
-# Consolidated and historical metrics: no medium tier for instruction, no staff ratio.
-CONSOLIDATED_RULES = (
-    BENCHMARK_RULES[0],
-    Rule("instruction_ratio", "instruction_pct", False, BENCHMARK_RULES[1].tiers[:1], True),
-    BENCHMARK_RULES[3],
+    _FULL[0],
+    Rule("instruction_ratio", "instruction_pct", False, _tiers(
+        fixed.BENCHMARK_MESSAGES, ("instruction_ratio_warning", "high"), ("instruction_ratio_target", "medium")), True),
+    Rule("admin_to_student", "admin_to_student", False, _tiers(
+        fixed.BENCHMARK_MESSAGES, ("admin_to_student_warning", "high"), ("admin_to_student_target", "medium")), True),
+    _FULL[2],
 )
+CONSOLIDATED_RULES = _benchmarks(fixed.CONSOLIDATED_MESSAGES)
+HISTORY_RULES = _benchmarks(fixed.HISTORY_MESSAGES)
 AUDIT_RULES = tuple(
-    Rule(name, name, True, ((fixed.AUDIT_THRESHOLDS[name], "WARNING", label),))
-    for name, label in (
-        ("admin_pct_of_total_staff", "Administrative staff share {v}% exceeds {t}%"),
-        ("admin_per_1000_students", "Administrators per 1000 students {v} exceeds {t}"),
-        ("admin_to_teacher_ratio", "Administrators per teacher {v} exceeds {t}")))
+    Rule(name, name, True, ((fixed.AUDIT_THRESHOLDS[name], "WARNING", fixed.AUDIT_MESSAGES[name]),))
+    for name in ("admin_pct_of_total_staff", "admin_per_1000_students", "admin_to_teacher_ratio"))
 
 
 def _message(text: str, value: Column, threshold: float) -> Column:
-    before, after = text.replace("{t}", f"{threshold:g}").split("{v}")
-    return F.concat(F.lit(before), value.cast("string"), F.lit(after))
+    """``{v}`` as the number stands, ``{v:.1f}`` with that many digits."""
+    before, form, after = re.fullmatch(r"(.*)\{v(?::(\.\df))?\}(.*)", text.replace("{t}", str(threshold))).groups()
+    shown = F.format_string("%" + form, value) if form else value.cast("string")
+    return F.concat(F.lit(before), shown, F.lit(after))
 
 
 def _flag(rule: Rule) -> Column:
@@ -94,38 +100,44 @@ def growth_flags(df: DataFrame, keys: Sequence[str], growth: str, base: str,
                  times: float = fixed.AUDIT_THRESHOLDS["admin_growth_vs_enrollment"]) -> DataFrame:
     """CRITICAL where one growth is more than ``times`` the other (which must not be 0)."""
     r = F.col(growth).cast("double") / F.nullif(F.col(base).cast("double"), F.lit(0.0))
+    name = "admin_growth_vs_enrollment"
+    text = F.format_string(fixed.AUDIT_MESSAGES[name], round_to(growth, 2).cast("string"), F.col("_ratio"), round_to(base, 2).cast("string"))
     return df.withColumn("_ratio", r).filter(F.col("_ratio") > times).select(
-        *keys, F.lit("admin_growth_vs_enrollment").alias("indicator"), round_to("_ratio", 2).alias("value"),
-        F.lit(float(times)).alias("threshold"), F.lit("CRITICAL").alias("severity"),
-        F.lit("Administration grows faster than enrolment").alias("message"))
+        *keys, F.lit(name).alias("indicator"), round_to("_ratio", 2).alias("value"),
+        F.lit(float(times)).alias("threshold"), F.lit("CRITICAL").alias("severity"), text.alias("message"))
 
 
-def decline_flags(df: DataFrame, keys: Sequence[str], year: str, share: str) -> DataFrame:
-    """INFO where the last year's share is below the first year's; needs two years."""
-    v = F.col(share).cast("double")
+def decline_flags(df: DataFrame, keys: Sequence[str], year: str, share: str, label: str | None = None) -> DataFrame:
+    """INFO where the last year's share is below the first year's; needs two years. ``label`` is
+    the column that names a year in the text."""
+    v, named = F.col(share).cast("double"), F.col(label or year).cast("string")
     ends = df.groupBy(*keys).agg(F.min_by(v, year).alias("threshold"), F.max_by(v, year).alias("value"),
+                                 F.min_by(named, year).alias("_from"), F.max_by(named, year).alias("_to"),
                                  F.count(F.lit(1)).alias("_n"))
+    name = "school_pct_of_budget"
+    text = F.format_string(fixed.AUDIT_MESSAGES[name], F.col("threshold").cast("string"), "_from", F.col("value").cast("string"), "_to")
     return ends.filter((F.col("_n") >= 2) & (F.col("value") < F.col("threshold"))).select(
-        *keys, F.lit("school_pct_of_budget").alias("indicator"), "value", "threshold",
-        F.lit("INFO").alias("severity"), F.lit("Share of the budget declined").alias("message"))
+        *keys, F.lit(name).alias("indicator"), "value", "threshold", F.lit("INFO").alias("severity"), text.alias("message"))
 
 
 def audit_flags(ratios: DataFrame, growth: DataFrame, budget: DataFrame, keys: Sequence[str], year: str,
-                share: str, growth_columns: tuple[str, str]) -> DataFrame:
-    """Static, growth and decline flags, plus an OK row where no staff-share flag was raised."""
+                share: str, growth_columns: tuple[str, str], label: str | None = None) -> DataFrame:
+    """Static, growth and decline flags, plus an OK row where no staff-share flag was raised; each with
+    its title (``flag``) and text."""
     static = tiered_flags(ratios, keys, AUDIT_RULES)
     head = AUDIT_RULES[0]
     quiet = ratios.join(static.filter(F.col("indicator") == head.indicator).select(*keys), list(keys), "left_anti")
+    value = F.coalesce(F.col(head.column).cast("double"), F.lit(0.0))
     ok = quiet.select(
-        *keys, F.lit(head.indicator).alias("indicator"),
-        F.coalesce(F.col(head.column).cast("double"), F.lit(0.0)).alias("value"),
+        *keys, F.lit(head.indicator).alias("indicator"), value.alias("value"),
         F.lit(float(head.tiers[0][0])).alias("threshold"), F.lit("OK").alias("severity"),
-        F.lit("Administrative staff share is within the limit").alias("message"))
-    parts = [static, growth_flags(growth, keys, *growth_columns), decline_flags(budget, keys, year, share), ok]
+        F.format_string(fixed.AUDIT_MESSAGES["ok"], value.cast("string")).alias("message"))
+    parts = [static, growth_flags(growth, keys, *growth_columns), decline_flags(budget, keys, year, share, label), ok]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    titles = F.create_map(*(F.lit(x) for item in fixed.AUDIT_TITLES.items() for x in item))
+    return out.withColumn("flag", titles[F.when(F.col("severity") == "OK", F.lit("ok")).otherwise(F.col("indicator"))])
 
 
 # --- anomaly lists: filters over property records ---------------------------------

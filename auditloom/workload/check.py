@@ -28,25 +28,41 @@ def _metrics(t: Tables) -> DataFrame:
 _FLAGS = """fl AS (
   SELECT district, year, 'admin_ratio' AS indicator, administration_pct AS value,
     CASE WHEN administration_pct > 10 THEN 10e0 ELSE 5e0 END AS threshold,
-    CASE WHEN administration_pct > 10 THEN 'high' ELSE 'medium' END AS severity FROM m WHERE administration_pct > 5
+    CASE WHEN administration_pct > 10 THEN 'high' ELSE 'medium' END AS severity,
+    'Administrative spending ratio (' || administration_pct || '%) ' || CASE WHEN administration_pct > 10 THEN 'exceeds 10.0% threshold' ELSE 'above 5.0% target' END AS message FROM m WHERE administration_pct > 5
   UNION ALL SELECT district, year, 'instruction_ratio', instruction_pct, CASE WHEN instruction_pct < 60 THEN 60e0 ELSE 65e0 END,
-    CASE WHEN instruction_pct < 60 THEN 'high' ELSE 'medium' END FROM m WHERE instruction_pct > 0 AND instruction_pct < 65
+    CASE WHEN instruction_pct < 60 THEN 'high' ELSE 'medium' END,
+    'Instruction spending ratio (' || instruction_pct || '%) below ' || CASE WHEN instruction_pct < 60 THEN '60.0% minimum' ELSE '65.0% target' END FROM m WHERE instruction_pct > 0 AND instruction_pct < 65
   UNION ALL SELECT district, year, 'admin_to_student', admin_to_student,
     CASE WHEN admin_to_student < 150 THEN 150e0 ELSE 250e0 END,
-    CASE WHEN admin_to_student < 150 THEN 'high' ELSE 'medium' END FROM m WHERE admin_to_student > 0 AND admin_to_student < 250
-  UNION ALL SELECT district, year, 'per_pupil_admin', per_pupil_admin, 1200e0, 'medium' FROM m WHERE per_pupil_admin > 1200)"""
+    CASE WHEN admin_to_student < 150 THEN 'high' ELSE 'medium' END,
+    'Admin-to-student ratio (1:' || admin_to_student || ') below ' || CASE WHEN admin_to_student < 150 THEN '1:150 threshold' ELSE '1:250 target' END FROM m WHERE admin_to_student > 0 AND admin_to_student < 250
+  UNION ALL SELECT district, year, 'per_pupil_admin', per_pupil_admin, 1200e0, 'medium',
+    'Per-pupil admin spending ($' || per_pupil_admin || ') exceeds $1200 threshold' FROM m WHERE per_pupil_admin > 1200)"""
 
 
 @query("Q1 Q5", f"WITH {FACTS}, {_METRICS}, {_FLAGS} SELECT * FROM fl")
 def tiered_flags(t: Tables) -> DataFrame:
-    return Q.tiered_flags(_metrics(t), ["district", "year"]).drop("message")
+    return Q.tiered_flags(_metrics(t), ["district", "year"])
 
 
-@query("Q2 Q3 Q5", f"""
-WITH {FACTS}, {_METRICS}, {_FLAGS}
-SELECT * FROM fl WHERE indicator <> 'admin_to_student' AND NOT (indicator = 'instruction_ratio' AND severity = 'medium')""")
+def _short_texts(form: str, money: str, instruction: str) -> str:
+    """The flags that consolidated and historical metrics share, with their own texts."""
+    return f"""SELECT district, year, indicator, value, threshold, severity, CASE indicator
+  WHEN 'admin_ratio' THEN 'Admin spending (' || {form} || '%) ' || CASE severity WHEN 'high' THEN 'exceeds 10.0% threshold' ELSE 'above 5.0% target' END
+  WHEN 'instruction_ratio' THEN '{instruction} (' || {form} || '%) below 60.0% minimum'
+  ELSE 'Per-pupil admin ($' || {money} || ') exceeds $1200' END AS message
+FROM fl WHERE indicator <> 'admin_to_student' AND NOT (indicator = 'instruction_ratio' AND severity = 'medium')"""
+
+
+@query("Q2 Q5", f"WITH {FACTS}, {_METRICS}, {_FLAGS} {_short_texts('value', 'value', 'Instruction spending')}")
 def consolidated_flags(t: Tables) -> DataFrame:
-    return Q.tiered_flags(_metrics(t), ["district", "year"], Q.CONSOLIDATED_RULES).drop("message")
+    return Q.tiered_flags(_metrics(t), ["district", "year"], Q.CONSOLIDATED_RULES)
+
+
+@query("Q3 Q5", f"WITH {FACTS}, {_METRICS}, {_FLAGS} {_short_texts("printf('%.1f', value)", "printf('%.0f', value)", 'Instruction')}")
+def history_flags(t: Tables) -> DataFrame:
+    return Q.tiered_flags(_metrics(t), ["district", "year"], Q.HISTORY_RULES)
 
 
 @query("A25", f"WITH {FACTS}, {_METRICS}, {_FLAGS} SELECT severity, count(*) AS flags FROM fl GROUP BY severity")
@@ -62,15 +78,22 @@ g AS (SELECT district, (b - a) / a * 1e2 AS ag, (d - c) / c * 1e2 AS eg FROM (
   SELECT district, CAST(max(admins) FILTER (WHERE year = 1995) AS DOUBLE) AS a, CAST(max(admins) FILTER (WHERE year = 2000) AS DOUBLE) AS b,
     CAST(max(adm) FILTER (WHERE year = 1995) AS DOUBLE) AS c, CAST(max(adm) FILTER (WHERE year = 2000) AS DOUBLE) AS d
   FROM facts GROUP BY district)),
-d AS (SELECT district, arg_min({pct('local_amount', 'total', 2)}, year) AS a, arg_max({pct('local_amount', 'total', 2)}, year) AS b
-  FROM facts GROUP BY district)
+d AS (SELECT district, arg_min({pct('local_amount', 'total', 2)}, year) AS a, arg_max({pct('local_amount', 'total', 2)}, year) AS b,
+    'FY' || min(year) AS y, 'FY' || max(year) AS z FROM facts GROUP BY district)
 SELECT district, 'admin_pct_of_total_staff' AS indicator, p AS value, 1e1 AS threshold,
-  CASE WHEN p > 10 THEN 'WARNING' ELSE 'OK' END AS severity FROM r
-UNION ALL SELECT district, 'admin_per_1000_students', k, 3.5e0, 'WARNING' FROM r WHERE k > 3.5
-UNION ALL SELECT district, 'admin_to_teacher_ratio', a, 5e-2, 'WARNING' FROM r WHERE a > 5e-2
-UNION ALL SELECT district, 'admin_growth_vs_enrollment', {rnd('ag / nullif(eg, 0)', 2)}, 2e0, 'CRITICAL' FROM g
-  WHERE ag / nullif(eg, 0) > 2
-UNION ALL SELECT district, 'school_pct_of_budget', b, a, 'INFO' FROM d WHERE b < a""")
+  CASE WHEN p > 10 THEN 'WARNING' ELSE 'OK' END AS severity,
+  CASE WHEN p > 10 THEN 'Admin staff (' || p || '%) exceeds 10.0% threshold' ELSE 'Admin staff ratio (' || p || '%) is within acceptable range' END AS message,
+  CASE WHEN p > 10 THEN 'High Admin Ratio' ELSE 'Admin Ratio Within Threshold' END AS flag FROM r
+UNION ALL SELECT district, 'admin_per_1000_students', k, 3.5e0, 'WARNING',
+  'Admin positions per 1000 students (' || k || ') exceeds 3.5 threshold', 'High Admin Per Student' FROM r WHERE k > 3.5
+UNION ALL SELECT district, 'admin_to_teacher_ratio', a, 5e-2, 'WARNING',
+  'Admin-to-teacher ratio (' || printf('%.4f', a) || ') exceeds 0.05 threshold', 'High Admin-to-Teacher Ratio' FROM r WHERE a > 5e-2
+UNION ALL SELECT district, 'admin_growth_vs_enrollment', {rnd('ag / nullif(eg, 0)', 2)}, 2e0, 'CRITICAL',
+  'Admin growth (' || {rnd('ag', 2)} || '%) is ' || printf('%.1f', ag / eg) || 'x enrollment growth (' || {rnd('eg', 2)} || '%)',
+  'Admin Growing Faster Than Enrollment' FROM g WHERE ag / nullif(eg, 0) > 2
+UNION ALL SELECT district, 'school_pct_of_budget', b, a, 'INFO',
+  'School share declined from ' || a || '% (' || y || ') to ' || b || '% (' || z || ')', 'Declining School Share of County Budget'
+  FROM d WHERE b < a""")
 def audit_flags(t: Tables) -> DataFrame:
     from auditloom.functions.numbers import ratio
 
@@ -88,9 +111,8 @@ def audit_flags(t: Tables) -> DataFrame:
                                      at("adm", 1995).alias("c"), at("adm", 2000).alias("d"))
     growth = ends.select("district", ((F.col("b") - F.col("a")) / F.col("a") * 100.0).alias("admin_growth"),
                          ((F.col("d") - F.col("c")) / F.col("c") * 100.0).alias("base_growth"))
-    budget = g.select("district", "year", percent("local_amount", "total", 2).alias("share"))
-    return Q.audit_flags(ratios, growth, budget, ["district"], "year", "share",
-                         ("admin_growth", "base_growth")).drop("message")
+    budget = g.select("district", "year", "fiscal_year", percent("local_amount", "total", 2).alias("share"))
+    return Q.audit_flags(ratios, growth, budget, ["district"], "year", "share", ("admin_growth", "base_growth"), "fiscal_year")
 
 
 @query("Q6", f"""
