@@ -15,7 +15,7 @@ from auditloom import fixed
 from auditloom.functions.keys import match
 from auditloom.functions.names import canonical_district
 from auditloom.functions.numbers import amount_or_null, clean_amount, col, decimal_text, int_text, let, money_sum, strip
-from auditloom.operators.rank import running_id
+from auditloom.operators.rank import global_rank, running_id
 
 # --- records assembled from lines ----------------------------------------------------
 
@@ -361,7 +361,8 @@ def promote_header(cells: DataFrame, sheet: Sequence[str], kind: str,
 def score_tables(rows: DataFrame, table: Sequence[str], row_idx: str, text: str,
                  keywords: Sequence[str] = fixed.TABLE_KEYWORDS, first_rows: int = 5,
                  at_least: int = 2) -> DataFrame:
-    """Distinct keywords in the header (row 0) and the first five rows; tables with 2+ hits.
+    """Distinct keywords in the header (row 0) and the first five rows; tables with 2+ hits, with
+    their ``rank``, best first (ties by the table's key).
 
     Only six short rows per table reach the aggregation.
     """
@@ -373,7 +374,8 @@ def score_tables(rows: DataFrame, table: Sequence[str], row_idx: str, text: str,
     whole = F.concat(head, F.lit(" "), body)
     hits = reduce(Column.__add__, [F.col("_text").contains(k).cast("int") for k in keywords])
     scored = packed.withColumn("_text", whole).withColumn("keyword_matches", hits.cast("bigint"))
-    return scored.filter(F.col("keyword_matches") >= at_least).select(*table, "keyword_matches")
+    kept = scored.filter(F.col("keyword_matches") >= at_least).select(*table, "keyword_matches")
+    return global_rank(kept, [F.col("keyword_matches").desc(), *map(F.col, table)])
 
 
 def row_categories(rows: DataFrame, table: Sequence[str], row_idx: str, text: str, amounts: str | Sequence[str],

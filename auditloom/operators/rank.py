@@ -124,13 +124,14 @@ def latest_year_matrix(df: DataFrame, entity: Sequence[str], year: str, measures
                        average_label: str = "Peer Average") -> DataFrame:
     """Each entity with its measures in the overall latest year, plus an average row.
 
-    An entity without that year keeps only its keys. Averages use positive
-    values only. ``entity[-1]`` carries the label of the average row.
+    An entity without that year keeps only its keys; of several rows of that year one whole row
+    counts, the greatest by its measures in order. Averages use positive values only. ``entity[-1]`` carries the label of the average row.
     """
     newest = df.agg(F.max(year)).scalar()
     latest = F.col(year) == newest
-    rows = df.groupBy(*entity).agg(
-        *[F.max(F.when(latest, F.col(m).cast("double"))).alias(m) for m in measures])
+    row = F.struct(*[F.col(m).cast("double").alias(m) for m in measures])
+    rows = df.groupBy(*entity).agg(F.max(F.when(latest, row)).alias("_row")).select(
+        *entity, *[F.col("_row").getField(m).alias(m) for m in measures])
     average = rows.agg(*[round_to(F.avg(F.when(F.col(m) > 0, F.col(m))), 2).alias(m) for m in measures])
     blanks = [F.lit(None).cast(rows.schema[e].dataType).alias(e) for e in entity[:-1]]
     return rows.unionByName(average.select(*blanks, F.lit(average_label).alias(entity[-1]), *measures))

@@ -76,7 +76,7 @@ def normalize_places(t: Tables) -> DataFrame:
 
 @query("N7 P8 N13", """
 WITH o AS (SELECT o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders)
-SELECT o_orderkey, 'FY' || CAST(y AS VARCHAR) AS from_school_year, 'FY' || CAST(y AS VARCHAR) AS from_file,
+SELECT o_orderkey, 'FY' || CAST(y AS VARCHAR) AS from_school_year, CASE WHEN o_orderstatus = 'F' AND y < 2000 THEN 'Unknown' ELSE 'FY' || CAST(y AS VARCHAR) END AS from_file,
   'FY' || CAST(y AS VARCHAR) AS from_text, CASE WHEN o_orderstatus = 'F' THEN 'FY' || CAST(y AS VARCHAR) END AS strict,
   CAST(y - 1 AS VARCHAR) || '-' || lpad(CAST(y % 100 AS VARCHAR), 2, '0') AS school_year,
   y = 1999 AS is_1999,
@@ -93,9 +93,8 @@ def fiscal_year_forms(t: Tables) -> DataFrame:
             .otherwise(F.concat(F.lit("School year "), (y - 1).cast("string"), F.lit(" - "), y.cast("string"))))
     rows = t.orders.select("o_orderkey", span.alias("span"), file.alias("file"), text.alias("text"),
                            F.concat(F.lit("FY"), y.cast("string")).alias("fy"))
-    from_file = F.when(F.col("file").startswith("FY"), F.col("fy")).otherwise(K.fiscal_year_from_file("file"))
     return rows.select(
-        "o_orderkey", K.fiscal_year_key("span").alias("from_school_year"), from_file.alias("from_file"),
+        "o_orderkey", K.fiscal_year_key("span").alias("from_school_year"), K.fiscal_year_from_file("file").alias("from_file"),
         K.fiscal_year_from_text("text").alias("from_text"), K.fiscal_year_strict("file").alias("strict"),
         K.school_year("fy").alias("school_year"), same_fiscal_year("span", "FY1999").alias("is_1999"),
         K.document_type("file").alias("document_type"))

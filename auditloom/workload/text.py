@@ -188,16 +188,16 @@ def first_match_per_label(t: Tables) -> DataFrame:
 @query("X5", """
 WITH o AS (SELECT o_orderkey, CAST(o_custkey AS DOUBLE) AS c, lower(o_orderpriority) AS p FROM orders)
 SELECT o_orderkey, 'Sheriff' AS name, c + 2e0 AS count FROM o
+UNION ALL SELECT o_orderkey, 'Position Summary' || chr(10) || 'Sheriff', c FROM o WHERE c <> 0
 UNION ALL SELECT o_orderkey, 'Parks & Rec', 12.5::DOUBLE FROM o""")
 def name_count_pairs(t: Tables) -> DataFrame:
-    """Staffing section: short names and zero counts drop out, the last count of a name stays."""
+    """Staffing section: short names and zero counts drop out, the last count of a name stays, and the
+    heading stands before the first name."""
     c = F.col("o_custkey")
-    text = F.concat(F.lit("Intro 5\n\nPosition Summary\nSheriff "), c.cast("string"), F.lit(" FTE\nParks & Rec 12.5 positions\nAB 3\n"
+    text = F.concat(F.lit("Intro 5\n\nPosition Summary\nSheriff "), c.cast("string"), F.lit(" FTE\nSheriff "),
+                    (c + 5).cast("string"), F.lit(" FTE\nParks & Rec 12.5 positions\nAB 3\n"
                     "Empty Office 0\nSheriff "), (c + 2).cast("string"), F.lit("\n\nOutside 77"))
-    out = X.name_counts(t.wide_orders.select("o_orderkey", text.alias("text")), "text", ["o_orderkey"])
-    # The heading word stands before the first name of the section.
-    return out.withColumn("name", F.regexp_replace("name", r"^Position Summary\s+", "")).groupBy(
-        "o_orderkey", "name").agg(F.max("count").alias("count"))
+    return X.name_counts(t.wide_orders.select("o_orderkey", text.alias("text")), "text", ["o_orderkey"])
 
 
 _PAGE_FIELDS = {
@@ -261,7 +261,7 @@ _KEYWORDS = ("tion", "ing", "ment", "ungen", "ciónas", "eaux")
 WITH l AS (SELECT doc_id, string_split(lower(text), chr(10)) AS p FROM documents),
 w AS (SELECT doc_id, p[1] || ' ' || array_to_string(p[2:6], '') AS s FROM l),
 k AS (SELECT doc_id, {' + '.join(f"CAST(contains(s, '{k}') AS BIGINT)" for k in _KEYWORDS)} AS keyword_matches FROM w)
-SELECT * FROM k WHERE keyword_matches >= 2""")
+SELECT *, row_number() OVER (ORDER BY keyword_matches DESC, doc_id) AS rank FROM k WHERE keyword_matches >= 2""")
 def table_scoring(t: Tables) -> DataFrame:
     """Each document as a table: line 0 is its header, the next lines its rows."""
     rows = split_lines(t.documents.select("doc_id", "text"), "text", ["doc_id"])
