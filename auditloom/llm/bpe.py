@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from auditloom.llm.words import slices, utf8
 
 #: Bytes of text that one replay covers; and bytes of words that a worker remembers between replays.
-CORPUS_BYTES = 32 << 20
-MEMORY_BYTES = 48 << 20
+CORPUS_BYTES = 8 << 20
+MEMORY_BYTES = 4 << 20
 _NONE = np.int32(np.iinfo(np.int32).max)
 
 
@@ -225,6 +225,7 @@ def _work(path: str, pattern: str, decode: bool):
                     out.append(pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw)]))
                 yield pa.RecordBatch.from_arrays(out, names=names)
             held.clear()
+            pa.default_memory_pool().release_unused()
             if encoder.size > MEMORY_BYTES:
                 encoder.forget()
 

@@ -13,7 +13,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,6 +25,8 @@ WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 WINDOW = 10
 SHARD_WORDS = 1 << 19
 SHARD_DOCUMENTS = 1 << 16
+#: Texts that a pass holds until the shard is searched, if it hands them on.
+SHARD_BYTES = 8 << 20
 #: Words of test items that one pass over the documents carries to the tasks; more items make more passes.
 BLOCK_WORDS = 1 << 20
 
@@ -122,13 +123,14 @@ def _merged(spans: list[dict]) -> list[dict]:
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
 
-def _scan(phrases: Phrases, keep: list[str]):
-    """One pass: adds to ``_spans`` and ``_items`` what the phrases hit, and sets ``_n_words``."""
+def _scan(phrases: Phrases, keep: list[str], cut: bool = False):
+    """One pass: adds to ``_spans`` and ``_items`` what the phrases hit, and sets ``_n_words``. With
+    ``cut`` the spans go from ``text``, which must be kept."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, shard, held, rows = WordHasher(SEPARATORS), Shard(phrases), [], 0
+        hasher, shard, held, rows, size = WordHasher(SEPARATORS), Shard(phrases), [], 0, 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal shard, held, rows
+            nonlocal shard, held, rows, size
             row, start, end, item_row, item = (x.tolist() for x in shard.hits())
             spans: dict[int, list] = {}
             items: dict[int, list] = {}
@@ -143,11 +145,14 @@ def _scan(phrases: Phrases, keep: list[str]):
                     if done + i in items:
                         old_spans[i] = _merged(old_spans[i] + spans[done + i])
                         old_items[i] = sorted({*old_items[i], *items[done + i]})
+                columns = {c: batch[c] for c in keep}
+                if cut and any(old_spans):
+                    columns["text"] = pa.array([_without(t, s) if s else t for t, s in zip(batch["text"].to_pylist(), old_spans)], pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch[c] for c in keep), pa.array(counts, pa.int64()), pa.array(old_spans, pa.list_(_SPAN)),
+                    [*columns.values(), pa.array(counts, pa.int64()), pa.array(old_spans, pa.list_(_SPAN)),
                      pa.array(old_items, pa.list_(pa.string()))], names=[*keep, "_n_words", "_spans", "_items"])
                 done += len(batch)
-            shard, held, rows = Shard(phrases), [], 0
+            shard, held, rows, size = Shard(phrases), [], 0, 0
 
         for batch in batches:
             for part in slices(batch, "text"):
@@ -156,7 +161,8 @@ def _scan(phrases: Phrases, keep: list[str]):
                     shard.add(words, at, rows)
                 held.append((part.select([*keep, "_spans", "_items"]), np.diff(at)))
                 rows += len(part)
-                if shard.size >= SHARD_WORDS or rows >= SHARD_DOCUMENTS:
+                size += part.nbytes if "text" in keep else 0
+                if shard.size >= SHARD_WORDS or rows >= SHARD_DOCUMENTS or size >= SHARD_BYTES:
                     yield from flush()
         yield from flush()
 
@@ -178,7 +184,7 @@ def item_blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[str,
         yield block
 
 
-def _searched(documents: DataFrame, items: DataFrame, keep: list[str], window: int, block_words: int) -> DataFrame:
+def _searched(documents: DataFrame, items: DataFrame, keep: list[str], window: int, block_words: int, cut: bool = False) -> DataFrame:
     """Columns ``keep`` of ``documents`` with ``_n_words``, ``_spans`` and ``_items``."""
     more = ", _n_words bigint, _spans array<struct<start:bigint,end:bigint>>, _items array<string>"
     kinds = dict(documents.dtypes)
@@ -189,7 +195,7 @@ def _searched(documents: DataFrame, items: DataFrame, keep: list[str], window: i
     while True:
         following = next(blocks, None)
         columns = list(dict.fromkeys([*keep, "text"])) if following else keep
-        rows = rows.mapInArrow(_scan(Phrases(block, window), columns), ", ".join(f"`{c}` {kinds[c]}" for c in columns) + more)
+        rows = rows.mapInArrow(_scan(Phrases(block, window), columns, cut and not following), ", ".join(f"`{c}` {kinds[c]}" for c in columns) + more)
         if not following:
             return rows
         block = following
@@ -225,11 +231,7 @@ def without_leaks(documents: DataFrame, items: DataFrame, window: int = WINDOW,
     """``documents``, all columns kept, with the spans that ``find_leaks`` gives cut from ``text``; what
     stood around a span is joined by a line feed. A document of which no word is left goes;
     documents without a span stay as they are."""
-    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([t if t is None or not len(s) else _without(t, s) for t, s in zip(texts, spans)], dtype=object)
-
     columns = documents.columns
-    found = _searched(documents, items, columns, window, block_words)
+    found = _searched(documents, items, columns, window, block_words, cut=True)
     left = F.col("_n_words") > F.aggregate("_spans", F.lit(0).cast("bigint"), lambda total, s: total + s["end"] - s["start"])
-    return (found.where(left | (F.size("_spans") == 0))
-            .withColumn("text", F.pandas_udf(cut, "string")("text", "_spans")).select(*columns))
+    return found.where(left | (F.size("_spans") == 0)).select(*columns)
