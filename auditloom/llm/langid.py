@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from auditloom.llm.common import sampled_ids
 from auditloom.llm.words import slices, utf8
 
 WINDOW = 256
@@ -131,9 +132,11 @@ def train(texts: list[str], labels: list[str], epochs: int = EPOCHS, seed: int =
 
 def sample(rows: DataFrame, per_language: int = ROWS_PER_LANGUAGE, per_row: int = WINDOWS_PER_ROW) -> DataFrame:
     """Stretches of labelled texts (``lang``, ``piece``): ``per_language`` rows of each language by
-    the hash of the text, ``per_row`` evenly spaced stretches of each: of a window's length, the second of a quarter of it."""
-    rows = rows.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    rows = rows.withColumn("at", F.expr("row_number() OVER (PARTITION BY lang ORDER BY xxhash64(text), text)")).where(F.col("at") <= per_language)
+    the hash of the id, ``per_row`` evenly spaced stretches of each: of a window's length, the
+    second of a quarter of it."""
+    rows = rows.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
+    # The ids are bounded, so the texts are not shuffled.
+    rows = rows.join(F.broadcast(sampled_ids(rows, "lang", per_language)), "doc_id", "left_semi")
     room = F.greatest(F.length("text") - WINDOW, F.lit(0))
     spot = F.floor(room * F.col("k") / max(1, per_row - 1)).cast("int")
     return (rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(per_row - 1))))
@@ -142,9 +145,9 @@ def sample(rows: DataFrame, per_language: int = ROWS_PER_LANGUAGE, per_row: int
 
 
 def fit(rows: DataFrame, per_language: int = ROWS_PER_LANGUAGE) -> ByteNet | None:
-    """A network for the languages of the labelled ``rows`` (``text``, ``lang``), from a bounded
-    sample of them; None if there are none."""
-    got = sample(rows, per_language).orderBy("lang", F.xxhash64("piece"), "piece").toPandas()
+    """A network for the languages of the labelled ``rows`` (``doc_id``, ``text``, ``lang``), from a
+    bounded sample of them; None if there are none."""
+    got = sample(rows, per_language).toPandas().sort_values(["lang", "piece"])
     return train(got["piece"].tolist(), got["lang"].tolist()) if len(got) else None
 
 

@@ -38,8 +38,8 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.fit(documents.where(~toxicity.held_out()).join(labels, "doc_id"))
+    labels = table(spark, sf_dir, "labels")
+    model = toxicity.fit(documents, labels.where(~toxicity.held_out()))
     return toxicity.predict(documents, model).select(
         "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

@@ -19,10 +19,10 @@ from functools import lru_cache
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from auditloom.llm.common import durable, sampled_ids
 from auditloom.llm.fst import Transducer
 from auditloom.llm.words import slices
 
@@ -230,18 +230,16 @@ def train(texts: list[str], toxic: np.ndarray, steps: int = 400) -> Toxicity:
     return model
 
 
-def sample(rows: DataFrame, per_label: tuple[int, int] = ROWS_PER_LABEL) -> pd.DataFrame:
-    """Distinct labelled texts (``text``, ``toxic``), as many of each label as ``per_label`` says, by
-    the hash of the text. A text with both labels counts as toxic."""
-    rows = rows.where("text IS NOT NULL AND toxic IN (0, 1)").groupBy("text").agg(F.max("toxic").alias("toxic"))
-    rows = rows.withColumn("at", F.expr("row_number() OVER (PARTITION BY toxic ORDER BY xxhash64(text), text)"))
-    most = F.when(F.col("toxic") == 0, per_label[0]).otherwise(per_label[1])
-    return rows.where(F.col("at") <= max(per_label)).where(F.col("at") <= most).select("text", "toxic").toPandas().sort_values("text")
-
-
-def fit(rows: DataFrame, per_label: tuple[int, int] = ROWS_PER_LABEL) -> Toxicity:
-    """A grammar from a bounded sample of labelled rows (``text``, ``toxic``)."""
-    got = sample(rows, per_label)
+def fit(documents: DataFrame, labels: DataFrame, per_label: tuple[int, int] = ROWS_PER_LABEL) -> Toxicity:
+    """A grammar from a bounded sample of the labelled rows: ``labels`` (``doc_id``, ``toxic`` 0 or 1) choose
+    the ids, as many of each label as ``per_label`` says, and only their texts are read from
+    ``documents``. Equal texts count once, as toxic if any is."""
+    labels = labels.where("toxic IN (0, 1)").select("doc_id", "toxic")
+    ids = sampled_ids(labels, "toxic", dict(enumerate(per_label)))
+    # The ids are bounded by ``per_label``, so the texts are not shuffled.
+    chosen = durable(labels.join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    got = documents.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic").toPandas()
+    got = got.groupby("text", as_index=False)["toxic"].max()
     return train(got["text"].tolist(), got["toxic"].to_numpy(np.int64))
 
 
