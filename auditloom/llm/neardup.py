@@ -326,7 +326,7 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, mis
                                               F.first("sig").alias("sig")), "neardup-nodes")
     slots = nodes.select("node", F.posexplode("buckets").alias("band", "bucket"))
     shared = slots.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("members")).where("members > 1")
-    slots = durable(slots.join(shared, "bucket"))
+    slots = stored(slots.join(shared, "bucket"), "neardup-slots")
     sig = nodes.select("node", "sig")
 
     star = (slots.where("node != pivot").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b"))
