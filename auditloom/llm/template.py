@@ -31,11 +31,14 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"""([a-z][a-z0-9-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
+_WORD = re.compile(r"\w")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption".split())
+#: Parts of a table or list that, in an article, go with the whole only.
+PARTS = frozenset("tr thead tbody tfoot caption colgroup summary legend hgroup".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An opening tag that ends an open element of these.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -55,7 +58,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.other = ["#page"], [0], [False]
-        self.main: list[int] = []
+        self.main: set[int] = set()
         self.runs: list[tuple[int, str]] = []  # (element, text); (element, "") is a block border
         stack, at = [0], 0
         for m in _TOKEN.finditer(source):
@@ -110,7 +113,7 @@ class Page:
         self.parent.append(parent)
         self.other.append(other or self.other[parent])
         if not self.other[node] and (tag in ("article", "main") or role in ("main", "article")):
-            self.main.append(node)
+            self.main.add(node)
         return node
 
     def inside(self, tops: set[int]) -> list[bool]:
@@ -122,34 +125,47 @@ class Page:
 
     def subtrees(self) -> dict[int, int]:
         """Hash of the tags and text of each element that may be template: not marked as other
-        already, with text, and no prose of an article or main part."""
-        main = self.inside(set(self.main))
+        already, with text, no prose of an article or main part, and no part of a sentence."""
+        main = self.inside(self.main)
         parts: list[list[str]] = [[] for _ in self.tag]
+        worded = [False] * len(self.tag)
         for node, text in self.runs:
             text = _SPACE.sub(" ", text).strip()
             if text:
                 parts[node].append(text)
+                worded[node] = worded[node] or bool(_WORD.search(text))
         out: dict[int, int] = {}
         for node in range(len(self.tag) - 1, 0, -1):
             if parts[node]:
                 digest = hashlib.blake2b("\x1f".join([self.tag[node], *parts[node]]).encode("utf-8", "surrogatepass"), digest_size=8).digest()
                 parts[self.parent[node]].append(digest.hex())
-                if not self.other[node] and not (main[node] and self._prose(node)):
+                if not self.other[node] and not (main[node] and self._prose(node)) and not self._in_sentence(node, worded):
                     out[node] = int.from_bytes(digest, "big", signed=True)
         return out
 
     def _prose(self, node: int) -> bool:
-        while node and self.tag[node] not in ("article", "main"):
-            if self.tag[node] in PROSE:
+        """Whether an element of an article or main part is one itself, or prose there or in it."""
+        if node in self.main:
+            return True
+        while node and node not in self.main:
+            if self.tag[node] in PROSE or self.tag[node] in PARTS:
                 return True
             node = self.parent[node]
-        return self.tag[node] in ("article", "main")
+        return False
+
+    def _in_sentence(self, node: int, worded: list[bool]) -> bool:
+        """Whether an inline element stands among words of its block."""
+        while node and self.tag[node] not in BLOCK:
+            node = self.parent[node]
+            if worded[node]:
+                return True
+        return False
 
     def text(self, template: frozenset[int] = frozenset()) -> str:
         """Blocks of the article, joined by line feeds: of all article elements, else of the main
         part, else of the page."""
         left_out = self.inside({n for n, h in self.subtrees().items() if h in template}) if template else None
-        articles = {n for n in self.main if self.tag[n] == "article"} or set(self.main)
+        articles = {n for n in self.main if self.tag[n] == "article"} or self.main
         main = self.inside(articles) if articles else None
         blocks, block = [], []
         for node, text in [*self.runs, (0, "")]:

@@ -165,3 +165,16 @@ def test_what_a_host_repeats_is_removed(spark):
     assert got[0] == "Story 0\nSame line" and got[9] == "Story 9"
     assert got[100] == "Our shop since 1900\nStory 0" and got[200] == "Story 0\nMotto" and got[300] == ""
     assert template.main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
+
+
+def texts_of(spark, pages):
+    return {r["page_id"]: r["text"] for r in template.main_text(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+
+
+def test_what_a_host_repeats_inside_articles_is_removed(spark):
+    def page(i):
+        return (f"<article><h1>Title {i}</h1><div class=x1>Get our letter <b>every day</b></div><section><p>Story {i}</p><p>Motto</p></section>"
+                f"<table><tr><th>Name</th><th>Age</th></tr><tr><td>n{i}</td><td>0</td></tr></table><div>In <i>{'Rome' if i else 'Bonn'}</i> on day {i}</div></article>")
+
+    got = texts_of(spark, [(i, f"http://h.org/{i}", page(i)) for i in range(8)])
+    assert got == {i: f"Title {i}\nStory {i}\nMotto\nName\nAge\nn{i}\n0\nIn {'Rome' if i else 'Bonn'} on day {i}" for i in range(8)}
