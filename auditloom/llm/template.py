@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from auditloom.llm.common import durable
 from auditloom.llm.words import slices
 
-#: A subtree is template if this share of the host's pages, and this many pages, hold it.
+#: A subtree is template if this share of the host's pages of different text, and this many of them, hold it.
 SHARE = 0.5
 PAGES = 5
 
@@ -123,23 +123,37 @@ class Page:
             out[node] = node in tops or bool(node) and out[self.parent[node]]
         return out
 
+    def _kept(self) -> list[tuple[int, str]]:
+        """The runs of all article elements, else of the main part, else of the page, and block borders."""
+        articles = {n for n in self.main if self.tag[n] == "article"} or self.main
+        main = self.inside(articles) if articles else None
+        return [(node, text) for node, text in self.runs
+                if not text or not self.other[node] and (main is None or main[node]) and not self._page_header(node)]
+
     def subtrees(self) -> dict[int, int]:
-        """Hash of the tags and text of each element that may be template: not marked as other
-        already, with text, no prose of an article or main part, and no part of a sentence."""
+        """Hash of the tags and kept text of each element that may be template: no prose of an
+        article or main part, no part of a sentence, and not what holds an article, a main part
+        or all text of the page."""
         main = self.inside(self.main)
         parts: list[list[str]] = [[] for _ in self.tag]
-        worded = [False] * len(self.tag)
-        for node, text in self.runs:
+        worded, holds, size = [False] * len(self.tag), [False] * len(self.tag), [0] * len(self.tag)
+        for node, text in self._kept():
             text = _SPACE.sub(" ", text).strip()
             if text:
                 parts[node].append(text)
+                size[node] += len(text)
                 worded[node] = worded[node] or bool(_WORD.search(text))
+        for node in range(len(self.tag) - 1, 0, -1):
+            size[self.parent[node]] += size[node]
+            holds[node] = holds[node] or node in self.main
+            holds[self.parent[node]] = holds[self.parent[node]] or holds[node]
         out: dict[int, int] = {}
         for node in range(len(self.tag) - 1, 0, -1):
             if parts[node]:
                 digest = hashlib.blake2b("\x1f".join([self.tag[node], *parts[node]]).encode("utf-8", "surrogatepass"), digest_size=8).digest()
                 parts[self.parent[node]].append(digest.hex())
-                if not self.other[node] and not (main[node] and self._prose(node)) and not self._in_sentence(node, worded):
+                if (not holds[node] and self.tag[node] not in ("html", "body") and size[node] < size[0]
+                        and not (main[node] and self._prose(node)) and not self._in_sentence(node, worded)):
                     out[node] = int.from_bytes(digest, "big", signed=True)
         return out
 
@@ -163,21 +177,19 @@ class Page:
 
     def text(self, template: frozenset[int] = frozenset()) -> str:
         """Blocks of the article, joined by line feeds: of all article elements, else of the main
-        part, else of the page."""
+        part, else of the page. A page of nothing but template keeps its text."""
         left_out = self.inside({n for n, h in self.subtrees().items() if h in template}) if template else None
-        articles = {n for n in self.main if self.tag[n] == "article"} or self.main
-        main = self.inside(articles) if articles else None
         blocks, block = [], []
-        for node, text in [*self.runs, (0, "")]:
+        for node, text in [*self._kept(), (0, "")]:
             if text:
-                if not self.other[node] and (main is None or main[node]) and not (left_out and left_out[node]) and not self._page_header(node):
+                if not (left_out and left_out[node]):
                     block.append(text)
             elif block:
                 made = _SPACE.sub(" ", entities.unescape("".join(block))).strip()
                 if made:
                     blocks.append(made)
                 block = []
-        return "\n".join(blocks)
+        return "\n".join(blocks) if blocks or not template else self.text()
 
     def _page_header(self, node: int) -> bool:
         """Whether text is in a header element, but not in a heading there inside an article."""
@@ -196,8 +208,10 @@ class Page:
 def _hash_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "html"):
-            found = [list(set(Page(h or "").subtrees().values())) for h in part["html"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([part["host"], pa.array(found, pa.list_(pa.int64()))], names=["host", "subtrees"])
+            pages = [Page(h or "") for h in part["html"].to_pylist()]
+            contents = [int.from_bytes(hashlib.blake2b(p.text().encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True) for p in pages]
+            found = [list(set(p.subtrees().values())) for p in pages]
+            yield pa.RecordBatch.from_arrays([part["host"], pa.array(contents, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["host", "content", "subtrees"])
 
 
 def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,10 +232,10 @@ def templates(pages: DataFrame, share: float = SHARE, least: int = PAGES) -> Dat
     A host has fewer of them than 1 / ``share`` times the subtrees of its mean page, so the
     array of a host is bounded by the size of pages, however many pages it has.
     """
-    seen = pages.select(host_of("url").alias("host"), "html").mapInArrow(_hash_pages, "host string, subtrees array<bigint>")
-    # One row per page stands for the page itself under the null subtree.
-    counted = durable(seen.select("host", F.explode(F.concat("subtrees", F.array(F.lit(None).cast("bigint")))).alias("subtree"))
-               .groupBy("host", "subtree").agg(F.count("*").alias("n")).where((F.col("n") >= least) | F.col("subtree").isNull()))
+    seen = pages.select(host_of("url").alias("host"), "html").mapInArrow(_hash_pages, "host string, content bigint, subtrees array<bigint>")
+    # Pages of equal text count once. The null subtree stands for the page itself.
+    counted = durable(seen.select("host", "content", F.explode(F.concat("subtrees", F.array(F.lit(None).cast("bigint")))).alias("subtree"))
+               .groupBy("host", "subtree").agg(F.count_distinct("content").alias("n")).where((F.col("n") >= least) | F.col("subtree").isNull()))
     totals = counted.where("subtree IS NULL").select("host", F.col("n").alias("total"))
     many = counted.where("subtree IS NOT NULL").join(totals, "host").where(F.col("n") >= share * F.col("total"))
     return many.groupBy("host").agg(F.collect_list("subtree").alias("template"))

@@ -178,3 +178,14 @@ def test_what_a_host_repeats_inside_articles_is_removed(spark):
 
     got = texts_of(spark, [(i, f"http://h.org/{i}", page(i)) for i in range(8)])
     assert got == {i: f"Title {i}\nStory {i}\nMotto\nName\nAge\nn{i}\n0\nIn {'Rome' if i else 'Bonn'} on day {i}" for i in range(8)}
+
+
+def test_copies_of_a_page_keep_their_text(spark):
+    whole = "<html><body><div id=page><article><h1>T</h1><div><p>Long story</p></div></article></div></body></html>"
+    plain = "<html><body><div><p>First part</p><p>Second part</p></div></body></html>"
+    parts = "<div>First half of it</div><div>Other half of it</div>"
+    pages = [(i, f"http://h.org/{i}", whole) for i in range(8)] + [(10 + i, None, plain) for i in range(8)] + [(20 + i, f"http://p.org/{i}", parts) for i in range(8)]
+    pages += [(30 + i, f"http://n.org/{i}", f"<nav>{i}</nav>{parts}") for i in range(8)] + [(50 + i, f"http://p.org/x{i}", f"<div>First half of it</div>Story {i}") for i in range(9)]
+    pages += [(40 + i, f"http://w.org/{i}", f"<body><div class=w>Our shop</div><main><div>Same words</div><div>Story {i}</div></main></body>") for i in range(8)]
+    got = texts_of(spark, pages)
+    assert [got[k] for k in (0, 10, 20, 30, 40, 50)] == ["T\nLong story", "First part\nSecond part", "Other half of it", "First half of it\nOther half of it", "Story 0", "Story 0"]
