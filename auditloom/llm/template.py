@@ -51,6 +51,8 @@ OTHER_ROLES = frozenset("navigation banner contentinfo complementary search dial
 OTHER_NAMES = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice
 newsletter subscribe subscription social share sharing sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments
 disqus respond reply replies related recommended popup modal overlay widget pagination pager toolbar login signup paywall skip""".split())
+#: Classes or ids, in full, of blocks whose articles are not the page's.
+OTHER_LISTS = frozenset("comment comments disqus respond reply replies related recommended sidebar".split())
 
 
 class Page:
@@ -58,6 +60,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.other = ["#page"], [0], [False]
+        self._role, self._names = [""], [""]
         self.main: set[int] = set()
         self.runs: list[tuple[int, str]] = []  # (element, text); (element, "") is a block border
         stack, at = [0], 0
@@ -85,6 +88,7 @@ class Page:
             stack.append(self._open(stack[-1], tag, m["attrs"]))
         if at < len(source):
             self.runs.append((stack[-1], source[at:]))
+        self._apply_names()
 
     def _imply(self, stack: list[int], tag: str) -> None:
         ends = ENDS.get(tag, {"p"} if tag in BLOCK else ())
@@ -97,12 +101,12 @@ class Page:
                 return
 
     def _open(self, parent: int, tag: str, attrs: str) -> int:
-        other, role = tag in OTHER_TAGS, ""
+        other, role, names = tag in OTHER_TAGS, "", ""
         if attrs and not attrs.isspace():
             for name, value in _ATTR.findall(attrs):
                 name, value = name.lower(), value.strip("\"'").lower()
                 if name in ("class", "id"):
-                    other = other or not OTHER_NAMES.isdisjoint(_NAME.findall(value))
+                    names += " " + value
                 elif name == "role":
                     role = value
                     other = other or value in OTHER_ROLES
@@ -111,11 +115,40 @@ class Page:
         node = len(self.tag)
         self.tag.append(tag)
         self.parent.append(parent)
+        self._role.append(role)
+        self._names.append(names)
         self.other.append(other or self.other[parent])
-        if not self.other[node] and (tag in ("article", "main") or role in ("main", "article")):
-            self.main.add(node)
         return node
 
+    def _apply_names(self) -> None:
+        """Marks the blocks whose class or id says that they are not the article, and finds the
+        article and main elements.
+
+        A name on html, body, an article or main element or what holds one says something of
+        the page ("no-sidebar"), so it marks nothing there, unless it is in full that of a list
+        of other articles and the page has others.
+        """
+        kind = [tag if tag in ("article", "main") else role if role in ("article", "main") else "" for tag, role in zip(self.tag, self._role)]
+        around = [""] * len(self.tag)  # the greater of what it is and holds; "main" > "article"
+        for node in range(len(self.tag) - 1, 0, -1):
+            if not self.other[node]:
+                around[node] = max(around[node], kind[node])
+                around[self.parent[node]] = max(around[self.parent[node]], around[node])
+        plain = self.other
+        for lists in (OTHER_LISTS, frozenset()):
+            self.other = plain[:]
+            for node in range(1, len(self.tag)):
+                other = self.other[node] or self.other[self.parent[node]]
+                if not other and self._names[node] and self.tag[node] not in ("html", "body"):
+                    if not around[node]:
+                        other = not OTHER_NAMES.isdisjoint(_NAME.findall(self._names[node]))
+                    elif around[node] == "article" and not kind[node]:
+                        other = not lists.isdisjoint(self._names[node].split())
+                self.other[node] = other
+            self.main = {n for n in range(1, len(self.tag)) if kind[n] and not self.other[n]}
+            if any(text and not text.isspace() for _, text in self._kept()):
+                break
+
     def inside(self, tops: set[int]) -> list[bool]:
         """For each element, whether it is one of ``tops`` or in one."""
         out = [False] * len(self.tag)

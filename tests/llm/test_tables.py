@@ -189,3 +189,13 @@ def test_copies_of_a_page_keep_their_text(spark):
     pages += [(40 + i, f"http://w.org/{i}", f"<body><div class=w>Our shop</div><main><div>Same words</div><div>Story {i}</div></main></body>") for i in range(8)]
     got = texts_of(spark, pages)
     assert [got[k] for k in (0, 10, 20, 30, 40, 50)] == ["T\nLong story", "First part\nSecond part", "Other half of it", "First half of it\nOther half of it", "Story 0", "Story 0"]
+
+
+@pytest.mark.parametrize("source, text", [
+    ("<html class='cookie-ok'><body class='no-sidebar'><p>a</p></body></html>", "a"), ("<body class=menu><div class=menu>n</div><p>a</p>", "a"),
+    ("<div id='page' class='has-menu'><article><p>a</p></article></div>", "a"), ("<article class='post comments-open'><p>a</p><div class='share'>s</div></article>", "a"),
+    ("<main class='widget'><p>a</p></main><p>b</p>", "a"), ("<div role=main class='social'><p>a</p></div>", "a"), ("<div class='sidebar'><article>a</article></div>", "a"),
+    ("<article>a</article><div id=comments><article class=comment>c</article></div>", "a"), ("<main><p>a</p><div class=related><article>r</article></div></main>", "a"),
+    ("<div class=comments><main>a</main></div>", "a"), ("<div class='popup'><aside><article>x</article></aside>y</div><p>a</p>", "a")])
+def test_names_of_what_holds_the_article(source, text):
+    assert template.Page(source).text() == text
