@@ -1,7 +1,7 @@
 """Main text of web pages, with what a site repeats on its pages removed.
 
 One pass hashes the element subtrees of every page; Spark counts them per host; subtrees that
-recur on most pages of their host are its template. A second pass leaves out the template,
+recur on several different pages of their host are its template. A second pass leaves out the template,
 and what names itself as something else than the article: menus, headers, footers, side bars,
 notices, adverts, forms, scripts, comments.
 """
@@ -14,14 +14,17 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from auditloom.llm.common import durable
+from auditloom.llm.common import durable, stored
 from auditloom.llm.words import slices
 
-#: A subtree is template if this share of the host's pages of different text, and this many of them, hold it.
-SHARE = 0.5
+#: A subtree is template if this many of the host's pages of different text hold it.
 PAGES = 5
+#: Prose, inline elements and blocks of fewer than WORDS words may recur by chance or quotation: those
+#: are template if also this share of the host's pages of different text holds them.
+SHARE = 0.05
+WORDS = 3
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
@@ -31,7 +34,7 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"""([a-z][a-z0-9-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
-_WORD = re.compile(r"\w")
+_WORD = re.compile(r"\w+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
@@ -166,18 +169,21 @@ class Page:
     def subtrees(self) -> dict[int, int]:
         """Hash of the tags and kept text of each element that may be template: no prose of an
         article or main part, no part of a sentence, and not what holds an article, a main part
-        or all text of the page."""
+        or all text of the page. The hash is odd where the subtree needs a share of the pages."""
         main = self.inside(self.main)
         parts: list[list[str]] = [[] for _ in self.tag]
-        worded, holds, size = [False] * len(self.tag), [False] * len(self.tag), [0] * len(self.tag)
+        worded, holds, size, words = [False] * len(self.tag), [False] * len(self.tag), [0] * len(self.tag), [0] * len(self.tag)
         for node, text in self._kept():
             text = _SPACE.sub(" ", text).strip()
             if text:
                 parts[node].append(text)
                 size[node] += len(text)
-                worded[node] = worded[node] or bool(_WORD.search(text))
+                found = len(_WORD.findall(text))
+                words[node] += found
+                worded[node] = worded[node] or found > 0
         for node in range(len(self.tag) - 1, 0, -1):
             size[self.parent[node]] += size[node]
+            words[self.parent[node]] += words[node]
             holds[node] = holds[node] or node in self.main
             holds[self.parent[node]] = holds[self.parent[node]] or holds[node]
         out: dict[int, int] = {}
@@ -187,7 +193,8 @@ class Page:
                 parts[self.parent[node]].append(digest.hex())
                 if (not holds[node] and self.tag[node] not in ("html", "body") and size[node] < size[0]
                         and not (main[node] and self._prose(node)) and not self._in_sentence(node, worded)):
-                    out[node] = int.from_bytes(digest, "big", signed=True)
+                    loose = words[node] < WORDS or self.tag[node] in PROSE or self.tag[node] in PARTS or self.tag[node] not in BLOCK
+                    out[node] = int.from_bytes(digest, "big", signed=True) & ~1 | loose
         return out
 
     def _prose(self, node: int) -> bool:
@@ -244,7 +251,8 @@ def _hash_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pages = [Page(h or "") for h in part["html"].to_pylist()]
             contents = [int.from_bytes(hashlib.blake2b(p.text().encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True) for p in pages]
             found = [list(set(p.subtrees().values())) for p in pages]
-            yield pa.RecordBatch.from_arrays([part["host"], pa.array(contents, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["host", "content", "subtrees"])
+            yield pa.RecordBatch.from_arrays([part["host"], part["source"], pa.array(contents, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+                                             names=["host", "source", "content", "subtrees"])
 
 
 def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,19 +267,27 @@ def host_of(url: str):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
+def _source() -> Column:
+    """What tells the html of one page from that of another."""
+    return F.unhex(F.md5(F.coalesce("html", F.lit("")))).alias("source")
+
+
 def templates(pages: DataFrame, share: float = SHARE, least: int = PAGES) -> DataFrame:
-    """Hashes of the subtrees that are template, one row per ``host`` with any.
+    """Hashes of the subtrees of a page that are template, one row per ``host`` and ``source`` (of
+    the html) with any.
 
-    A host has fewer of them than 1 / ``share`` times the subtrees of its mean page, so the
-    array of a host is bounded by the size of pages, however many pages it has.
+    The array of a page has at most its own subtrees, however many pages its host has.
     """
-    seen = pages.select(host_of("url").alias("host"), "html").mapInArrow(_hash_pages, "host string, content bigint, subtrees array<bigint>")
+    seen = stored(pages.select(host_of("url").alias("host"), "html", _source())
+                  .mapInArrow(_hash_pages, "host string, source binary, content bigint, subtrees array<bigint>"), "subtrees")
     # Pages of equal text count once. The null subtree stands for the page itself.
     counted = durable(seen.select("host", "content", F.explode(F.concat("subtrees", F.array(F.lit(None).cast("bigint")))).alias("subtree"))
                .groupBy("host", "subtree").agg(F.count_distinct("content").alias("n")).where((F.col("n") >= least) | F.col("subtree").isNull()))
     totals = counted.where("subtree IS NULL").select("host", F.col("n").alias("total"))
-    many = counted.where("subtree IS NOT NULL").join(totals, "host").where(F.col("n") >= share * F.col("total"))
-    return many.groupBy("host").agg(F.collect_list("subtree").alias("template"))
+    many = (counted.where("subtree IS NOT NULL").join(totals, "host")
+            .where((F.col("subtree") % 2 == 0) | (F.col("n") >= share * F.col("total"))).select("host", "subtree"))
+    return (seen.select("host", "source", F.explode("subtrees").alias("subtree")).join(many, ["host", "subtree"])
+            .groupBy("host", "source").agg(F.collect_set("subtree").alias("template")))
 
 
 def main_text(pages: DataFrame, share: float = SHARE, least: int = PAGES) -> DataFrame:
@@ -281,7 +297,7 @@ def main_text(pages: DataFrame, share: float = SHARE, least: int = PAGES) -> Dat
     A null or empty html gives an empty text. A null url, or one without a host, counts with the
     other such pages as one host. Repeated rows stay repeated and agree.
     """
-    source = pages.select("page_id", "url", "html", host_of("url").alias("host"))
+    source = pages.select("page_id", "url", "html", host_of("url").alias("host"), _source())
     kind = dict(pages.dtypes)
-    return (source.join(templates(pages, share, least), "host", "left").select("page_id", "url", "html", "template")
+    return (source.join(templates(pages, share, least), ["host", "source"], "left").select("page_id", "url", "html", "template")
             .mapInArrow(_read_pages, f"page_id {kind['page_id']}, url {kind['url']}, text string"))

@@ -199,3 +199,12 @@ def test_copies_of_a_page_keep_their_text(spark):
     ("<div class=comments><main>a</main></div>", "a"), ("<div class='popup'><aside><article>x</article></aside>y</div><p>a</p>", "a")])
 def test_names_of_what_holds_the_article(source, text):
     assert template.Page(source).text() == text
+
+
+def test_blocks_of_a_section_are_removed_from_large_hosts(spark):
+    def page(i):
+        return f"<div><a>Goods {i % 3}</a> <a>Prices and terms</a></div><div><p>Story {i}</p>{'<p>Thanks</p>' if i < 6 else ''}<div>Read</div></div>"
+
+    pages = [(i, f"http://h.org/{i}", page(i)) for i in range(30)] + [(100 + i, f"http://h.org/x{i}", f"<p>Other {i}</p>") for i in range(200)]
+    got = texts_of(spark, pages)
+    assert [got[i] for i in range(30)] == [f"Story {i}" + ("\nThanks" if i < 6 else "") for i in range(30)] and got[100] == "Other 0"
