@@ -84,9 +84,38 @@ SPELLED = {
 AT_WORDS = ("at", "arroba", "arobase", "ät")
 DOT_WORDS = ("dot", "punkt", "punto", "point")
 
-#: Last labels of a host that is spelled in bare words.
-ENDINGS = """com org net edu gov info biz io ai co app dev eu uk ca au nz de ch fr es mx ar nl pt br pl se dk fi ie jp cn ru
-example test""".split()
+#: Longer last labels of a host that is spelled in part; any of two letters will do besides.
+ENDINGS = """com org net edu gov mil int arpa info biz name pro aero coop museum jobs mobi travel tel cat asia post xxx example test
+app dev page blog shop store online site website web tech technology cloud digital agency company business services solutions
+systems software network email mail chat social media news press tv live studio design art photo photos photography gallery video
+film movie music radio audio band theater game games fun play club team group community foundation charity church school academy
+college university education training institute science engineering energy solar green eco earth garden farm food restaurant cafe
+bar pub pizza kitchen recipes beer wine coffee hotel holiday vacations flights tours cruise taxi car cars auto bike boats parts
+repair tools supply equipment builders construction contractors house homes property properties estate realestate apartments
+rentals land immo haus immobilien bank finance financial capital fund money cash credit loan loans insurance tax accountant
+accountants lawyer legal attorney law consulting management marketing partners ventures holdings enterprises industries
+international global world city town london paris berlin hamburg koeln cologne wien tokyo nyc miami vegas boston amsterdam
+brussels barcelona madrid sydney melbourne africa scot wales irish swiss bayern saarland ruhr nrw corsica eus gal bzh quebec lat
+xyz top icu vip win bid loan men click link download stream party racing review reviews trade date faith cricket science work
+works life love today one zone space host hosting domains center support help guide wiki how expert guru ninja rocks cool buzz
+best plus gold diamonds jewelry fashion clothing shoes boutique style beauty hair salon makeup skin spa health healthcare care
+clinic dental dentist doctor hospital medical vet fitness yoga run surf golf tennis football soccer hockey fit dog pet kids baby
+family mom dad wedding gift gifts toys cards poker casino bet lotto sale deals discount promo market markets shopping express
+delivery direct limited ltd llc inc gmbh srl sarl kaufen versicherung gratis voto vote democrat republican army navy airforce
+black blue red pink observer report ink computer codes code bot data host security safe protection camera mobile phone
+smart cyou monster quest sbs cfd bond lol wtf foo ooo moe moi dating sexy adult porn google amazon apple microsoft bmw
+youtube gmail aws""".split()
+#: Those of them that may follow "point", "punkt" or "punto".
+PLAIN_ENDINGS = "com org net edu gov mil info biz app dev example test".split()
+#: Words of two letters that end no host, and words that may end one but also follow "point" in a sentence.
+NO_ENDINGS = "ah an eh go ha he hi ho if of oh ok on or ox uh um up we ye yo".split()
+WORD_ENDINGS = "in it is at us be me my no so to as am by do la le il tu te se un et ou si ne du da ab im es".split()
+#: Words before "point" or "dot" in a sentence, and before "at" and an address of the web.
+DETERMINERS = "the a an this that these those some any each every no one which what another its his her their my your our".split()
+BEFORE_ADDRESS = """us me him her them it look looking looks shop shopping available more found find visit read reading buy sold sale
+online information details here there website site web page homepage located hosted live is are was were be and or order watch
+download register join arrive arrived working works work worked stay stop click see learn check apply donate today now free story
+article originally published posted appeared""".split()
 
 # A set of few ranges is searched fast; the tables then tell which of these characters count.
 _ODD = re.compile("[\\xad\\xb7\\u0370-\\U0010ffff]")
@@ -95,12 +124,19 @@ _SPELLED = "|".join(sorted(SPELLED, key=len, reverse=True))
 _DIGIT_RUN = re.compile(rf"(?<!\w)(?:(?:{_SPELLED})|[0-9]+)(?:[\x20.-]{{1,3}}(?:(?:{_SPELLED})(?!\w)|[0-9]+)){{3,}}(?!\w)", re.I)
 _SPELLED_WORD = re.compile(rf"(?<!\w)(?:{_SPELLED})(?!\w)", re.I)
 _BRACKETED = re.compile(rf"\s*[(\[{{<]\s*(?:(?P<at>{'|'.join(AT_WORDS)}|@)|(?P<dot>{'|'.join(DOT_WORDS)}|\.))\s*[)\]}}>]\s*", re.I)
-# Bare words count in the shape: name at host dot name.
-_WORDED = re.compile(rf"(?<![\w.%+-])[a-z0-9._%+-]+(?P<at>\s+(?:{'|'.join(AT_WORDS)})\s+)(?P<host>(?:[a-z0-9-]+\s+(?:{'|'.join(DOT_WORDS)})\s+)+(?:{'|'.join(ENDINGS)}))(?!\w)", re.I)
+# Bare words count in the shape: name at host dot name, with signs for some of them.
+_POINT_WORDS = "|".join(w for w in DOT_WORDS if w != "dot")
+_WORDED = re.compile(rf"""(?<![\w.%+-])(?P<name>[a-z0-9._%+-]++)(?:(?P<at>\s+(?:{'|'.join(AT_WORDS)})\s+)|(?P<sign>\s*@\s*))
+    (?!(?:{'|'.join(DETERMINERS)})\s)(?P<host>(?:[a-z0-9-]++(?:\.|\s+(?:{'|'.join(DOT_WORDS)})\s+))*[a-z0-9-]++
+    (?:(?:\.|\s+dot\s+)(?:(?!(?:{'|'.join(NO_ENDINGS)})(?!\w))[a-z]{{2}}|{'|'.join(ENDINGS)})
+    |\s+(?:{_POINT_WORDS})\s+(?:de|es|se|(?!(?:{'|'.join(NO_ENDINGS + WORD_ENDINGS)})(?!\w))[a-z]{{2}}|{'|'.join(PLAIN_ENDINGS)})))
+    (?!\w|[/:]\w)""", re.I | re.X)
+_PLAIN_HOST = re.compile(rf"\s(?:{'|'.join(AT_WORDS)})\s+[a-z0-9-]+\.[a-z0-9]", re.I)
 _DOT = re.compile(rf"\s+(?:{'|'.join(DOT_WORDS)})\s+", re.I)
 _BETWEEN = re.compile(rf"(?<!\w)(?:{_SPELLED}|[0-9]+)(?P<dot>\s+(?:{'|'.join(DOT_WORDS)})\s+)(?=(?:{_SPELLED}|[0-9]+)(?!\w))", re.I)
 _SPACED = re.compile(r"(?<=[A-Za-z0-9])\s+@\s+(?=[A-Za-z0-9-]+\.[A-Za-z])")
 _WORDS = re.compile(r"\w+").findall
+_BEFORE_ADDRESS = frozenset(BEFORE_ADDRESS)
 _DIGIT_WORDS, _SIGN_WORDS = frozenset(SPELLED), frozenset(DOT_WORDS)
 _ANY_DIGIT = re.compile("[0-9]")
 
@@ -113,6 +149,8 @@ def _may_hide(text: str) -> bool:
         return True
     if "@" in text and _SPACED.search(text):
         return True
+    if "." in text and _PLAIN_HOST.search(text):
+        return True
     words = set(_WORDS(text.lower()))
     return not (words.isdisjoint(_DIGIT_WORDS) and words.isdisjoint(_SIGN_WORDS))
 
@@ -201,7 +239,12 @@ def _signs(text: str) -> list[tuple[int, int, str]]:
 def _worded(text: str) -> list[tuple[int, int, str]]:
     out = {m.start(): (m.start(), m.end(), "@") for m in _SPACED.finditer(text)}
     for m in _WORDED.finditer(text):
-        out[m.start("at")] = (*m.span("at"), "@")
+        host = m["host"].lower()
+        if m["at"] and (m["name"].lower() in _BEFORE_ADDRESS and not _DOT.search(host) or host.startswith("www.")):
+            continue
+        sign = "at" if m["at"] else "sign"
+        if m[sign] != "@":
+            out[m.start(sign)] = (*m.span(sign), "@")
         out |= {d.start(): (d.start(), d.end(), ".") for d in _DOT.finditer(text, *m.span("host"))}
     out |= {m.start("dot"): (*m.span("dot"), ".") for m in _BETWEEN.finditer(text)}
     return [out[k] for k in sorted(out)]
@@ -219,15 +262,15 @@ def normalise(text: str) -> Mapped:
 
 
 def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    """Spans of the text itself, and all spans: those and the hidden ones that overlap none of
-    them of the same kind."""
+    """Spans of the text itself, and all spans: those and the hidden ones that are longer than each
+    of them of the same kind that they overlap."""
     base = detect(text)
     if not _may_hide(text):
         return base, base
     mapped = normalise(text)
     more = [(kind, mapped.start(lo), mapped.end(hi)) for kind, lo, hi in detect(mapped.text)]
-    more = [(k, lo, hi) for k, lo, hi in more if not any(k == b and lo < e and s < hi for b, s, e in base)]
-    return base, sorted(base + more, key=lambda s: (KINDS.index(s[0]), s[1]))
+    more = [(k, lo, hi) for k, lo, hi in more if not any(k == b and lo < e and s < hi and hi - lo <= e - s for b, s, e in base)]
+    return base, sorted(base + more, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
 _SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -238,7 +281,7 @@ def personal_data(documents: DataFrame) -> DataFrame:
     for every row of ``documents``; other columns are ignored.
 
     Spans are code points of the source, end exclusive, by kind (email, ip, card, phone) and
-    start. A null or empty text has none. Repeated rows stay repeated.
+    start. A hidden span may hold a shorter one of the text itself. A null or empty text has none. Repeated rows stay repeated.
     """
     def run(texts: pd.Series) -> pd.DataFrame:
         found = [find(t or "") for t in texts]

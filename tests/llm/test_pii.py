@@ -73,3 +73,26 @@ def test_rows_and_masks(spark):
     assert texts[14] == "mail [email], or [email]" and texts[5] is None and texts[1] == rows.BASE
     assert pii.masked(rows.documents(spark, [])).count() == 0
     assert pii.mask("abcdef", [("ip", 1, 4), ("card", 2, 5)]) == "a[ip]f"
+
+
+@pytest.mark.parametrize("text, hidden", [
+    ("to jane (at) example dot com now", "jane (at) example dot com"), ("to jane@example dot com now", "jane@example dot com"),
+    ("to jane at example.com now", "jane at example.com"), ("to jane at example (dot) com.", "jane at example (dot) com"),
+    ("to jane @ example dot co dot uk", "jane @ example dot co dot uk"), ("to jane at foo dot it", "jane at foo dot it"),
+    ("a jane at foo dot kr, b", "jane at foo dot kr"), ("jane at foo dot museum", "jane at foo dot museum"), ("jane arroba foo punto mx", "jane arroba foo punto mx"),
+    ("jane@mail.example dot com", "jane@mail.example dot com"), ("x \u0440\u0430ul@example.com y", "\u0440\u0430ul@example.com"),
+    ("jane at example.com point is", "jane at example.com")])
+def test_mixed_disguises_are_found_whole(text, hidden):
+    base, spans = pii.find(text)
+    assert ("email", hidden) in [(k, text[lo:hi]) for k, lo, hi in spans] and set(base) <= set(spans)
+    assert pii.mask(text, spans) == text.replace(hidden, "[email]")
+
+
+def test_sentences_are_no_disguises():
+    for text in ("Shop at example.com today", "read it at www.example.com", "water at boiling point is hot", "at this point we see", "look at the dot in it",
+                 "jane at example.com/page", "meet at 3.30 pm", "it ends at one point in time"):
+        assert pii.find(text)[1] == [], text
+    for big in ("a at " * 60000, "a at b dot " * 30000, "a at " + "b dot " * 50000, "a@b." * 50000, "a" + " " * 200000, "a at b.c" * 30000, "b.c dot " * 30000):
+        began = time.process_time()
+        pii.find(big)
+        assert time.process_time() - began < 5, big[:20]
