@@ -159,8 +159,8 @@ def _prune_pairs(least: list[int]):
 class _Block:
     """Rows of one block pair of a bucket, and their cross pairs that survive the signatures.
 
-    A pair that agrees on several bands is taken in the first of their buckets only (16 of 32
-    bits are compared, so it is taken nowhere with a probability of some 1e-5 at most).
+    A pair that shares several buckets is taken in the first of them only; ``past`` has the keys
+    of the buckets before this one.
     """
 
     def __init__(self, group: pa.Table, least: list[int]):
@@ -171,7 +171,8 @@ class _Block:
         self.one = group["lo"][0].as_py() == group["hi"][0].as_py()
         self.rows = np.flatnonzero(side == 0)
         self.others = self.rows if self.one else np.flatnonzero(side == 1)
-        self.band = group["band"][0].as_py()
+        past = group["past"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        self.past = past.reshape(len(group), group["band"][0].as_py())
 
     def root(self, k: int) -> int:
         while self.parent[k] != k:
@@ -184,14 +185,13 @@ class _Block:
         return a != b
 
     def pairs(self) -> Iterator[tuple[int, np.ndarray]]:
-        cols = self.band * BAND_ROWS
         for k, i in enumerate(self.rows):
             js = self.others[k + 1:] if self.one else self.others
             js = js[self.comp[js] != self.comp[i]]
             if len(js):
                 js = js[_alive(np.broadcast_to(self.sig[i], (len(js), HASHES)), self.sig[js], self.least)]
-            if len(js) and cols:
-                js = js[~(self.sig[i, :cols] == self.sig[js, :cols]).reshape(len(js), -1, BAND_ROWS).all(axis=2).any(axis=1)]
+            if len(js):
+                js = js[~(self.past[i] == self.past[js]).any(axis=1)]
             if len(js):
                 yield int(i), js
 
@@ -340,14 +340,16 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, mis
     placed = slots.join(roots, "node", "left").select("bucket", "band", "node", "members", F.coalesce("root", "node").alias("comp"))
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("bucket")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    open_slots = (placed.join(mixed, "bucket").join(sig, "node")
+    marks = nodes.select("node", "sig", "buckets")
+    past = F.slice("buckets", F.lit(1), F.col("band")).alias("past")
+    open_slots = (placed.join(mixed, "bucket").join(marks, "node")
                   .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
                   .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-                  .select("bucket", "band", "node", "comp", "sig", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+                  .select("bucket", "band", "node", "comp", "sig", past, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
                           F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")))
     suspects = (open_slots.groupBy("bucket", "lo", "hi")
                 .applyInArrow(_suspects(least), "bucket bigint, band int, lo int, hi int, side int, node binary, comp binary"))
-    suspects = _texts(durable(suspects).join(sig, "node"), nodes, documents)
+    suspects = _texts(durable(suspects).join(marks, "node").select(*_SUSPECT, "sig", past), nodes, documents)
     rest = (suspects.groupBy("bucket", "lo", "hi")
             .applyInArrow(_confirm_block(width, percent, least), "a binary, b binary"))
     links = durable(links.unionByName(rest))

@@ -95,3 +95,14 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     found = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
     assert {found[k] for k in range(41)} == {0} and {found[k] for k in range(100, 140)} == {100}
+
+
+def test_a_pair_is_skipped_only_where_an_earlier_bucket_had_it():
+    sig = np.arange(neardup.HASHES, dtype=np.uint16).tobytes()
+
+    def pairs(past):
+        group = pa.table({"sig": pa.array([sig, sig], pa.binary()), "comp": pa.array([b"a", b"b"], pa.binary()), "side": [0, 0], "lo": [0, 0], "hi": [0, 0],
+                          "band": [2, 2], "past": pa.array(past, pa.list_(pa.int64()))})
+        return [(i, js.tolist()) for i, js in neardup._Block(group, neardup.least_matches(0.8, 1e-6)).pairs()]
+
+    assert pairs([[1, 2], [3, 4]]) == [(0, [1])] and pairs([[1, 2], [3, 2]]) == []
