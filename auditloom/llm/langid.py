@@ -29,7 +29,7 @@ WINDOWS_PER_ROW = 4
 EPOCHS = 8
 BATCH = 64
 UNKNOWN = "und"
-#: Texts of lower score are taken for no language.
+#: Texts whose windows are less sure than this in the mean, each of its own language, are taken for no language.
 LEAST_SCORE = 0.4
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -155,19 +155,20 @@ def _apply(net: ByteNet | None, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
-                names, scores = [UNKNOWN] * len(part), np.zeros(len(part))
+                names, scores, sure = [UNKNOWN] * len(part), np.zeros(len(part)), np.zeros(len(part))
                 has = np.array([bool(t and _LETTER.search(t)) for t in part["text"].to_pylist()])
                 if net and has.any():
                     windows, first = cut(*utf8(part["text"].filter(pa.array(has))))
                     p = np.concatenate([net.probabilities(windows[i: i + BATCH]) for i in range(0, len(windows), BATCH)])
                     weight = (windows > 0).sum(axis=1, keepdims=True) + 1.0
                     mean = np.add.reduceat(p * weight, first[:-1]) / np.add.reduceat(weight, first[:-1])
+                    sure[has] = (np.add.reduceat(p.max(axis=1, keepdims=True) * weight, first[:-1]) / np.add.reduceat(weight, first[:-1]))[:, 0]
                     best = mean.argmax(axis=1)
                     scores[has] = np.clip(mean[np.arange(len(mean)), best], 0, 1)
                     for i, k in zip(np.flatnonzero(has), best):
                         names[i] = net.languages[k]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part[c] for c in keep), pa.array(names), pa.array(scores)], names=[*keep, "_lang", "_score"])
+                    [*(part[c] for c in keep), pa.array(names), pa.array(scores), pa.array(sure)], names=[*keep, "_lang", "_score", "_sure"])
 
     return run
 
@@ -175,7 +176,7 @@ def _apply(net: ByteNet | None, keep: list[str]):
 def _predicted(documents: DataFrame, net: ByteNet | None, keep: list[str]) -> DataFrame:
     kinds = dict(documents.dtypes)
     return documents.select(*{*keep, "text"}).mapInArrow(
-        _apply(net, keep), ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", _lang string, _score double")
+        _apply(net, keep), ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", _lang string, _score double, _sure double")
 
 
 def predict(documents: DataFrame, net: ByteNet | None) -> DataFrame:
@@ -188,13 +189,14 @@ def predict(documents: DataFrame, net: ByteNet | None) -> DataFrame:
 
 
 def with_language(documents: DataFrame, net: ByteNet | None, least: float = LEAST_SCORE) -> DataFrame:
-    """Rows of ``documents``, all columns kept, whose text has a known language: not ``und``, and a
-    score of ``least`` or more. Without a network (nothing to learn from) only texts without a
+    """Rows of ``documents``, all columns kept, whose text has known languages: not ``und``, and in
+    the mean over its windows a best probability of ``least`` or more, so a text of several
+    languages stays. Without a network (nothing to learn from) only texts without a
     letter go."""
     if net is None:
         return documents.where(F.col("text").rlike(r"\p{L}"))
     found = _predicted(documents, net, documents.columns)
-    return found.where((F.col("_lang") != UNKNOWN) & (F.col("_score") >= least)).select(*documents.columns)
+    return found.where((F.col("_lang") != UNKNOWN) & (F.col("_sure") >= least)).select(*documents.columns)
 
 
 def held_out() -> Column:

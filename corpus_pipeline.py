@@ -19,7 +19,8 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages of the labelled rows; texts without a letter go."""
+    """Documents in one of the languages of the labelled rows; texts without a letter, or that the network
+    is unsure of in the mean of their windows (``langid.LEAST_SCORE``), go."""
     return langid.with_language(docs, langid.fit(docs.where(~langid.held_out())))
 
 

@@ -82,3 +82,16 @@ def test_toxicity_of_awkward_rows(spark):
     got = toxicity.predict(docs, toxicity.fit(docs, labels)).collect()
     assert len(got) == len(rows.DOCUMENTS) and all(0 <= r["score"] <= 1 for r in got)
     assert toxicity.predict(rows.documents(spark, []), toxicity.fit(docs, labels.where("false"))).count() == 0
+
+
+def test_texts_of_several_languages_stay(spark):
+    class Sure:
+        languages = ["da", "de", "en", "fr"]
+
+        def probabilities(self, windows):
+            return np.array([[0.25] * 4 if (w == w.max()).sum() > 200 else np.eye(4)[int(w.max()) % 4] for w in windows], np.float32)
+
+    docs = rows.documents(spark, [(1, "ae" * 126 + "ad" * 126 + "ac" * 126 + "ab" * 126), (2, "a" * 252), (3, "12"), (4, None)])
+    got = {r["doc_id"]: r["score"] for r in langid.predict(docs, Sure()).collect()}
+    assert got[1] < langid.LEAST_SCORE and got[2] < langid.LEAST_SCORE
+    assert {r["doc_id"] for r in langid.with_language(docs, Sure()).collect()} == {1}
