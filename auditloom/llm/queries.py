@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from auditloom.llm import bpe, decontam, langid, pii, sharding, template, topk, toxicity, warc
+from auditloom.llm import bpe, decontam, divergence, langid, pii, rtree, sharding, template, topk, toxicity, warc
 from auditloom.llm.common import table
 from auditloom.llm.neardup import near_duplicates
 
@@ -66,9 +66,19 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(documents, net).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return rtree.hard_negatives(vectors.withColumn("label", moved), every=100, positives=5, negatives=10, scale=256, low=30, high=90)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"), least_df=3, top=200)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_personal_data, op2_near_duplicates, op3_captures, op4_byte_pairs, op5_nearest, op6_toxicity, op7_decontamination,
-    op8_main_text, op9_shards, op10_language)}
+    op8_main_text, op9_shards, op10_language, op12_hard_negatives, op13_source_divergence)}
 
 _WORD_SETS = r"""
 WITH RECURSIVE words AS (
@@ -135,5 +145,50 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id = origin THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> origin THEN origin END AS refers_to
 FROM d
+""",
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.e) = len(c.e)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+  FROM positives JOIN scored n USING (anchor_id)
+  WHERE NOT n.same AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+""",
+    "op13_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+w AS (SELECT doc, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS whole FROM w GROUP BY ALL HAVING count(DISTINCT doc) >= 3),
+langs AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(whole) AS lang_n FROM kept GROUP BY lang),
+cells AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS c FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sums AS (SELECT lang, source, sum(c) AS n FROM cells GROUP BY ALL),
+groups AS (SELECT g.lang, g.source, coalesce(n, 0) AS n, coalesce(v, 0) AS v, lang_n
+           FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN sums USING (lang, source) LEFT JOIN langs USING (lang)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c, 1 + (1000000000 * (coalesce(c, 0) + 1)) // (n + v) AS p,
+             1 + (1000000000 * (whole + 1)) // (lang_n + v) AS q
+      FROM groups g JOIN kept k USING (lang) LEFT JOIN cells USING (lang, source, term)),
+sides AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sides s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE c > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts
+QUALIFY part = 'pair' OR rank <= 200
 """,
 }
