@@ -27,6 +27,8 @@ LARGE = 1 << 15
 #: Terms of a block and sources of a chunk: what one comparing task holds at a time.
 BLOCK_TERMS = 2048
 CHUNK_SOURCES = 256
+#: Rows that a counting task holds.
+HELD = 1 << 20
 
 SCALE = 1_000_000_000
 
@@ -57,55 +59,75 @@ class Pointers:
         cuts = cuts[(cuts > 0) & (cuts < len(raw))]
         begins[cuts] |= inside[cuts]
         finish[cuts - 1] |= inside[cuts - 1]
-        starts = np.flatnonzero(begins)
-        lengths = np.flatnonzero(finish) + 1 - starts
-        order, new = self._sorted(starts, lengths)
-        self.starts, self.lengths = starts[order], lengths[order]
+        self.windows = np.lib.stride_tricks.sliding_window_view(self.raw, 8)
+        self.starts = np.flatnonzero(begins)
+        self.lengths = np.flatnonzero(finish) + 1 - self.starts
+        order, new = self._sorted()
+        self.starts, self.lengths = self.starts[order], self.lengths[order]
         self.text = np.searchsorted(bounds, self.starts, side="right") - 1
         self.run = np.cumsum(new) - 1
         self.first = np.flatnonzero(new)
 
-    def _keys(self, at: np.ndarray, left: np.ndarray) -> np.ndarray:
-        """The next eight bytes at ``at`` as numbers that order like the bytes; beyond the word's
-        end they are zero, which no word holds."""
-        windows = np.lib.stride_tricks.sliding_window_view(self.raw, 8)
-        keys = np.ascontiguousarray(windows[at]).view(">u8").ravel().astype(np.uint64)
-        return keys & _MASKS[np.clip(left, 0, 8)]
-
-    def _sorted(self, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in word order, and where a word differs from the one before."""
-        order = np.arange(len(starts))
-        new = np.zeros(len(starts), bool)
+    def _keys(self, mine: np.ndarray, depth: int) -> np.ndarray:
+        """The eight bytes of words ``mine`` from ``depth`` on, as numbers that order like the bytes; beyond a
+        word's end they are zero, which no word holds."""
+        at = np.minimum(self.starts[mine] + depth, len(self.raw) - 8)
+        left = np.minimum(self.lengths[mine] - depth, 8)
+        return self.windows[at].view(">u8").ravel().astype(np.uint64) & _MASKS[left]
+
+    def _sorted(self) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in word order, and where a word differs from the one before.
+
+        A run (from, to, depth) holds words that agree in their first ``depth`` bytes, and go on. Small
+        runs of one depth are sorted together.
+        """
+        order = np.arange(len(self.starts))
+        new = np.zeros(len(order), bool)
         new[:1] = True
-        # A run (from, to, depth) holds words that agree in their first ``depth`` bytes.
-        todo = [(0, len(order), 0)] if len(order) else []
-        while todo:
-            lo, hi, depth = todo.pop()
-            mine = order[lo:hi]
-            left = lengths[mine] - depth
-            keys = self._keys(np.minimum(starts[mine] + depth, len(self.raw) - 8), left)
+        large, small = ([(0, len(order), 0)] if len(order) else []), {}
+
+        def put(lo: int, hi: int, depth: int) -> None:
             if hi - lo > LARGE:
-                pivot = np.sort(keys[:: max(1, len(keys) // 255)])[len(keys[:: max(1, len(keys) // 255)]) // 2]
-                below, same = keys < pivot, keys == pivot
-                parts = [mine[below], mine[same], mine[~(below | same)]]
-                order[lo:hi] = np.concatenate(parts)
-                a, b = lo + len(parts[0]), lo + len(parts[0]) + len(parts[1])
-                new[a] = True
-                if b < hi:
-                    new[b] = True
-                todo += [(x, y, depth) for x, y in ((lo, a), (b, hi)) if y - x > 1]
-                if b - a > 1 and pivot & np.uint64(0xFF):
-                    todo.append((a, b, depth + 8))
-                continue
-            by = np.argsort(keys)
-            order[lo:hi] = mine[by]
+                large.append((lo, hi, depth))
+            elif hi - lo > 1:
+                small.setdefault(depth, []).append((np.array([lo]), np.array([hi])))
+
+        while large:
+            lo, hi, depth = large.pop()
+            mine = order[lo:hi]
+            keys = self._keys(mine, depth)
+            sample = np.sort(keys[:: len(keys) // 255 + 1])
+            pivot = sample[len(sample) // 2]
+            below, same = keys < pivot, keys == pivot
+            parts = [mine[below], mine[same], mine[~(below | same)]]
+            order[lo:hi] = np.concatenate(parts)
+            a, b = lo + len(parts[0]), hi - len(parts[2])
+            new[a] = True
+            new[b: b + (b < hi)] = True
+            put(lo, a, depth)
+            put(b, hi, depth)
+            if pivot & np.uint64(0xFF):
+                put(a, b, depth + 8)
+        while small:
+            depth = min(small)
+            froms, tos = (np.concatenate(c) for c in zip(*small.pop(depth)))
+            sizes = tos - froms
+            run = np.repeat(np.arange(len(sizes)), sizes)
+            place = np.arange(len(run)) + np.repeat(froms - (np.cumsum(sizes) - sizes), sizes)
+            mine = order[place]
+            keys = self._keys(mine, depth)
+            by = np.lexsort((keys, run))
+            order[place] = mine[by]
             keys = keys[by]
-            change = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-            new[lo + change] = True
-            edges = np.concatenate(([0], change, [hi - lo]))
-            # Runs go on only if their words do: a word's last key ends in a zero byte.
-            more = np.flatnonzero((np.diff(edges) > 1) & ((keys[edges[:-1]] & np.uint64(0xFF)) != 0))
-            todo += [(lo + int(edges[k]), lo + int(edges[k + 1]), depth + 8) for k in more]
+            change = np.ones(len(keys), bool)
+            change[1:] = (keys[1:] != keys[:-1]) | (run[1:] != run[:-1])
+            new[place[change]] = True
+            edges = np.append(np.flatnonzero(change), len(keys))
+            # A word's last key ends in a zero byte.
+            more = (np.diff(edges) > 1) & ((keys[edges[:-1]] & np.uint64(0xFF)) != 0)
+            if more.any():
+                start = place[edges[:-1][more]]
+                small.setdefault(depth + 8, []).append((start, start + np.diff(edges)[more]))
         return order, new
 
     def words(self) -> pa.Array:
@@ -117,6 +139,22 @@ class Pointers:
         return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(self.raw[at])).cast(pa.string())
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_count`` with the slices of a task summed, at most about ``HELD`` of them at a time."""
+    names, held, count = ["lang", "source", "term", "count", "df"], [], 0
+    for batch in _count(batches):
+        held.append(batch)
+        count += len(batch)
+        if count > HELD:
+            total = pa.Table.from_batches(held).group_by(names[:3]).aggregate([("count", "sum"), ("df", "sum")]).rename_columns(names)
+            if len(total) > HELD // 2:
+                yield from total.to_batches()
+                held, count = [], 0
+            else:
+                held, count = total.to_batches(), len(total)
+    yield from held
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per slice, group and term: occurrences and documents; a group's row without a term stands for
     the group itself."""
@@ -159,7 +197,7 @@ def term_counts(documents: DataFrame) -> DataFrame:
     are ignored.
     """
     texts = documents.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    counts = texts.mapInArrow(_count, "lang string, source string, term string, count bigint, df bigint")
+    counts = texts.mapInArrow(_summed, "lang string, source string, term string, count bigint, df bigint")
     return counts.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("df").alias("df"))
 
 
