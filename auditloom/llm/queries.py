@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from auditloom.llm import bpe, decontam, divergence, langid, pii, rtree, sharding, template, topk, toxicity, warc
+from auditloom.llm import bpe, decontam, divergence, graph, langid, pii, rtree, sharding, template, topk, toxicity, warc
 from auditloom.llm.common import table
 from auditloom.llm.neardup import near_duplicates
 
@@ -66,6 +66,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(documents, net).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.nearest(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -78,7 +82,7 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_personal_data, op2_near_duplicates, op3_captures, op4_byte_pairs, op5_nearest, op6_toxicity, op7_decontamination,
-    op8_main_text, op9_shards, op10_language, op12_hard_negatives, op13_source_divergence)}
+    op8_main_text, op9_shards, op10_language, op11_neighbours, op12_hard_negatives, op13_source_divergence)}
 
 _WORD_SETS = r"""
 WITH RECURSIVE words AS (
