@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from auditloom import fixed
 from auditloom.functions.keys import match
 from auditloom.functions.names import canonical_district
 from auditloom.functions.numbers import amount_or_null, clean_amount, col, decimal_text, int_text, let, money_sum, strip
 from auditloom.operators.rank import global_rank, running_id
+from auditloom.session import durable
 
 # --- records assembled from lines ----------------------------------------------------
 
@@ -36,6 +37,52 @@ def assemble_records(lines: DataFrame, keys: Sequence[str], chunk: Column, order
         "text", F.array_join("lines", " "))
 
 
+#: Lines of a piece of a record (no fewer than those ahead), and lines after it that a match may run
+#: into: the longest pattern has five tokens, and no token holds a space.
+PIECE_LINES = 64
+LINES_AHEAD = 4
+
+
+def record_pieces(lines: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[str],
+                  line: str = "line", start: str | Column = fixed.RECORD_START) -> DataFrame:
+    """Records of ordered lines, in pieces of up to ``PIECE_LINES`` lines: no record is ever gathered.
+
+    A record is one piece as a rule (``whole``); a longer one, or one that crosses a chunk, is several, in the
+    order of ``at``. ``lines`` are the piece's own, ``ahead`` the next few of the same record, ``first`` marks the
+    piece with the start line. Lines are shuffled once, by chunk. Lines before the first start are dropped.
+    """
+    starts = F.col(line).rlike(start) if isinstance(start, str) else start
+    by = [*keys, "_chunk"]
+    so_far = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    flagged = lines.select(*keys, *[c for c in order if c not in keys], F.col(line).alias("_line"), chunk.alias("_chunk"), F.when(starts, 1).otherwise(0).alias("_start"))
+    placed = flagged.withColumn("_here", F.sum("_start").over(so_far)).withColumn("_row", F.row_number().over(so_far))
+    placed = placed.withColumn("_since", F.max(F.when(F.col("_start") == 1, F.col("_row"))).over(so_far))
+    placed = placed.withColumn("_sub", F.floor((F.col("_row") - F.coalesce("_since", F.lit(1))) / PIECE_LINES).cast("int"))
+    pieces = placed.groupBy(*by, "_here", "_sub").agg(F.array_sort(F.collect_list(F.struct("_row", "_line")))["_line"].alias("lines"))
+    follows = Window.partitionBy(*by).orderBy("_here", "_sub")
+    none = F.array().cast("array<string>")
+    same = F.coalesce(F.lead("_here").over(follows) == F.col("_here"), F.lit(False))
+    # The lines ahead may be at the head of the next chunk: after the chunk's last piece, or after the one before it.
+    last = F.lead("_here").over(follows).isNull() | (same & F.lead("_here", 2).over(follows).isNull())
+    pieces = durable(pieces.withColumn("_next", F.when(same, F.slice(F.lead("lines").over(follows), 1, LINES_AHEAD)).otherwise(none)).withColumn("_last", last))
+
+    # One row per chunk: its starts, and the lines with which it goes on with the record before it.
+    went_on = (F.col("_here") == 0) & (F.col("_sub") == 0)
+    chunks = pieces.groupBy(*by).agg(F.max("_here").alias("_n"), F.max(F.when(went_on, F.slice("lines", 1, LINES_AHEAD))).alias("_head"))
+    across = Window.partitionBy(*keys).orderBy("_chunk")
+    come, open_ = none, F.lit(True)
+    for k in range(1, LINES_AHEAD + 1):
+        come = F.concat(come, F.when(open_, F.coalesce(F.lead("_head", k).over(across), none)).otherwise(none))
+        open_ = open_ & F.coalesce(F.lead("_n", k).over(across) == 0, F.lit(False))
+    chunks = chunks.select(*by, F.coalesce(F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                           F.slice(come, 1, LINES_AHEAD).alias("_come"))
+    joined = pieces.join(chunks, by).withColumn("record_id", (F.col("_before") + F.col("_here")).cast("bigint")).filter(F.col("record_id") > 0)
+    out = joined.select(*keys, "record_id", F.struct("_chunk", "_sub").alias("at"), "lines",
+                        F.slice(F.concat("_next", F.when(F.col("_last"), F.col("_come")).otherwise(none)), 1, LINES_AHEAD).alias("ahead"),
+                        ((F.col("_here") > 0) & (F.col("_sub") == 0)).alias("first"))
+    return out.withColumn("whole", F.col("first") & (F.size("ahead") == 0))
+
+
 def record_spans(lines: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[str], starts: Column,
                  line: str) -> DataFrame:
     """Per record: first and last position, number of lines, characters, first line.
@@ -59,33 +106,77 @@ def _owner_lines(lines: Column) -> Column:
     return F.filter(F.transform(F.slice(lines, 2, 4), strip), keep)
 
 
-def _first_description(text: Column) -> Column:
-    """First pattern that matches; later patterns run only if the earlier ones fail."""
-    return strip(F.coalesce(*[F.get(F.regexp_extract_all(text, F.lit(p), F.lit(1)), F.lit(0))
-                              for p in fixed.DESCRIPTION_PATTERNS]))
+#: What a piece of a record tells of it: text as found, typed only once the pieces are merged.
+_FOUND = ("account_number", "property_class", "zone", "acreage", "first_half_tax", "second_half_tax", "deferred_value")
+
+
+def _own(text: Column, pattern: str, group: int = 1) -> Column:
+    """First match that starts in the piece itself; it may end in the lines ahead."""
+    inside = (F.size("ahead") == 0) | (F.regexp_instr(text, F.lit(pattern)) <= F.col("_length"))
+    return F.when(inside, match(text, pattern, group))
+
+
+def _pieces(records: DataFrame) -> DataFrame:
+    """Assembled records count as whole pieces."""
+    if "ahead" not in records.columns:
+        none = F.array().cast("array<string>")
+        records = records.withColumns({"ahead": none, "first": F.lit(True), "whole": F.lit(True), "at": F.struct(F.lit(0).alias("_chunk"), F.lit(0).alias("_sub"))})
+    own = F.array_join("lines", " ")
+    return (records.withColumn("_text", F.concat_ws(" ", "lines", "ahead")).withColumn("_length", F.length(own)))
 
 
-def _common_fields(parcel_pattern: str) -> list[Column]:
-    """Fields of a record; the owner lines come out as one array."""
-    text, lines = F.col("text"), F.col("lines")
-    p = fixed.RECORD_PATTERNS
+def _or_else(value: Column, place: int, later: Column) -> Column:
+    def pick(found: Column) -> Column:
+        return F.when(found.isNotNull(), F.struct(F.lit(place).alias("place"), found.alias("text"))).otherwise(later)
+
+    return let(value, pick)
+
+
+def _description(text: Column) -> Column:
+    """The first pattern that matches, as (its place, text); later ones run only if the earlier fail."""
+    out = F.lit(None).cast("struct<place: int, text: string>")
+    for place, pattern in reversed(list(enumerate(fixed.DESCRIPTION_PATTERNS))):
+        out = _or_else(_own(text, pattern), place, out)
+    return out
+
+
+def _district(text: Column) -> Column:
+    """The first district of the fixed order, as (its place, name)."""
+    names = F.array(*[F.lit(n) for n in fixed.DISTRICTS.values()])
+    return let(canonical_district(text), lambda d: F.when(d.isNotNull(), F.struct(F.array_position(names, d).alias("place"), d.alias("name"))))
+
+
+def _record_fields(records: DataFrame, keep: Sequence[str], parcel_pattern: str, blocks: Mapping[str, Column]) -> DataFrame:
+    """One row per record with the first match of every field, in text order.
+
+    A field of a record in several pieces is that of its first piece that has it; only those pieces
+    are shuffled. ``blocks`` are further columns, merged alike.
+    """
+    text = F.col("_text")
+    rows = _pieces(records)
+    opening = F.slice(F.concat("lines", "ahead"), 1, 5)
+    found = {
+        "parcel_code": F.when(F.col("first"), F.regexp_replace(match(F.get("lines", F.lit(0)), parcel_pattern), r"\s+", "")),
+        "_owner": F.when(F.col("first"), _owner_lines(opening)),
+        "_description": _description(text), "_district": _district(text),
+        **{name: _own(text, fixed.RECORD_PATTERNS[name]) for name in _FOUND}, **blocks}
+    found = rows.select(*keep, "record_id", "at", "whole", *[c.alias(n) for n, c in found.items()])
+    names = [c for c in found.columns if c not in (*keep, "record_id", "at", "whole")]
+    if "ahead" in records.columns:
+        first = {n: F.min_by(n, F.when(F.col(n).isNotNull(), F.struct(*([f"{n}.place"] if n in ("_description", "_district") else []), "at"))) for n in names}
+        merged = found.filter(~F.col("whole")).groupBy(*keep, "record_id").agg(*[c.alias(n) for n, c in first.items()])
+        found = found.filter("whole").select(*keep, "record_id", *names).unionByName(merged)
     zero = F.lit(0).cast("decimal(18,2)")
-    return [
-        F.regexp_replace(match(F.get(lines, F.lit(0)), parcel_pattern), r"\s+", "").alias("parcel_code"),
-        _owner_lines(lines).alias("_owner"),
-        _first_description(text).alias("description"),
-        match(text, p["acreage"]).try_cast("double").alias("acreage"),
-        match(text, p["property_class"]).try_cast("int").alias("property_class"),
-        match(text, p["zone"]).alias("zone"),
-        match(text, p["account_number"]).alias("account_number"),
-        canonical_district(text).alias("district"),
-        F.coalesce(decimal_text(match(text, p["first_half_tax"])), zero).alias("first_half_tax"),
-        F.coalesce(decimal_text(match(text, p["second_half_tax"])), zero).alias("second_half_tax"),
-        F.coalesce(int_text(match(text, p["deferred_value"])), F.lit(0)).cast("bigint").alias("deferred_value"),
-    ]
-
-
-def _amounts(text: Column, pattern: str, names: Sequence[str]) -> Column:
+    return found.select(
+        *keep, "record_id", "parcel_code", "_owner", strip(F.col("_description.text")).alias("description"),
+        F.col("acreage").try_cast("double").alias("acreage"), F.col("property_class").try_cast("int").alias("property_class"),
+        "zone", "account_number", F.col("_district.name").alias("district"), F.lit(None).cast("string").alias("deed_book"),
+        F.coalesce(decimal_text("first_half_tax"), zero).alias("first_half_tax"),
+        F.coalesce(decimal_text("second_half_tax"), zero).alias("second_half_tax"),
+        F.coalesce(int_text("deferred_value"), F.lit(0)).cast("bigint").alias("deferred_value"), *blocks)
+
+
+def _amounts(pattern: str, names: Sequence[str]) -> Column:
     """Struct of the amounts of the first match: longs, the last one (tax) decimal.
 
     The block is searched once and then cut at white space; no amount holds any.
@@ -95,9 +186,9 @@ def _amounts(text: Column, pattern: str, names: Sequence[str]) -> Column:
         for i, name in enumerate(names):
             found = F.get(parts, F.lit(i))
             values.append((decimal_text(found) if name == "tax" else int_text(found)).alias(name))
-        return F.struct(*values)
+        return F.when(parts.isNotNull(), F.struct(*values))
 
-    return let(F.split(F.regexp_extract(text, pattern, 0), r"\s+"), read)
+    return let(F.split(_own(F.col("_text"), pattern, 0), r"\s+"), read)
 
 
 def _with_values(records: DataFrame, land: Column, improvement: Column, total: Column, tax: Column) -> DataFrame:
@@ -113,16 +204,16 @@ def _with_values(records: DataFrame, land: Column, improvement: Column, total: C
 
 
 def property_records(records: DataFrame, keep: Sequence[str], caps: Mapping = fixed.VALUE_CAPS) -> DataFrame:
-    """Property fields of assembled records.
+    """Property fields of records: of :func:`record_pieces`, or of :func:`assemble_records`.
 
     Values come from the four amounts before the account mark, if under the
     caps; else from three amounts (land, total, tax). Records without a parcel
-    code or without value are dropped.
+    code or without value are dropped. ``deed_book`` is a column that no text fills.
+    A description that is known by its last word only starts in the piece that holds this word.
     """
-    text = F.col("text")
-    base = records.select(*keep, "record_id", *_common_fields(fixed.RECORD_PATTERNS["parcel_code"]),
-                          _amounts(text, fixed.VALUE_BLOCK, ("land", "improvement", "total", "tax")).alias("four"),
-                          _amounts(text, fixed.VALUE_BLOCK_LAND_ONLY, ("land", "total", "tax")).alias("three"))
+    base = _record_fields(records, keep, fixed.RECORD_PATTERNS["parcel_code"], {
+        "four": _amounts(fixed.VALUE_BLOCK, ("land", "improvement", "total", "tax")),
+        "three": _amounts(fixed.VALUE_BLOCK_LAND_ONLY, ("land", "total", "tax"))})
     four_ok = ((F.col("four.total") < caps["total"]) & (F.col("four.tax") < caps["tax"])
                & (F.col("four.total") != 0))
     three_ok = F.col("three.total") < caps["total"]
@@ -150,7 +241,8 @@ def property_records_strict(records: DataFrame, keep: Sequence[str],
     """As :func:`property_records`, with the first block that is consistent.
 
     A block counts when its parts add up, its tax rate is plausible and it is
-    under the caps. The land-only form needs land and total to be equal.
+    under the caps. The land-only form needs land and total to be equal. Blocks are told
+    apart from the start of a piece.
     """
     low, high = fixed.TAX_RATE_RANGE
 
@@ -159,11 +251,9 @@ def property_records_strict(records: DataFrame, keep: Sequence[str],
         return ((F.abs(b["land"] + b["improvement"] - b["total"]) < fixed.SUM_TOLERANCE) & (b["total"] > 0)
                 & (rate > low) & (rate < high) & (b["total"] < caps["total"]) & (b["tax"] < caps["tax"]))
 
-    text = F.col("text")
-    base = records.select(
-        *keep, "record_id", *_common_fields(fixed.RECORD_PATTERNS["parcel_code_strict"]),
-        F.get(F.filter(_all_blocks(text), valid), F.lit(0)).alias("four"),
-        _amounts(text, fixed.VALUE_BLOCK_LAND_ONLY_STRICT, ("land", "total", "tax")).alias("three"))
+    base = _record_fields(records, keep, fixed.RECORD_PATTERNS["parcel_code_strict"], {
+        "four": F.get(F.filter(_all_blocks(F.col("_text")), valid), F.lit(0)),
+        "three": _amounts(fixed.VALUE_BLOCK_LAND_ONLY_STRICT, ("land", "total", "tax"))})
     found = F.col("four").isNotNull()
     same = F.col("three.land") == F.col("three.total")
 

@@ -10,15 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from auditloom.operators import extract as X
-from auditloom.session import durable
-from auditloom.sources.text import junk_line, split_lines
+from auditloom.plans.ingest import tax_books
+from auditloom.session import durable, scratch
+from auditloom.sources.text import split_lines
 from auditloom.workload.binding import VREC, Tables
 from auditloom.workload.registry import query
 
-# Orders per piece of a tax book; the running record number crosses pieces by their counts.
-_PIECE = 4096
-
-
 @query("W10", """
 WITH f AS (SELECT *, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS r
   FROM conversations)
@@ -43,14 +40,12 @@ def _whole(name: str) -> Column:
 _REGION_TEXT = {"AFRICA": "RED BUD", "AMERICA": "OPEQUON", "ASIA": "STEPHENS CITY", "EUROPE": "SHAWNEE"}
 
 
-def _tax_book(t: Tables, strict: bool) -> DataFrame:
-    """Lines ``(year, parcel, pos, line)`` of a tax book; page headers are mixed in."""
+def _tax_book(t: Tables, strict: bool) -> str:
+    """Folder of tax books, a folder of text files per year; page headers are mixed in."""
     land, improvement = _whole("land_value"), _whole("improvement_value")
-    total, tax = _whole("total_value"), F.floor(F.col("total_value") * 6) / 1000
+    total = land + improvement if strict else _whole("total_value")
+    tax = F.floor(total * 6 / 10) / 100
     account = F.concat(F.lit(" ACCT- "), F.col("parcel").cast("string"))
-    if strict:
-        total = land + improvement
-        tax = F.floor(total * 6) / 1000
     four = F.concat_ws(" ", _money(land), _money(improvement), _money(total), _money(tax, 2))
     three = F.concat_ws(" ", _money(total), _money(total), F.format_string("%.2f", tax.cast("double")) if strict
                         else _money(tax, 2))
@@ -71,14 +66,19 @@ def _tax_book(t: Tables, strict: bool) -> DataFrame:
         value,
         F.concat(F.lit("FH "), _money(F.col("parcel") % 5000, 2), F.lit(" SH "), _money(F.col("parcel") % 3000, 2)),
         F.when(F.col("parcel") % 4 == 0, F.concat(_money(F.col("parcel")), F.lit(" DEFERRED"))).otherwise(F.lit("")))
-    rows = t.wide_records.select("year", "parcel", F.posexplode(lines).alias("pos", "line"))
-    # Written once, as the text files of the books would be.
-    return durable(rows.filter(~junk_line("line")))
+    folder = scratch(t.spark, "books")
+    books = t.wide_records.select(F.col("year").alias("book"), F.array_join(lines, "\n").alias("value"))
+    books.write.partitionBy("book").text(folder)
+    return folder
 
 
-def _assembled(t: Tables, strict: bool) -> DataFrame:
-    piece = F.floor(F.col("parcel") / _PIECE)
-    return X.assemble_records(_tax_book(t, strict), ["year"], piece, ["parcel", "pos"])
+def _records(t: Tables, strict: bool) -> DataFrame:
+    """Property records of the books, in the types of the SQL side."""
+    year = F.regexp_extract("path", r"book=(\d+)", 1).cast("bigint")
+    out = tax_books(t.spark, _tax_book(t, strict), strict, year)
+    doubles = ("first_half_tax", "second_half_tax", "tax_amount")
+    return out.drop("record_id", "path").withColumns(
+        {**{c: F.col(c).cast("double") for c in doubles}, "year": F.col("year").cast("bigint"), "property_class": F.col("property_class").cast("bigint")})
 
 
 _BOOK_FIELDS = """CAST(parcel AS VARCHAR) || 'A--' || CAST(property_class AS VARCHAR) || '-63' AS parcel_code,
@@ -89,37 +89,31 @@ _BOOK_FIELDS = """CAST(parcel AS VARCHAR) || 'A--' || CAST(property_class AS VAR
   CASE district WHEN 'AFRICA' THEN 'Red Bud' WHEN 'AMERICA' THEN 'Opequon' WHEN 'ASIA' THEN 'Stephens City'
     WHEN 'EUROPE' THEN 'Shawnee' END AS district,
   CAST(parcel % 5000 AS DOUBLE) AS first_half_tax, CAST(parcel % 3000 AS DOUBLE) AS second_half_tax,
-  CASE WHEN parcel % 4 = 0 THEN parcel ELSE 0 END AS deferred_value"""
-
-
-def _typed(out: DataFrame) -> DataFrame:
-    doubles = ("first_half_tax", "second_half_tax", "tax_amount")
-    return out.drop("record_id").withColumns(
-        {**{c: F.col(c).cast("double") for c in doubles}, "property_class": F.col("property_class").cast("bigint")})
+  CASE WHEN parcel % 4 = 0 THEN parcel ELSE 0 END AS deferred_value, CAST(NULL AS VARCHAR) AS deed_book"""
 
 
 @query("S7 W10 X1 N9", f"""
 WITH {VREC}, b AS (SELECT *, CAST(floor(coalesce(land_value, 0)) AS BIGINT) AS lv,
-    CAST(floor(coalesce(improvement_value, 0)) AS BIGINT) AS iv, CAST(floor(total_value) AS BIGINT) AS tv,
-    CAST(round(floor(total_value * 6) / 1000e0, 2) AS DOUBLE) AS tx FROM vrec)
+    CAST(floor(coalesce(improvement_value, 0)) AS BIGINT) AS iv, CAST(floor(total_value) AS BIGINT) AS tv FROM vrec)
 SELECT year, {_BOOK_FIELDS}, CASE WHEN parcel % 3 = 0 THEN tv ELSE lv END AS land_value,
-  CASE WHEN parcel % 3 = 0 THEN 0 ELSE iv END AS improvement_value, tv AS total_value
+  CASE WHEN parcel % 3 = 0 THEN 0 ELSE iv END AS improvement_value, tv AS total_value,
+  CAST(tv * 6 // 10 AS DOUBLE) / 100 AS tax_amount
 FROM b WHERE tv > 0 OR lv > 0""")
 def tax_book_records(t: Tables) -> DataFrame:
-    """Lines of the tax book to records to typed fields."""
-    return _typed(X.property_records(_assembled(t, strict=False), ["year"])).drop("tax_amount")
+    """Text files of the tax books to records to typed fields."""
+    return _records(t, strict=False)
 
 
-@query("X2 Q17 W10", f"""
+@query("S7 X2 Q17 W10", f"""
 WITH {VREC}, b AS (SELECT *, CAST(floor(coalesce(land_value, 0)) AS BIGINT) AS lv,
     CAST(floor(coalesce(improvement_value, 0)) AS BIGINT) AS iv FROM vrec)
-SELECT year, CAST(parcel AS VARCHAR) AS account_number, CASE WHEN parcel % 3 = 0 THEN lv + iv ELSE lv END AS land_value,
-  CASE WHEN parcel % 3 = 0 THEN 0 ELSE iv END AS improvement_value, lv + iv AS total_value
+SELECT year, {_BOOK_FIELDS}, CASE WHEN parcel % 3 = 0 THEN lv + iv ELSE lv END AS land_value,
+  CASE WHEN parcel % 3 = 0 THEN 0 ELSE iv END AS improvement_value, lv + iv AS total_value,
+  CAST((lv + iv) * 6 // 10 AS DOUBLE) / 100 AS tax_amount
 FROM b WHERE lv + iv > 0""")
 def tax_book_strict(t: Tables) -> DataFrame:
     """A decoy block stands before the values; only the consistent block counts."""
-    out = X.property_records_strict(_assembled(t, strict=True), ["year"])
-    return out.select("year", "account_number", "land_value", "improvement_value", "total_value")
+    return _records(t, strict=True)
 
 
 @query("X3", """

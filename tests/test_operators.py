@@ -201,7 +201,7 @@ def test_tiers_and_messages(spark):
         ("a", "per_pupil_admin", "medium"), ("b", "admin_ratio", "medium"), ("b", "admin_to_student", "medium"),
         ("b", "instruction_ratio", "medium")]
     assert out.filter("k = 'a' and indicator = 'admin_ratio'").first().message == (
-        "Administrative share 12.0% exceeds the 10% limit")
+        "Administrative spending ratio (12.0%) exceeds 10.0% threshold")
 
 
 def test_anomalies_with_nulls(spark):
@@ -341,3 +341,24 @@ def test_audit_pipeline(spark):
     flags = audit.flags(ratios, admin_growth, enrol_growth, budget, "FY2024").collect()
     assert sorted(f.severity for f in flags) == ["CRITICAL", "INFO", "OK", "WARNING", "WARNING"]
     assert R.tally(audit.flags(ratios, admin_growth, enrol_growth, budget, "FY2024")).count() == 4
+
+
+BOOK = ["TAX BOOK 2021", "43A- - 1- 63", "DOE JOHN", "12 MAIN ST", "WINCHESTER VA 22601", "LOT 12B IN STEPHENS", "CITY", "1.5 AC CL 2 ZN RA",
+        "100,000 200,000 300,000", "1,800.00 ACCT- 77", "FH 900.00 SH", "900.00", "5,000", "DEFERRED",
+        "44- - 2- 7", "ROE JANE", "PO BOX 9", "STRASBURG VA 22657", "5.0 AC CL 1", "ZN R2", "50,000 50,000 300.00 ACCT-", "78",
+        *[f"NOTE {k} OF THE BOOK" for k in range(300)], "FH 150.00 SH 150.00",
+        "45- - 3- 1", "LAST ONE", "1 2", "3 4.00 ACCT- 9", "46- - 3- 2", "VERY LAST"]
+
+
+@pytest.mark.parametrize("chunk, piece", [(1000, 64), (7, 64), (1000, 4), (5, 4), (2, 64), (1, 64)])
+@pytest.mark.parametrize("parse", [X.property_records, X.property_records_strict])
+def test_records_in_pieces_match_whole_records(spark, monkeypatch, chunk, piece, parse):
+    monkeypatch.setattr(X, "PIECE_LINES", piece)
+    rows = spark.createDataFrame([(b, i, t) for b in ("one", "two") for i, t in enumerate(BOOK)], "path string, pos int, line string").repartition(3)
+    place = F.floor(F.col("pos") / chunk)
+    whole = parse(X.assemble_records(rows, ["path"], place, ["pos"]), ["path"])
+    pieces = X.record_pieces(rows, ["path"], place, ["pos"])
+    assert pieces.agg(F.max(F.size("lines"))).first()[0] <= max(piece, 1)
+    got = parse(pieces, ["path"])
+    assert got.columns == whole.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect())) and got.count() >= 4
