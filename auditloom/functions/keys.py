@@ -25,7 +25,13 @@ def account_key(c: Column | str, zero_is_blank: bool = True) -> Column:
 
     Numbers of up to 38 digits stay exact; a fraction is cut.
     """
-    number = F.regexp_extract(col(c).cast("string"), r"^\s*([+-]?[0-9]+)(?:\.[0-9]*)?\s*$", 1).try_cast("decimal(38,0)")
+    # Text, or a number of any type as text; reals of 10^7 and more come with an exponent.
+    number = F.regexp_extract(col(c).cast("string"), r"^\s*([+-]?[0-9]+(?:\.[0-9]*)?(?:[eE][+-]?[0-9]+)?)\s*$", 1)
+    whole = F.regexp_extract(number, r"^([+-]?[0-9]+)(?:\.[0-9]*)?$", 1)
+    exact = number.try_cast("decimal(38,12)")
+    cut = F.when(exact < 0, F.ceil(exact)).otherwise(F.floor(exact))
+    number = F.when(whole != "", whole.try_cast("decimal(38,0)")).otherwise(
+        F.coalesce(cut.cast("decimal(38,0)"), number.try_cast("decimal(38,0)")))
     blank = number.isNull() | (number == 0) if zero_is_blank else number.isNull()
     return F.when(blank, F.lit("")).otherwise(number.cast("string"))
 

@@ -71,6 +71,10 @@ def test_keys(spark):
         "80--A--9", "75B--14-1-7", "", ""]
     assert apply(spark, K.account_key, [12.0, 0.0, None], "double") == ["12", "", ""]
     assert apply(spark, lambda c: K.account_key(c, zero_is_blank=False), [0.0, None], "double") == ["0", ""]
+    assert apply(spark, K.account_key, [1234567.0, 12345678.0, 1.9e7, 12345678.75, -23456789.9, 1e30, float("nan")], "double") == [
+        "1234567", "12345678", "19000000", "12345678", "-23456789", "1" + "0" * 30, ""]
+    assert apply(spark, K.account_key, ["1.2345678E7", "9999999999999999999", "12.9", "1e", "E7", "x"]) == [
+        "12345678", "9999999999999999999", "12", "", "", ""]
     assert apply(spark, lambda c: K.address_key(c, 10), ["  po box 12 main", None]) == ["PO BOX 1", ""]
     assert apply(spark, K.extract_state, ["WINCHESTER VA 22601", "x", None]) == ["VA", None, None]
     assert apply(spark, K.extract_city, ["BUNKER HILL WV 25413", "VA 22601"]) == ["BUNKER HILL", None]
