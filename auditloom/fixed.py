@@ -414,5 +414,8 @@ GRID_FIELDS = {
         ("expenditures_total", (("total",), ("expenditure",))),
     ),
 }
+# Comparative report: words of the sheets to read, and of the column that names the place.
+COMPARATIVE_SHEETS = ("c-6", "education", "school")
+COMPARATIVE_KEYS = ("locality", "county", "city", "jurisdiction")
 KEY_HEADERS = ("division", "div", "code", "division code", "div code", "division number", "division name",
                "school division", "locality", "county")

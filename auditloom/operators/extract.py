@@ -110,10 +110,12 @@ def _owner_lines(lines: Column) -> Column:
 _FOUND = ("account_number", "property_class", "zone", "acreage", "first_half_tax", "second_half_tax", "deferred_value")
 
 
-def _own(text: Column, pattern: str, group: int = 1) -> Column:
-    """First match that starts in the piece itself; it may end in the lines ahead."""
+def _own(text: Column, pattern: str, group: int = 1, found: Column | None = None) -> Column:
+    """First match that starts in the piece itself; it may end in the lines ahead. ``found`` is the match
+    where it has been made already."""
     inside = (F.size("ahead") == 0) | (F.regexp_instr(text, F.lit(pattern)) <= F.col("_length"))
-    return F.when(inside, match(text, pattern, group))
+    found = F.regexp_extract(text, pattern, group) if found is None else found
+    return F.when((found != "") & inside, found)
 
 
 def _pieces(records: DataFrame) -> DataFrame:
@@ -136,7 +138,7 @@ def _description(text: Column) -> Column:
     """The first pattern that matches, as (its place, text); later ones run only if the earlier fail."""
     out = F.lit(None).cast("struct<place: int, text: string>")
     for place, pattern in reversed(list(enumerate(fixed.DESCRIPTION_PATTERNS))):
-        out = _or_else(_own(text, pattern), place, out)
+        out = _or_else(_own(text, pattern, found=None if place else F.col("_m_description")), place, out)
     return out
 
 
@@ -146,20 +148,26 @@ def _district(text: Column) -> Column:
     return let(canonical_district(text), lambda d: F.when(d.isNotNull(), F.struct(F.array_position(names, d).alias("place"), d.alias("name"))))
 
 
-def _record_fields(records: DataFrame, keep: Sequence[str], parcel_pattern: str, blocks: Mapping[str, Column]) -> DataFrame:
+def _record_fields(records: DataFrame, keep: Sequence[str], parcel_pattern: str, amounts: Mapping[str, tuple], blocks: Mapping[str, Column]) -> DataFrame:
     """One row per record with the first match of every field, in text order.
 
     A field of a record in several pieces is that of its first piece that has it; only those pieces
-    are shuffled. ``blocks`` are further columns, merged alike.
+    are shuffled. ``amounts`` (pattern, names) and ``blocks`` are further columns, merged alike. Every pattern
+    runs once a piece: matches are columns of their own before anything refers to them twice.
     """
     text = F.col("_text")
-    rows = _pieces(records)
+    patterns = {n: (fixed.RECORD_PATTERNS[n], 1) for n in _FOUND} | {n: (p, 0) for n, (p, _) in amounts.items()}
+    rows = _pieces(records).withColumns({
+        **{f"_m_{n}": F.regexp_extract(text, p, g) for n, (p, g) in patterns.items()},
+        "_m_description": F.regexp_extract(text, fixed.DESCRIPTION_PATTERNS[0], 1),
+        "_m_parcel": F.when(F.col("first"), F.regexp_extract(F.get("lines", F.lit(0)), parcel_pattern, 1))})
     opening = F.slice(F.concat("lines", "ahead"), 1, 5)
+    own = {n: _own(text, p, g, F.col(f"_m_{n}")) for n, (p, g) in patterns.items()}
     found = {
-        "parcel_code": F.when(F.col("first"), F.regexp_replace(match(F.get("lines", F.lit(0)), parcel_pattern), r"\s+", "")),
+        "parcel_code": F.regexp_replace(F.nullif("_m_parcel", F.lit("")), r"\s+", ""),
         "_owner": F.when(F.col("first"), _owner_lines(opening)),
         "_description": _description(text), "_district": _district(text),
-        **{name: _own(text, fixed.RECORD_PATTERNS[name]) for name in _FOUND}, **blocks}
+        **{n: _amounts(c, amounts[n][1]) if n in amounts else c for n, c in own.items()}, **blocks}
     found = rows.select(*keep, "record_id", "at", "whole", *[c.alias(n) for n, c in found.items()])
     names = [c for c in found.columns if c not in (*keep, "record_id", "at", "whole")]
     if "ahead" in records.columns:
@@ -173,13 +181,13 @@ def _record_fields(records: DataFrame, keep: Sequence[str], parcel_pattern: str,
         "zone", "account_number", F.col("_district.name").alias("district"), F.lit(None).cast("string").alias("deed_book"),
         F.coalesce(decimal_text("first_half_tax"), zero).alias("first_half_tax"),
         F.coalesce(decimal_text("second_half_tax"), zero).alias("second_half_tax"),
-        F.coalesce(int_text("deferred_value"), F.lit(0)).cast("bigint").alias("deferred_value"), *blocks)
+        F.coalesce(int_text("deferred_value"), F.lit(0)).cast("bigint").alias("deferred_value"), *amounts, *blocks)
 
 
-def _amounts(pattern: str, names: Sequence[str]) -> Column:
-    """Struct of the amounts of the first match: longs, the last one (tax) decimal.
+def _amounts(block: Column, names: Sequence[str]) -> Column:
+    """Struct of the amounts of a matched block: longs, the last one (tax) decimal.
 
-    The block is searched once and then cut at white space; no amount holds any.
+    The block is cut at white space; no amount holds any.
     """
     def read(parts: Column) -> Column:
         values = []
@@ -188,7 +196,7 @@ def _amounts(pattern: str, names: Sequence[str]) -> Column:
             values.append((decimal_text(found) if name == "tax" else int_text(found)).alias(name))
         return F.when(parts.isNotNull(), F.struct(*values))
 
-    return let(F.split(_own(F.col("_text"), pattern, 0), r"\s+"), read)
+    return let(F.split(block, r"\s+"), read)
 
 
 def _with_values(records: DataFrame, land: Column, improvement: Column, total: Column, tax: Column) -> DataFrame:
@@ -212,8 +220,8 @@ def property_records(records: DataFrame, keep: Sequence[str], caps: Mapping = fi
     A description that is known by its last word only starts in the piece that holds this word.
     """
     base = _record_fields(records, keep, fixed.RECORD_PATTERNS["parcel_code"], {
-        "four": _amounts(fixed.VALUE_BLOCK, ("land", "improvement", "total", "tax")),
-        "three": _amounts(fixed.VALUE_BLOCK_LAND_ONLY, ("land", "total", "tax"))})
+        "four": (fixed.VALUE_BLOCK, ("land", "improvement", "total", "tax")),
+        "three": (fixed.VALUE_BLOCK_LAND_ONLY, ("land", "total", "tax"))}, {})
     four_ok = ((F.col("four.total") < caps["total"]) & (F.col("four.tax") < caps["tax"])
                & (F.col("four.total") != 0))
     three_ok = F.col("three.total") < caps["total"]
@@ -252,8 +260,8 @@ def property_records_strict(records: DataFrame, keep: Sequence[str],
                 & (rate > low) & (rate < high) & (b["total"] < caps["total"]) & (b["tax"] < caps["tax"]))
 
     base = _record_fields(records, keep, fixed.RECORD_PATTERNS["parcel_code_strict"], {
-        "four": F.get(F.filter(_all_blocks(F.col("_text")), valid), F.lit(0)),
-        "three": _amounts(fixed.VALUE_BLOCK_LAND_ONLY_STRICT, ("land", "total", "tax"))})
+        "three": (fixed.VALUE_BLOCK_LAND_ONLY_STRICT, ("land", "total", "tax"))},
+        {"four": F.get(F.filter(_all_blocks(F.col("_text")), valid), F.lit(0))})
     found = F.col("four").isNotNull()
     same = F.col("three.land") == F.col("three.total")
 
@@ -424,6 +432,8 @@ def promote_header(cells: DataFrame, sheet: Sequence[str], kind: str,
     sheet without any, rows that name a target. Cells are shuffled once, into
     rows; the layout is one row per sheet.
     """
+    if kind not in fields:
+        raise ValueError(f"no fields are known for {kind!r}; a comparative report goes through comparative_rows")
     rules = fields[kind]
     names = [name for name, _ in rules]
     rows = pack_rows(cells, sheet)
@@ -448,6 +458,41 @@ def promote_header(cells: DataFrame, sheet: Sequence[str], kind: str,
             .filter(by_code | F.col("_coded").isNull()).drop("_coded"))
 
 
+def comparative_rows(cells: DataFrame, file: str = "file", sheet: str = "sheet", divisions: Mapping[str, str] = fixed.DIVISIONS,
+                     sheets: Sequence[str] = fixed.COMPARATIVE_SHEETS, key_words: Sequence[str] = fixed.COMPARATIVE_KEYS,
+                     header_tests: Sequence = fixed.GRID_HEADERS["comparative"]) -> DataFrame:
+    """Rows of the listed divisions in a comparative report: one row per cell, with the ``header`` above it.
+
+    Of each file only sheets named by one of ``sheets`` are read, or all where none is. The place column is
+    the first one whose header holds a key word; a sheet without any gives nothing. A row counts if its
+    place holds the first word of a division's name; ``division_code`` is that of the longest name that the
+    place holds whole, else of the first one by code whose first word it holds.
+    """
+    named = reduce(Column.__or__, [F.lower(sheet).contains(w) for w in sheets])
+    routed = cells.select(file, sheet).distinct().withColumn("_named", named)
+    some = routed.filter("_named").select(file).distinct().withColumn("_any", F.lit(True))
+    routed = routed.join(some, file, "left").filter(F.col("_named") | F.col("_any").isNull()).select(file, sheet)
+    rows = pack_rows(cells.join(routed, [file, sheet], "left_semi"), [file, sheet])
+    head = header_rows(rows, [file, sheet], header_tests)
+    keys = F.filter("header", lambda c: reduce(Column.__or__, [F.lower(c["value"]).contains(w) for w in key_words]))
+    layout = head.withColumn("key_col", F.array_min(F.transform(keys, lambda c: c["col_idx"]))).filter("key_col IS NOT NULL")
+    layout = layout.select(file, sheet, "header_row", "key_col", F.map_from_entries("header").alias("_header"))
+    body = rows.join(layout, [file, sheet]).filter(F.col("row_idx") > F.col("header_row")).withColumn("_values", F.map_from_entries("cells"))
+    place = strip(F.element_at("_values", F.col("key_col")))
+    names = sorted(divisions.items(), key=lambda d: (-len(d[1]), d[0]))
+    known = None
+    for code, name in names:
+        hit = F.lower(place).contains(name.lower())
+        known = F.when(hit, F.lit(code)) if known is None else known.when(hit, F.lit(code))
+    for code, name in sorted(divisions.items()):
+        known = known.when(F.lower(place).contains(name.lower().split()[0]), F.lit(code))
+    found = body.withColumn("place", place).withColumn("division_code", known).filter("division_code IS NOT NULL")
+    cell = F.explode(F.filter("cells", lambda c: c["value"].isNotNull() & (c["col_idx"] != F.col("key_col"))))
+    long = found.select(file, sheet, "row_idx", "place", "division_code", "_header", cell.alias("c"))
+    return long.select(file, sheet, "row_idx", "place", "division_code", F.col("c.col_idx").alias("col_idx"),
+                       F.element_at("_header", F.col("c.col_idx")).alias("header"), F.col("c.value").alias("value"))
+
+
 def score_tables(rows: DataFrame, table: Sequence[str], row_idx: str, text: str,
                  keywords: Sequence[str] = fixed.TABLE_KEYWORDS, first_rows: int = 5,
                  at_least: int = 2) -> DataFrame:

@@ -11,6 +11,7 @@ joined table per year. No window runs over facts.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -18,6 +19,7 @@ from auditloom import fixed
 from auditloom.functions.names import extract_last_name, lookup
 from auditloom.functions.numbers import as_money, col, money_sum, percent, positive, ratio, round_to
 from auditloom.operators.rank import top_k_per_group
+from auditloom.session import durable
 
 
 def row_count(weight: str | None) -> Column:
@@ -241,13 +243,61 @@ def positive_means(df: DataFrame, measures: Sequence[str], keys: Sequence[str] =
                                    for m in measures])
 
 
+#: Buckets of a histogram of :func:`medians`.
+BUCKETS = 1024
+
+
+def medians(df: DataFrame, measure: str | Column, keys: Sequence[str] = (), name: str = "median") -> DataFrame:
+    """Exact median per group, however large: selection by repeated histograms.
+
+    A round counts the values between the bounds in ``BUCKETS`` equal buckets, and goes on in the bucket that
+    holds the wanted rank, with the least and greatest value found there as the new bounds; it ends when
+    these agree. Only counts are shuffled, a few rows per group and bucket; no group is held or sorted.
+    Null and NaN measures are left out; a group of none has a null median.
+    """
+    value = F.col(measure) if isinstance(measure, str) else measure
+    keys = list(keys)
+    # Negative and positive zero are one value.
+    named = df.select(*keys, (value.cast("double") + F.lit(0.0)).alias("_x"))
+    rows = named.filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    middle = F.array_distinct(F.array(F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)))
+    state = durable(sizes.withColumn("_rank", F.explode(middle)).withColumn("_left", F.col("_rank")).drop("_n"))
+    while not (todo := state.filter("_lo < _hi")).isEmpty():
+        wide = F.col("_hi") / 2 - F.col("_lo") / 2
+        place = (F.col("_x") / 2 - F.col("_lo") / 2) / wide * F.lit(BUCKETS)
+        bucket = F.when(F.col("_x") == F.col("_hi"), BUCKETS).otherwise(F.least(F.floor(place), F.lit(BUCKETS - 1))).cast("int")
+        counts = _met(rows, todo, keys).filter("_x BETWEEN _lo AND _hi").groupBy(*keys, "_rank", "_left", bucket.alias("_b")).agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+        upto = Window.partitionBy(*keys, "_rank").orderBy("_b")
+        found = counts.withColumn("_upto", F.sum("_n").over(upto)).filter((F.col("_upto") > F.col("_left")) & (F.col("_upto") - F.col("_n") <= F.col("_left")))
+        next_ = found.withColumn("_left", F.col("_left") - (F.col("_upto") - F.col("_n"))).select(*state.columns)
+        state = durable(next_.unionByName(state.filter("_lo = _hi")))
+    both = state.groupBy(*keys).agg((F.min("_lo") / 2 + F.max("_lo") / 2).alias("_even"), F.min("_lo").alias("_a"), F.max("_lo").alias("_z"))
+    # Halves are exact but for the smallest numbers; two equal middles need none.
+    return both.select(*keys, F.when(F.col("_a") == F.col("_z"), F.col("_a")).otherwise(F.col("_even")).alias(name))
+
+
+def _met(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with their group's state, null keys included; the state has one or two rows a group."""
+    if not keys:
+        return rows.withColumn("_one", F.lit(1)).join(F.broadcast(state.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    named = state.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[c for c in state.columns if c not in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return rows.join(named, same).drop(*[f"_k{i}" for i in range(len(keys))])
+
+
 def peer_stats(df: DataFrame, measure: str, keys: Sequence[str] = (), digits: int = 2) -> DataFrame:
-    """Mean, median and sample standard deviation over the (few) peers of a group."""
+    """Mean, median and sample standard deviation over the peers of a group of any size."""
     x = F.col(measure).cast("double")
-    return df.groupBy(*keys).agg(
-        F.count(x).cast("bigint").alias("peers"), round_to(F.avg(x), digits).alias("mean"),
-        round_to(F.percentile(x, F.lit(0.5)), digits).alias("median"),
-        round_to(F.stddev_samp(x), digits).alias("std_dev"))
+    sums = df.groupBy(*keys).agg(
+        F.count(x).cast("bigint").alias("peers"), round_to(F.avg(x), digits).alias("mean"), round_to(F.stddev_samp(x), digits).alias("std_dev"))
+    middle = medians(df, x, keys)
+    if not keys:
+        return sums.withColumn("_one", F.lit(1)).join(middle.withColumn("_one", F.lit(1)), "_one", "left").select("peers", "mean", round_to(F.col("median"), digits).alias("median"), "std_dev")
+    named = middle.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "median")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return sums.join(named, same, "left").select(*keys, "peers", "mean", round_to(F.col("median"), digits).alias("median"), "std_dev")
 
 
 def conditional_totals(df: DataFrame, types: Sequence[str], entity: str = "entity_type",

@@ -6,7 +6,7 @@ import time
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 DEFAULT_LIMIT = 10_000
 MAX_LIMIT = 100_000
@@ -44,6 +44,13 @@ class Result:
         """Rows before the limit; counted only if the preview was cut."""
         return self.frame.count() if self.truncated else len(self._fetched)
 
+    def preview(self) -> DataFrame:
+        """The capped rows with ``total_rows`` and ``truncated``, without the driver: the size is one row."""
+        size = self.frame.agg(F.count(F.lit(1)).alias("total_rows"))
+        # One row by construction, so nothing is multiplied.
+        return (self.frame.limit(self.limit).withColumn("_one", F.lit(1)).join(F.broadcast(size.withColumn("_one", F.lit(1))), "_one").drop("_one")
+                .withColumn("truncated", F.col("total_rows") > self.limit))
+
 
 def run(spark: SparkSession, sql: str, limit: int = DEFAULT_LIMIT, **params) -> Result:
     """``params`` are named SQL parameters (``:name``)."""

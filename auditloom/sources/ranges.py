@@ -17,7 +17,8 @@ BLOCK = 4 << 20
 
 
 def listing(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """``path`` and ``bytes`` of each file under ``path``, itself a file or a folder; contents are not read."""
+    """``path`` and ``bytes`` of each file under ``path``, itself a file or a folder; contents are not read.
+    Spark lists no files without bytes."""
     reader = spark.read.format("binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
@@ -25,13 +26,23 @@ def listing(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame
 
 
 def split(files: DataFrame, size: int | None = None) -> DataFrame:
-    """``files`` (``path``, ``bytes``) cut into ranges ``[at, at + size)``, numbered by ``part``; an empty file has one."""
+    """``files`` (``path``, ``bytes``) cut into ranges ``[at, at + size)``, numbered by ``part``."""
     size = size or RANGE
     last = F.greatest(F.lit(0).cast("bigint"), F.floor((F.col("bytes") - 1) / size))
     ranges = files.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     return ranges.withColumn("at", F.col("part") * size).withColumn("size", F.least(F.lit(size).cast("bigint"), F.col("bytes") - F.col("at")))
 
 
+#: Tasks of a job over ranges, at most.
+TASKS = 20_000
+
+
+def dealt(rows: DataFrame, *by: str) -> DataFrame:
+    """One task for each of the few rows. The number is fixed, for by the bytes of the rows, which only name the
+    work, they would all be put into one task."""
+    return rows.repartition(max(1, min(TASKS, rows.count())), *by)
+
+
 def open_file(uri: str):
     """A seekable binary file of any file system that Arrow knows."""
     uri = uri if "://" in uri else "file://" + uri.removeprefix("file:")

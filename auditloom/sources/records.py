@@ -1,10 +1,212 @@
-"""JSON sources: wrapped record sets, nested records, GeoJSON features."""
+"""JSON sources: wrapped record sets, nested records, GeoJSON features.
+
+A file that wraps its records in one array is read by many tasks. Each task summarises a byte
+range for both cases, starting outside or inside a string: whether a string is open at its
+end, and how the bracket depth changed. Summaries of a file chain up to the state at the start of
+every range; with it a task cuts the elements that begin in its range.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from auditloom import fixed
+from auditloom.session import durable
+from auditloom.sources import ranges
+
+_QUOTE, _ESCAPE = ord('"'), ord("\\")
+_STEP = np.zeros(256, np.int8)
+_STEP[[ord("["), ord("{")]] = 1
+_STEP[[ord("]"), ord("}")]] = -1
+
+
+class Scanner:
+    """Depth and string state over the bytes of a file, block by block, from a known start."""
+
+    def __init__(self, depth: int = 0, inside: bool = False, escaped: bool = False):
+        self.depth, self.inside, self.escaped = depth, inside, escaped
+
+    def __call__(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes, the depth after each of them, and which lie outside of strings (a closing quote does not)."""
+        raw = np.frombuffer(data, np.uint8)
+        # A run of n backslashes escapes what follows if n is odd.
+        slash = raw == _ESCAPE
+        place = np.arange(len(raw))
+        last = np.maximum.accumulate(np.where(slash, -1, place))
+        run = np.where(slash, place - last, 0)
+        before = np.concatenate(([int(self.escaped)], run[:-1]))
+        if self.escaped and len(raw):
+            head = int(np.argmin(slash)) if not slash.all() else len(raw)
+            before[1: head + 1] += 1
+        quote = (raw == _QUOTE) & (before % 2 == 0)
+        after = (np.cumsum(quote) + self.inside) % 2 == 1
+        outside = ~after & ~quote
+        depth = self.depth + np.cumsum(_STEP[raw] * outside)
+        if len(raw):
+            self.inside, self.depth = bool(after[-1]), int(depth[-1])
+            self.escaped = bool(slash[-1] and (before[-1] + 1) % 2 == 1)
+        return raw, depth, outside
+
+
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per range and start state: the change of depth and the state at the end.
+
+    The state has a third part, whether the first byte is escaped; a range begins with it if an odd run of
+    backslashes ends before it, which the task looks up.
+    """
+    for batch in batches:
+        for r in batch.to_pylist():
+            scanners = [Scanner(0, False, _escaped(r["path"], r["at"])), Scanner(0, True, _escaped(r["path"], r["at"]))]
+            for data in ranges.blocks(r["path"], r["at"], r["size"]):
+                for s in scanners:
+                    s(data)
+            yield pa.RecordBatch.from_pylist([{**{k: r[k] for k in ("path", "part", "at", "size")}, "flips": scanners[0].inside,
+                                               "out": scanners[0].depth, "in": scanners[1].depth}], schema=_SUMMARY)
+
+
+_SUMMARY = pa.schema([("path", pa.string()), ("part", pa.int64()), ("at", pa.int64()), ("size", pa.int64()), ("flips", pa.bool_()), ("out", pa.int64()), ("in", pa.int64())])
+
+
+def _escaped(path: str, at: int) -> bool:
+    """Whether an odd run of backslashes ends right before ``at``."""
+    back, run = 64, 0
+    while at > 0:
+        start = max(0, at - back)
+        tail = b"".join(ranges.blocks(path, start, at - start))
+        run = len(tail) - len(tail.rstrip(b"\\"))
+        if run < len(tail) or start == 0:
+            break
+        back *= 8
+    return run % 2 == 1
+
+
+def _elements(level: int):
+    """The elements of arrays at depth ``level`` that begin in each range, as (path, offset, key, text); ``key`` is the
+    name before the array, null at the top. Other objects at that depth are passed over."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                yield from _cut(r, level)
+
+    return run
+
+
+def _cut(r: dict, level: int) -> Iterator[pa.RecordBatch]:
+    scanner, at, end = Scanner(r["depth"], r["inside"], _escaped(r["path"], r["at"])), r["at"], r["at"] + r["size"]
+    offsets, texts, open_at, held = [], [], None, b""
+    before = r["depth"]
+    for data in ranges.blocks(r["path"], at):
+        raw, depth, outside = scanner(data)
+        prior = np.concatenate(([before], depth[:-1]))
+        # An element begins where an object opens at ``level`` and ends where the depth is ``level`` again.
+        begins = np.flatnonzero((prior == level) & (depth == level + 1) & outside & (raw == ord("{")))
+        ends = np.flatnonzero((prior == level + 1) & (depth == level) & outside)
+        marks = sorted([(int(i), 0) for i in begins] + [(int(i), 1) for i in ends])
+        done = False
+        start = 0
+        for i, kind in marks:
+            if kind == 0:
+                if at + i >= end:
+                    done = True
+                    break
+                open_at, held, start = at + i, b"", i
+            elif open_at is not None:
+                offsets.append(open_at)
+                texts.append((held + data[start: i + 1]).decode())
+                open_at, held = None, b""
+        if open_at is not None:
+            held += data[start:]
+        before, at = int(depth[-1]), at + len(data)
+        if texts:
+            yield pa.RecordBatch.from_pydict({"path": [r["path"]] * len(texts), "offset": offsets, "text": texts}, schema=_ELEMENT)
+            offsets, texts = [], []
+        if done or at >= end and open_at is None:
+            return
+
+
+_ELEMENT = pa.schema([("path", pa.string()), ("offset", pa.int64()), ("text", pa.string())])
+
+
+def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where an array opens as the value of a top-level key, or as the top itself, and where each ends, for what
+    of it lies in a range."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            scanner, at, before, tail = Scanner(r["depth"], r["inside"], _escaped(r["path"], r["at"])), r["at"], r["depth"], b""
+            rows = []
+            if at:
+                tail = b"".join(ranges.blocks(r["path"], max(0, at - 4096), min(at, 4096)))
+            for data in ranges.blocks(r["path"], at, r["size"]):
+                raw, depth, outside = scanner(data)
+                prior = np.concatenate(([before], depth[:-1]))
+                moves = np.flatnonzero(outside & (raw == ord("[")) & (prior <= 1) & (depth == prior + 1) | outside & (raw == ord("]")) & (depth <= 1) & (depth == prior - 1))
+                for i in moves.tolist():
+                    key = None
+                    if raw[i] == ord("[") and prior[i] == 1:
+                        text = (tail + data[:i])[-4096:].rstrip()
+                        key = _key(text)
+                    rows.append({"path": r["path"], "offset": at + i, "level": int(min(prior[i], depth[i])), "opens": bool(raw[i] == ord("[")), "key": key})
+                tail, before, at = (tail + data)[-4096:], int(depth[-1]), at + len(data)
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=_ARRAY)
+
+
+_ARRAY = pa.schema([("path", pa.string()), ("offset", pa.int64()), ("level", pa.int64()), ("opens", pa.bool_()), ("key", pa.string())])
+
+
+def _key(text: bytes) -> str | None:
+    """The key at the end of ``text``, which lies before an array: ``... "key" :``."""
+    if not text.endswith(b":"):
+        return None
+    text = text[:-1].rstrip()
+    start = text[:-1].rfind(b'"')
+    return text[start + 1: -1].decode(errors="replace") if start >= 0 and text.endswith(b'"') else None
+
+
+def elements(spark: SparkSession, path: str, record_path: str | None = None, size: int | None = None) -> DataFrame:
+    """Record texts of wrapped JSON: ``path``, ``offset`` (byte in the file) and ``text`` of each object in the array.
+
+    The array is that of the top-level key ``record_path``, else of the first of the known wrapper keys that holds
+    an array, else the top-level list, in each file by itself. A file without any is one record. Ranges of
+    ``size`` bytes are read by their own tasks, each from its start to the end of its last element. Array
+    members that are no objects are passed over; an empty file gives no rows.
+    """
+    parts = ranges.split(ranges.listing(spark, path).filter("bytes > 0"), size)
+    seen = durable(ranges.dealt(parts.select("path", "part", "at", "size"), "path", "part").mapInArrow(
+        _summaries, "path string, part bigint, at bigint, size bigint, flips boolean, out bigint, `in` bigint"))
+    # One row per range: states chain over the rows of a file.
+    before = Window.partitionBy("path").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    state = seen.withColumn("inside", F.coalesce(F.sum(F.col("flips").cast("int")).over(before), F.lit(0)) % 2 == 1)
+    state = state.withColumn("change", F.when(F.col("inside"), F.col("in")).otherwise(F.col("out")))
+    state = durable(state.withColumn("depth", F.coalesce(F.sum("change").over(before), F.lit(0))).select("path", "part", "at", "size", "inside", "depth"))
+    dealt = ranges.dealt(state, "path", "part")
+
+    # As many rows as there are arrays under top-level keys.
+    marks = dealt.mapInArrow(_arrays, "path string, offset bigint, level bigint, opens boolean, key string")
+    ends = Window.partitionBy("path", "level").orderBy("offset")
+    spans = (marks.withColumn("to", F.lead("offset").over(ends)).filter("opens")
+             .withColumn("place", F.when(F.col("level") == 0, F.lit(len(fixed.RECORD_KEYS)))
+                         .otherwise(F.array_position(F.array(*[F.lit(k) for k in ([record_path] if record_path else fixed.RECORD_KEYS)]), F.col("key")) - 1))
+             .filter("place >= 0" if record_path is None else "place = 0"))
+    chosen = spans.groupBy("path").agg(F.min_by(F.struct("offset", "to", "level"), F.struct("place", "offset")).alias("s")).select(
+        "path", F.col("s.offset").alias("from"), F.col("s.to").alias("to"), F.col("s.level").alias("level"))
+    chosen = durable(chosen)
+    wanted = state.join(chosen, "path").filter("at <= to AND at + size > from")
+    schema = "path string, offset bigint, text string"
+    found = None
+    for level in (1, 2):
+        part = (ranges.dealt(wanted.filter(F.col("level") == level - 1).select("path", "part", "at", "size", "inside", "depth"), "path", "part")
+                .mapInArrow(_elements(level), schema))
+        found = part if found is None else found.unionByName(part)
+    inside = found.join(chosen, "path").filter("offset BETWEEN from AND to").select("path", "offset", "text")
+    if record_path is not None:
+        return inside
+    alone = ranges.dealt(state.join(chosen, "path", "left_anti").select("path", "part", "at", "size", "inside", "depth"), "path", "part").mapInArrow(_elements(0), schema)
+    return inside.unionByName(alone)
 
 
 def read_records(spark: SparkSession, path: str, record_path: str | None = None,
@@ -49,6 +251,49 @@ def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
     return df.select(*columns)
 
 
+def split_records(spark: SparkSession, path: str, record_path: str | None = None, size: int | None = None) -> DataFrame:
+    """As :func:`read_records`, for files of any size: ``elements`` split by byte ranges, their schema merged over all
+    of them by ``schema_of_variant_agg``. Fields that only some records have are null in the others."""
+    found = durable(elements(spark, path, record_path, size))
+    kind = _ddl(found.agg(F.schema_of_variant_agg(F.try_parse_json("text")).alias("s")).first()["s"])
+    if not isinstance(kind, T.StructType) or not kind.fields:
+        return found.select(F.lit(None).cast("string").alias("value")).filter("false")
+    return found.select(F.from_json("text", kind).alias("r")).select("r.*")
+
+
+def split_features(spark: SparkSession, path: str, size: int | None = None) -> DataFrame:
+    """As :func:`read_features`, for files of any size; the columns are those of all features' properties."""
+    found = durable(elements(spark, path, "features", size))
+    shaped = found.select(F.try_parse_json("text").alias("v")).select(
+        F.try_variant_get("v", "$.geometry.type", "string").alias("geometry_type"), F.to_json(F.variant_get("v", "$.geometry", "variant")).alias("geometry_json"),
+        F.try_variant_get("v", "$.properties", "variant").alias("p"))
+    kind = _ddl(shaped.agg(F.schema_of_variant_agg("p").alias("s")).first()["s"])
+    fields = kind.fields if isinstance(kind, T.StructType) else []
+    columns = []
+    for f in fields:
+        value = F.variant_get("p", f"$['{f.name}']", "variant")
+        nested = isinstance(f.dataType, (T.StructType, T.ArrayType, T.VariantType, T.MapType))
+        columns.append((F.to_json(value) if nested else F.try_variant_get("p", f"$['{f.name}']", f.dataType.simpleString())).alias(f.name))
+    return shaped.select("geometry_type", "geometry_json", *columns)
+
+
+def _ddl(schema: str | None) -> T.DataType:
+    """The type that ``schema_of_variant_agg`` names; whole numbers and reals as bigint and double, what is never
+    filled as string."""
+    kind = T.DataType.fromDDL((schema or "VOID").replace("OBJECT<", "STRUCT<")) if schema and schema != "VOID" else T.NullType()
+
+    def plain(t: T.DataType) -> T.DataType:
+        if isinstance(t, T.StructType):
+            return T.StructType([T.StructField(f.name, plain(f.dataType)) for f in t.fields])
+        if isinstance(t, T.ArrayType):
+            return T.ArrayType(plain(t.elementType))
+        if isinstance(t, T.DecimalType):
+            return T.DoubleType() if t.scale else T.LongType()
+        return T.StringType() if isinstance(t, (T.NullType, T.VariantType)) else t
+
+    return plain(kind)
+
+
 def read_features(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """GeoJSON features: geometry as type and JSON text, properties as columns."""
     features = read_records(spark, path, "features", schema)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from auditloom.sources import ranges
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Snappy Parquet; ``partition_by`` gives later reads partition pruning.
@@ -44,24 +48,38 @@ def size_report(spark: SparkSession, source: str, target: str) -> DataFrame:
     return wide.withColumn("times_smaller", F.expr("try_divide(cast(source_bytes as double), target_bytes)"))
 
 
+def _digests(root: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, size in zip(batch["path"].to_pylist(), batch["bytes"].to_pylist()):
+                digest = hashlib.sha256()
+                for data in ranges.blocks(path, 0):
+                    digest.update(data)
+                yield pa.RecordBatch.from_pydict({"file": [path.rsplit(root, 1)[-1]], "size": [size], "sha256": [digest.hexdigest()]})
+
+    return run
+
+
 def contents(spark: SparkSession, root: str) -> DataFrame:
-    """``file`` (path below ``root``), ``size`` and ``content`` of all files under a folder. A file above
-    2 GB is refused by the reader; shard such files first."""
-    base = "/" + root.split("://", 1)[-1].strip("/") + "/"
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-            .select(F.substring_index(F.col("path"), base, -1).alias("file"),
-                    F.col("length").cast("bigint").alias("size"), "content"))
+    """``file`` (path below ``root``), ``size`` and ``sha256`` of all files under a folder.
+
+    Files are listed without their contents and dealt out one by one; a task reads its file by
+    ranges of a few MB, so files of any size are hashed in constant memory. Files without bytes are not listed.
+    """
+    base = "/" + root.split("://", 1)[-1].removeprefix("file:").strip("/") + "/"
+    return ranges.dealt(ranges.listing(spark, root), "path").mapInArrow(_digests(base), "file string, size bigint, sha256 string")
 
 
 def verify(files: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Compare ``files`` (``file, size, content``) with a manifest of ``file, size, sha256``.
+    """Compare ``files`` (``file, size, sha256`` of :func:`contents`, or ``file, size, content``) with a manifest
+    of ``file, size, sha256``.
 
     Contents are hashed in the tasks that read them; only names, sizes and digests
     are joined. ``file`` is a path, so equal base names in two folders stay apart. A
     file missing on either side is kept with a null match.
     """
-    found = files.select("file", F.col("size").cast("bigint").alias("actual_size"),
-                         F.sha2(F.col("content").cast("binary"), 256).alias("actual_sha256"))
+    digest = F.lower("sha256") if "sha256" in files.columns else F.sha2(F.col("content").cast("binary"), 256)
+    found = files.select("file", F.col("size").cast("bigint").alias("actual_size"), digest.alias("actual_sha256"))
     wanted = manifest.select("file", F.col("size").cast("bigint").alias("expected_size"),
                              F.lower("sha256").alias("expected_sha256"))
     joined = found.join(wanted, "file", "full_outer")

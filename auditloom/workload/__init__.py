@@ -6,7 +6,7 @@ import importlib
 
 from auditloom.workload.registry import QUERIES, Query
 
-_MODULES = ("surface", "normalise", "rollup", "ranking", "trend", "check", "join", "text", "frame")
+_MODULES = ("surface", "normalise", "rollup", "ranking", "trend", "check", "join", "text", "frame", "source")
 def load() -> dict[str, Query]:
     """Import every query module and return the registry."""
     for name in _MODULES:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from auditloom.operators import extract as X
 from auditloom.plans.ingest import tax_books
 from auditloom.session import durable, scratch
+from auditloom.sources.tabular import read_cells
 from auditloom.sources.text import split_lines
 from auditloom.workload.binding import VREC, Tables
 from auditloom.workload.registry import query
@@ -248,6 +249,34 @@ def grid_header_promotion(t: Tables) -> DataFrame:
     return out.select("sheet", "key", "adm_total", "adm_elementary")
 
 
+@query("X7 S9", """
+WITH c AS (SELECT c_custkey, c_mktsegment, c_acctbal, CASE c_custkey % 4 WHEN 0 THEN 'County of CLARKE' WHEN 1 THEN 'Loudoun County, Virginia'
+    WHEN 2 THEN 'Fairfax' ELSE ' Warrenton' END AS place, 'book' || CAST(c_custkey % 5 AS VARCHAR) AS file FROM customer),
+s AS (SELECT *, CASE WHEN file = 'book0' THEN 'Other' WHEN c_custkey % 2 = 0 THEN 'Exhibit C-6' ELSE 'Schools' END AS sheet FROM c)
+SELECT file, sheet, CAST(c_custkey AS INTEGER) AS row_idx, trim(place) AS place,
+  CASE WHEN c_custkey % 4 = 0 THEN '043' WHEN c_custkey % 4 = 1 THEN '107' ELSE '187' END AS division_code, h.header,
+  CASE h.header WHEN 'Segment' THEN c_mktsegment ELSE CAST(c_custkey * 2 AS VARCHAR) END AS value
+FROM s, (VALUES ('Segment'), ('Instruction')) AS h(header)
+WHERE c_custkey % 4 <> 2 AND NOT (file <> 'book0' AND c_custkey % 7 = 0)""")
+def comparative_report(t: Tables) -> DataFrame:
+    """Sheets of a report by customer number: a title, a header, then a row a customer, written as cells and read back.
+    Every seventh customer stands on a sheet that is not read, but in the one book without a named sheet."""
+    key = F.col("c_custkey")
+    book = F.concat(F.lit("book"), (key % 5).cast("string"))
+    sheet = F.when((book != "book0") & (key % 7 == 0), "Summary").when(book == "book0", "Other").when(key % 2 == 0, "Exhibit C-6").otherwise("Schools")
+    place = F.when(key % 4 == 0, "County of CLARKE").when(key % 4 == 1, "Loudoun County, Virginia").when(key % 4 == 2, "Fairfax").otherwise(" Warrenton")
+    rows = t.customer.select(book.alias("file"), sheet.alias("sheet"), key.cast("int").alias("row_idx"),
+                             F.array(F.col("c_mktsegment"), place, (key * 2).cast("string")).alias("v"))
+    sheets = rows.select("file", "sheet").distinct()
+    text = F.array(*[F.lit(x) for x in ("Report", "", "of the year")])
+    title = sheets.select("file", "sheet", F.lit(-2).alias("row_idx"), text.alias("v"))
+    head = sheets.select("file", "sheet", F.lit(-1).alias("row_idx"), F.array(*[F.lit(x) for x in ("Segment", "Locality", "Instruction")]).alias("v"))
+    cells = rows.unionByName(title).unionByName(head).select("file", "sheet", "row_idx", F.posexplode("v").alias("col_idx", "value"))
+    folder = scratch(t.spark, "cells")
+    cells.write.parquet(folder)
+    return X.comparative_rows(read_cells(t.spark, folder)).drop("col_idx")
+
+
 _KEYWORDS = ("tion", "ing", "ment", "ungen", "ciónas", "eaux")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -362,3 +363,18 @@ def test_records_in_pieces_match_whole_records(spark, monkeypatch, chunk, piece,
     got = parse(pieces, ["path"])
     assert got.columns == whole.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect())) and got.count() >= 4
+
+
+def test_medians_of_large_and_awkward_groups(spark, monkeypatch):
+    monkeypatch.setattr(R, "BUCKETS", 8)
+    rng = random.Random(5)
+    groups = {"half": [rng.gauss(0, 1e6) for _ in range(3000)], "same": [7.5] * 400, "two": [1.0, 2.0], "one": [-3.0], "wide": [1e300, -1e300, 5e-324, 1.0, 2.0],
+              None: [float(k % 13) for k in range(501)], "odd": [rng.choice([-0.0, 0.0, 1.0]) for _ in range(101)], "none": [None, float("nan")]}
+    rows = spark.createDataFrame([(k, x) for k, xs in groups.items() for x in xs], "k string, x double").repartition(5)
+    got = {r.k: r.median for r in R.medians(rows, "x", ["k"]).collect()}
+    assert got == {k: statistics.median(xs) for k, xs in groups.items() if k != "none"}
+    whole = [x for xs in groups.values() for x in xs if x is not None and not math.isnan(x)]
+    assert R.medians(rows, "x").first().median == statistics.median(whole)
+    assert R.medians(rows.filter("false"), "x", ["k"]).count() == 0
+    stats = {r.k: tuple(r)[1:] for r in R.peer_stats(rows.filter("k IN ('two', 'same') OR k = 'none' AND x IS NULL"), "x", ["k"]).collect()}
+    assert stats == {"two": (2, 1.5, 1.5, 0.71), "same": (400, 7.5, 7.5, 0.0), "none": (0, None, None, None)}

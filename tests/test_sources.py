@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from auditloom.plans import ingest, presets, query
-from auditloom.sources import catalog, records, sinks, tabular, text
+from auditloom.sources import catalog, ranges, records, sinks, tabular, text
 
 
 def test_views(spark, tmp_path):
@@ -56,6 +57,57 @@ def test_wrapped_json_and_flatten(spark, tmp_path):
     assert records.read_records(spark, str(single)).count() == 1
 
 
+WRAPPED = {
+    "keyed": ({"meta": {"records": [{"no": 1}]}, "notes": [{"no": 2}], "records": "LIST", "more": [{"no": 3}]}, "LIST"),
+    "top": ("LIST", "LIST"), "first_key_wins": ({"annual_data": "LIST", "data": [{"code": -1}]}, [{"code": -1}]),
+    "single": ({"x": {"records": [{"y": 1}]}}, [{"x": {"records": [{"y": 1}]}}]), "empty": ({"records": []}, []), "plain": ({"records": [1, {"a": 2}, [{"b": 3}], None]}, [{"a": 2}]),
+}
+
+
+@pytest.mark.parametrize("size", [53, 997, 1 << 26])
+@pytest.mark.parametrize("name", sorted(WRAPPED))
+def test_elements_are_cut_at_any_range(spark, tmp_path, name, size):
+    rng = random.Random(7)
+    listed = [{"code": k, "t": "".join(rng.choice('ab"\\{}[],:é\n') for _ in range(rng.randint(0, 40))), "n": {"a": [1, {"b": k}]}} for k in range(60)]
+    put = lambda v: json.loads(json.dumps(v).replace('"LIST"', json.dumps(listed)))
+    value, want = map(put, WRAPPED[name])
+    path = tmp_path / "w.json"
+    path.write_text(json.dumps(value, indent=1 if size == 997 else None))
+    found = records.elements(spark, str(path), size=size).orderBy("offset").collect()
+    assert [json.loads(r.text) for r in found] == want
+
+
+def test_one_file_is_read_by_many_tasks(spark, tmp_path):
+    path = tmp_path / "w.json"
+    path.write_text(json.dumps({"records": [{"k": k, **({"x": 0.5} if k % 2 else {}), "d": {"e": [k]}} for k in range(500)]}))
+    found = records.elements(spark, str(path), size=512)
+    assert found.filter("size(split(text, 'k')) > 1").select(F.spark_partition_id()).distinct().count() > 1
+    rows = records.split_records(spark, str(path), size=512)
+    assert dict(rows.dtypes) == {"d": "struct<e:array<bigint>>", "k": "bigint", "x": "double"}
+    assert rows.agg(F.sum("k"), F.count("x"), F.sum(F.col("d.e")[0])).first() == (124750, 250, 124750)
+    assert records.split_records(spark, str(path), record_path="nothing").count() == 0
+
+
+def test_features_with_different_properties(spark, tmp_path):
+    path = tmp_path / "f.geojson"
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": [
+        {"type": "Feature", "geometry": {"type": "Point", "coordinates": [1.5, 2.0]}, "properties": {"NAME": "a", "tax": {"y": 1}}},
+        {"type": "Feature", "geometry": None, "properties": {"NAME": "b", "acres": 2.5, "lots": [1, 2]}}, {"type": "Feature", "properties": {}}]}))
+    rows = records.split_features(spark, str(path), size=64).collect()
+    assert sorted((r.NAME or "", r.tax, r.acres, r.lots, r.geometry_type) for r in rows) == [
+        ("", None, None, None, None), ("a", '{"y":1}', None, None, "Point"), ("b", None, 2.5, "[1,2]", None)]
+
+
+def test_files_are_hashed_by_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ranges, "BLOCK", 1000)
+    data = {"a/x.bin": b"0123456789" * 5000, "b/x.bin": b"", "c.txt": b"z"}
+    for name, body in data.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(body)
+    got = {r.file: (r.size, r.sha256) for r in sinks.contents(spark, str(tmp_path)).collect()}
+    assert got == {n: (len(b), hashlib.sha256(b).hexdigest()) for n, b in data.items() if b}
+
+
 def test_features(spark, tmp_path):
     path = tmp_path / "f.geojson"
     path.write_text(json.dumps({"type": "FeatureCollection", "features": [
