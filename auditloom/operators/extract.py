@@ -288,6 +288,25 @@ def line_measures(lines: DataFrame, kind: str, keep: Sequence[str], line: str =
     return rows
 
 
+def all_line_measures(lines: DataFrame, keep: Sequence[str], line: str = "line",
+                      kinds: Sequence[str] = tuple(fixed.LINE_PATTERNS)) -> DataFrame:
+    """Lines of any of the ``kinds`` in one pass: ``kind``, ``label`` and the ``measures`` as an array in the
+    order of ``fixed.LINE_MEASURES`` (with the total last for expenditures). A line that has the form of
+    several kinds gives one row for each of them."""
+    text = strip(F.col(line))
+
+    def hit(kind: str) -> Column:
+        pattern, count = fixed.LINE_PATTERNS[kind], len(fixed.LINE_MEASURES[kind])
+        values = F.array(*[F.translate(F.regexp_extract(text, pattern, i), ",", "").try_cast("double") for i in range(2, count + 2)])
+        if kind == "expenditure":
+            values = let(values, lambda v: F.concat(v, F.array(reduce(Column.__add__, [F.get(v, F.lit(i)) for i in range(count)]))))
+        found = F.struct(F.lit(kind).alias("kind"), strip(F.regexp_extract(text, pattern, 1)).alias("label"), values.alias("measures"))
+        return F.when(text.rlike(pattern), found)
+
+    rows = lines.select(*keep, F.explode(F.array_compact(F.array(*[hit(k) for k in kinds]))).alias("h")).select(*keep, "h.*")
+    return rows.filter((F.col("kind") != "expenditure") | (F.element_at("measures", -1) > 0))
+
+
 def _last_numbers(found: Column, count: int) -> Column:
     """The trailing ``count`` numbers of a matched piece of text."""
     numbers = F.regexp_extract_all(found, F.lit(r"([\d,]*\d[\d,]*(?:\.\d*)?)"), F.lit(1))
@@ -309,6 +328,41 @@ def section_measures(docs: DataFrame, text: str, keep: Sequence[str], section: s
     return numbered.select(*keep, "category", *[F.get("_n", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
+def _first_hits(text: Column | str, patterns: Mapping[str, str], count: int) -> Column:
+    """Per category whose pattern is in the text: the first match's trailing ``count`` words as numbers. A
+    number that is none is null."""
+    found = F.array(*[F.struct(F.lit(key).alias("category"), F.regexp_extract(text, "(?i)" + pattern, 0).alias("found"))
+                      for key, pattern in patterns.items()])
+    words = lambda h: F.slice(F.split(h["found"], r"\s+"), -count, count)
+    return F.transform(F.filter(found, lambda h: h["found"] != ""), lambda h: F.struct(
+        h["category"].alias("category"), F.transform(words(h), lambda w: w.try_cast("double")).alias("numbers")))
+
+
+def personnel_summary(pages: DataFrame, document: Sequence[str], page: str, text: str,
+                      markers: Sequence[str] = fixed.PAGE_MARKERS["personnel"],
+                      departments: Mapping[str, str] = fixed.STAFF_CATEGORIES, totals: Mapping[str, str] = fixed.STAFF_TOTALS,
+                      names: Sequence[str] = fixed.STAFF_MEASURES) -> DataFrame:
+    """Staff of each document's personnel table: a row per department and per total that it holds, with the
+    ``page``, the ``kind`` ("department" or "total"), the ``category`` and six typed measures.
+
+    The table is on the first page that holds every marker, and is what stands there between its heading
+    and the reasons for the change. Pages are narrowed to those that hold the markers first, so only their
+    sections are shuffled, and of each document one section goes on. A document without such a page, or
+    whose page lacks the heading, has no row.
+    """
+    hit = reduce(Column.__and__, [F.col(text).contains(m) for m in markers])
+    sections = pages.filter(hit).select(*document, F.col(page).alias("page"),
+                                        F.regexp_extract(text, fixed.SECTIONS["personnel"], 0).alias("_section"))
+    first = sections.groupBy(*document).agg(F.min_by("_section", "page").alias("_section"), F.min("page").alias("page"))
+
+    def hits(kind: str, patterns: Mapping[str, str]) -> Column:
+        return F.transform(_first_hits("_section", patterns, len(names)), lambda h: F.struct(
+            F.lit(kind).alias("kind"), h["category"].alias("category"), h["numbers"].alias("numbers")))
+
+    rows = first.select(*document, "page", F.explode(F.concat(hits("department", departments), hits("total", totals))).alias("h"))
+    return rows.select(*document, "page", "h.kind", "h.category", *[F.get("h.numbers", F.lit(i)).alias(n) for i, n in enumerate(names)])
+
+
 def _per_label(docs: DataFrame, keep: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
     hits = F.array(*[F.struct(F.lit(k).alias("label"), v.alias("value")) for k, v in values.items()])
     return docs.select(*keep, F.explode(F.filter(hits, lambda h: h["value"].isNotNull())).alias("h")).select(
@@ -510,7 +564,8 @@ def score_tables(rows: DataFrame, table: Sequence[str], row_idx: str, text: str,
     hits = reduce(Column.__add__, [F.col("_text").contains(k).cast("int") for k in keywords])
     scored = packed.withColumn("_text", whole).withColumn("keyword_matches", hits.cast("bigint"))
     kept = scored.filter(F.col("keyword_matches") >= at_least).select(*table, "keyword_matches")
-    return global_rank(kept, [F.col("keyword_matches").desc(), *map(F.col, table)])
+    # The few kept rows are written once; the rank counts and samples those.
+    return global_rank(durable(kept), [F.col("keyword_matches").desc(), *map(F.col, table)])
 
 
 def row_categories(rows: DataFrame, table: Sequence[str], row_idx: str, text: str, amounts: str | Sequence[str],

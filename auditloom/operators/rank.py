@@ -45,10 +45,13 @@ def threshold_then_sort(df: DataFrame, keep: Column, order: Sequence[Column]) ->
 
 def ordinal_ranks(df: DataFrame, metrics: Mapping[str, str], key: str,
                   partition: Sequence[str] = ()) -> DataFrame:
-    """``<metric>_rank`` 1..n per metric ("asc" or "desc"), ties by ``key``.
+    """``<metric>_rank`` 1..n per metric ("asc" or "desc"), nulls last, ties by ``key``.
 
-    For small gold tables. Ranks of a large table: :func:`global_rank`.
+    With ``partition`` each group is ranked by a window. Without it the whole table is, by one range
+    shuffle of the rows' (metric, value, key), and ``key`` must be unique and not null.
     """
+    if not partition:
+        return _table_ranks(df, metrics, key)
     for metric, direction in metrics.items():
         value = F.col(metric)
         order = value.asc_nulls_last() if direction == "asc" else value.desc_nulls_last()
@@ -57,6 +60,24 @@ def ordinal_ranks(df: DataFrame, metrics: Mapping[str, str], key: str,
     return df
 
 
+def _table_ranks(df: DataFrame, metrics: Mapping[str, str], key: str) -> DataFrame:
+    """Ranks of several metrics of a whole table: a row per metric and key, each with one value column that is not
+    null, ranged by all of them, so that the rows of a metric follow each other in its own order."""
+    places = list(enumerate(metrics.items()))
+    kinds = df.schema
+    values = [F.array(*[F.struct(F.lit(i).alias("metric"), F.col(key).alias("key"), *[
+        (F.col(m) if i == j else F.lit(None).cast(kinds[m].dataType)).alias(f"v{j}") for j, (m, _) in places]) for i, _ in places])]
+    long = durable(df.select(F.explode(values[0]).alias("r")).select("r.*"))
+    order = [F.col("metric"), *[F.col(f"v{j}").asc_nulls_last() if d == "asc" else F.col(f"v{j}").desc_nulls_last() for j, (_, d) in places],
+             F.col("key")]
+    ranked = global_rank(long, order, "_at")
+    # One row per metric.
+    starts = ranked.groupBy("metric").agg(F.min("_at").alias("_start"))
+    wide = (ranked.join(F.broadcast(starts), "metric").withColumn("_at", F.col("_at") - F.col("_start") + 1).groupBy(F.col("key").alias(key))
+            .agg(*[F.max(F.when(F.col("metric") == i, F.col("_at"))).alias(f"{m}_rank") for i, (m, _) in places]))
+    return df.join(wide, key)
+
+
 def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank",
                 partitions: int | None = None) -> DataFrame:
     """1..n over the whole table in ``order`` (must be a total order).
@@ -95,7 +116,8 @@ def global_quartile(df: DataFrame, metric: str, key: str, buckets: int = 4,
     The first ``total % buckets`` tiles hold one row more, as ``ntile`` does.
     """
     ranked = global_rank(df, [F.col(metric).asc_nulls_last(), F.col(key)], "_rank")
-    total = df.agg(F.count(F.lit(1))).scalar()
+    # Counted from the checkpoint of the ranks.
+    total = ranked.agg(F.count(F.lit(1))).scalar()
     base, extra = F.floor(total / buckets), total % buckets
     wide = extra * (base + 1)
     tile = (F.when(F.col("_rank") <= wide, F.floor((F.col("_rank") - 1) / (base + 1)))

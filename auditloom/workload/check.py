@@ -71,9 +71,9 @@ def flag_tally(t: Tables) -> DataFrame:
 
 
 @query("Q4", f"""
-WITH {FACTS}, r AS (SELECT district, {pct('admins', '(support + teachers)', 2)} AS p,
+WITH {FACTS}, r AS (SELECT district || ' ' || fiscal_year AS district, {pct('admins', '(support + teachers)', 2)} AS p,
     {rat('admins', 'adm', 2, '0.0::DOUBLE', '*1e3')} AS k, {rat('admins', 'teachers', 4, '0.0::DOUBLE')} AS a
-  FROM facts WHERE year = 2000),
+  FROM facts),
 g AS (SELECT district, (b - a) / a * 1e2 AS ag, (d - c) / c * 1e2 AS eg FROM (
   SELECT district, CAST(max(admins) FILTER (WHERE year = 1995) AS DOUBLE) AS a, CAST(max(admins) FILTER (WHERE year = 2000) AS DOUBLE) AS b,
     CAST(max(adm) FILTER (WHERE year = 1995) AS DOUBLE) AS c, CAST(max(adm) FILTER (WHERE year = 2000) AS DOUBLE) AS d
@@ -99,8 +99,8 @@ def audit_flags(t: Tables) -> DataFrame:
 
     g = t.gold_facts
     staff = F.col("support") + F.col("teachers")
-    ratios = g.filter("year = 2000").select(
-        "district", percent("admins", staff, 2).alias("admin_pct_of_total_staff"),
+    ratios = g.select(
+        F.concat_ws(" ", "district", "fiscal_year").alias("district"), percent("admins", staff, 2).alias("admin_pct_of_total_staff"),
         ratio("admins", "adm", scale=1000.0, digits=2, default=0.0).alias("admin_per_1000_students"),
         ratio("admins", "teachers", digits=4, default=0.0).alias("admin_to_teacher_ratio"))
 

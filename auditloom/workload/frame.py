@@ -93,19 +93,20 @@ def feature_json(t: Tables) -> DataFrame:
 
 @query("V7", f"""
 WITH {FACTS}
-SELECT district AS label, total AS value,
-  (SELECT floor(avg(total)*1e2+5e-1)/1e2 FROM facts WHERE year = 2000 AND total > 0) AS average
-FROM facts WHERE year = 2000""")
+SELECT district || ' ' || fiscal_year AS label, total AS value,
+  (SELECT floor(CAST(sum(CAST(total AS DECIMAL(18,2))) AS DOUBLE) / count(*) * 1e2 + 5e-1) / 1e2 FROM facts WHERE total > 0) AS average
+FROM facts""")
 def comparison_bars(t: Tables) -> DataFrame:
-    return V.comparison_bars(t.gold_facts.filter("year = 2000"), "district", "total")
+    return V.comparison_bars(t.gold_facts.select(F.concat_ws(" ", "district", "fiscal_year").alias("bar"), "total"), "bar", "total")
 
 
 @query("V7", f"""
 WITH {FACTS}
-SELECT district AS label, CAST(admins AS DOUBLE) AS value, 250e0 AS target, 150e0 AS warning FROM facts
-WHERE year = 2000 AND admins > 0""")
+SELECT district || ' ' || fiscal_year AS label, CAST(admins AS DOUBLE) AS value, 250e0 AS target, 150e0 AS warning FROM facts
+WHERE admins > 0""")
 def threshold_bars(t: Tables) -> DataFrame:
-    return V.threshold_bars(t.facts.filter("year = 2000"), "district", "admins", 250, 150, positive_only=True)
+    bars = t.facts.select(F.concat_ws(" ", "district", "fiscal_year").alias("bar"), "admins")
+    return V.threshold_bars(bars, "bar", "admins", 250, 150, positive_only=True)
 
 
 @query("S4", """
@@ -136,20 +137,34 @@ def partitioned_sink_latest(t: Tables) -> DataFrame:
     return out.withColumn("year", F.col("year").cast("bigint"))
 
 
-@query("S6 S11", """
+#: Survey columns between the first two and the last one; the n-th holds the customer plus n.
+_SURVEY = {"TFEDREV": "federal_revenue", "TSTREV": "state_revenue", "TLOCREV": "local_revenue", "TOTALEXP": "total_expenditures",
+           "TCURELSC": "current_expenditures", "TCURINST": "instruction_expenditures", "TCURSSVC": "support_services", "E17": "pupil_support",
+           "E07": "instructional_staff_support", "E08": "general_administration", "E09": "school_administration", "TCUROTH": "other_current",
+           "E11": "operations_maintenance", "TNONELSE": "non_elementary_secondary"}
+
+
+@query("S6 S11", f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS "LEAID", CAST(CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE o_custkey END AS DOUBLE) AS enrollment,
-  CAST(CASE o_orderstatus WHEN 'F' THEN NULL ELSE o_orderkey END AS DOUBLE) AS total_revenue, NULL::DOUBLE AS capital_outlay
+  CAST(CASE o_orderstatus WHEN 'F' THEN NULL ELSE o_orderkey END AS DOUBLE) AS total_revenue,
+  {", ".join(f"CAST(CASE WHEN o_orderkey % 2 = 1 AND {i} % 3 = 0 THEN NULL WHEN o_custkey % {i + 7} = 0 THEN NULL ELSE o_custkey + {i} END AS DOUBLE) AS {name}"
+             for i, name in enumerate(_SURVEY.values()))},
+  NULL::DOUBLE AS capital_outlay
 FROM orders""")
 def coded_tsv_scan(t: Tables) -> DataFrame:
-    """Orders written as tab-separated survey files of two header orders, with missing codes, read back by header name."""
-    filler = [F.lit("0").alias(f"X{i}") for i in range(8)]
+    """Orders written as tab-separated survey files of two header orders, the second without some of the columns,
+    with missing codes, read back by header name."""
     pupils = F.when(F.col("o_custkey") % 5 == 0, "M").otherwise(F.col("o_custkey").cast("string")).alias("V33")
     revenue = F.when(F.col("o_orderstatus") == "F", "-2").otherwise(F.col("o_orderkey").cast("string")).alias("TOTALREV")
+    codes = ("-1", "-2", "-3", "-9", "M", "N", "R", None)
+    more = [F.when(F.col("o_custkey") % (i + 7) == 0, F.lit(codes[i % 8])).otherwise((F.col("o_custkey") + i).cast("string")).alias(name)
+            for i, name in enumerate(_SURVEY)]
     base = _scratch(t)
     even, odd = (t.orders.filter(F.col("o_orderkey") % 2 == k) for k in (0, 1))
-    write_csv(even.select(F.col("o_orderkey").alias("LEAID"), *filler, pupils, revenue), f"{base}/a", sep="\t")
-    write_csv(odd.select(revenue, *filler, F.col("o_orderkey").alias("LEAID"), pupils), f"{base}/b", sep="\t")
-    return read_coded_tsv(t.spark, [f"{base}/a", f"{base}/b"]).select("LEAID", "enrollment", "total_revenue", "capital_outlay")
+    key = F.col("o_orderkey").alias("LEAID")
+    write_csv(even.select(key, *more, pupils, revenue), f"{base}/a", sep="\t")
+    write_csv(odd.select(revenue, *[c for i, c in enumerate(more) if i % 3][::-1], key, pupils), f"{base}/b", sep="\t")
+    return read_coded_tsv(t.spark, [f"{base}/a", f"{base}/b"]).drop("source_file")
 
 
 @query("S12", """

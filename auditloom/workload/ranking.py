@@ -29,6 +29,18 @@ def global_order_rank(t: Tables) -> DataFrame:
     return W.global_rank(t.orders.select("o_orderkey", "o_totalprice"), order).select("o_orderkey", "rank")
 
 
+@query("W1", """
+SELECT o_orderkey, o_totalprice, o_orderdate, CASE WHEN o_custkey % 3 <> 0 THEN o_custkey END AS customer,
+  row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS o_totalprice_rank,
+  row_number() OVER (ORDER BY o_orderdate NULLS LAST, o_orderkey) AS o_orderdate_rank,
+  row_number() OVER (ORDER BY CASE WHEN o_custkey % 3 <> 0 THEN o_custkey END DESC NULLS LAST, o_orderkey) AS customer_rank FROM orders""")
+def table_ranks(t: Tables) -> DataFrame:
+    """Three metrics of different types ranked over the whole table by one range shuffle; a third of one is null."""
+    customer = F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")).alias("customer")
+    rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderdate", customer)
+    return W.ordinal_ranks(rows, {"o_totalprice": "desc", "o_orderdate": "asc", "customer": "desc"}, "o_orderkey")
+
+
 @query("W2 A9", f"""
 WITH {REC}
 SELECT owner, CAST(sum(total_value) AS DOUBLE) AS total_value, count(*) AS properties

@@ -36,15 +36,17 @@ def totals(t: Tables) -> DataFrame:
 
 @query("A2 A4 A5", f"""
 WITH {VREC}, g AS (
-  SELECT district, count(*) AS n, sum(land_value) AS lv, sum(total_value) AS tv, sum(tax_amount) AS tx,
-    coalesce(sum(acreage), 0) AS ac FROM vrec GROUP BY district)
-SELECT district, n AS property_count, CAST(lv AS DOUBLE) AS land_value, CAST(tv AS DOUBLE) AS total_value,
-  CAST(tx AS DOUBLE) AS tax_amount, CAST(ac AS DOUBLE) AS total_acreage,
+  SELECT district, count(*) AS n, sum(land_value) AS lv, sum(improvement_value) AS iv, sum(total_value) AS tv, sum(tax_amount) AS tx,
+    sum(CASE WHEN parcel % 4 = 0 THEN land_value ELSE 0 END) AS df, coalesce(sum(acreage), 0) AS ac FROM vrec GROUP BY district)
+SELECT district, n AS property_count, CAST(lv AS DOUBLE) AS land_value, CAST(iv AS DOUBLE) AS improvement_value,
+  CAST(tv AS DOUBLE) AS total_value, CAST(tx AS DOUBLE) AS tax_amount, CAST(df AS DOUBLE) AS deferred_value, CAST(ac AS DOUBLE) AS total_acreage,
   {pct('tv', 'sum(tv) OVER ()', 2)} AS pct_of_county_value, {pct('tx', 'sum(tx) OVER ()', 2)} AS pct_of_county_tax,
   {rat('tv', 'n', 0)} AS avg_property_value
 FROM g""")
 def district_rollup(t: Tables) -> DataFrame:
-    return R.district_rollup(t.valued_records, measures=("land_value", "total_value", "tax_amount"))
+    """All five sums; a fourth of the land counts as deferred."""
+    deferred = F.when(F.col("parcel") % 4 == 0, F.col("land_value")).otherwise(F.lit(0.0))
+    return R.district_rollup(t.valued_records.withColumn("deferred_value", deferred))
 
 
 @query("A3", f"""
@@ -193,22 +195,23 @@ def conditional_totals(t: Tables) -> DataFrame:
     return out
 
 
+_PROFILE = {"Individual": "individual", "LLC": "llc", "Trust": "trust", "Corporation": "corporation", "Estate": "estate"}
+_PROFILE_SUMS = ",\n    ".join(
+    f"count(*) FILTER (WHERE entity_type = '{kind}') AS {name}_n, coalesce(sum(total_value) FILTER (WHERE entity_type = '{kind}'), 0) AS {name}_v"
+    for kind, name in _PROFILE.items())
+_PROFILE_COLUMNS = ",\n  ".join(
+    f"{name}_n AS {name}_count, CAST({name}_v AS DOUBLE) AS {name}_value, {pct(f'{name}_n', 'n', 1)} AS {name}_pct_records, "
+    f"{pct(f'{name}_v', 'v', 1)} AS {name}_pct_value" for name in _PROFILE.values())
+
+
 @query("A22", f"""
 WITH {LOTS}, g AS (SELECT district, year, count(*) AS n, sum(total_value) AS v,
-    count(*) FILTER (WHERE entity_type = 'LLC') AS ln,
-    coalesce(sum(total_value) FILTER (WHERE entity_type = 'LLC'), 0) AS lv,
-    count(*) FILTER (WHERE entity_type = 'Individual') AS inn,
-    coalesce(sum(total_value) FILTER (WHERE entity_type = 'Individual'), 0) AS iv
+    {_PROFILE_SUMS}
   FROM lots GROUP BY district, year)
-SELECT district, year, n AS total_records, CAST(v AS DOUBLE) AS total_value, ln AS llc_count,
-  CAST(lv AS DOUBLE) AS llc_value, {pct('ln', 'n', 1)} AS llc_pct_records, {pct('lv', 'v', 1)} AS llc_pct_value,
-  inn AS individual_count, {pct('inn', 'n', 1)} AS individual_pct_records, {pct('iv', 'v', 1)} AS individual_pct_value
+SELECT district, year, n AS total_records, CAST(v AS DOUBLE) AS total_value, {_PROFILE_COLUMNS}
 FROM g""")
 def district_profile(t: Tables) -> DataFrame:
-    out = R.district_profile(t.lots("year"), scope=["year"], weight="n")
-    return out.select("district", "year", "total_records", "total_value", "llc_count", "llc_value",
-                      "llc_pct_records", "llc_pct_value", "individual_count", "individual_pct_records",
-                      "individual_pct_value")
+    return R.district_profile(t.lots("year"), scope=["year"], weight="n")
 
 
 @query("A22 W3", f"""

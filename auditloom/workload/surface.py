@@ -122,12 +122,11 @@ def set_ops_keys(t: Tables) -> DataFrame:
 @query("U1", f"""
 WITH {REC}
 SELECT 'orders' AS source, parcel, owner, zone, CAST(total_value AS DOUBLE) AS total_value, NULL::VARCHAR AS supplier,
-  NULL::DOUBLE AS balance FROM rec WHERE year = 2001
+  NULL::DOUBLE AS balance FROM rec
 UNION ALL SELECT 'suppliers', NULL, NULL, NULL, NULL, s_name, s_acctbal FROM supplier""")
 def union_sources_merged(t: Tables) -> DataFrame:
     """Two sources with different fields in one table."""
-    orders = t.records.filter("year = 2001").select("parcel", "owner", "zone",
-                                                    F.col("total_value").cast("double").alias("total_value"))
+    orders = t.records.select("parcel", "owner", "zone", F.col("total_value").cast("double").alias("total_value"))
     suppliers = t.supplier.select(F.col("s_name").alias("supplier"), F.col("s_acctbal").alias("balance"))
     return union_sources({"orders": orders, "suppliers": suppliers})
 

@@ -38,6 +38,11 @@ def _whole(name: str) -> Column:
     return F.floor(F.coalesce(F.col(name), F.lit(0))).cast("bigint")
 
 
+def _number(value: Column) -> Column:
+    """A number with one decimal place at least and no exponent, as SQL writes it."""
+    return F.regexp_replace(value.cast("decimal(18,4)").cast("string"), r"(\.\d+?)0*$", "$1")
+
+
 _REGION_TEXT = {"AFRICA": "RED BUD", "AMERICA": "OPEQUON", "ASIA": "STEPHENS CITY", "EUROPE": "SHAWNEE"}
 
 
@@ -119,11 +124,11 @@ def tax_book_strict(t: Tables) -> DataFrame:
 
 @query("X3", """
 WITH o AS (SELECT o_orderkey, o_orderkey % 3 AS k, CAST(floor(o_totalprice) AS BIGINT) AS v, o_custkey AS c FROM orders)
-SELECT o_orderkey, 'personnel' AS kind, 'Fire and Rescue' AS label, CAST(c AS DOUBLE) + 0.5::DOUBLE AS first,
-  CAST(c % 9 AS DOUBLE) AS last FROM o WHERE k = 0
-UNION ALL SELECT o_orderkey, 'expenditure', 'Parks/Recreation (all)', CAST(v AS DOUBLE), CAST(v + c AS DOUBLE) FROM o
+SELECT o_orderkey, 'personnel' AS kind, 'Fire and Rescue' AS label,
+  [CAST(c AS DOUBLE) + 0.5::DOUBLE, 14e0, 157.5::DOUBLE, 10e0, 164.5::DOUBLE, CAST(c % 9 AS DOUBLE)]::VARCHAR AS measures FROM o WHERE k = 0
+UNION ALL SELECT o_orderkey, 'expenditure', 'Parks/Recreation (all)', [CAST(v AS DOUBLE), 0e0, CAST(c AS DOUBLE), CAST(v + c AS DOUBLE)]::VARCHAR FROM o
   WHERE k = 1 AND v + c > 0
-UNION ALL SELECT o_orderkey, 'summary', 'Public Safety', CAST(v AS DOUBLE), 7.25::DOUBLE FROM o WHERE k = 2""")
+UNION ALL SELECT o_orderkey, 'summary', 'Public Safety', [CAST(v AS DOUBLE), 1000e0, 2e0, 3456e0, 7.25::DOUBLE]::VARCHAR FROM o WHERE k = 2""")
 def line_measures(t: Tables) -> DataFrame:
     k, c = F.col("o_orderkey") % 3, F.col("o_custkey")
     v = _money(F.floor("o_totalprice"))
@@ -134,13 +139,8 @@ def line_measures(t: Tables) -> DataFrame:
     docs = t.wide_orders.select("o_orderkey", F.concat(F.lit("Header line\n"), text, F.lit("\nno numbers here")).alias("text"))
     lines = split_lines(docs, "text", ["o_orderkey"])
 
-    def rows(kind: str, first: str, last: str) -> DataFrame:
-        return X.line_measures(lines, kind, ["o_orderkey"]).select(
-            "o_orderkey", F.lit(kind).alias("kind"), "label", F.col(first).alias("first"), F.col(last).alias("last"))
-
-    return (rows("personnel", "fy_minus_2_full_time", "fy_current_part_time")
-            .unionAll(rows("expenditure", "personnel", "total"))
-            .unionAll(rows("summary", "prior_budgeted", "pct_of_total")))
+    return X.all_line_measures(lines, ["o_orderkey"]).select(
+        "o_orderkey", "kind", "label", F.concat(F.lit("["), F.array_join(F.transform("measures", _number), ", "), F.lit("]")).alias("measures"))
 
 
 @query("X4", """
@@ -160,6 +160,38 @@ def section_extract(t: Tables) -> DataFrame:
     return X.section_measures(t.wide_orders.select("o_orderkey", text.alias("text")), "text", ["o_orderkey"])
 
 
+@query("X4 X10", """
+WITH o AS (SELECT o_orderkey, o_orderkey % 10 AS d, CAST(o_custkey AS DOUBLE) AS c FROM orders WHERE o_orderkey % 7 <> 0),
+r AS (SELECT o_orderkey, d, 'department' AS kind, 'board_of_supervisors' AS category, [7e0, 1e0, 7e0, 1e0, 8e0, d] AS n FROM o
+UNION ALL SELECT o_orderkey, d, 'department', 'commissioner_revenue', [c, 0e0, c + 1e0, 0e0, c + 2e0, 1e0] FROM o
+UNION ALL SELECT o_orderkey, d, 'department', 'sheriff', [c + 0.5::DOUBLE, 2e0, 0.5::DOUBLE, 3e0, 130e0, 4e0] FROM o
+UNION ALL SELECT o_orderkey, d, 'total', 'general_fund_total', [c, 10e0, c, 11e0, c, 12e0] FROM o
+UNION ALL SELECT o_orderkey, d, 'total', 'school_funds', [c + 0.25::DOUBLE, 1e0, 2e0, 3e0, 4e0, 5e0] FROM o WHERE d < 5
+UNION ALL SELECT o_orderkey, d, 'total', 'all_funds_total', [c + 0.75::DOUBLE, 11e0, 1e0, 12e0, 2e0, 13e0] FROM o)
+SELECT o_orderkey, CAST(40 + d AS BIGINT) AS page, kind, category, CAST(n[1] AS DOUBLE) AS fy_minus_2_full_time, CAST(n[2] AS DOUBLE) AS fy_minus_2_part_time,
+  CAST(n[3] AS DOUBLE) AS fy_minus_1_full_time, CAST(n[4] AS DOUBLE) AS fy_minus_1_part_time, CAST(n[5] AS DOUBLE) AS current_full_time,
+  CAST(n[6] AS DOUBLE) AS current_part_time FROM r""")
+def personnel_summary(t: Tables) -> DataFrame:
+    """A budget book per order: a page without all markers, the personnel table, and a later page that repeats it
+    with other numbers. In every seventh book no page has all markers."""
+    c, d = F.col("o_custkey"), F.col("o_orderkey") % 10
+    early = F.lit("PERSONNEL NEEDS by department, Full-Time\nSheriff 1 1 1 1 1 1")
+    school = F.when(d < 5, F.concat(F.lit("School Funds "), c.cast("string"), F.lit(".25 1 2 3 4 5\n"))).otherwise(F.lit(""))
+    table = F.concat(
+        F.lit("Finance 9 9 9 9 9 9\nPersonnel Needs PERSONNEL NEEDS\nFull-Time Part-Time\nBoard of Supervisors 7 1 7 1 8 "), d.cast("string"),
+        F.lit("\nCOR/Reassessment "), c.cast("string"), F.lit(" 0 "), (c + 1).cast("string"), F.lit(" 0 "), (c + 2).cast("string"),
+        F.lit(" 1\nTreasurer vacant\nSheriff "), c.cast("string"), F.lit(".5 2 .5 3 130.0 4\nTotal Positions  General Fund "),
+        F.concat_ws(" ", c.cast("string"), F.lit("10"), c.cast("string"), F.lit("11"), c.cast("string"), F.lit("12\n")), school,
+        F.lit("Total Positions All Funds "), c.cast("string"), F.lit(".75 11 1.0 12 2 13\nThe reasons for the change\nFinance 5 5 5 5 5 5"))
+    late = F.lit("PERSONNEL NEEDS Full-Time Part-Time\nTreasurer 1 2 3 4 5 6")
+    marked = F.when(F.col("o_orderkey") % 7 == 0, F.translate(table, "-", " ")).otherwise(table)
+    last = F.when(F.col("o_orderkey") % 7 == 0, early).otherwise(late)
+    pages = F.array(F.struct((d + 30).alias("page"), early.alias("text")), F.struct((d + 50).alias("page"), last.alias("text")),
+                    F.struct((d + 40).alias("page"), marked.alias("text")))
+    books = t.wide_orders.select("o_orderkey", F.explode(pages).alias("p")).select("o_orderkey", "p.*")
+    return X.personnel_summary(books, ["o_orderkey"], "page", "text")
+
+
 @query("X5", """
 WITH o AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS DOUBLE) AS v, CAST(o_custkey AS DOUBLE) AS c FROM orders)
 SELECT o_orderkey, 'general_fund' AS label, greatest(v, c) AS value FROM o

@@ -378,3 +378,33 @@ def test_medians_of_large_and_awkward_groups(spark, monkeypatch):
     assert R.medians(rows.filter("false"), "x", ["k"]).count() == 0
     stats = {r.k: tuple(r)[1:] for r in R.peer_stats(rows.filter("k IN ('two', 'same') OR k = 'none' AND x IS NULL"), "x", ["k"]).collect()}
     assert stats == {"two": (2, 1.5, 1.5, 0.71), "same": (400, 7.5, 7.5, 0.0), "none": (0, None, None, None)}
+
+
+# --- several ranks of a table, lines of all kinds, personnel tables ------------------
+
+def test_ranks_of_a_whole_table(spark):
+    rng = random.Random(3)
+    data = [(k, rng.choice([None, 1.5, 2.5, 2.5]), rng.choice(["a", "b", None])) for k in range(300)]
+    rows = spark.createDataFrame(data, "key int, x double, y string").repartition(7)
+    got = {r["key"]: (r["x_rank"], r["y_rank"]) for r in W.ordinal_ranks(rows, {"x": "desc", "y": "asc"}, "key").collect()}
+    by_x = sorted(data, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    by_y = sorted(data, key=lambda r: (r[2] is None, r[2] or "", r[0]))
+    assert got == {k: ([r[0] for r in by_x].index(k) + 1, [r[0] for r in by_y].index(k) + 1) for k in range(300)}
+    assert W.ordinal_ranks(rows.limit(0), {"x": "desc"}, "key").count() == 0
+
+
+def test_all_kinds_of_lines(spark):
+    lines = ["Sheriff 1.5 2 3 4 5 6", " Parks/Recreation $1,000 $2 $3 ", "Nothing $0 $0 $0", "Public Safety $1 $2 $3 $4,000 5.5% x", "none", None]
+    rows = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
+    assert rows_of(X.all_line_measures(rows, ["i"]), "i") == [
+        (0, "personnel", "Sheriff", [1.5, 2.0, 3.0, 4.0, 5.0, 6.0]), (1, "expenditure", "Parks/Recreation", [1000.0, 2.0, 3.0, 1005.0]),
+        (3, "summary", "Public Safety", [1.0, 2.0, 3.0, 4000.0, 5.5])]
+
+
+def test_personnel_summary(spark):
+    table = "PERSONNEL NEEDS\nFull-Time Part-Time\nsheriff .5 2 1.25 3 7 4\nIT/MIS 1 2 3 4 5\nTotal Positions All  Funds 9.5 1 2 3 4 5\nCounty of Frederick\nFinance 1 1 1 1 1 1"
+    pages = [("a", 9, table.replace("7 4", "8 8")), ("a", 7, table), ("a", 1, "PERSONNEL NEEDS Full-Time"), ("b", 1, "personnel needs Full-Time Part-Time"),
+             ("c", 1, None), ("d", 1, "Full-Time Part-Time PERSONNEL NEEDS")]
+    rows = spark.createDataFrame(pages, "doc string, page int, text string").repartition(3)
+    assert rows_of(X.personnel_summary(rows, ["doc"], "page", "text"), "kind") == [
+        ("a", 7, "department", "sheriff", 0.5, 2.0, 1.25, 3.0, 7.0, 4.0), ("a", 7, "total", "all_funds_total", 9.5, 1.0, 2.0, 3.0, 4.0, 5.0)]

@@ -138,6 +138,27 @@ def test_each_tsv_file_has_its_own_header(spark, tmp_path):
     assert [(r.LEAID, r.enrollment, r.total_revenue) for r in out] == [("1", 10.0, 999.0), ("2", 10.0, 999.0)]
 
 
+def test_survey_headers_are_read_apart(spark, tmp_path):
+    """No line is shuffled; blank first lines, quotes, a repeated header and a file without lines are plain cases."""
+    filler = [f"C{i}" for i in range(9)]
+    head = "\t".join(["LEAID", "V33", *filler])
+    (tmp_path / "a b.txt").write_text("\n" + head + "\n" + "\t".join(['"1', "10"] + ["0"] * 9) + "\n" + head + "\n" + "\t".join(["2", "20"] + ["0"] * 9))
+    (tmp_path / "blank.txt").write_text("\n\n")
+    out = tabular.read_coded_tsv(spark, str(tmp_path / "*.txt"))
+    assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [(r.LEAID, r.enrollment) for r in out.collect()] == [('"1', 10.0), ("LEAID", None), ("2", 20.0)]
+
+
+def test_family_written_by_bucket(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, row in (("enrollment_1.json", {"adm": 1}), ("enrollment_2.json", {"adm": 2, "code": "x"}), ("vdoe.json", {"per": 1.5}), ("rest.json", {"adm": 3})):
+        (tmp_path / "in" / name).write_text(json.dumps(row))
+    found = tabular.write_family(tabular.read_family(spark, str(tmp_path / "in" / "*.json")), str(tmp_path / "out"))
+    assert {b: rows.columns for b, rows in found.items()} == {"enrollment": ["adm", "code", "source_file"], "vdoe": ["per", "source_file"]}
+    assert sorted((r.adm, r.code) for r in found["enrollment"].collect()) == [(1, None), (2, "x")]
+    assert "PartitionFilters: [isnotnull(bucket" in found["vdoe"]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_file_family(spark, tmp_path):
     for name in ("Enrollment_vdoe.json", "staffing.json", "apa_x.json", "other.json"):
         (tmp_path / name).write_text('{"v": 1}\n')
