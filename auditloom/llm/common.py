@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from auditloom.session import durable, ensure_checkpoint_dir
 
-__all__ = ["durable", "sampled_ids", "scratch", "stored", "table"]
+__all__ = ["apart", "durable", "sampled_ids", "scratch", "stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def apart(documents: DataFrame) -> DataFrame:
+    """``documents`` with all columns but ``doc_id`` and ``text`` named by their place, so that none of them clashes with a
+    helper column; ``.toDF(*documents.columns)`` gives the names back."""
+    return documents.toDF(*[c.lower() if c.lower() in ("doc_id", "text") else f"column {i}" for i, c in enumerate(documents.columns)])
+
+
 #: No sample has more ids than this.
 SAMPLE_IDS = 50_000
 

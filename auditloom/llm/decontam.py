@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from auditloom.llm.common import apart
 from auditloom.llm.fmindex import FMIndex
 from auditloom.llm.words import WordHasher, slices
 
@@ -188,7 +189,7 @@ def _searched(documents: DataFrame, items: DataFrame, keep: list[str], window: i
     """Columns ``keep`` of ``documents`` with ``_n_words``, ``_spans`` and ``_items``."""
     more = ", _n_words bigint, _spans array<struct<start:bigint,end:bigint>>, _items array<string>"
     kinds = dict(documents.dtypes)
-    rows = documents.select(*{*keep, "text"}, F.expr("CAST(array() AS array<struct<start:bigint,end:bigint>>)").alias("_spans"),
+    rows = documents.select(*[f"`{c}`" for c in {*keep, "text"}], F.expr("CAST(array() AS array<struct<start:bigint,end:bigint>>)").alias("_spans"),
                             F.expr("CAST(array() AS array<string>)").alias("_items"))
     blocks = item_blocks(items, block_words)
     block = next(blocks, [])
@@ -231,7 +232,7 @@ def without_leaks(documents: DataFrame, items: DataFrame, window: int = WINDOW,
     """``documents``, all columns kept, with the spans that ``find_leaks`` gives cut from ``text``; what
     stood around a span is joined by a line feed. A document of which no word is left goes;
     documents without a span stay as they are."""
-    columns = documents.columns
-    found = _searched(documents, items, columns, window, block_words, cut=True)
+    rows = apart(documents)
+    found = _searched(rows, items, rows.columns, window, block_words, cut=True)
     left = F.col("_n_words") > F.aggregate("_spans", F.lit(0).cast("bigint"), lambda total, s: total + s["end"] - s["start"])
-    return found.where(left | (F.size("_spans") == 0)).select(*columns)
+    return found.where(left | (F.size("_spans") == 0)).select(*[f"`{c}`" for c in rows.columns]).toDF(*documents.columns)

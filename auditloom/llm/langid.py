@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from auditloom.llm.common import sampled_ids
+from auditloom.llm.common import apart, sampled_ids
 from auditloom.llm.words import slices, utf8
 
 WINDOW = 256
@@ -175,7 +175,7 @@ def _apply(net: ByteNet | None, keep: list[str]):
 
 def _predicted(documents: DataFrame, net: ByteNet | None, keep: list[str]) -> DataFrame:
     kinds = dict(documents.dtypes)
-    return documents.select(*{*keep, "text"}).mapInArrow(
+    return documents.select(*[f"`{c}`" for c in {*keep, "text"}]).mapInArrow(
         _apply(net, keep), ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", _lang string, _score double, _sure double")
 
 
@@ -195,8 +195,9 @@ def with_language(documents: DataFrame, net: ByteNet | None, least: float = LEAS
     letter go."""
     if net is None:
         return documents.where(F.col("text").rlike(r"\p{L}"))
-    found = _predicted(documents, net, documents.columns)
-    return found.where((F.col("_lang") != UNKNOWN) & (F.col("_sure") >= least)).select(*documents.columns)
+    rows = apart(documents)
+    found = _predicted(rows, net, rows.columns).where((F.col("_lang") != UNKNOWN) & (F.col("_sure") >= least))
+    return found.select(*[f"`{c}`" for c in rows.columns]).toDF(*documents.columns)
 
 
 def held_out() -> Column:

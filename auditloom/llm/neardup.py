@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from auditloom.llm.common import durable, stored
+from auditloom.llm.common import apart, durable, stored
 from auditloom.llm.components import components
 from auditloom.llm.words import WordHasher, mix, slices
 
@@ -376,5 +376,7 @@ def without_duplicates(documents: DataFrame, width: int = 5, percent: int = 80)
     chosen = durable(chosen.alias("c").join(many.alias("m"), F.expr("c.doc_id <=> m.doc_id AND c.text_hash <=> m.text_hash"))
                      .select(F.col("c.doc_id").alias("_doc_id"), F.col("c.text_hash").alias("_text_hash"), "many"))
     same = F.expr("doc_id <=> _doc_id AND xxhash64(text) <=> _text_hash")
-    once = documents.join(chosen.where("many = 1"), same, "left_semi")
-    return once.unionByName(documents.join(chosen.where("many > 1"), same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    rows = apart(documents)
+    once = rows.join(chosen.where("many = 1"), same, "left_semi")
+    again = rows.join(chosen.where("many > 1"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(again).toDF(*documents.columns)

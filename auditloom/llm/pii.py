@@ -123,7 +123,8 @@ _SPELLED = "|".join(sorted(SPELLED, key=len, reverse=True))
 # A spelled digit counts in a run of four digits or more, spelled or not.
 _DIGIT_RUN = re.compile(rf"(?<!\w)(?:(?:{_SPELLED})|[0-9]+)(?:[\x20.-]{{1,3}}(?:(?:{_SPELLED})(?!\w)|[0-9]+)){{3,}}(?!\w)", re.I)
 _SPELLED_WORD = re.compile(rf"(?<!\w)(?:{_SPELLED})(?!\w)", re.I)
-_BRACKETED = re.compile(rf"\s*[(\[{{<]\s*(?:(?P<at>{'|'.join(AT_WORDS)}|@)|(?P<dot>{'|'.join(DOT_WORDS)}|\.))\s*[)\]}}>]\s*", re.I)
+# Blanks before a bracket are taken from the start of their run, or a long run would be read from each of its places.
+_BRACKETED = re.compile(rf"(?:(?<!\s)\s++)?[(\[{{<]\s*+(?:(?P<at>{'|'.join(AT_WORDS)}|@)|(?P<dot>{'|'.join(DOT_WORDS)}|\.))\s*+[)\]}}>]\s*+", re.I)
 # Bare words count in the shape: name at host dot name, with signs for some of them.
 _POINT_WORDS = "|".join(w for w in DOT_WORDS if w != "dot")
 _WORDED = re.compile(rf"""(?<![\w.%+-])(?P<name>[a-z0-9._%+-]++)(?:(?P<at>\s+(?:{'|'.join(AT_WORDS)})\s+)|(?P<sign>\s*@\s*))
@@ -269,7 +270,19 @@ def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
         return base, base
     mapped = normalise(text)
     more = [(kind, mapped.start(lo), mapped.end(hi)) for kind, lo, hi in detect(mapped.text)]
-    more = [(k, lo, hi) for k, lo, hi in more if not any(k == b and lo < e and s < hi and hi - lo <= e - s for b, s, e in base)]
+    # The base spans of a kind do not overlap, so those that a hidden one meets are neighbours.
+    plain = {kind: [(s, e) for k, s, e in base if k == kind] for kind in KINDS}
+
+    def open_one(kind: str, lo: int, hi: int) -> bool:
+        near = plain[kind]
+        at = bisect_right(near, lo, key=lambda span: span[1])
+        while at < len(near) and near[at][0] < hi:
+            if hi - lo <= near[at][1] - near[at][0]:
+                return True
+            at += 1
+        return False
+
+    more = [span for span in more if not open_one(*span)]
     return base, sorted(base + more, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 

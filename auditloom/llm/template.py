@@ -26,11 +26,13 @@ PAGES = 5
 SHARE = 0.05
 WORDS = 3
 
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)
-    |<(?P<raw>script|style|textarea|title|noscript|template|iframe|xmp)\b[^>]*>.*?(?:</(?P=raw)[^>]*>|\Z)
-    |<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:"[^"<]*"|'[^'<]*'|[^>])*+)>
-    |<[!?][^>]*>""", re.S | re.I | re.X)
+# ``open``: the text ended inside a tag, which then is none.
+_TAGS = r"""<!--.*?(?:-->|\Z)
+    |<(?P<raw>script|style|textarea|title|noscript|template|iframe|xmp)\b[^>]*>.*?(?:</(?P=raw)[^>]*(?:>|\Z)|\Z)
+    |<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>{attrs})(?:>|(?P<open>\Z))
+    |<[!?][^>]*(?:>|(?P<open_mark>\Z))"""
+_TOKEN = re.compile(_TAGS.format(attrs="""(?:"[^"<]*"|'[^'<]*'|[^>])*+"""), re.S | re.I | re.X)
+_PLAIN_TOKEN = re.compile(_TAGS.format(attrs="[^>]*+"), re.S | re.I | re.X)
 _ATTR = re.compile(r"""([a-z][a-z0-9-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -58,6 +60,26 @@ disqus respond reply replies related recommended popup modal overlay widget pagi
 OTHER_LISTS = frozenset("comment comments disqus respond reply replies related recommended sidebar".split())
 
 
+def _tokens(source: str) -> Iterator[re.Match]:
+    """Tags and comments of ``source``, in linear time.
+
+    After a tag that the text ends in, quotes are no longer heeded and tags are sought up to the last ``>`` only, so each
+    of many unclosed tags does not search the rest of the text.
+    """
+    at, end = 0, len(source)
+    for pattern in (_TOKEN, _PLAIN_TOKEN):
+        for m in pattern.finditer(source, at, end):
+            if m["open"] is not None or m["open_mark"] is not None:
+                at, end = m.start() + 1, max(source.rfind(">"), m.start()) + 1
+                break
+            yield m
+        else:
+            break
+    comment = source.find("<!--", end)
+    if comment >= 0:
+        yield _TOKEN.match(source, comment)
+
+
 class Page:
     """Elements of a page in document order, and its text as runs between block borders."""
 
@@ -66,8 +88,20 @@ class Page:
         self._role, self._names = [""], [""]
         self.main: set[int] = set()
         self.runs: list[tuple[int, str]] = []  # (element, text); (element, "") is a block border
+        # Of each element: the header around it, whether a heading is between, whether an article or main element is around it.
+        self._header, self._headed, self._within = [0], [False], [False]
         stack, at = [0], 0
-        for m in _TOKEN.finditer(source):
+        places: dict[str, list[int]] = {}  # of each tag, where it is open in the stack
+        scopes: list[int] = []
+
+        def cut(k: int) -> None:
+            for node in stack[k:]:
+                places[self.tag[node]].pop()
+                if self.tag[node] in SCOPE:
+                    scopes.pop()
+            del stack[k:]
+
+        for m in _tokens(source):
             if m.start() > at:
                 self.runs.append((stack[-1], source[at: m.start()]))
             at = m.end()
@@ -80,29 +114,22 @@ class Page:
             elif tag == "br":
                 self.runs.append((stack[-1], " "))
             if m["close"]:
-                for k in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[k]] == tag:
-                        del stack[k:]
-                        break
+                if places.get(tag):
+                    cut(places[tag][-1])
                 continue
             if tag in VOID:
                 continue
-            self._imply(stack, tag)
+            ended = max((places[t][-1] for t in ENDS.get(tag, ("p",) if tag in BLOCK else ()) if places.get(t)), default=0)
+            if ended and (not scopes or ended >= scopes[-1]):
+                cut(ended)
+            places.setdefault(tag, []).append(len(stack))
+            if tag in SCOPE:
+                scopes.append(len(stack))
             stack.append(self._open(stack[-1], tag, m["attrs"]))
         if at < len(source):
             self.runs.append((stack[-1], source[at:]))
         self._apply_names()
 
-    def _imply(self, stack: list[int], tag: str) -> None:
-        ends = ENDS.get(tag, {"p"} if tag in BLOCK else ())
-        for k in range(len(stack) - 1, 0, -1):
-            open_tag = self.tag[stack[k]]
-            if open_tag in ends:
-                del stack[k:]
-                return
-            if open_tag in SCOPE:
-                return
-
     def _open(self, parent: int, tag: str, attrs: str) -> int:
         other, role, names = tag in OTHER_TAGS, "", ""
         if attrs and not attrs.isspace():
@@ -121,6 +148,9 @@ class Page:
         self._role.append(role)
         self._names.append(names)
         self.other.append(other or self.other[parent])
+        self._header.append(node if tag == "header" else self._header[parent])
+        self._headed.append(tag in HEADING or tag != "header" and self._headed[parent])
+        self._within.append(tag in ("article", "main") or self._within[parent])
         return node
 
     def _apply_names(self) -> None:
@@ -186,34 +216,31 @@ class Page:
             words[self.parent[node]] += words[node]
             holds[node] = holds[node] or node in self.main
             holds[self.parent[node]] = holds[self.parent[node]] or holds[node]
+        prose, in_sentence = self._prose(), self._in_sentence(worded)
         out: dict[int, int] = {}
         for node in range(len(self.tag) - 1, 0, -1):
             if parts[node]:
                 digest = hashlib.blake2b("\x1f".join([self.tag[node], *parts[node]]).encode("utf-8", "surrogatepass"), digest_size=8).digest()
                 parts[self.parent[node]].append(digest.hex())
                 if (not holds[node] and self.tag[node] not in ("html", "body") and size[node] < size[0]
-                        and not (main[node] and self._prose(node)) and not self._in_sentence(node, worded)):
+                        and not (main[node] and (prose[node] or node in self.main)) and not in_sentence[node]):
                     loose = words[node] < WORDS or self.tag[node] in PROSE or self.tag[node] in PARTS or self.tag[node] not in BLOCK
                     out[node] = int.from_bytes(digest, "big", signed=True) & ~1 | loose
         return out
 
-    def _prose(self, node: int) -> bool:
-        """Whether an element of an article or main part is one itself, or prose there or in it."""
-        if node in self.main:
-            return True
-        while node and node not in self.main:
-            if self.tag[node] in PROSE or self.tag[node] in PARTS:
-                return True
-            node = self.parent[node]
-        return False
-
-    def _in_sentence(self, node: int, worded: list[bool]) -> bool:
-        """Whether an inline element stands among words of its block."""
-        while node and self.tag[node] not in BLOCK:
-            node = self.parent[node]
-            if worded[node]:
-                return True
-        return False
+    def _prose(self) -> list[bool]:
+        """Whether each element is prose or in prose, below the article or main element around it."""
+        out = [False] * len(self.tag)
+        for node in range(1, len(self.tag)):
+            out[node] = node not in self.main and (self.tag[node] in PROSE or self.tag[node] in PARTS or out[self.parent[node]])
+        return out
+
+    def _in_sentence(self, worded: list[bool]) -> list[bool]:
+        """Whether each element is inline and stands among words of its block."""
+        out = [False] * len(self.tag)
+        for node in range(1, len(self.tag)):
+            out[node] = self.tag[node] not in BLOCK and (worded[self.parent[node]] or out[self.parent[node]])
+        return out
 
     def text(self, template: frozenset[int] = frozenset()) -> str:
         """Blocks of the article, joined by line feeds: of all article elements, else of the main
@@ -233,16 +260,8 @@ class Page:
 
     def _page_header(self, node: int) -> bool:
         """Whether text is in a header element, but not in a heading there inside an article."""
-        heading = False
-        while node:
-            if self.tag[node] in HEADING:
-                heading = True
-            if self.tag[node] == "header":
-                while node and self.tag[node] not in ("article", "main"):
-                    node = self.parent[node]
-                return not (heading and node)
-            node = self.parent[node]
-        return False
+        header = self._header[node]
+        return bool(header) and not (self._headed[node] and self._within[header])
 
 
 def _hash_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

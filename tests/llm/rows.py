@@ -22,9 +22,10 @@ DOCUMENTS = [
     (15, "x" * 30000), (16, "wordé 中文 \U0001f600 \u0000 tail"),
 ]
 
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, spans string, ids string, node string, shard string, many string"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, spans string, ids string, node string, shard string, many string, _spans string, _items string, _n_words string, " \
+    "_lang string, _score string, _sure string, _doc_id string, _text_hash string, _text string"
 
 
 def documents(spark, rows=DOCUMENTS):
     """The rows with the columns of documents and some whose names operators use for their own."""
-    return spark.createDataFrame([(i, t, "en", "src0", len(t or ""), "a", "b", "c", "d", "e", "f") for i, t in rows], SCHEMA).repartition(3)
+    return spark.createDataFrame([(i, t, "en", "src0", len(t or ""), *"abcdefghijklmno") for i, t in rows], SCHEMA).repartition(3)

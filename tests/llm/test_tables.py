@@ -4,6 +4,7 @@ import gzip
 import html
 import os
 import re
+import time
 import zlib
 
 import duckdb
@@ -201,6 +202,21 @@ def test_names_of_what_holds_the_article(source, text):
     assert template.Page(source).text() == text
 
 
+@pytest.mark.parametrize("source", [
+    "<b>x" * 20000, "<a " * 20000, "<b>x" * 10000 + "</u>" * 20000, "<div>x" * 20000, '<a ">" ' * 20000, "<script " * 20000, "<script>" + "</script" * 20000,
+    "<!x" * 20000, "<article><header>" + "<i>x" * 20000, "<article><p><table>" + "<div>x" * 20000], ids=lambda s: s[:12])
+def test_long_pages_take_linear_time(source):
+    began = time.process_time()
+    page = template.Page(source)
+    page.text(frozenset(list(page.subtrees().values())[:1]))
+    assert time.process_time() - began < 5
+
+
+def test_unclosed_tags_are_text():
+    assert template.Page('<p>a</p><b x="1 <i>c</i> <!-- d -->e <u f').text() == 'a\nc e <u f'
+    assert template.Page("a <b c <!-- d").text() == "a <b c"
+
+
 def test_blocks_of_a_section_are_removed_from_large_hosts(spark):
     def page(i):
         return f"<div><a>Goods {i % 3}</a> <a>Prices and terms</a></div><div><p>Story {i}</p>{'<p>Thanks</p>' if i < 6 else ''}<div>Read</div></div>"
