@@ -46,9 +46,8 @@ class Result:
 
     def preview(self) -> DataFrame:
         """The capped rows with ``total_rows`` and ``truncated``, without the driver: the size is one row."""
-        size = self.frame.agg(F.count(F.lit(1)).alias("total_rows"))
-        # One row by construction, so nothing is multiplied.
-        return (self.frame.limit(self.limit).withColumn("_one", F.lit(1)).join(F.broadcast(size.withColumn("_one", F.lit(1))), "_one").drop("_one")
+        size = self.frame.agg(F.count(F.lit(1))).scalar()
+        return (self.frame.limit(self.limit).withColumn("total_rows", size)
                 .withColumn("truncated", F.col("total_rows") > self.limit))
 
 
