@@ -4,7 +4,8 @@ Archives are ``.warc.gz`` files: one gzip member per record. The index holds a l
 capture, keyed by the URL with its host reversed, in key order; runs of lines are
 compressed to blocks, and a sparse directory keeps each block's first key and place. A lookup
 searches the directory, reads the block by its byte range, searches the block, and reads the
-record by its byte range.
+record by its byte range. Sorted keys are looked up in one sweep, which opens each block once and
+reads records that lie side by side in one range.
 
 Both kinds of files are written by Spark's text sink, so they land in any file system Spark
 writes to and survive lost executors: a member ends with a zero byte, which is left to the sink
@@ -16,6 +17,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import json
 import re
 import zlib
@@ -36,6 +38,11 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BLOCK_LINES = 256
 LEVEL = 5
+#: Records of a block closer than this many bytes are read in one range, of at most ``SPAN`` bytes where they are more than one.
+GAP = 1 << 16
+SPAN = 1 << 22
+#: Parts that the rows of one payload, or of one key, are dealt to in a join.
+SALTS = 256
 _FEED = 1 << 16
 
 
@@ -63,9 +70,10 @@ def header_url(url: str | None) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: quote(m[0]), url or "")
 
 
-def capture_key(url: str, page_id: int | None) -> str:
-    """Index key: reversed-host URL, then the id in an order-keeping form."""
-    return f"{surt(url)} {'-' if page_id is None else format(page_id + (1 << 63), '020d')}"
+def capture_key(url: str, page_id: int | None, digest: str = "") -> str:
+    """Index key: reversed-host URL, the id in an order-keeping form, and the payload's digest, so that
+    captures of one key have one payload."""
+    return f"{surt(url)} {'-' if page_id is None else format(page_id + (1 << 63), '020d')} {digest}"
 
 
 def member(data: bytes) -> bytes:
@@ -77,17 +85,20 @@ def member(data: bytes) -> bytes:
     return made[:-1]
 
 
-def members(data) -> Iterator[tuple[int, int, bytes]]:
-    """Offset, length and content of each gzip member; an empty one belongs to the one before."""
-    view, at, last = memoryview(data), 0, None
-    while at < len(view):
+def members(source) -> Iterator[tuple[int, int, bytes]]:
+    """Offset, length and content of each gzip member of a file or of bytes, read piece by piece; an empty
+    one belongs to the one before."""
+    source = source if hasattr(source, "read") else io.BytesIO(source)
+    at, last, held = 0, None, source.read(_FEED)
+    while held:
         start, parts, gz = at, [], zlib.decompressobj(31)
         while not gz.eof:
-            if at >= len(view):
+            held = held or source.read(_FEED)
+            if not held:
                 raise ValueError("the archive ends inside a record")
-            chunk = view[at: at + _FEED]
-            parts.append(gz.decompress(chunk))
-            at += len(chunk) - len(gz.unused_data)
+            parts.append(gz.decompress(held))
+            at += len(held) - len(gz.unused_data)
+            held = gz.unused_data
         content = b"".join(parts)
         if content:
             if last:
@@ -95,6 +106,7 @@ def members(data) -> Iterator[tuple[int, int, bytes]]:
             last = (start, at - start, content)
         elif last:
             last = (last[0], at - last[0], last[2])
+        held = held or source.read(_FEED)
     if last:
         yield last
 
@@ -132,10 +144,14 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def read_range(uri: str, offset: int, length: int) -> bytes:
-    """Bytes of a file in any file system that Arrow knows."""
+def _opened(uri: str) -> pa.NativeFile:
+    """A file in any file system that Arrow knows."""
     system, path = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
-    with system.open_input_file(path) as f:
+    return system.open_input_file(path)
+
+
+def read_range(uri: str, offset: int, length: int) -> bytes:
+    with _opened(uri) as f:
         return f.read_at(length, offset)
 
 
@@ -159,56 +175,60 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> None:
     with a null id are responses, and nothing refers to them.
     """
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html",
-                        F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("sha1"))
-    # Only payloads that occur again come back to the rows.
-    again = (rows.where(F.col("page_id").isNotNull() & (F.coalesce(F.octet_length("html"), F.lit(0)) >= least_bytes))
-             .groupBy("sha1").agg(F.min(F.struct("page_id", "url")).alias("first"), F.max("page_id").alias("last"))
-             .where("first.page_id < last").select("sha1", F.col("first.page_id").alias("origin"), F.col("first.url").alias("origin_url")))
-    refers = (F.col("page_id") > F.col("origin")) & (F.coalesce(F.octet_length("html"), F.lit(0)) >= least_bytes)
-    rows = rows.join(durable(again), "sha1", "left").select(
+                        F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("sha1"),
+                        F.pmod(F.xxhash64(F.col("page_id").cast("bigint")), F.lit(SALTS)).cast("int").alias("salt"))
+    may = F.col("page_id").isNotNull() & (F.coalesce(F.octet_length("html"), F.lit(0)) >= least_bytes)
+    # Only payloads that occur again come back to the rows, once a salt, so no task takes all copies of a text.
+    again = (rows.where(may).groupBy("sha1")
+             .agg(F.min(F.struct("page_id", "url")).alias("first"), F.max("page_id").alias("last"), F.collect_set("salt").alias("salts"))
+             .where("first.page_id < last")
+             .select("sha1", F.explode("salts").alias("salt"), F.col("first.page_id").alias("origin"), F.col("first.url").alias("origin_url")))
+    refers = F.col("page_id") > F.col("origin")
+    linked = rows.where(may).join(durable(again), ["sha1", "salt"], "left").select(
         "page_id", "url", F.when(refers, None).otherwise(F.col("html")).alias("html"), digest32(F.col("sha1")).alias("digest"),
         F.when(refers, F.col("origin")).alias("refers_to"), F.when(refers, F.col("origin_url")).alias("refers_url"))
-    _write(rows.mapInArrow(_records, "data binary"), folder)
+    alone = rows.where(~may).select("page_id", "url", "html", digest32(F.col("sha1")).alias("digest"),
+                                    F.lit(None).cast("bigint").alias("refers_to"), F.lit(None).cast("string").alias("refers_url"))
+    _write(linked.unionByName(alone).mapInArrow(_records, "data binary"), folder)
 
 
-_CAPTURE = ("key string, page_id bigint, record_type string, path string, offset bigint, length bigint, "
-            "payload_bytes bigint, payload_digest string, refers_to bigint, refers_key string")
-_CAPTURE_NAMES = [c.split()[0] for c in _CAPTURE.split(", ")]
+_CAPTURE = "key string, page_id bigint, record_type string, path string, offset bigint, length bigint, refers_to bigint, payload_key string"
+_CAPTURE_TYPES = {"key": pa.string(), "page_id": pa.int64(), "record_type": pa.string(), "path": pa.string(), "offset": pa.int64(),
+                  "length": pa.int64(), "refers_to": pa.int64(), "payload_key": pa.string()}
 
 
-def _capture_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    types = dict(zip(_CAPTURE_NAMES, [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string()]))
+def _batch(rows: list[tuple], types: dict[str, pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[]] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values())], names=list(types))
 
-    def made(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, types[n]) for n, c in zip(_CAPTURE_NAMES, zip(*rows))], names=_CAPTURE_NAMES)
 
+def _capture_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for k in range(len(batch)):
-            path, rows = batch["path"][k].as_py(), []
-            for offset, length, content in members(batch["content"][k].as_buffer()):
-                head, payload = parse(content)
-                page_id = _id(head["WARC-Record-ID"])
-                key = capture_key(head["WARC-Target-URI"], page_id)
-                if head["WARC-Type"] == "revisit":
-                    origin = _id(head["WARC-Refers-To"])
-                    rows.append((key, page_id, "revisit", path, offset, length, None, head["WARC-Payload-Digest"].removeprefix("sha1:"),
-                                 origin, capture_key(head["WARC-Refers-To-Target-URI"], origin)))
-                else:
-                    rows.append((key, page_id, "response", path, offset, length, len(payload), payload_digest(payload), None, None))
-                if len(rows) == 4096:
-                    yield made(rows)
-                    rows = []
-            if rows:
-                yield made(rows)
+        for path in batch["path"].to_pylist():
+            rows = []
+            with _opened(path) as archive:
+                for offset, length, content in members(archive):
+                    head, _ = parse(content)
+                    page_id, digest = _id(head["WARC-Record-ID"]), head["WARC-Payload-Digest"].removeprefix("sha1:")
+                    key, origin, payload_key = capture_key(head["WARC-Target-URI"], page_id, digest), None, None
+                    if head["WARC-Type"] == "revisit":
+                        origin = _id(head["WARC-Refers-To"])
+                        payload_key = capture_key(head["WARC-Refers-To-Target-URI"], origin, digest)
+                    rows.append((key, page_id, head["WARC-Type"], path, offset, length, origin, payload_key or key))
+                    if len(rows) == 4096:
+                        yield _batch(rows, _CAPTURE_TYPES)
+                        rows = []
+            yield _batch(rows, _CAPTURE_TYPES)
 
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(folder).where("length > 0").select("path", "content")
+    """The files of ``folder``; their content is left to the tasks, which read it piece by piece."""
+    return spark.read.format("binaryFile").load(folder).where("length > 0").select("path")
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """A row per record of the archives in ``folder``: key, id, type, place, and size and digest of
-    the payload as read; a revisit has no payload, so no size, and the digest it states."""
+    """A row per record of the archives in ``folder``: key, id, type and place, and the key of the capture
+    that holds its payload: its own for a response, that of the response it refers to for a revisit."""
     return _files(spark, folder).mapInArrow(_capture_rows, _CAPTURE)
 
 
@@ -229,78 +249,116 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _block_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    types = {"first_key": pa.string(), "path": pa.string(), "offset": pa.int64(), "length": pa.int64()}
     for batch in batches:
-        for k in range(len(batch)):
-            path = batch["path"][k].as_py()
-            rows = [(json.loads(content.partition(b"\n")[0])[0], path, offset, length)
-                    for offset, length, content in members(batch["content"][k].as_buffer())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int64(), pa.int64()))],
-                                             names=["first_key", "path", "offset", "length"])
+        for path in batch["path"].to_pylist():
+            with _opened(path) as blocks:
+                yield _batch([(json.loads(content.partition(b"\n")[0])[0], path, offset, length) for offset, length, content in members(blocks)], types)
 
 
 def write_index(captures: DataFrame, folder: str) -> DataFrame:
     """Writes the key-ordered blocks of ``captures`` into ``folder`` and returns the sparse directory:
     ``first_key``, ``path``, ``offset`` and ``length`` of each block."""
-    ordered = captures.select("key", "path", "offset", "length").repartitionByRange("key").sortWithinPartitions("key")
+    places = ["key", "path", "offset"]
+    ordered = captures.select(*places, "length").repartitionByRange(*places).sortWithinPartitions(*places)
     _write(ordered.mapInArrow(_blocks, "data binary"), folder)
     spark = captures.sparkSession
     return stored(_files(spark, folder).mapInArrow(_block_places, "first_key string, path string, offset bigint, length bigint"), "directory")
 
 
-def _look_up(wanted: pd.DataFrame, directory: pd.DataFrame) -> pd.DataFrame:
-    """Payload sizes and digests of the keys of one index file, by its part of the directory."""
-    directory = directory.sort_values("first_key")
-    firsts = directory["first_key"].tolist()
-    out, held, keys, lines = [], -1, [], []
-    for key in sorted(wanted["refers_key"]):
-        block = bisect_right(firsts, key) - 1
-        if block < 0:
-            continue
-        if block != held:
-            place = directory.iloc[block]
-            data = read_range(place["path"], int(place["offset"]), int(place["length"]))
-            lines = [json.loads(x) for _, _, content in members(data) for x in content.decode().split("\n")]
-            keys, held = [x[0] for x in lines], block
-        at = bisect_right(keys, key) - 1
-        if at >= 0 and keys[at] == key:
-            _, path, offset, length = lines[at]
-            _, _, content = next(members(read_range(path, offset, length)))
-            payload = parse(content)[1]
-            out.append((key, len(payload), payload_digest(payload)))
-    return pd.DataFrame(out, columns=["refers_key", "origin_bytes", "origin_digest"])
+def _payloads(places: dict[str, tuple[str, int, int]]) -> dict[str, tuple[int, str]]:
+    """Size and digest of the payload of each key of a block, by the places (path, offset, length) of their records."""
+    out: dict[str, tuple[int, str]] = {}
+    run: list[tuple[str, str, int, int]] = []
+
+    def read() -> None:
+        _, path, start, _ = run[0]
+        data = read_range(path, start, run[-1][2] + run[-1][3] - start)
+        for key, _, offset, length in run:
+            payload = parse(next(members(data[offset - start: offset - start + length]))[2])[1]
+            out[key] = (len(payload), payload_digest(payload))
+
+    for key, (path, offset, length) in sorted(places.items(), key=lambda item: item[1]):
+        if run and (path != run[-1][1] or offset - run[-1][2] - run[-1][3] > GAP or offset + length - run[0][2] > SPAN):
+            read()
+            run = []
+        run.append((key, path, offset, length))
+    if run:
+        read()
+    return out
+
+
+_FOUND = "payload_key string, salt int, payload_bytes bigint, payload_digest string"
+
+
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Looks up keys that come in order behind the directory entries of their index file: rows with an
+    ``offset`` are blocks, the others keys. A block's keys are held, at most ``BLOCK_LINES`` of them with a result."""
+    types = {"payload_key": pa.string(), "salt": pa.int32(), "payload_bytes": pa.int64(), "payload_digest": pa.string()}
+    block, wanted = None, []
+
+    def answered() -> pa.RecordBatch:
+        found = {}
+        if block and wanted:
+            lines = [json.loads(x) for _, _, content in members(read_range(*block)) for x in content.decode().split("\n")]
+            keys, places = [x[0] for x in lines], {}
+            for key, _ in wanted:
+                at = bisect_right(keys, key) - 1
+                if at >= 0 and keys[at] == key:
+                    places[key] = tuple(lines[at][1:])
+            found = _payloads(places)
+        return _batch([(key, salt, *found[key]) for key, salt in wanted if key in found], types)
+
+    for batch in batches:
+        for key, salt, path, offset, length in zip(*(batch[c].to_pylist() for c in ("key", "salt", "path", "offset", "length"))):
+            if offset is None:
+                wanted.append((key, salt))
+                if len(wanted) < 4 * BLOCK_LINES or key == wanted[-2][0]:
+                    continue
+                yield answered()
+                wanted = []
+            else:
+                if wanted:
+                    yield answered()
+                block, wanted = (path, offset, length), []
+    if wanted:
+        yield answered()
 
 
 def resolve(keys: DataFrame, directory: DataFrame) -> DataFrame:
-    """``origin_bytes`` and ``origin_digest`` of the payload of each capture key in ``refers_key``.
+    """``payload_bytes`` and ``payload_digest`` of the record of each capture key in ``payload_key``; ``salt`` is handed on.
+    A key that no capture has is left out.
 
     The driver holds the first key of each index file, as many as the index has tasks. Keys go to
-    the file that covers them, each once, and meet that file's part of the directory.
+    the file that covers them and are swept in order with that file's part of the directory, in constant memory.
     """
     spark = keys.sparkSession
     files = sorted((r["first"], r["path"]) for r in directory.groupBy("path").agg(F.min("first_key").alias("first")).collect())
-    firsts, paths = [f for f, _ in files], np.array([p for _, p in files] or [""], dtype=object)
+    if not files:
+        return spark.createDataFrame([], _FOUND)
+    firsts, paths = [f for f, _ in files], np.array([p for _, p in files], dtype=object)
 
     def covering(column: pd.Series) -> pd.Series:
         return pd.Series(paths[[max(0, bisect_right(firsts, k) - 1) for k in column]], dtype=object)
 
-    dealt = keys.distinct().withColumn("file", F.pandas_udf(covering, "string")("refers_key"))
-    return (dealt.groupBy("file").cogroup(directory.withColumnRenamed("path", "file").withColumn("path", F.col("file")).groupBy("file"))
-            .applyInPandas(_look_up, "refers_key string, origin_bytes bigint, origin_digest string")) if files else spark.createDataFrame(
-                [], "refers_key string, origin_bytes bigint, origin_digest string")
+    asked = keys.select(F.pandas_udf(covering, "string")("payload_key").alias("file"), F.col("payload_key").alias("key"), "salt",
+                        F.lit(None).cast("string").alias("path"), F.lit(None).cast("bigint").alias("offset"), F.lit(None).cast("bigint").alias("length"))
+    blocks = directory.select(F.col("path").alias("file"), F.col("first_key").alias("key"), F.lit(None).cast("int").alias("salt"), "path", "offset", "length")
+    # Nulls come last: a block stands before the keys that equal its first one.
+    order = ["file", "key", F.col("offset").asc_nulls_last()]
+    return blocks.unionByName(asked).repartition(len(files), "file").sortWithinPartitions(*order).mapInArrow(_sweep, _FOUND)
 
 
 def captures(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Writes archives and index of ``pages``, reads them back, and returns a row per page: ``page_id``,
-    ``payload_bytes``, ``payload_digest``, ``record_type`` and ``refers_to``; those of a revisit are
-    read from the response it refers to, through the index. Repeated rows stay repeated.
+    ``payload_bytes``, ``payload_digest``, ``record_type`` and ``refers_to``. Size and digest are those of the record that the
+    index finds for the page: its own for a response, the one it refers to for a revisit. Repeated rows stay repeated.
     """
     spark = pages.sparkSession
     archives = scratch(spark, "warc")
     write_archives(pages, archives, least_bytes)
-    rows = stored(read_archives(spark, archives), "captures")
+    rows = stored(read_archives(spark, archives), "captures").withColumn("salt", F.pmod(F.xxhash64("path", "offset"), F.lit(SALTS)).cast("int"))
     directory = write_index(rows, scratch(spark, "index"))
-    origins = durable(resolve(rows.where("refers_key IS NOT NULL").select("refers_key"), directory))
-    return rows.join(origins, "refers_key", "left").select(
-        "page_id", F.coalesce("payload_bytes", "origin_bytes").alias("payload_bytes"),
-        F.when(F.col("record_type") == "response", F.col("payload_digest")).otherwise(F.col("origin_digest")).alias("payload_digest"),
-        "record_type", "refers_to")
+    # A payload that many pages share is asked for at most once a salt.
+    found = stored(resolve(rows.select("payload_key", "salt").distinct(), directory), "payloads")
+    return rows.join(found, ["payload_key", "salt"], "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -9,6 +9,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import rows
@@ -117,6 +118,36 @@ def test_small_payloads_are_all_responses(spark):
     assert {r["page_id"]: r["record_type"] for r in warc.captures(frame, least_bytes=3).collect()} == {1: "response", 2: "response", 3: "response", 4: "revisit"}
 
 
+def test_every_capture_is_found_through_the_index(spark, monkeypatch):
+    """Neighbours are read in one range, a block once, and copies of one text once a task."""
+    data = [(i, f"http://h{i % 3}.org/{i // 3:04d}", f"page {i} " * 20) for i in range(600)] + [(1000 + i, f"http://c.org/{i}", "the same") for i in range(400)]
+    frame = spark.createDataFrame(data, "page_id bigint, url string, html string")
+    folder, index = scratch(spark, "test-warc"), scratch(spark, "test-index")
+    warc.write_archives(frame.coalesce(1), folder)
+    rows = warc.read_archives(spark, folder)
+    assert rows.where("payload_key IS NULL").count() == 0 and rows.select("payload_key").distinct().count() == 601
+    directory = warc.write_index(rows.coalesce(1), index).collect()
+    assert sum(1 for _ in directory) >= 4
+    asked = sorted({r["payload_key"] for r in rows.collect()} | {"zz,none)/ 1 "})
+    stream = sorted([(r["first_key"], 0, None, r["path"], r["offset"], r["length"]) for r in directory] + [(k, 1, 0, None, None, None) for k in asked], key=lambda x: x[:2])
+    batch = pa.RecordBatch.from_arrays([pa.array([x[k] for x in stream], t) for k, t in ((0, pa.string()), (2, pa.int32()), (3, pa.string()), (4, pa.int64()), (5, pa.int64()))],
+                                       names=["key", "salt", "path", "offset", "length"])
+    reads, plain = [], warc.read_range
+    monkeypatch.setattr(warc, "read_range", lambda *place: reads.append(place[0]) or plain(*place))
+    found = {k: (n, d) for b in warc._sweep(iter([batch])) for k, n, d in zip(*(b[c].to_pylist() for c in ("payload_key", "payload_bytes", "payload_digest")))}
+    assert len(found) == 601 and set(asked) - set(found) == {"zz,none)/ 1 "}
+    opened = sum(index in r for r in reads)
+    assert opened <= len(directory) and len(reads) - opened < 60
+    got = {r["page_id"]: (r["payload_bytes"], r["payload_digest"], r["refers_to"]) for r in warc.captures(frame).collect()}
+    assert got == {i: (len(h), warc.payload_digest(h.encode()), 1000 if i > 1000 else None) for i, _, h in data}
+
+
+def test_captures_of_one_id_and_url_keep_their_payloads(spark):
+    data = [(1, "u", "a"), (1, "u", "bb"), (2, "u", "a"), (3, "u", "bb"), (1, "u", "a")]
+    got = [(r["page_id"], r["payload_bytes"], r["refers_to"]) for r in warc.captures(spark.createDataFrame(data, "page_id bigint, url string, html string")).collect()]
+    assert sorted(got, key=str) == sorted([(1, 1, None), (1, 1, None), (1, 2, None), (2, 1, 1), (3, 2, 1)], key=str)
+
+
 def test_archives_are_gzip_members_that_ranges_open(spark):
     folder = scratch(spark, "test-warc")
     warc.write_archives(spark.createDataFrame(PAGES, "page_id bigint, url string, html string"), folder)
