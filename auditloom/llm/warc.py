@@ -144,14 +144,14 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _opened(uri: str) -> pa.NativeFile:
+def opened(uri: str) -> pa.NativeFile:
     """A file in any file system that Arrow knows."""
     system, path = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
     return system.open_input_file(path)
 
 
 def read_range(uri: str, offset: int, length: int) -> bytes:
-    with _opened(uri) as f:
+    with opened(uri) as f:
         return f.read_at(length, offset)
 
 
@@ -206,7 +206,7 @@ def _capture_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for path in batch["path"].to_pylist():
             rows = []
-            with _opened(path) as archive:
+            with opened(path) as archive:
                 for offset, length, content in members(archive):
                     head, _ = parse(content)
                     page_id, digest = _id(head["WARC-Record-ID"]), head["WARC-Payload-Digest"].removeprefix("sha1:")
@@ -252,7 +252,7 @@ def _block_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     types = {"first_key": pa.string(), "path": pa.string(), "offset": pa.int64(), "length": pa.int64()}
     for batch in batches:
         for path in batch["path"].to_pylist():
-            with _opened(path) as blocks:
+            with opened(path) as blocks:
                 yield _batch([(json.loads(content.partition(b"\n")[0])[0], path, offset, length) for offset, length, content in members(blocks)], types)
 
 

@@ -13,6 +13,8 @@ import pyarrow as pa
 import pytest
 
 import rows
+from pyspark.sql import functions as F
+
 from auditloom.llm import sharding, template, topk, warc
 from auditloom.llm.common import scratch, table
 
@@ -35,10 +37,24 @@ def test_top_matches_brute_force(spark, scale, monkeypatch):
              (502, [float("inf")] + [0.0] * 39), (600, [1.0, 2.0]), (601, [1.0, 1.0])]
     monkeypatch.setattr(topk, "CANDIDATES", 64)
     monkeypatch.setattr(topk, "QUERIES", 2)
+    monkeypatch.setattr(topk, "HELD", 1600)
     frame = spark.createDataFrame([(i, v, 1) for i, v in data], "vec_id bigint, embedding array<float>, rank int")
     got = {tuple(r) for r in topk.nearest(frame, k=10, every=100).collect()}
     assert got == brute_top(data, 10, 100)
     assert topk.nearest(frame.where("false")).count() == 0
+    clashing = frame.withColumn("dims", F.lit("x")).withColumn("v", F.lit(2)).withColumn("query_ids", F.lit(None))
+    assert {tuple(r) for r in topk.nearest(clashing, k=10, every=100).collect()} == got
+
+
+def test_a_floor_of_earlier_blocks_loses_no_tie():
+    rng = np.random.default_rng(5)
+    vectors = rng.integers(-3, 4, (500, 32)).astype(float)
+    ids, query = rng.permutation(500), rng.integers(-3, 4, 32).astype(float)
+    found = None
+    for i in range(0, 500, 60):
+        found = topk.Block(ids[i: i + 60], vectors[i: i + 60]).top(-1, query, 10, found)
+    want = sorted(zip((-(vectors @ query)).tolist(), ids.tolist()))[:10]
+    assert list(zip((-found[1]).tolist(), found[0].tolist())) == want
 
 
 def test_permutation_is_a_bijection_both_ways():
