@@ -14,8 +14,11 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from auditloom.llm.words import slices
+
 KINDS = ("email", "ip", "card", "phone")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -83,6 +86,9 @@ SPELLED = {
 }
 AT_WORDS = ("at", "arroba", "arobase", "ät")
 DOT_WORDS = ("dot", "punkt", "punto", "point")
+#: Words for a sign inside a name, and character references by name.
+NAME_WORDS = {"dot": ".", "punkt": ".", "punto": ".", "underscore": "_", "unterstrich": "_", "dash": "-", "hyphen": "-"}
+REFERENCES = {"commat": "@", "period": ".", "plus": "+", "lowbar": "_"}
 
 #: Longer last labels of a host that is spelled in part; any of two letters will do besides.
 ENDINGS = """com org net edu gov mil int arpa info biz name pro aero coop museum jobs mobi travel tel cat asia post xxx example test
@@ -121,7 +127,7 @@ article originally published posted appeared""".split()
 _ODD = re.compile("[\\xad\\xb7\\u0370-\\U0010ffff]")
 _SPELLED = "|".join(sorted(SPELLED, key=len, reverse=True))
 # A spelled digit counts in a run of four digits or more, spelled or not.
-_DIGIT_RUN = re.compile(rf"(?<!\w)(?:(?:{_SPELLED})|[0-9]+)(?:[\x20.-]{{1,3}}(?:(?:{_SPELLED})(?!\w)|[0-9]+)){{3,}}(?!\w)", re.I)
+_DIGIT_RUN = re.compile(rf"(?<!\w)(?:(?:{_SPELLED})|[0-9]+)(?:[\x20().-]{{1,3}}(?:(?:{_SPELLED})(?!\w)|[0-9]+)){{3,}}(?!\w)", re.I)
 _SPELLED_WORD = re.compile(rf"(?<!\w)(?:{_SPELLED})(?!\w)", re.I)
 # Blanks before a bracket are taken from the start of their run, or a long run would be read from each of its places.
 _BRACKETED = re.compile(rf"(?:(?<!\s)\s++)?[(\[{{<]\s*+(?:(?P<at>{'|'.join(AT_WORDS)}|@)|(?P<dot>{'|'.join(DOT_WORDS)}|\.))\s*+[)\]}}>]\s*+", re.I)
@@ -136,6 +142,17 @@ _PLAIN_HOST = re.compile(rf"\s(?:{'|'.join(AT_WORDS)})\s+[a-z0-9-]+\.[a-z0-9]",
 _DOT = re.compile(rf"\s+(?:{'|'.join(DOT_WORDS)})\s+", re.I)
 _BETWEEN = re.compile(rf"(?<!\w)(?:{_SPELLED}|[0-9]+)(?P<dot>\s+(?:{'|'.join(DOT_WORDS)})\s+)(?=(?:{_SPELLED}|[0-9]+)(?!\w))", re.I)
 _SPACED = re.compile(r"(?<=[A-Za-z0-9])\s+@\s+(?=[A-Za-z0-9-]+\.[A-Za-z])")
+_REFERENCE = re.compile(rf"&(?:#0{{0,5}}(?P<decimal>[0-9]{{2,3}})|#x0{{0,5}}(?P<hex>[0-9a-f]{{2}})|(?P<name>{'|'.join(REFERENCES)}));", re.I)
+_PLUS = re.compile(rf"(?<!\w)plus\s{{1,3}}(?=[0-9]|(?:{_SPELLED})(?!\w))", re.I)
+# "(a)" counts between a name and a host that touch it.
+_BRACKETED_A = re.compile(r"(?<=[a-z0-9])[(\[{]a[)\]}](?=[a-z0-9-]++\.[a-z])", re.I)
+_SPACED_IP = re.compile(r"(?<![\w.])[0-9]{1,3}(?:\s*+\.\s*+[0-9]{1,3}){3}(?!\w|\.[0-9])")
+# A host cut by blanks around its dots, behind an @; lower-case endings, or the next sentence would be one.
+_END = rf"(?:(?!(?:{'|'.join(NO_ENDINGS)})(?!\w))[a-z]{{2}}|{'|'.join(ENDINGS)})(?!\w)"
+_PARTED = re.compile(rf"(?<=[A-Za-z0-9])\s*+@\s*+(?P<host>[A-Za-z0-9-]++(?:(?:\.|\s+\.\s+)[A-Za-z0-9-]++)*?(?:\.|\s+\.\s+){_END}(?:\s+\.\s+[a-z]{{2}}(?!\w))?)")
+_PARTED_DOT = re.compile(r"(?<!\s)\s++\.\s++")
+_NAME_PART = re.compile(rf"(?<![\w.%+-])(?P<part>[a-z0-9._%+-]{{1,64}})(?P<sign>\s{{1,3}}(?P<word>{'|'.join(NAME_WORDS)})\s{{1,3}})$", re.I)
+_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _WORDS = re.compile(r"\w+").findall
 _BEFORE_ADDRESS = frozenset(BEFORE_ADDRESS)
 _DIGIT_WORDS, _SIGN_WORDS = frozenset(SPELLED), frozenset(DOT_WORDS)
@@ -148,7 +165,11 @@ def _may_hide(text: str) -> bool:
         return True
     if any(c in text for c in "([{<") and _BRACKETED.search(text):
         return True
-    if "@" in text and _SPACED.search(text):
+    if "@" in text and ("@ " in text or _SPACED.search(text) or _PARTED_DOT.search(text)):
+        return True
+    if "&" in text and _REFERENCE.search(text) or " ." in text and _SPACED_IP.search(text):
+        return True
+    if "a" in text and _BRACKETED_A.search(text) or "plus" in text.lower() and _PLUS.search(text):
         return True
     if "." in text and _PLAIN_HOST.search(text):
         return True
@@ -217,6 +238,36 @@ def _characters(text: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), LOOK_ALIKE.get(m[0], "")) for m in _ODD.finditer(text) if m[0] in LOOK_ALIKE or m[0] in INVISIBLE]
 
 
+def _references(text: str) -> list[tuple[int, int, str]]:
+    out = []
+    for m in _REFERENCE.finditer(text):
+        sign = REFERENCES[m["name"].lower()] if m["name"] else chr(int(m["decimal"]) if m["decimal"] else int(m["hex"], 16))
+        if "\x20" < sign < "\x7f":
+            out.append((m.start(), m.end(), sign))
+    return out
+
+
+def _letters(text: str) -> list[tuple[int, int, str]]:
+    """Blanks between single characters around an @: ``a b @ c . d e``."""
+    out, last, at = [], 0, text.find(" @ ")
+    while at >= 0:
+        lo, hi = at, at + 2
+        while lo - 1 >= last and text[lo - 1] in _LETTERS and (lo - 1 == 0 or text[lo - 2].isspace()):
+            lo -= 2
+        while hi + 1 < len(text) and text[hi] == " " and text[hi + 1] in _LETTERS and not text[hi + 2: hi + 3].isalnum():
+            hi += 2
+        lo = max(lo + 1, last)
+        if at - lo >= 3 and " . " in text[at + 3: hi]:
+            out += [(i, i + 1, "") for i in range(lo, hi) if text[i] == " "]
+        last = max(hi, at + 2)
+        at = text.find(" @ ", last - 1)
+    return out
+
+
+def _plus(text: str) -> list[tuple[int, int, str]]:
+    return [(m.start(), m.end(), "+") for m in _PLUS.finditer(text)]
+
+
 def _digits(text: str) -> list[tuple[int, int, str]]:
     out = []
     for run in _DIGIT_RUN.finditer(text):
@@ -234,11 +285,13 @@ def _digits(text: str) -> list[tuple[int, int, str]]:
 
 
 def _signs(text: str) -> list[tuple[int, int, str]]:
-    return [(m.start(), m.end(), "@" if m["at"] else ".") for m in _BRACKETED.finditer(text)]
+    out = [(m.start(), m.end(), "@") for m in _BRACKETED_A.finditer(text)]
+    return sorted(out + [(m.start(), m.end(), "@" if m["at"] else ".") for m in _BRACKETED.finditer(text)])
 
 
 def _worded(text: str) -> list[tuple[int, int, str]]:
     out = {m.start(): (m.start(), m.end(), "@") for m in _SPACED.finditer(text)}
+    last = 0
     for m in _WORDED.finditer(text):
         host = m["host"].lower()
         if m["at"] and (m["name"].lower() in _BEFORE_ADDRESS and not _DOT.search(host) or host.startswith("www.")):
@@ -247,11 +300,31 @@ def _worded(text: str) -> list[tuple[int, int, str]]:
         if m[sign] != "@":
             out[m.start(sign)] = (*m.span(sign), "@")
         out |= {d.start(): (d.start(), d.end(), ".") for d in _DOT.finditer(text, *m.span("host"))}
+        # The name may go on to the left: "jane dot doe at".
+        lo = m.start("name")
+        while part := _NAME_PART.search(text[max(last, lo - 90): lo]):
+            if part["part"].lower() in DETERMINERS:
+                break
+            base = max(last, lo - 90)
+            out[base + part.start("sign")] = (base + part.start("sign"), lo, NAME_WORDS[part["word"].lower()])
+            lo = base + part.start()
+        last = m.end()
+    return [out[k] for k in sorted(out)]
+
+
+def _parted(text: str) -> list[tuple[int, int, str]]:
+    out = {}
+    for m in _PARTED.finditer(text):
+        if m.start("host") - m.start() > 1:
+            out[m.start()] = (m.start(), m.start("host"), "@")
+        out |= {d.start(): (d.start(), d.end(), ".") for d in _PARTED_DOT.finditer(text, *m.span("host"))}
+    for m in _SPACED_IP.finditer(text):
+        out |= {d.start(): (d.start(), d.end(), ".") for d in _PARTED_DOT.finditer(text, *m.span())}
     out |= {m.start("dot"): (*m.span("dot"), ".") for m in _BETWEEN.finditer(text)}
     return [out[k] for k in sorted(out)]
 
 
-TRANSDUCERS = (_characters, _signs, _worded, _digits)
+TRANSDUCERS = (_references, _characters, _letters, _signs, _worded, _parted, _plus, _digits)
 
 
 def normalise(text: str) -> Mapped:
@@ -296,12 +369,20 @@ def personal_data(documents: DataFrame) -> DataFrame:
     Spans are code points of the source, end exclusive, by kind (email, ip, card, phone) and
     start. A hidden span may hold a shorter one of the text itself. A null or empty text has none. Repeated rows stay repeated.
     """
-    def run(texts: pd.Series) -> pd.DataFrame:
-        found = [find(t or "") for t in texts]
-        return pd.DataFrame({"base": [b for b, _ in found], "spans": [s for _, s in found]})
+    spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+
+    def rows(found: list[list[tuple[str, int, int]]]) -> pa.Array:
+        return pa.array([[dict(zip(("kind", "start", "end"), s)) for s in f] for f in found], spans)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                found = [find(t or "") for t in part["text"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["text"], rows([b for b, _ in found]), rows([x for _, x in found])],
+                                                 names=["doc_id", "text", "base", "spans"])
 
-    found = F.pandas_udf(run, f"base {_SPANS}, spans {_SPANS}")("text")
-    return documents.select("doc_id", "text", found.alias("found")).select("doc_id", "text", "found.base", "found.spans")
+    kept = documents.select("doc_id", "text")
+    return kept.mapInArrow(run, f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, text string, base {_SPANS}, spans {_SPANS}")
 
 
 def masked(documents: DataFrame) -> DataFrame:
