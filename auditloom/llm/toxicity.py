@@ -233,12 +233,13 @@ def train(texts: list[str], toxic: np.ndarray, steps: int = 400) -> Toxicity:
 def fit(documents: DataFrame, labels: DataFrame, per_label: tuple[int, int] = ROWS_PER_LABEL) -> Toxicity:
     """A grammar from a bounded sample of the labelled rows: ``labels`` (``doc_id``, ``toxic`` 0 or 1) choose
     the ids, as many of each label as ``per_label`` says, and only their texts are read from
-    ``documents``. Equal texts count once, as toxic if any is."""
+    ``documents``, one of each id. Equal texts count once, as toxic if any is."""
     labels = labels.where("toxic IN (0, 1)").select("doc_id", "toxic")
     ids = sampled_ids(labels, "toxic", dict(enumerate(per_label)))
     # The ids are bounded by ``per_label``, so the texts are not shuffled.
     chosen = durable(labels.join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    got = documents.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic").toPandas()
+    got = (documents.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+           .groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic").toPandas())
     got = got.groupby("text", as_index=False)["toxic"].max()
     return train(got["text"].tolist(), got["toxic"].to_numpy(np.int64))
 

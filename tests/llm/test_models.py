@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import rows
 from auditloom.llm import langid, toxicity
@@ -53,6 +54,82 @@ def test_toxicity_of_rows_not_learned(spark):
     assert held.loc[held["toxic"] == 1, "score"].mean() > held.loc[held["toxic"] == 0, "score"].mean() + 0.3
 
 
+def plain_toxicity(model, text):
+    """Every clause through the three transducers one after the other, without composition or search for words."""
+    marks = dict.fromkeys(toxicity.MARKS, 0.0)
+    clause = []
+    for token in [*toxicity._TOKEN.findall(text.lower()), "."]:
+        if token[0] not in ".!?;:\n":
+            clause.append(token)
+            continue
+        symbols = [model.symbol(t) for t in clause]
+        made = symbols
+        for step in (toxicity.report_transducer(), toxicity.negation_transducer(), toxicity.target_transducer()):
+            made = step.run(made)
+        for mark, word in zip(made, clause):
+            if mark in marks:
+                marks[mark] += model.strength(word) if mark[0] == "I" else float(toxicity.TARGET in symbols)
+        clause = []
+    z = model.bias + sum(w * np.log1p(marks[m]) for m, w in zip(toxicity.MARKS, model.weights))
+    return 1 / (1 + np.exp(-z))
+
+
+@needs_large
+def test_toxicity_matches_the_plain_scorer(spark):
+    docs, labels = table(spark, LARGE, "documents"), table(spark, LARGE, "labels")
+    model = toxicity.fit(docs.where(~toxicity.held_out()), labels.where(~toxicity.held_out()))
+    extra = spark.createDataFrame(list(enumerate(["You idiot. He said \"you idiot\" and will kill you", "not an idiot; I will not kill you!", "They claimed he is stupid: kill him", None, ""], -9)),
+                                  "doc_id bigint, text string")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").unionByName(extra)
+    want = {r["doc_id"]: plain_toxicity(model, r["text"] or "") for r in docs.collect()}
+    got = {r["doc_id"]: r["score"] for r in toxicity.predict(docs, model).collect()}
+    assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in want) < 1e-9
+
+
+def test_texts_of_one_id_bring_one_row(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(500)] + [(2, "you idiot")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id bigint, toxic int")
+    seen = []
+    keep, toxicity.train = toxicity.train, lambda texts, toxic: seen.extend(texts)
+    try:
+        toxicity.fit(docs, labels)
+    finally:
+        toxicity.train = keep
+    assert len(seen) == 2
+
+
+def plain_language(net, text):
+    """Mean probabilities by loops over windows, places and bytes."""
+    raw, total, weights = text.encode(), 0.0, 0.0
+    step, at = langid.WINDOW - langid.REACH + 1, 0
+    widths = np.repeat(langid.WIDTHS, langid.FILTERS)
+    while True:
+        window = raw[at: at + langid.WINDOW].ljust(langid.WINDOW, b"\0")
+        best = np.full(len(widths), -np.inf)
+        for i in range(langid.WINDOW - langid.REACH + 1):
+            sums = np.zeros(len(widths))
+            for j in range(langid.REACH):
+                sums += (net.embed[window[i + j]].astype(float) @ net.filters[j * langid.DEPTH: (j + 1) * langid.DEPTH].astype(float)) * (j < widths)
+            best = np.maximum(best, sums)
+        z = np.maximum(best + net.shift, 0) @ net.out.astype(float) + net.bias
+        p = np.exp(z - z.max())
+        weight = sum(b > 0 for b in window) + 1.0
+        total, weights = total + weight * p / p.sum(), weights + weight
+        at += step
+        if at >= len(raw) - langid.REACH + 1:
+            return total / weights
+
+
+def test_language_matches_the_plain_convolution(spark):
+    net = langid.train(["the cat sat on the mat and the dog"] * 20 + ["der hund und die katze sind nicht im haus"] * 20, ["en"] * 20 + ["de"] * 20)
+    texts = [t[:9000] for _, t in rows.DOCUMENTS if t and any(c.isalpha() for c in t)] + ["é", "x" * 256, "the " * 64, "und " * 63, "das ist ein Haus, that is a house " * 30]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, net).collect()}
+    for i, text in enumerate(texts):
+        want = plain_language(net, text)
+        assert abs(got[i][1] - want.max()) < 1e-4 and want[net.languages.index(got[i][0])] > want.max() - 1e-4, text[:40]
+
+
 def test_composition_is_one_after_the_other():
     a = Transducer({(0, "x"): (1, "y"), (1, "x"): (0, "z")})
     b = Transducer({(0, "y"): (1, "p"), (1, "z"): (0, "q")})
