@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 #: Bytes of a range, and of a read inside it.
 RANGE = 64 << 20
 BLOCK = 4 << 20
+#: Bytes of the first read behind a range.
+STEP = 64 << 10
 
 
 def listing(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
@@ -34,13 +36,21 @@ def split(files: DataFrame, size: int | None = None) -> DataFrame:
 
 
 #: Tasks of a job over ranges, at most.
-TASKS = 20_000
+TASKS = 4_000
 
 
 def dealt(rows: DataFrame, *by: str) -> DataFrame:
-    """One task for each of the few rows. The number is fixed, for by the bytes of the rows, which only name the
-    work, they would all be put into one task."""
-    return rows.repartition(max(1, min(TASKS, rows.count())), *by)
+    """The few rows, which name work, in as many tasks as that work asks for. The number is fixed, for by the bytes of
+    the rows themselves they would all be put into one task.
+
+    Rows with a ``size`` are ranges of so many bytes: a task takes ``RANGE`` bytes of them, or less where there are
+    fewer than two tasks a core, so the driver does not keep a task for each small range. Others are a task each.
+    """
+    if "size" not in rows.columns:
+        return rows.repartition(max(1, min(TASKS, rows.count())), *by)
+    count, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    wide = max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-total // RANGE))
+    return rows.repartition(max(1, min(TASKS, count, wide)), *by)
 
 
 def open_file(uri: str):
@@ -61,3 +71,12 @@ def blocks(uri: str, at: int, size: int | None = None) -> Iterator[bytes]:
                 return
             left -= len(data)
             yield data
+
+
+def onward(uri: str, at: int, size: int) -> Iterator[bytes]:
+    """The bytes of a range and, for as long as the caller asks, what follows it, in small blocks that grow."""
+    yield from blocks(uri, at, size)
+    at, step = at + size, min(BLOCK, STEP)
+    while data := b"".join(blocks(uri, at, step)):
+        yield data
+        at, step = at + len(data), min(BLOCK, 4 * step)

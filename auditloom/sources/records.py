@@ -24,6 +24,28 @@ _STEP[[ord("["), ord("{")]] = 1
 _STEP[[ord("]"), ord("}")]] = -1
 
 
+def _scan(data: bytes, escaped: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """Places of the quotes that open or close strings and of all brackets, the step of each bracket, and whether
+    the byte after ``data`` is escaped."""
+    raw = np.frombuffer(data, np.uint8)
+    quotes, slashes, marks = (np.flatnonzero(x) for x in (raw == _QUOTE, raw == _ESCAPE, _STEP[raw]))
+    # A run of n backslashes escapes what follows if n is odd.
+    after = np.zeros(1 if escaped else 0, np.int64)
+    escaped = escaped and not len(raw)
+    if len(slashes):
+        breaks = np.flatnonzero(np.diff(slashes) != 1)
+        first, last = slashes[np.concatenate(([0], breaks + 1))], slashes[np.concatenate((breaks, [-1]))]
+        length = last - first + 1
+        if len(after) and first[0] == 0:
+            length[0] += 1
+            after = after[:0]
+        after = np.concatenate((after, last[length % 2 == 1] + 1))
+        escaped = bool(last[-1] == len(raw) - 1 and length[-1] % 2 == 1)
+    if len(after):
+        quotes = quotes[~np.isin(quotes, after, assume_unique=True)]
+    return quotes, marks, _STEP[raw[marks]], escaped
+
+
 class Scanner:
     """Depth and string state over the bytes of a file, block by block, from a known start."""
 
@@ -31,41 +53,35 @@ class Scanner:
         self.depth, self.inside, self.escaped = depth, inside, escaped
 
     def __call__(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Bytes, the depth after each of them, and which lie outside of strings (a closing quote does not)."""
-        raw = np.frombuffer(data, np.uint8)
-        # A run of n backslashes escapes what follows if n is odd.
-        slash = raw == _ESCAPE
-        place = np.arange(len(raw))
-        last = np.maximum.accumulate(np.where(slash, -1, place))
-        run = np.where(slash, place - last, 0)
-        before = np.concatenate(([int(self.escaped)], run[:-1]))
-        if self.escaped and len(raw):
-            head = int(np.argmin(slash)) if not slash.all() else len(raw)
-            before[1: head + 1] += 1
-        quote = (raw == _QUOTE) & (before % 2 == 0)
-        after = (np.cumsum(quote) + self.inside) % 2 == 1
-        outside = ~after & ~quote
-        depth = self.depth + np.cumsum(_STEP[raw] * outside)
-        if len(raw):
-            self.inside, self.depth = bool(after[-1]), int(depth[-1])
-            self.escaped = bool(slash[-1] and (before[-1] + 1) % 2 == 1)
-        return raw, depth, outside
+        """Places of the brackets outside of strings, the depth before and the depth after each of them."""
+        quotes, marks, step, self.escaped = _scan(data, self.escaped)
+        open_ = (np.searchsorted(quotes, marks) + self.inside) % 2 == 0
+        marks, step = marks[open_], step[open_]
+        depth = self.depth + np.cumsum(step, dtype=np.int64)
+        self.inside ^= len(quotes) % 2 == 1
+        if len(depth):
+            self.depth = int(depth[-1])
+        return marks, depth - step, depth
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per range and start state: the change of depth and the state at the end.
 
     The state has a third part, whether the first byte is escaped; a range begins with it if an odd run of
-    backslashes ends before it, which the task looks up.
+    backslashes ends before it, which the task looks up. Brackets that are outside of strings for one start state
+    are inside for the other, so one scan serves both.
     """
     for batch in batches:
         for r in batch.to_pylist():
-            scanners = [Scanner(0, False, _escaped(r["path"], r["at"])), Scanner(0, True, _escaped(r["path"], r["at"]))]
+            inside, escaped, change = False, _escaped(r["path"], r["at"]), [0, 0]
             for data in ranges.blocks(r["path"], r["at"], r["size"]):
-                for s in scanners:
-                    s(data)
-            yield pa.RecordBatch.from_pylist([{**{k: r[k] for k in ("path", "part", "at", "size")}, "flips": scanners[0].inside,
-                                               "out": scanners[0].depth, "in": scanners[1].depth}], schema=_SUMMARY)
+                quotes, marks, step, escaped = _scan(data, escaped)
+                odd = (np.searchsorted(quotes, marks) + inside) % 2 == 1
+                change[0] += int(step[~odd].sum(dtype=np.int64))
+                change[1] += int(step[odd].sum(dtype=np.int64))
+                inside ^= len(quotes) % 2 == 1
+            yield pa.RecordBatch.from_pylist([{**{k: r[k] for k in ("path", "part", "at", "size")}, "flips": inside,
+                                               "out": change[0], "in": change[1]}], schema=_SUMMARY)
 
 
 _SUMMARY = pa.schema([("path", pa.string()), ("part", pa.int64()), ("at", pa.int64()), ("size", pa.int64()), ("flips", pa.bool_()), ("out", pa.int64()), ("in", pa.int64())])
@@ -84,46 +100,40 @@ def _escaped(path: str, at: int) -> bool:
     return run % 2 == 1
 
 
-def _elements(level: int):
-    """The elements of arrays at depth ``level`` that begin in each range, as (path, offset, key, text); ``key`` is the
-    name before the array, null at the top. Other objects at that depth are passed over."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                yield from _cut(r, level)
-
-    return run
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The elements that begin in each range, as (path, offset, text): objects at depth ``level`` between the
+    offsets ``from`` and ``to``. Other members at that depth are passed over."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            yield from _cut(r)
 
 
-def _cut(r: dict, level: int) -> Iterator[pa.RecordBatch]:
-    scanner, at, end = Scanner(r["depth"], r["inside"], _escaped(r["path"], r["at"])), r["at"], r["at"] + r["size"]
-    offsets, texts, open_at, held = [], [], None, b""
-    before = r["depth"]
-    for data in ranges.blocks(r["path"], at):
-        raw, depth, outside = scanner(data)
-        prior = np.concatenate(([before], depth[:-1]))
+def _cut(r: dict) -> Iterator[pa.RecordBatch]:
+    scanner, at, end, level = Scanner(r["depth"], r["inside"], _escaped(r["path"], r["at"])), r["at"], r["at"] + r["size"], r["level"]
+    open_at, held = None, b""
+    for data in ranges.onward(r["path"], at, r["size"]):
+        marks, prior, depth = scanner(data)
         # An element begins where an object opens at ``level`` and ends where the depth is ``level`` again.
-        begins = np.flatnonzero((prior == level) & (depth == level + 1) & outside & (raw == ord("{")))
-        ends = np.flatnonzero((prior == level + 1) & (depth == level) & outside)
-        marks = sorted([(int(i), 0) for i in begins] + [(int(i), 1) for i in ends])
-        done = False
-        start = 0
-        for i, kind in marks:
-            if kind == 0:
+        raw = np.frombuffer(data, np.uint8)[marks]
+        begins = (prior == level) & (depth == level + 1) & (raw == ord("{"))
+        edges = np.flatnonzero(begins | (prior == level + 1) & (depth == level))
+        done, start, offsets, texts = False, 0, [], []
+        for i, begin in zip(marks[edges].tolist(), begins[edges].tolist()):
+            if begin:
                 if at + i >= end:
                     done = True
                     break
                 open_at, held, start = at + i, b"", i
             elif open_at is not None:
-                offsets.append(open_at)
-                texts.append((held + data[start: i + 1]).decode())
+                if (r["from"] is None or open_at >= r["from"]) and (r["to"] is None or open_at <= r["to"]):
+                    offsets.append(open_at)
+                    texts.append((held + data[start: i + 1]).decode())
                 open_at, held = None, b""
         if open_at is not None:
             held += data[start:]
-        before, at = int(depth[-1]), at + len(data)
+        at += len(data)
         if texts:
             yield pa.RecordBatch.from_pydict({"path": [r["path"]] * len(texts), "offset": offsets, "text": texts}, schema=_ELEMENT)
-            offsets, texts = [], []
         if done or at >= end and open_at is None:
             return
 
@@ -136,21 +146,20 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     of it lies in a range."""
     for batch in batches:
         for r in batch.to_pylist():
-            scanner, at, before, tail = Scanner(r["depth"], r["inside"], _escaped(r["path"], r["at"])), r["at"], r["depth"], b""
+            scanner, at, tail = Scanner(r["depth"], r["inside"], _escaped(r["path"], r["at"])), r["at"], b""
             rows = []
             if at:
                 tail = b"".join(ranges.blocks(r["path"], max(0, at - 4096), min(at, 4096)))
             for data in ranges.blocks(r["path"], at, r["size"]):
-                raw, depth, outside = scanner(data)
-                prior = np.concatenate(([before], depth[:-1]))
-                moves = np.flatnonzero(outside & (raw == ord("[")) & (prior <= 1) & (depth == prior + 1) | outside & (raw == ord("]")) & (depth <= 1) & (depth == prior - 1))
-                for i in moves.tolist():
-                    key = None
-                    if raw[i] == ord("[") and prior[i] == 1:
-                        text = (tail + data[:i])[-4096:].rstrip()
-                        key = _key(text)
-                    rows.append({"path": r["path"], "offset": at + i, "level": int(min(prior[i], depth[i])), "opens": bool(raw[i] == ord("[")), "key": key})
-                tail, before, at = (tail + data)[-4096:], int(depth[-1]), at + len(data)
+                marks, prior, depth = scanner(data)
+                raw = np.frombuffer(data, np.uint8)[marks]
+                moves = np.flatnonzero((raw == ord("[")) & (prior <= 1) | (raw == ord("]")) & (depth <= 1))
+                for k in moves.tolist():
+                    key, i, opens = None, int(marks[k]), bool(raw[k] == ord("["))
+                    if opens and prior[k] == 1:
+                        key = _key((tail + data[max(0, i - 4096): i])[-4096:].rstrip())
+                    rows.append({"path": r["path"], "offset": at + i, "level": int(min(prior[k], depth[k])), "opens": opens, "key": key})
+                tail, at = (tail + data[-4096:])[-4096:], at + len(data)
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=_ARRAY)
 
@@ -195,18 +204,11 @@ def elements(spark: SparkSession, path: str, record_path: str | None = None, siz
     chosen = spans.groupBy("path").agg(F.min_by(F.struct("offset", "to", "level"), F.struct("place", "offset")).alias("s")).select(
         "path", F.col("s.offset").alias("from"), F.col("s.to").alias("to"), F.col("s.level").alias("level"))
     chosen = durable(chosen)
-    wanted = state.join(chosen, "path").filter("at <= to AND at + size > from")
-    schema = "path string, offset bigint, text string"
-    found = None
-    for level in (1, 2):
-        part = (ranges.dealt(wanted.filter(F.col("level") == level - 1).select("path", "part", "at", "size", "inside", "depth"), "path", "part")
-                .mapInArrow(_elements(level), schema))
-        found = part if found is None else found.unionByName(part)
-    inside = found.join(chosen, "path").filter("offset BETWEEN from AND to").select("path", "offset", "text")
-    if record_path is not None:
-        return inside
-    alone = ranges.dealt(state.join(chosen, "path", "left_anti").select("path", "part", "at", "size", "inside", "depth"), "path", "part").mapInArrow(_elements(0), schema)
-    return inside.unionByName(alone)
+    # Each range carries the bounds of its file's array, so no record text is joined or shuffled.
+    wanted = state.join(chosen.withColumn("known", F.lit(True)), "path", "left" if record_path is None else "inner")
+    wanted = wanted.filter("known IS NULL OR at <= to AND at + size > from").withColumn("level", F.coalesce(F.col("level") + 1, F.lit(0)))
+    return ranges.dealt(wanted.select("path", "part", "at", "size", "inside", "depth", "level", "from", "to"), "path", "part").mapInArrow(
+        _elements, "path string, offset bigint, text string")
 
 
 def read_records(spark: SparkSession, path: str, record_path: str | None = None,

@@ -273,3 +273,12 @@ def test_presets(spark):
                           ).createOrReplaceTempView("ownership_analysis")
     rows = presets.run_preset(spark, "Top Property Owners").collect()
     assert (len(rows), rows[0]["Owner"], rows[-1]["Owner"]) == (25, "o24", "o0")
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    path = tmp_path / "w.json"
+    listed = [{"k": k, "t": '\\" {[' * (k % 5)} for k in range(2000)]
+    path.write_text(json.dumps({"notes": [{"k": -1}], "records": listed}))
+    found = records.elements(spark, str(path), size=64)
+    assert [json.loads(r.text) for r in found.orderBy("offset").collect()] == listed
+    assert found.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
