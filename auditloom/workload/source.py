@@ -5,7 +5,7 @@ Spark writes the files from the tables' rows, several files at once; the source
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from auditloom.plans import presets
 from auditloom.plans.query import run
@@ -18,14 +18,20 @@ from auditloom.workload.registry import query
 _RANGE = 256 << 10
 
 
-def _wrapped(t: Tables, rows: DataFrame, key: str, part: Column, head: str, tail: str, name: str) -> str:
-    """A folder of JSON files, each an object that wraps ``rows`` of one ``part`` in an array ``key``."""
+#: Rows of one file of wrapped rows, about; the task that writes a file sorts no more, however large the table.
+_FILE_ROWS = 250_000
+
+
+def _wrapped(t: Tables, rows: DataFrame, key: str, parts: int, head: str, tail: str, name: str) -> str:
+    """A folder of JSON files, each an object that wraps rows (``id``, ``json``) in an array ``key``; the remainder of
+    the ids by ``parts`` decides the file, or the set of files once a remainder has more rows than a file takes."""
     folder = scratch(t.spark, name)
-    body = rows.select(part.alias("part"), F.lit(1).alias("place"), F.concat("json", F.lit(",")).alias("value"))
-    parts = body.select("part").distinct()
-    opening = parts.select("part", F.lit(0).alias("place"), F.lit(f'{head}"{key}": [').alias("value"))
-    closing = parts.select("part", F.lit(2).alias("place"), F.lit(f"null]{tail}").alias("value"))
-    (body.unionByName(opening).unionByName(closing).repartition("part").sortWithinPartitions("part", "place")
+    files = parts * max(1, -(-rows.count() // (parts * _FILE_ROWS)))
+    body = rows.select(F.coalesce(F.pmod("id", F.lit(files)), F.lit(0)).alias("part"), F.lit(1).alias("place"), F.concat("json", F.lit(",")).alias("value"))
+    numbers = t.spark.range(files).select(F.col("id").alias("part"))
+    opening = numbers.select("part", F.lit(0).alias("place"), F.lit(f'{head}"{key}": [').alias("value"))
+    closing = numbers.select("part", F.lit(2).alias("place"), F.lit(f"null]{tail}").alias("value"))
+    (body.unionByName(opening).unionByName(closing).repartitionById(files, F.col("part").cast("int")).sortWithinPartitions("part", "place")
      .select("part", "value").write.partitionBy("part").text(folder))
     return folder
 
@@ -39,8 +45,8 @@ def wrapped_json_records(t: Tables) -> DataFrame:
                    F.struct(F.concat(F.lit('note "'), "o_orderstatus", F.lit('" {[')).alias("note")).alias("status"),
                    F.struct(F.col("o_custkey").alias("key"), F.lower("o_orderpriority").alias("priority")).alias("customer"),
                    F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderkey")).alias("extra"))
-    rows = t.orders.select("o_orderkey", F.to_json(row).alias("json"))
-    folder = _wrapped(t, rows, "records", F.pmod("o_orderkey", F.lit(4)), '{"meta": {"records": [{"id": -1}]}, "notes": [{"id": -2}], ',
+    rows = t.orders.select(F.col("o_orderkey").alias("id"), F.to_json(row).alias("json"))
+    folder = _wrapped(t, rows, "records", 4, '{"meta": {"records": [{"id": -1}]}, "notes": [{"id": -2}], ',
                       ', "more": [{"id": -3}]}', "wrapped")
     return records.flatten(records.split_records(t.spark, folder, size=_RANGE))
 
@@ -55,8 +61,8 @@ def geojson_features(t: Tables) -> DataFrame:
     properties = F.struct(F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey")).alias("even"),
                           F.when(F.col("c_custkey") % 5 == 0, F.struct(F.col("c_mktsegment").alias("segment"))).alias("detail"))
     feature = F.struct(F.lit("Feature").alias("type"), point.alias("geometry"), properties.alias("properties"))
-    rows = t.customer.select("c_custkey", F.to_json(feature).alias("json"))
-    folder = _wrapped(t, rows, "features", F.pmod("c_custkey", F.lit(3)), '{"type": "FeatureCollection", ', "}", "features")
+    rows = t.customer.select(F.col("c_custkey").alias("id"), F.to_json(feature).alias("json"))
+    folder = _wrapped(t, rows, "features", 3, '{"type": "FeatureCollection", ', "}", "features")
     found = records.split_features(t.spark, folder, size=_RANGE)
     return found.select("geometry_type", "geometry_json", "name", "even", "detail")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -282,3 +283,14 @@ def test_small_ranges_share_tasks(spark, tmp_path):
     found = records.elements(spark, str(path), size=64)
     assert [json.loads(r.text) for r in found.orderBy("offset").collect()] == listed
     assert found.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_files_of_wrapped_rows_hold_a_bounded_number(spark, tmp_path, monkeypatch):
+    from auditloom.workload import source
+    monkeypatch.setattr(source, "_FILE_ROWS", 100, raising=False)
+    rows = spark.range(1000).select("id", F.to_json(F.struct("id")).alias("json"))
+    folder = source._wrapped(SimpleNamespace(spark=spark), rows, "features", 3, '{"type": "FeatureCollection", ', "}", "features")
+    files = spark.read.text(folder).groupBy(F.input_file_name()).agg(F.sum(F.col("value").startswith('{"id"').cast("int")).alias("n"))
+    assert files.agg(F.count(F.lit(1)), F.sum("n")).first() == (12, 1000) and files.agg(F.max("n")).first()[0] <= 100
+    found = records.elements(spark, folder, "features").select(F.get_json_object("text", "$.id").cast("bigint").alias("id"))
+    assert sorted(r.id for r in found.collect()) == list(range(1000))
