@@ -195,7 +195,7 @@ AUDIT_MESSAGES = {
     "admin_pct_of_total_staff": "Admin staff ({v}%) exceeds {t}% threshold",
     "admin_per_1000_students": "Admin positions per 1000 students ({v}) exceeds {t} threshold",
     "admin_to_teacher_ratio": "Admin-to-teacher ratio ({v:.4f}) exceeds {t} threshold",
-    "admin_growth_vs_enrollment": "Admin growth (%s%%) is %.1fx enrollment growth (%s%%)",
+    "admin_growth_vs_enrollment": "Admin growth (%s%%) is %sx enrollment growth (%s%%)",
     "school_pct_of_budget": "School share declined from %s%% (%s) to %s%% (%s)",
     "ok": "Admin staff ratio (%s%%) is within acceptable range",
 }

@@ -43,6 +43,12 @@ def round_to(c: Column | str, digits: int = 0) -> Column:
     return F.when(x < 0, -magnitude).otherwise(magnitude)
 
 
+def fixed_digits(c: Column | str, digits: int) -> Column:
+    """A double as text with that many decimal places: nearest to its binary value, exact ties to the even digit, as
+    C and Python print it. ``format_string`` rounds the shortest decimal form half up instead (2.05 to 2.1, 0.25 to 0.3)."""
+    return F.call_function("format_number", col(c).cast("double"), F.lit("0." + "0" * digits if digits else "0"))
+
+
 def ratio(num: Column | str, den: Column | str, *, scale: float = 1.0,
           digits: int | None = None, default: float | None = None) -> Column:
     """``num / den * scale`` where ``den > 0``, else ``default`` (null if None)."""

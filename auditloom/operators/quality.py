@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from auditloom import fixed
-from auditloom.functions.numbers import money_sum, ratio, round_to
+from auditloom.functions.numbers import fixed_digits, money_sum, ratio, round_to
 from auditloom.operators.rank import top_k
 from auditloom.operators.rollups import row_count, samples_per_group
 
@@ -63,8 +63,8 @@ AUDIT_RULES = tuple(
 
 def _message(text: str, value: Column, threshold: float) -> Column:
     """``{v}`` as the number stands, ``{v:.1f}`` with that many digits."""
-    before, form, after = re.fullmatch(r"(.*)\{v(?::(\.\df))?\}(.*)", text.replace("{t}", str(threshold))).groups()
-    shown = F.format_string("%" + form, value) if form else value.cast("string")
+    before, digits, after = re.fullmatch(r"(.*)\{v(?::\.(\d)f)?\}(.*)", text.replace("{t}", str(threshold))).groups()
+    shown = fixed_digits(value, int(digits)) if digits else value.cast("string")
     return F.concat(F.lit(before), shown, F.lit(after))
 
 
@@ -101,7 +101,7 @@ def growth_flags(df: DataFrame, keys: Sequence[str], growth: str, base: str,
     """CRITICAL where one growth is more than ``times`` the other (which must not be 0)."""
     r = F.col(growth).cast("double") / F.nullif(F.col(base).cast("double"), F.lit(0.0))
     name = "admin_growth_vs_enrollment"
-    text = F.format_string(fixed.AUDIT_MESSAGES[name], round_to(growth, 2).cast("string"), F.col("_ratio"), round_to(base, 2).cast("string"))
+    text = F.format_string(fixed.AUDIT_MESSAGES[name], round_to(growth, 2).cast("string"), fixed_digits("_ratio", 1), round_to(base, 2).cast("string"))
     return df.withColumn("_ratio", r).filter(F.col("_ratio") > times).select(
         *keys, F.lit(name).alias("indicator"), round_to("_ratio", 2).alias("value"),
         F.lit(float(times)).alias("threshold"), F.lit("CRITICAL").alias("severity"), text.alias("message"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from auditloom import fixed
 from auditloom.functions import keys as K, names as N, numbers as U
 from auditloom.functions.predicates import same_fiscal_year, structured_filters, target_filter
+from auditloom.operators import quality
 
 
 def apply(spark, expression, values, kind="string"):
@@ -135,3 +136,16 @@ def test_rounding_and_sums_of_odd_amounts(spark):
     assert apply(spark, lambda c: U.round_to(c, 2), [2e17, -2e17, 1.005, None], "double") == [2e17, -2e17, 1.0, None]
     rows = spark.createDataFrame([(1.25,), (float("nan"),), (1e30,), (2.5,)], "v double")
     assert float(rows.agg(U.money_sum("v").alias("s")).first().s) == 3.75
+
+
+def test_fixed_digits_round_the_binary_value(spark):
+    values = [0.25, 0.75, 2.05, 8.15, 5.65, 1234.5, 1235.5, 9.95, 1e7, 1234567.85, 0.05, -2.25, -0.04, 12.0]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    got = rows.select(U.fixed_digits("v", 1), U.fixed_digits("v", 0), U.fixed_digits("v", 4)).collect()
+    assert [tuple(r) for r in got] == [(f"{v:.1f}", f"{v:.0f}", f"{v:.4f}") for v in values]
+
+
+def test_history_messages_print_ties_as_the_sql(spark):
+    rows = spark.createDataFrame([(8.25, 50.05, 1234.5)], "administration_pct double, instruction_pct double, per_pupil_admin double")
+    got = [r.message for r in quality.tiered_flags(rows.withColumn("k", F.lit(1)), ["k"], quality.HISTORY_RULES).collect()]
+    assert [m.split(")")[0].split("(")[1] for m in got] == ["8.2%", "50.0%", "$1234"]
