@@ -148,6 +148,12 @@ def _district(text: Column) -> Column:
     return let(canonical_district(text), lambda d: F.when(d.isNotNull(), F.struct(F.array_position(names, d).alias("place"), d.alias("name"))))
 
 
+def _read_once(found: DataFrame) -> DataFrame:
+    """The same rows behind an ``explode``: a later filter on the fields stays above it. Pushed below, it would run the
+    patterns again at each of its references, in the condition of the join before them."""
+    return found.select(F.explode(F.array(F.struct(*found.columns))).alias("_r")).select("_r.*")
+
+
 def _record_fields(records: DataFrame, keep: Sequence[str], parcel_pattern: str, amounts: Mapping[str, tuple], blocks: Mapping[str, Column]) -> DataFrame:
     """One row per record with the first match of every field, in text order.
 
@@ -173,7 +179,9 @@ def _record_fields(records: DataFrame, keep: Sequence[str], parcel_pattern: str,
     if "ahead" in records.columns:
         first = {n: F.min_by(n, F.when(F.col(n).isNotNull(), F.struct(*([f"{n}.place"] if n in ("_description", "_district") else []), "at"))) for n in names}
         merged = found.filter(~F.col("whole")).groupBy(*keep, "record_id").agg(*[c.alias(n) for n, c in first.items()])
-        found = found.filter("whole").select(*keep, "record_id", *names).unionByName(merged)
+        found = _read_once(found.filter("whole").select(*keep, "record_id", *names)).unionByName(merged)
+    else:
+        found = _read_once(found)
     zero = F.lit(0).cast("decimal(18,2)")
     return found.select(
         *keep, "record_id", "parcel_code", "_owner", strip(F.col("_description.text")).alias("description"),
@@ -236,12 +244,12 @@ def property_records(records: DataFrame, keep: Sequence[str], caps: Mapping = fi
 
 
 def _all_blocks(text: Column) -> Column:
-    """Every four-amount block of the text as typed structs."""
-    groups = [F.regexp_extract_all(text, F.lit(fixed.VALUE_BLOCK_ANY), F.lit(i)) for i in range(1, 5)]
-    zipped = F.arrays_zip(*[g.alias(n) for g, n in zip(groups, ("land", "improvement", "total", "tax"))])
-    return F.transform(zipped, lambda b: F.struct(
-        int_text(b["land"]).alias("land"), int_text(b["improvement"]).alias("improvement"),
-        int_text(b["total"]).alias("total"), decimal_text(b["tax"]).alias("tax")))
+    """Every four-amount block of the text as typed structs; found once and cut at white space, which no amount holds."""
+    def read(block: Column) -> Column:
+        return let(F.split(block, r"\s+"), lambda n: F.struct(
+            int_text(n[0]).alias("land"), int_text(n[1]).alias("improvement"), int_text(n[2]).alias("total"), decimal_text(n[3]).alias("tax")))
+
+    return F.transform(F.regexp_extract_all(text, F.lit(fixed.VALUE_BLOCK_ANY), F.lit(0)), read)
 
 
 def property_records_strict(records: DataFrame, keep: Sequence[str],

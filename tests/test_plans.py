@@ -62,3 +62,15 @@ def test_line_items_fold_before_the_dimension_join(spark, folder, no_broadcast):
 def test_global_rank_has_one_range_shuffle(spark, folder):
     text = plan(REGISTRY["global_order_rank"].build(Tables(spark, folder)))
     assert "SortMergeJoin" not in text and "Window" in text
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_patterns_of_records_stay_out_of_joins_and_filters(spark, tmp_path, strict):
+    from auditloom.plans import ingest
+    path = tmp_path / "2020.txt"
+    path.write_text("12A- -2- 63\nDOE JOHN\nLot 3B\n10 20 9,999 1.00 1,000 2,000 3,000 18.00 ACCT- 77\n")
+    rows = ingest.tax_books(spark, str(path), strict)
+    steps = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [s for s in steps if ("Join " in s or "Filter " in s) and "regexp_extract" in s]
+    got = rows.first()
+    assert (got.account_number, got.total_value, got.land_value, float(got.tax_amount)) == ("77", 3000, 1000, 18.0)
