@@ -6,17 +6,21 @@ expanded per row from an array of expressions, so no rule table is joined.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from auditloom import fixed
 from auditloom.functions.keys import match
 from auditloom.functions.names import canonical_district
 from auditloom.functions.numbers import amount_or_null, clean_amount, col, decimal_text, int_text, let, money_sum, strip
 from auditloom.operators.rank import global_rank, running_id
-from auditloom.session import durable
+from auditloom.session import durable, stored
 
 # --- records assembled from lines ----------------------------------------------------
 
@@ -43,39 +47,94 @@ PIECE_LINES = 64
 LINES_AHEAD = 4
 
 
+def _changes(column: pa.Array) -> np.ndarray:
+    """True at each row (but the first) that differs from the row before it; nulls are equal."""
+    here, before = column.slice(1), column.slice(0, len(column) - 1)
+    differ = pc.or_(pc.fill_null(pc.not_equal(here, before), False), pc.xor(pc.is_null(here), pc.is_null(before)))
+    return differ.to_numpy(zero_copy_only=False)
+
+
+def _cut_pieces(batches: Iterable[pa.RecordBatch], by: Sequence[str], piece: int, ahead: int) -> Iterator[pa.RecordBatch]:
+    """Ordered lines (``by``, ``_start``, ``_line``) to pieces, as :func:`record_pieces` stores them. The rows of a chunk
+    follow each other, so only the last two pieces of a batch wait for the next one."""
+    held, fresh, known, since = None, True, 0, 0
+
+    def cut(rows: pa.Table, final: bool) -> tuple[pa.RecordBatch, int, bool, int, int]:
+        n, columns = rows.num_rows, {c: rows[c].combine_chunks() for c in rows.column_names}
+        start = columns["_start"].to_numpy(zero_copy_only=False)
+        new = np.zeros(n, bool)
+        new[0] = fresh
+        for c in by:
+            new[1:] |= _changes(columns[c])
+        at, count = np.arange(n), np.cumsum(start)
+        # Starts of the chunk up to a row, and lines since its last start; what came before the first row is carried.
+        here = count - np.maximum.accumulate(np.where(new, count - start, -known))
+        anchor = np.where(new | start, at, -since - 1)
+        anchor[0] = 0 if new[0] or start[0] else -since
+        row = at - np.maximum.accumulate(anchor)
+        first = np.flatnonzero(new | (row % piece == 0))
+        end, chunk = np.append(first[1:], n), np.cumsum(new)[first]
+        follows = np.append(chunk[1:] == chunk[:-1], False)
+        same = follows & np.append(here[first[1:]] == here[first[:-1]], False)
+        last = ~follows | (same & ~np.append(follows[1:], False))
+        k = len(first) if final else max(len(first) - 2, 0)
+        sizes = np.where(same, np.minimum(ahead, np.append(end[1:] - first[1:], 0)), 0)[:k]
+        offsets = np.append(0, np.cumsum(sizes))
+        taken = np.repeat(end[:k] - offsets[:-1], sizes) + np.arange(offsets[-1])
+        lines, stop = columns["_line"], end[k - 1] if k else 0
+        out = pa.RecordBatch.from_arrays(
+            [*[columns[c].take(pa.array(first[:k])) for c in by], pa.array(here[first[:k]], pa.int64()), pa.array((row // piece)[first[:k]], pa.int32()),
+             pa.ListArray.from_arrays(pa.array(np.append(first[:k], stop), pa.int32()), lines),
+             pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), lines.take(pa.array(taken))), pa.array(last[:k])],
+            names=[*by, "_here", "_sub", "lines", "_next", "_last"])
+        if stop == n:
+            return out, stop, True, 0, 0
+        return out, stop, bool(new[stop]), int(here[stop] - start[stop]) if not new[stop] else 0, int(row[stop])
+
+    for batch in batches:
+        if batch.num_rows:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            out, stop, fresh, known, since = cut(rows, False)
+            held = rows.slice(stop)
+            if out.num_rows:
+                yield out
+    if held is not None:
+        yield cut(held, True)[0]
+
+
 def record_pieces(lines: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[str],
-                  line: str = "line", start: str | Column = fixed.RECORD_START) -> DataFrame:
+                  line: str = "line", start: str | Column = fixed.RECORD_START, placed: bool = False) -> DataFrame:
     """Records of ordered lines, in pieces of up to ``PIECE_LINES`` lines: no record is ever gathered.
 
     A record is one piece as a rule (``whole``); a longer one, or one that crosses a chunk, is several, in the
     order of ``at``. ``lines`` are the piece's own, ``ahead`` the next few of the same record, ``first`` marks the
-    piece with the start line. Lines are shuffled once, by chunk. Lines before the first start are dropped.
+    piece with the start line. Lines before the first start are dropped. The lines of a chunk are brought together
+    and sorted, unless they are ``placed``: in order in one task, as the block of a file is read.
     """
     starts = F.col(line).rlike(start) if isinstance(start, str) else start
     by = [*keys, "_chunk"]
-    so_far = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    flagged = lines.select(*keys, *[c for c in order if c not in keys], F.col(line).alias("_line"), chunk.alias("_chunk"), F.when(starts, 1).otherwise(0).alias("_start"))
-    placed = flagged.withColumn("_here", F.sum("_start").over(so_far)).withColumn("_row", F.row_number().over(so_far))
-    placed = placed.withColumn("_since", F.max(F.when(F.col("_start") == 1, F.col("_row"))).over(so_far))
-    placed = placed.withColumn("_sub", F.floor((F.col("_row") - F.coalesce("_since", F.lit(1))) / PIECE_LINES).cast("int"))
-    pieces = placed.groupBy(*by, "_here", "_sub").agg(F.array_sort(F.collect_list(F.struct("_row", "_line")))["_line"].alias("lines"))
-    follows = Window.partitionBy(*by).orderBy("_here", "_sub")
-    none = F.array().cast("array<string>")
-    same = F.coalesce(F.lead("_here").over(follows) == F.col("_here"), F.lit(False))
-    # The lines ahead may be at the head of the next chunk: after the chunk's last piece, or after the one before it.
-    last = F.lead("_here").over(follows).isNull() | (same & F.lead("_here", 2).over(follows).isNull())
-    pieces = durable(pieces.withColumn("_next", F.when(same, F.slice(F.lead("lines").over(follows), 1, LINES_AHEAD)).otherwise(none)).withColumn("_last", last))
+    flagged = lines.withColumn("_chunk", chunk)
+    if not placed:
+        flagged = flagged.repartition(*by).sortWithinPartitions(*by, *order)
+    flagged = flagged.select(*by, F.coalesce(starts, F.lit(False)).alias("_start"), F.col(line).alias("_line"))
+    kinds = StructType([*[flagged.schema[c] for c in by], *StructType.fromDDL("_here bigint, _sub int, lines array<string>, _next array<string>, _last boolean")])
+    piece, ahead = PIECE_LINES, LINES_AHEAD
+    pieces = flagged.mapInArrow(lambda batches: _cut_pieces(batches, by, piece, ahead), kinds)
+    went_on = (F.col("_here") == 0) & (F.col("_sub") == 0)
+    pieces = stored(pieces.withColumn("_head", F.when(went_on, F.slice("lines", 1, LINES_AHEAD))), "pieces")
 
     # One row per chunk: its starts, and the lines with which it goes on with the record before it.
-    went_on = (F.col("_here") == 0) & (F.col("_sub") == 0)
-    chunks = pieces.groupBy(*by).agg(F.max("_here").alias("_n"), F.max(F.when(went_on, F.slice("lines", 1, LINES_AHEAD))).alias("_head"))
+    none = F.array().cast("array<string>")
+    chunks = pieces.groupBy(*by).agg(F.max("_here").alias("_n"), F.max("_head").alias("_head"))
     across = Window.partitionBy(*keys).orderBy("_chunk")
     come, open_ = none, F.lit(True)
     for k in range(1, LINES_AHEAD + 1):
         come = F.concat(come, F.when(open_, F.coalesce(F.lead("_head", k).over(across), none)).otherwise(none))
         open_ = open_ & F.coalesce(F.lead("_n", k).over(across) == 0, F.lit(False))
-    chunks = chunks.select(*by, F.coalesce(F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-                           F.slice(come, 1, LINES_AHEAD).alias("_come"))
+    # Written, so that the join knows how small they are and pieces need not be shuffled by chunk.
+    chunks = stored(chunks.select(*by, F.coalesce(F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                                  F.slice(come, 1, LINES_AHEAD).alias("_come")), "chunks")
     joined = pieces.join(chunks, by).withColumn("record_id", (F.col("_before") + F.col("_here")).cast("bigint")).filter(F.col("record_id") > 0)
     out = joined.select(*keys, "record_id", F.struct("_chunk", "_sub").alias("at"), "lines",
                         F.slice(F.concat("_next", F.when(F.col("_last"), F.col("_come")).otherwise(none)), 1, LINES_AHEAD).alias("ahead"),
@@ -118,6 +177,11 @@ def _own(text: Column, pattern: str, group: int = 1, found: Column | None = None
     return F.when((found != "") & inside, found)
 
 
+def _first_match(text: Column, name: str, pattern: str, group: int) -> Column:
+    found, word = F.regexp_extract(text, pattern, group), fixed.RECORD_WORDS.get(name)
+    return F.when(text.contains(word), found) if word else found
+
+
 def _pieces(records: DataFrame) -> DataFrame:
     """Assembled records count as whole pieces."""
     if "ahead" not in records.columns:
@@ -164,7 +228,7 @@ def _record_fields(records: DataFrame, keep: Sequence[str], parcel_pattern: str,
     text = F.col("_text")
     patterns = {n: (fixed.RECORD_PATTERNS[n], 1) for n in _FOUND} | {n: (p, 0) for n, (p, _) in amounts.items()}
     rows = _pieces(records).withColumns({
-        **{f"_m_{n}": F.regexp_extract(text, p, g) for n, (p, g) in patterns.items()},
+        **{f"_m_{n}": _first_match(text, n, p, g) for n, (p, g) in patterns.items()},
         "_m_description": F.regexp_extract(text, fixed.DESCRIPTION_PATTERNS[0], 1),
         "_m_parcel": F.when(F.col("first"), F.regexp_extract(F.get("lines", F.lit(0)), parcel_pattern, 1))})
     opening = F.slice(F.concat("lines", "ahead"), 1, 5)

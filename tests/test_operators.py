@@ -9,6 +9,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from auditloom import fixed
 from auditloom.operators import extract as X, frames as V, joins as J, networks as G, quality as Q, rank as W
 from auditloom.operators import rollups as R, trends as T
 from auditloom.plans import audit, ownership
@@ -408,3 +409,40 @@ def test_personnel_summary(spark):
     rows = spark.createDataFrame(pages, "doc string, page int, text string").repartition(3)
     assert rows_of(X.personnel_summary(rows, ["doc"], "page", "text"), "kind") == [
         ("a", 7, "department", "sheriff", 0.5, 2.0, 1.25, 3.0, 7.0, 4.0), ("a", 7, "total", "all_funds_total", 9.5, 1.0, 2.0, 3.0, 4.0, 5.0)]
+
+
+@pytest.mark.parametrize("batch", ["1", "3", "10000"])
+@pytest.mark.parametrize("size, piece", [(1000, 64), (7, 4), (2, 64), (1, 64)])
+def test_placed_lines_are_cut_like_sorted_ones(spark, monkeypatch, batch, size, piece):
+    """Lines that lie in order in their task, several chunks in one, give the same pieces however the batches fall."""
+    monkeypatch.setattr(X, "PIECE_LINES", piece)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        rows = spark.createDataFrame([(b, i, t) for b in ("one", "two") for i, t in enumerate(BOOK)], "path string, pos int, line string").coalesce(1)
+        place = F.floor(F.col("pos") / size)
+        placed, moved = (X.record_pieces(r, ["path"], place, ["pos"], placed=p) for r, p in ((rows, True), (rows.repartition(5), False)))
+        assert sorted(map(str, placed.collect())) == sorted(map(str, moved.collect())) and placed.count() >= 10
+        whole = X.assemble_records(rows, ["path"], place, ["pos"])
+        got = placed.groupBy("path", "record_id").agg(F.flatten(F.array_sort(F.collect_list(F.struct("at", "lines")))["lines"]).alias("lines"))
+        assert sorted(map(str, got.collect())) == sorted(map(str, whole.select("path", "record_id", "lines").collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_patterns_of_records_match_as_plain_ones(spark):
+    """The patterns that give nothing back find what the plain ones find, and a long run takes no quadratic time."""
+    plain = {fixed.RECORD_PATTERNS["acreage"]: r"(?i)([\d.]+)\s*(?:ACRES?|AC\b)", fixed.RECORD_PATTERNS["deferred_value"]: r"([\d,]+)\s*DEFERRED",
+             fixed.VALUE_BLOCK: r"([\d,]+)\s+([\d,]+)\s+([\d,]+)\s+([\d,]+\.?\d*)\s+ACCT-", fixed.VALUE_BLOCK_LAND_ONLY: r"([\d,]+)\s+([\d,]+)\s+([\d,]+\.?\d*)\s+ACCT-",
+             fixed.VALUE_BLOCK_ANY: r"([\d,]+)\s+([\d,]+)\s+([\d,]+)\s+([\d,]+\.\d{2})",
+             fixed.VALUE_BLOCK_LAND_ONLY_STRICT: r"(\d{1,3}(?:,\d{3})*)\s+(\d{1,3}(?:,\d{3})*)\s+(\d+\.?\d*)\s+ACCT",
+             fixed.DESCRIPTION_PATTERNS[3]: r"(?i)([\w\s]+(?:SUBDIVISION|ESTATES?|VILLAGE|ACRES?|TRACT))"}
+    rng = random.Random(11)
+    words = ["1", "1234", "1,234", ",", "4.5", "6.00", "7.", ".8", "1.005", "9.10.11", " ", "\t", " ACCT-", " ACCT", "DEFERRED", "ACRES", "ac", "ACX", "Village", "/", "ab"]
+    data = [("".join(rng.choice(words) + rng.choice(["", " ", " "]) for _ in range(rng.randint(1, 20))),) for _ in range(5000)]
+    rows = spark.createDataFrame([*data, ("1 2 3 4.001 2 3 4.00 ACCT- 5",), ("x1234 5 6.0 ACCT",)], "t string")
+    for pattern, old in plain.items():
+        one, two = (F.regexp_extract_all("t", F.lit(p), F.lit(0)) for p in (pattern, old))
+        assert rows.filter(one != two).count() == 0 and rows.filter(F.size(two) > 0).count() > 0
+        assert rows.filter(F.regexp_instr("t", F.lit(pattern)) != F.regexp_instr("t", F.lit(old))).count() == 0
+    long = spark.createDataFrame([("word " * 40_000 + "/ OAK TRACT",)], "t string")
+    assert long.select(F.regexp_extract("t", fixed.DESCRIPTION_PATTERNS[3], 1)).first()[0] == " OAK TRACT"

@@ -74,3 +74,19 @@ def test_patterns_of_records_stay_out_of_joins_and_filters(spark, tmp_path, stri
     assert not [s for s in steps if ("Join " in s or "Filter " in s) and "regexp_extract" in s]
     got = rows.first()
     assert (got.account_number, got.total_value, got.land_value, float(got.tax_amount)) == ("77", 3000, 1000, 18.0)
+
+
+def test_lines_of_books_are_not_shuffled(spark, tmp_path):
+    """A block's lines become pieces where they are read; only counts of chunks and the few broken records move."""
+    from auditloom.operators import extract as X
+    from auditloom.sources.text import read_lines
+    path = tmp_path / "2020.txt"
+    path.write_text("".join(f"{k}A- -2- 63\nDOE JOHN\n1,000 2,000 3,000 18.00 ACCT- {k}\n" for k in range(3000)))
+    tracker, jobs = spark.sparkContext.statusTracker(), f"pieces-{tmp_path}"
+    spark.sparkContext.setJobGroup(jobs, jobs)
+    pieces = X.record_pieces(read_lines(spark, str(path)), ["path"], F.col("block"), ["block", "row"], placed=True)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # The first job writes the pieces: it reads lines and has no stage before it.
+    assert len(tracker.getJobInfo(min(tracker.getJobIdsForGroup(jobs))).stageIds) == 1
+    text = plan(pieces)
+    assert "Window" not in text and "Sort" not in text and pieces.filter("whole").count() >= 2999
